@@ -164,3 +164,28 @@ __all__ = [
     "scan_assets",
     "tpch_assets",
 ]
+
+
+def supplier_assets(supplier: DataFrame) -> DataFrame:
+    """A second asset table, one row per supplier, placed in its nation's grid cell.
+
+    Nations hold 1 to 10 suppliers at sf0.01, which exercises the >= 10 rows rule
+    of per-country models; ``s_acctbal`` (some negative) is the capacity.
+    """
+    k = F.col("s_suppkey")
+    n = F.col("s_nationkey").cast("bigint")
+    return supplier.select(
+        k.alias("row_id"),
+        F.concat(F.lit("SUP"), F.lpad(k.cast("string"), 8, "0")).alias("gppd_idnr"),
+        F.col("s_name").alias("name"),
+        F.col("s_acctbal").alias("capacity_mw"),
+        (F.lit(-90) + ((n - n % 5) / 5) * 36 + 2 + ((k * 104729) % 1600).cast("double") / 100).alias("latitude"),
+        (F.lit(-180) + (n % 5) * 72 + 4 + ((k * 7919) % 6400).cast("double") / 100).alias("longitude"),
+        F.concat(F.lit("C"), F.lpad(n.cast("string"), 2, "0")).alias("country"),
+        F.lit("Supplier").alias("primary_fuel"),
+        (1900 + k % 121).cast("int").alias("commissioning_year"),
+    )
+
+
+def load_supplier_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return supplier_assets(read_table(spark, sf_dir, "supplier"))
