@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terracheck.session import cut_lineage
+
 MAX_GROUP_ROWS = 5_000_000
 
 
@@ -50,7 +52,9 @@ def exact_quantile(
 def _ranked_quantile(vals: DataFrame, q: float, keys: list[str], out: str) -> DataFrame:
     spark = vals.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = vals.repartitionByRange(n_parts, *keys, "_v").withColumn("_pid", F.spark_partition_id())
+    # Partition ids are read twice (counts, then ranks); checkpoint the narrow (keys, value, pid)
+    # rows once so both reads see the same assignment whatever AQE does to the exchange.
+    ranged = cut_lineage(vals.repartitionByRange(n_parts, *keys, "_v").withColumn("_pid", F.spark_partition_id()))
     part_counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"))
     by_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     offsets = part_counts.withColumns(
