@@ -21,8 +21,16 @@ BASIC_FEATURES = ("latitude", "longitude", "capacity_mw")
 
 def cap_filled(df: DataFrame, cols: AssetCols = DEFAULT_COLS, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """adds ``country_cap_median`` and ``cap_filled`` = capacity, else country median, else global median."""
-    by_country = exact_quantile(df, cols.capacity, 0.5, [cols.country], "country_cap_median", max_group_rows)
-    overall = exact_quantile(df, cols.capacity, 0.5, [], "_global_median", max_group_rows)
+    # one small job sizes both medians: the largest country and the whole table
+    sizes = (
+        df.where(F.col(cols.capacity).isNotNull())
+        .groupBy(cols.country)
+        .count()
+        .agg(F.max("count").alias("largest"), F.sum("count").alias("total"))
+        .first()
+    )
+    by_country = exact_quantile(df, cols.capacity, 0.5, [cols.country], "country_cap_median", max_group_rows, sizes["largest"])
+    overall = exact_quantile(df, cols.capacity, 0.5, [], "_global_median", max_group_rows, sizes["total"])
     joined = df.join(by_country, cols.country, "left").crossJoin(F.broadcast(overall))
     return joined.withColumn(
         "cap_filled", F.coalesce(F.col(cols.capacity), F.col("country_cap_median"), F.col("_global_median"))

@@ -121,45 +121,55 @@ def grow_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int):
 
 
 def forest_arrays(nodes: pd.DataFrame):
-    """Pack node rows of one model into (T x M) arrays for vectorised traversal."""
+    """Pack the node rows of one model into flat arrays for vectorised traversal.
+
+    Node ``i`` of tree ``t`` gets the global index ``t * width + i``.  Leaves point
+    to themselves (threshold +inf, feature 0), so a walk of ``depth`` steps needs no
+    per-step leaf test.  Returns (left, right, feature, threshold, path_len, width,
+    n_trees, depth)."""
     nodes = nodes.sort_values(["tree_id", "node_id"])
     trees = np.unique(nodes["tree_id"].to_numpy())
-    t_index = np.searchsorted(trees, nodes["tree_id"].to_numpy())
+    t_index = np.searchsorted(trees, nodes["tree_id"].to_numpy()).astype(np.int64)
     width = int(nodes["node_id"].max()) + 1
-    shape = (trees.size, width)
-    left = np.full(shape, -1, dtype=np.int32)
-    right = np.full(shape, -1, dtype=np.int32)
-    feat = np.full(shape, -1, dtype=np.int32)
-    thr = np.zeros(shape)
-    plen = np.zeros(shape)
-    nid = nodes["node_id"].to_numpy()
-    left[t_index, nid] = nodes["left"].to_numpy()
-    right[t_index, nid] = nodes["right"].to_numpy()
-    feat[t_index, nid] = nodes["feature"].to_numpy()
-    thr[t_index, nid] = nodes["threshold"].to_numpy()
-    plen[t_index, nid] = nodes["path_len"].to_numpy()
-    return left, right, feat, thr, plen
+    size = trees.size * width
+    gid = t_index * width + nodes["node_id"].to_numpy().astype(np.int64)
+    own = np.arange(size, dtype=np.int64)
+    left, right = own.copy(), own.copy()
+    feat = np.zeros(size, dtype=np.int64)
+    thr = np.full(size, np.inf)
+    plen = np.zeros(size)
+    leaf = nodes["feature"].to_numpy() < 0
+    inner = ~leaf
+    left[gid[inner]] = t_index[inner] * width + nodes["left"].to_numpy()[inner]
+    right[gid[inner]] = t_index[inner] * width + nodes["right"].to_numpy()[inner]
+    feat[gid[inner]] = nodes["feature"].to_numpy()[inner]
+    thr[gid[inner]] = nodes["threshold"].to_numpy()[inner]
+    plen[gid] = nodes["path_len"].to_numpy()
+    # true maximum depth: walk the frontier of inner nodes level by level
+    depth, frontier = 0, np.arange(trees.size, dtype=np.int64) * width
+    is_inner = np.zeros(size, dtype=bool)
+    is_inner[gid[inner]] = True
+    frontier = frontier[is_inner[frontier]]
+    while frontier.size:
+        depth += 1
+        frontier = np.concatenate([left[frontier], right[frontier]])
+        frontier = frontier[is_inner[frontier]]
+    return left, right, feat, thr, plen, width, trees.size, depth
 
 
 def mean_path_length(X: np.ndarray, arrays) -> np.ndarray:
     """Average leaf path length over all trees for every row of X."""
-    left, right, feat, thr, plen = arrays
-    n_trees = left.shape[0]
+    left, right, feat, thr, plen, width, n_trees, depth = arrays
     m = X.shape[0]
     if m == 0:
         return np.zeros(0)
-    node = np.zeros((n_trees, m), dtype=np.int64)
-    t_idx = np.arange(n_trees)[:, None]
-    cols = np.arange(m)[None, :]
-    for _ in range(64):
-        f = feat[t_idx, node]
-        active = f >= 0
-        if not active.any():
-            break
-        x = X[cols, np.where(active, f, 0)]
-        nxt = np.where(x <= thr[t_idx, node], left[t_idx, node], right[t_idx, node])
-        node = np.where(active, nxt, node)
-    return plen[t_idx, node].mean(axis=0)
+    xt = np.ascontiguousarray(X.T).ravel()  # feature-major: value of (f, row) at f * m + row
+    rows = np.arange(m, dtype=np.int64)[None, :]
+    node = np.repeat((np.arange(n_trees, dtype=np.int64) * width)[:, None], m, axis=1)
+    for _ in range(depth):
+        x = xt.take(feat.take(node) * m + rows)
+        node = np.where(x <= thr.take(node), left.take(node), right.take(node))
+    return plen.take(node).mean(axis=0)
 
 
 def score_samples(X: np.ndarray, arrays, psi: int) -> np.ndarray:
@@ -226,27 +236,46 @@ def subsample(
     row_id: str = "row_id",
     max_psi: int = MAX_PSI,
 ) -> DataFrame:
-    """M1: for every model key and tree, exactly psi = min(max_psi, n) rows without replacement."""
+    """M1: for every model key and tree, exactly psi = min(max_psi, n) rows without replacement.
+
+    Each tree first gets about psi' = psi + 6 sqrt(psi) + 10 candidates (so falling
+    short of psi is a > 6-sigma event), then the psi first by hash are kept.  How a
+    row picks its trees depends on r = T psi' / n, the expected trees per row:
+      * psi' >= n: every row is in every tree (sklearn uses all rows when n <= 256);
+      * r <= 1: a row is a candidate with probability r, for one tree drawn by hash;
+      * r < T / 4: a row draws ceil(1.15 r) trees by hash (duplicates removed);
+      * otherwise (tiny n): a per-tree Bernoulli(psi' / n) test.
+    Work is O(n + T psi') and no group exceeds ~1.15 psi' rows."""
     mk = _model_key_col(key)
-    sizes = sizes.withColumns(
-        {
-            "psi": F.least(F.lit(max_psi), F.col("n_train")).cast("int"),
-        }
-    ).withColumn(
-        "_p",
-        F.least(F.lit(1.0), (F.col("psi") + 6 * F.sqrt(F.col("psi")) + 10) / F.col("n_train")),
-    ).withColumn("_q", F.least(F.lit(1.0), F.col("_p") * n_trees))
+    sizes = (
+        sizes.withColumn("psi", F.least(F.lit(max_psi), F.col("n_train")).cast("int"))
+        .withColumn("_psi_c", F.col("psi") + 6 * F.sqrt(F.col("psi")) + 10)
+        .withColumn("_r", F.col("_psi_c") * n_trees / F.col("n_train"))
+    )
     rows = df.withColumn("model_key", mk).join(F.broadcast(sizes), "model_key")
     rid = F.col(row_id)
-    cand = rows.where(_u53(F.lit(seed), F.lit("m1"), F.col("model_key"), rid) < F.col("_q"))
-    trees = F.filter(
-        F.sequence(F.lit(0), F.lit(n_trees - 1)),
-        lambda t: _u53(F.lit(seed), F.col("model_key"), rid, t) < F.col("_p") / F.col("_q"),
+    all_trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    one = F.when(
+        _u53(F.lit(seed), F.lit("m1"), F.col("model_key"), rid) < F.col("_r"),
+        F.array(F.pmod(F.xxhash64(F.lit(seed), F.lit("m1t"), F.col("model_key"), rid), F.lit(n_trees)).cast("int")),
+    ).otherwise(F.array().cast("array<int>"))
+    draws = F.array_distinct(
+        F.transform(
+            F.sequence(F.lit(1), F.ceil(F.col("_r") * 1.15).cast("int")),
+            lambda j: F.pmod(F.xxhash64(F.lit(seed), F.col("model_key"), rid, j), F.lit(n_trees)).cast("int"),
+        )
     )
-    exploded = cand.select("*", F.explode(trees).alias("tree_id"))
+    tests = F.filter(all_trees, lambda t: _u53(F.lit(seed), F.col("model_key"), rid, t) * F.col("n_train") < F.col("_psi_c"))
+    trees = (
+        F.when(F.col("_psi_c") >= F.col("n_train"), all_trees)
+        .when(F.col("_r") <= 1, one)
+        .when(F.col("_r") < n_trees / 4, draws)
+        .otherwise(tests)
+    )
+    exploded = rows.select("*", F.explode(trees).alias("tree_id"))
     order = F.xxhash64(F.lit(seed), F.lit("m1rank"), F.col("model_key"), F.col("tree_id"), rid)
     w = Window.partitionBy("model_key", "tree_id").orderBy(order, rid)
-    return exploded.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("psi")).drop("_rn", "_p", "_q")
+    return exploded.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("psi")).drop("_rn", "_psi_c", "_r")
 
 
 def grow_forest(sample: DataFrame, features, seed: int, row_id: str = "row_id") -> DataFrame:
@@ -277,7 +306,20 @@ def grow_forest(sample: DataFrame, features, seed: int, row_id: str = "row_id")
         )
 
     cols = ["model_key", "tree_id", "psi", row_id, *feats]
-    return sample.select(*cols).groupBy("model_key", "tree_id").applyInPandas(grow, NODE_SCHEMA)
+    # Explicit hash partitioning on the group keys: AQE does not coalesce it, so the
+    # (cheap to shuffle, CPU-heavy) tree groups spread over all Python workers.
+    parts = python_parallelism(sample.sparkSession)
+    return (
+        sample.select(*cols)
+        .repartition(parts, "model_key", "tree_id")
+        .groupBy("model_key", "tree_id")
+        .applyInPandas(grow, NODE_SCHEMA)
+    )
+
+
+def python_parallelism(spark) -> int:
+    """Partitions for Python-heavy group stages: at least the shuffle setting and 2x the cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
 def _add_double(schema: T.StructType, name: str) -> T.StructType:
@@ -285,19 +327,18 @@ def _add_double(schema: T.StructType, name: str) -> T.StructType:
 
 
 def score_single(df: DataFrame, nodes_pdf: pd.DataFrame, psi: int, features, out: str = "_raw") -> DataFrame:
-    """Score every row with one forest given as collected node rows (bounded size), via mapInPandas."""
+    """Score every row with one forest given as collected node rows (bounded size).
+
+    A scalar Pandas UDF over a struct of the feature columns: only the features
+    cross to Python (Arrow batches), the rest of the row stays in the JVM."""
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(forest_arrays(nodes_pdf))
-    feats = list(features)
 
-    def fn(it):
-        arrays = bc.value
-        for pdf in it:
-            X = pdf[feats].to_numpy(dtype=float)
-            pdf[out] = score_samples(X, arrays, psi)
-            yield pdf
+    @F.pandas_udf(T.DoubleType())
+    def forest_score(x: pd.DataFrame) -> pd.Series:
+        return pd.Series(score_samples(x.to_numpy(dtype=float), bc.value, psi))
 
-    return df.mapInPandas(fn, _add_double(df.schema, out))
+    return df.withColumn(out, forest_score(F.struct(*[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])))
 
 
 def score_per_key(
@@ -341,6 +382,9 @@ def score_per_key(
             left[out] = score_samples(left[feats].to_numpy(dtype=float), arrays, psi)
         return left[names]
 
+    parts = python_parallelism(df.sparkSession)
+    rows = rows.repartition(parts, "model_key", "_salt")
+    forest = forest.repartition(parts, "model_key", "_salt")
     return (
         rows.groupBy("model_key", "_salt")
         .cogroup(forest.groupBy("model_key", "_salt"))
@@ -377,7 +421,8 @@ def fit_forest(
     scored = cut_lineage(scored)
     mk = _model_key_col(key)
     trained = scored.withColumn("model_key", mk).where(F.col("_raw").isNotNull())
-    offs = exact_quantile(trained, "_raw", contamination, ["model_key"], "offset")
+    largest = sizes.agg(F.max("n_train")).first()[0]
+    offs = exact_quantile(trained, "_raw", contamination, ["model_key"], "offset", largest=largest)
     offsets = cut_lineage(sizes.join(offs, "model_key", "left"))
     model = ForestModel(nodes, offsets, tuple(features), key, contamination, seed)
     return model, apply_offsets(scored, model)

@@ -81,41 +81,37 @@ def tpch_assets(orders: DataFrame, customer: DataFrame) -> DataFrame:
     name = F.concat(F.lit("Plant_"), k.cast("string"))
     code = F.concat(F.lit("C"), _lpad_key(n, 2))
 
-    placed = base.select(
-        (k * 2).alias("row_id"),
+    # One pass over orders x customer: rows with k % 25 = 3 are emitted twice, the
+    # second time (copy = 1) as a clean duplicate placed in its own nation's cell.
+    rows = base.withColumn("copy", F.explode(F.when(k % 25 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    dup = F.col("copy") == 1
+    return rows.select(
+        (k * 2 + F.col("copy")).alias("row_id"),
         gid.alias("gppd_idnr"),
         name.alias("name"),
-        F.when(k % 12 == 5, F.lit(None).cast("double"))
+        F.when(dup, F.col("cap0") / 100)
+        .when(k % 12 == 5, F.lit(None).cast("double"))
         .when(k % 50 == 9, -1 * F.col("cap0") / 100)
         .otherwise(F.col("cap0") / 100)
         .alias("capacity_mw"),
-        F.when(k % 333 == 1, F.lit(95.5))
+        F.when(dup, row_lat(n, 2, frac(104729, 1600)))
+        .when(k % 333 == 1, F.lit(95.5))
         .when(k % 20 == 7, row_lat(cell, 18, frac(104729, 100)))
         .otherwise(row_lat(cell, 2, frac(104729, 1600)))
         .alias("latitude"),
-        F.when(k % 20 == 7, row_lon(cell, 40, frac(7919, 2000)))
+        F.when(dup, row_lon(n, 4, frac(7919, 6400)))
+        .when(k % 20 == 7, row_lon(cell, 40, frac(7919, 2000)))
         .otherwise(row_lon(cell, 4, frac(7919, 6400)))
         .alias("longitude"),
-        F.when(k % 501 == 2, F.lit("XX")).otherwise(code).alias("country"),
+        F.when(~dup & (k % 501 == 2), F.lit("XX")).otherwise(code).alias("country"),
         F.col("fuel").alias("primary_fuel"),
-        F.when(k % 2 == 0, F.lit(None))
+        F.when(dup, 1900 + k % 121)
+        .when(k % 2 == 0, F.lit(None))
         .when(k % 97 == 1, F.lit(2150))
         .otherwise(1900 + k % 121)
         .cast("int")
         .alias("commissioning_year"),
     )
-    copies = base.where(k % 25 == 3).select(
-        (k * 2 + 1).alias("row_id"),
-        gid.alias("gppd_idnr"),
-        name.alias("name"),
-        (F.col("cap0") / 100).alias("capacity_mw"),
-        row_lat(n, 2, frac(104729, 1600)).alias("latitude"),
-        row_lon(n, 4, frac(7919, 6400)).alias("longitude"),
-        code.alias("country"),
-        F.col("fuel").alias("primary_fuel"),
-        (1900 + k % 121).cast("int").alias("commissioning_year"),
-    )
-    return placed.unionByName(copies)
 
 
 def load_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
