@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.functions.geometry import OCEAN_ZONES
 from terracheck.functions.rand import uniform
-from terracheck.operators.sampling import with_hash_rank
+from terracheck.operators.sampling import bucket_counts, with_hash_rank
 
 OCEAN = "OCEAN_COORDS"
 DUPLICATE = "DUPLICATE_ID"
@@ -33,9 +33,9 @@ def _zone_value(rank_col, seed, step, key, axis):
     return expr
 
 
-def inject_ocean(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
+def inject_ocean(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS, counts=None) -> DataFrame:
     """K rows move into the ocean boxes, the i-th selected row into zone i % 3; flag ``_ocean``."""
-    ranked = with_hash_rank(df, k, seed, "ocean", cols.row_id, "_orank")
+    ranked = with_hash_rank(df, k, seed, "ocean", cols.row_id, "_orank", counts)
     key = F.col(cols.row_id)
     sel = F.col("_orank").isNotNull()
     return ranked.withColumns(
@@ -47,11 +47,14 @@ def inject_ocean(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS)
     ).drop("_orank")
 
 
-def inject_duplicates(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
+def inject_duplicates(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS, counts=None, max_id=None) -> DataFrame:
     """Copies of k original rows are appended (a copy keeps any earlier flag); copies get
     row_id = max(row_id) + selection rank and flag ``_dup``."""
-    ranked = with_hash_rank(df, k, seed, "duplicate", cols.row_id, "_drank")
-    top = df.agg(F.max(cols.row_id).alias("_max_id"))
+    ranked = with_hash_rank(df, k, seed, "duplicate", cols.row_id, "_drank", counts)
+    if max_id is None:
+        top = df.agg(F.max(cols.row_id).alias("_max_id"))
+    else:
+        top = df.sparkSession.range(1).select(F.lit(max_id).cast("bigint").alias("_max_id"))
     copies = (
         ranked.where(F.col("_drank").isNotNull())
         .crossJoin(F.broadcast(top))
@@ -63,9 +66,9 @@ def inject_duplicates(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_
     return originals.unionByName(copies)
 
 
-def inject_missing(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
+def inject_missing(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS, counts=None) -> DataFrame:
     """K rows (copies included) lose their capacity; flag ``_missing``."""
-    ranked = with_hash_rank(df, k, seed, "missing", cols.row_id, "_mrank")
+    ranked = with_hash_rank(df, k, seed, "missing", cols.row_id, "_mrank", counts)
     sel = F.col("_mrank").isNotNull()
     return ranked.withColumns(
         {cols.capacity: F.when(sel, F.lit(None).cast("double")).otherwise(F.col(cols.capacity)), "_missing": sel}
@@ -80,12 +83,25 @@ def inject_errors(
     seed: int = 99,
     cols: AssetCols = DEFAULT_COLS,
 ) -> DataFrame:
-    """E5: E1 -> E2 -> E3 and the pipe-joined ``error_flags``."""
-    n = df.count()
-    out = inject_ocean(df, int(n * pct_ocean), seed, cols)
+    """E5: E1 -> E2 -> E3 and the pipe-joined ``error_flags``.
+
+    Two small jobs size everything: one pass over the row ids gives n, the largest
+    id and the bucket counts of all three selections; the copies' ids are known in
+    advance (max_id + 1 .. max_id + k2), so their buckets come from ``range``."""
+    counts, n, max_id = bucket_counts(df, seed, ["ocean", "duplicate", "missing"], cols.row_id)
     n_dup = int(n * pct_duplicate)
-    out = inject_duplicates(out, n_dup, seed, cols)
-    out = inject_missing(out, int((n + n_dup) * pct_missing), seed, cols)
+    n_missing = int((n + n_dup) * pct_missing)
+    missing_counts = counts["missing"]
+    if n_dup > 0 and n_missing > 0:
+        copies = df.sparkSession.range(max_id + 1, max_id + n_dup + 1).withColumnRenamed("id", cols.row_id)
+        extra, _, _ = bucket_counts(copies, seed, ["missing"], cols.row_id)
+        merged: dict[int, int] = {}
+        for b, c in missing_counts + extra["missing"]:
+            merged[b] = merged.get(b, 0) + c
+        missing_counts = list(merged.items())
+    out = inject_ocean(df, int(n * pct_ocean), seed, cols, counts["ocean"])
+    out = inject_duplicates(out, n_dup, seed, cols, counts["duplicate"], max_id)
+    out = inject_missing(out, n_missing, seed, cols, missing_counts)
     flags = F.array_join(
         F.array_compact(
             F.array(

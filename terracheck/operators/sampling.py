@@ -32,13 +32,40 @@ def bucket_offsets(spark, counts: list[tuple[int, int]], k: int):
     return spark.createDataFrame(rows, "_bucket int, _offset bigint")
 
 
-def with_hash_rank(df: DataFrame, k: int, seed, step: str, row_id: str = "row_id", rank_col: str = "_rank") -> DataFrame:
-    """Adds ``rank_col``: 1..k for the k rows first in hash order, NULL for all others."""
+def bucket_expr(seed, step: str, key) -> "F.Column":
+    return hex_int(hash_hex(seed, step, key), 1, BUCKET_HEX).cast("int")
+
+
+def bucket_counts(df: DataFrame, seed, steps, row_id: str = "row_id"):
+    """One job: per step, the (bucket, count) pairs of ``df``'s row ids, plus the row count and
+    the largest row id.  The driver receives at most 65,536 rows per step."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(st).alias("step"), bucket_expr(seed, st, F.col(row_id)).alias("bucket")) for st in steps]))
+    rows = (
+        df.select(F.col(row_id).alias("_id"), pairs.alias("_p"))
+        .groupBy(F.col("_p.step").alias("step"), F.col("_p.bucket").alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("count"), F.max("_id").alias("max_id"))
+        .collect()
+    )
+    counts = {st: [] for st in steps}
+    max_id = None
+    for r in rows:
+        counts[r["step"]].append((r["bucket"], r["count"]))
+        max_id = r["max_id"] if max_id is None else max(max_id, r["max_id"])
+    n = sum(c for _, c in counts[steps[0]]) if steps else 0
+    return counts, n, max_id
+
+
+def with_hash_rank(
+    df: DataFrame, k: int, seed, step: str, row_id: str = "row_id", rank_col: str = "_rank", counts=None
+) -> DataFrame:
+    """Adds ``rank_col``: 1..k for the k rows first in hash order, NULL for all others.
+    ``counts`` (bucket, count) pairs of the row ids, when already known, spare a job."""
     h = hash_hex(seed, step, F.col(row_id))
     hashed = df.withColumns({"_h": h, "_bucket": hex_int(h, 1, BUCKET_HEX).cast("int")})
     if k <= 0:
         return hashed.withColumn(rank_col, F.lit(None).cast("bigint")).drop("_h", "_bucket")
-    counts = [(r["_bucket"], r["count"]) for r in hashed.groupBy("_bucket").count().collect()]
+    if counts is None:
+        counts = [(r["_bucket"], r["count"]) for r in hashed.groupBy("_bucket").count().collect()]
     offsets = bucket_offsets(df.sparkSession, counts, k)
     joined = hashed.join(F.broadcast(offsets), "_bucket", "left")
     w = Window.partitionBy("_bucket").orderBy("_h", row_id)
