@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.functions.text import py_fixed
 from terracheck.operators.quantiles import exact_quantiles_row
+from terracheck.session import attach_row
 
 # Marker colours and opacities, radius range, histogram bins, threshold line.
 CLEAN = ("clean", "#2980b9", "#5dade2", 0.55)
@@ -33,13 +34,11 @@ def _radius_source(scored: DataFrame, cols: AssetCols):
 
 def marker_radius(scored: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
     """4 + 14 (log1p(cap) - min) / (max - min + 1e-9) with a one-row min/max broadcast."""
-    x = scored.withColumn("_r", F.log1p(_radius_source(scored, cols)))
-    mm = x.agg(F.min("_r").alias("_rmin"), F.max("_r").alias("_rmax"))
-    return (
-        x.crossJoin(F.broadcast(mm))
-        .withColumn("radius", RADIUS_MIN + RADIUS_SPAN * (F.col("_r") - F.col("_rmin")) / (F.col("_rmax") - F.col("_rmin") + F.lit(1e-9)))
-        .drop("_r", "_rmin", "_rmax")
-    )
+    r = F.log1p(_radius_source(scored, cols))
+    mm = scored.agg(F.min(r).alias("_rmin"), F.max(r).alias("_rmax"))
+    lo, hi = F.col("_rmin"), F.col("_rmax")
+    out = attach_row(scored, mm).withColumn("radius", RADIUS_MIN + RADIUS_SPAN * (r - lo) / (hi - lo + F.lit(1e-9)))
+    return out.drop("_rmin", "_rmax")
 
 
 def marker_table(scored: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.functions.text import py_fixed
 from terracheck.operators.expectations import suite_by_dimension
+from terracheck.session import attach_row
 
 # Dimension names, pass thresholds, descriptions and sources of the report.
 DIMENSIONS = (
@@ -118,8 +119,7 @@ def overall(dimensions: DataFrame, suite: DataFrame, validated: DataFrame) -> Da
     )
     rows = validated.agg(F.count(F.lit(1)).alias("total_rows"))
     return (
-        mean.crossJoin(meta)
-        .crossJoin(rows)
+        attach_row(attach_row(mean, meta), rows)
         .select(
             "total_rows",
             "gx_checks",

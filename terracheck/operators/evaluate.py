@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terracheck.session import attach_row
+
 TOP_COLUMNS = ("row_id", "gppd_idnr", "country", "latitude", "longitude", "capacity_mw", "ANOMALY_SCORE", "IS_ANOMALY")
 
 
@@ -53,11 +55,8 @@ def model_coverage(scored: DataFrame) -> DataFrame:
     """Rows and share (%) per model_used, largest first."""
     counts = scored.groupBy("model_used").agg(F.count(F.lit(1)).alias("count"))
     total = scored.agg(F.count(F.lit(1)).alias("_total"))
-    return (
-        counts.crossJoin(F.broadcast(total))
-        .select("model_used", "count", F.round(100 * F.col("count") / F.col("_total"), 6).alias("pct"))
-        .orderBy(F.desc("count"), "model_used")
-    )
+    out = attach_row(counts, total).select("model_used", "count", F.round(100 * F.col("count") / F.col("_total"), 6).alias("pct"))
+    return out.orderBy(F.desc("count"), "model_used")
 
 
 def top_anomalies(scored: DataFrame, k: int = 5) -> DataFrame:

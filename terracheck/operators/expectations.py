@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.functions.text import py_fixed, py_thousands
+from terracheck.session import attach_row
 
 COMPLETENESS = "Completeness"
 UNIQUENESS = "Uniqueness"
@@ -114,7 +115,7 @@ def run_expectation_suite(df: DataFrame, checks: list[Check] | None = None, cols
             unique_cols.append((i, ch.column))
     stats = df.agg(*[v.alias(k) for k, v in aggs.items()])
     for i, name in unique_cols:
-        stats = stats.crossJoin(F.broadcast(_uniqueness_stats(df, name, i)))
+        stats = attach_row(stats, _uniqueness_stats(df, name, i))
 
     total = F.col("_total")
     rows = []
@@ -180,11 +181,14 @@ def _uniqueness_stats(df: DataFrame, column: str, i: int, sample_size: int = 5)
         F.coalesce(F.sum(F.when(F.col("cnt") > 1, F.col("cnt"))), F.lit(0)).alias(f"_dupes{i}"),
         F.count(F.col(column)).alias(f"_nunique{i}"),
     )
-    # Bounded top-k (TakeOrderedAndProject); ties broken by value.
+    # Bounded top-k (TakeOrderedAndProject); ties broken by value.  The duplicate test is an
+    # ordering key and filters only the k survivors, so no predicate is pushed below the id
+    # aggregate and both consumers share one exchange.
+    is_dup = F.col(column).isNotNull() & (F.col("cnt") > 1)
     top = (
-        counts.where(F.col(column).isNotNull() & (F.col("cnt") > 1))
-        .orderBy(F.col("cnt").desc(), F.col(column))
+        counts.orderBy(is_dup.desc(), F.col("cnt").desc(), F.col(column))
         .limit(sample_size)
+        .where(is_dup)
         .agg(
             F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(column).cast("string").alias("v"))))
             .alias("items")
@@ -200,7 +204,7 @@ def _uniqueness_stats(df: DataFrame, column: str, i: int, sample_size: int = 5)
             ).alias(f"_sample{i}")
         )
     )
-    return totals.crossJoin(top)
+    return attach_row(totals, top)
 
 
 def top_duplicate_values(df: DataFrame, column: str, k: int = 5) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.operators.quantiles import MAX_GROUP_ROWS, exact_quantile
+from terracheck.session import attach_row
 
 GLOBAL_FEATURES = ("latitude", "longitude", "cap_log", "lat_lon_ratio", "country_cap_zscore")
 COUNTRY_FEATURES = ("latitude", "longitude", "cap_log", "country_cap_zscore")
@@ -31,7 +32,7 @@ def cap_filled(df: DataFrame, cols: AssetCols = DEFAULT_COLS, max_group_rows: in
     )
     by_country = exact_quantile(df, cols.capacity, 0.5, [cols.country], "country_cap_median", max_group_rows, sizes["largest"])
     overall = exact_quantile(df, cols.capacity, 0.5, [], "_global_median", max_group_rows, sizes["total"])
-    joined = df.join(by_country, cols.country, "left").crossJoin(F.broadcast(overall))
+    joined = attach_row(df.join(by_country, cols.country, "left"), overall)
     return joined.withColumn(
         "cap_filled", F.coalesce(F.col(cols.capacity), F.col("country_cap_median"), F.col("_global_median"))
     ).drop("_global_median")
@@ -67,11 +68,8 @@ def engineer_features(df: DataFrame, cols: AssetCols = DEFAULT_COLS, max_group_r
 def basic_features(df: DataFrame, cols: AssetCols = DEFAULT_COLS, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """lat, lon and capacity with missing capacity filled by the table median."""
     med = exact_quantile(df, cols.capacity, 0.5, [], "_median", max_group_rows)
-    return (
-        df.crossJoin(F.broadcast(med))
-        .withColumn("capacity_filled", F.coalesce(F.col(cols.capacity), F.col("_median")))
-        .drop("_median")
-    )
+    out = attach_row(df, med).withColumn("capacity_filled", F.coalesce(F.col(cols.capacity), F.col("_median")))
+    return out.drop("_median")
 
 
 def fill_zero(df: DataFrame, features) -> DataFrame:
@@ -86,7 +84,7 @@ def standard_scale(df: DataFrame, features, keys=(), suffix: str = "_scaled") ->
     for f in features:
         aggs += [F.avg(f).alias(f"_m_{f}"), F.stddev_pop(f).alias(f"_s_{f}")]
     stats = (df.groupBy(*keys) if keys else df.groupBy()).agg(*aggs)
-    joined = df.join(stats, keys, "left") if keys else df.crossJoin(F.broadcast(stats))
+    joined = df.join(stats, keys, "left") if keys else attach_row(df, stats)
     scaled = {}
     for f in features:
         s = F.col(f"_s_{f}")

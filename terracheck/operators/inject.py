@@ -52,15 +52,13 @@ def inject_duplicates(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_
     row_id = max(row_id) + selection rank and flag ``_dup``."""
     ranked = with_hash_rank(df, k, seed, "duplicate", cols.row_id, "_drank", counts)
     if max_id is None:
-        top = df.agg(F.max(cols.row_id).alias("_max_id"))
-    else:
-        top = df.sparkSession.range(1).select(F.lit(max_id).cast("bigint").alias("_max_id"))
+        max_id = df.agg(F.max(cols.row_id)).first()[0] or 0
+    top = F.lit(max_id).cast("bigint")
     copies = (
         ranked.where(F.col("_drank").isNotNull())
-        .crossJoin(F.broadcast(top))
-        .withColumn(cols.row_id, F.col("_max_id") + F.col("_drank"))
+        .withColumn(cols.row_id, top + F.col("_drank"))
         .withColumn("_dup", F.lit(True))
-        .drop("_drank", "_max_id")
+        .drop("_drank")
     )
     originals = df.withColumn("_dup", F.lit(False))
     return originals.unionByName(copies)

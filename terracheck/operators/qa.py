@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.functions.geometry import OCEAN_ZONES, in_boxes
+from terracheck.session import cut_lineage
 
 OCEAN = "OCEAN_COORDS"
 DUPLICATE = "DUPLICATE_ID"
@@ -57,10 +58,25 @@ def _issue(kind: str, detail):
     return F.struct(F.lit(kind).alias("issue_type"), detail.alias("detail"))
 
 
-def detect_qa_errors(df: DataFrame, cols: AssetCols = DEFAULT_COLS, mode: str = "bbox", land=None) -> DataFrame:
-    """Q5: union of ocean, duplicate-id and missing-capacity issues, one row per finding."""
+MAX_BROADCAST_DUP_IDS = 2_000_000
+
+
+def detect_qa_errors(
+    df: DataFrame,
+    cols: AssetCols = DEFAULT_COLS,
+    mode: str = "bbox",
+    land=None,
+    max_broadcast_dup_ids: int = MAX_BROADCAST_DUP_IDS,
+) -> DataFrame:
+    """Q5: union of ocean, duplicate-id and missing-capacity issues, one row per finding.
+
+    The duplicated ids (id + count, usually few) are materialised once and counted:
+    under ``max_broadcast_dup_ids`` they are broadcast, so the table itself is never
+    shuffled; above it the join is a shuffle join whose skewed ids AQE splits."""
     flagged = with_ocean_flag(df, cols, mode, land)
-    counts = id_counts(df, cols)
+    counts = cut_lineage(id_counts(df, cols))
+    if counts.count() <= max_broadcast_dup_ids:
+        counts = F.broadcast(counts)
     joined = flagged.join(counts, on=cols.id, how="left")
     lat, lon = F.col(cols.lat).cast("string"), F.col(cols.lon).cast("string")
     issues = F.array_compact(

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.operators import forest as FO
 from terracheck.operators.features import BASIC_FEATURES, COUNTRY_FEATURES, GLOBAL_FEATURES, basic_features, engineer_features
-from terracheck.operators.quantiles import exact_quantiles_row
-from terracheck.session import cut_lineage
+from terracheck.operators.quantiles import MAX_GROUP_ROWS, exact_quantiles_row
+from terracheck.session import attach_row, cut_lineage
 
 MIN_COUNTRY_ASSETS = 10
 SCORE_THRESHOLD = 0.60
@@ -32,25 +32,41 @@ def country_eligibility(df: DataFrame, cols: AssetCols = DEFAULT_COLS, min_rows:
     )
 
 
+def minmax_stats(df: DataFrame, columns, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """One row with, per column c: c_med (exact median), c_min, c_max and c_nulls (any NULL?).
+    One fused aggregate when the column is small enough for ``percentile``."""
+    columns = list(columns)
+    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    plain = [F.min(c).alias(c + "_min") for c in columns] + [F.max(c).alias(c + "_max") for c in columns]
+    plain += [(F.count(F.lit(1)) > F.count(c)).alias(c + "_nulls") for c in columns]
+    if all((sizes[c] or 0) <= max_group_rows for c in columns):
+        return df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c + "_med") for c in columns], *plain)
+    meds = exact_quantiles_row(df, columns, 0.5, "_med", max_group_rows)
+    return df.agg(*plain).crossJoin(F.broadcast(meds))
+
+
 def invert_minmax(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """M10 for several columns at once: fill NULL with the column median, negate, then
-    (x - min) / (max - min + 1e-9).  ``columns`` maps input column -> output column."""
-    meds = exact_quantiles_row(df, list(columns), 0.5, "_med")
-    x = df.crossJoin(F.broadcast(meds)).withColumns(
-        {f"_inv_{c}": -F.coalesce(F.col(c), F.col(c + "_med")) for c in columns}
-    )
-    aggs = []
-    for c in columns:
-        aggs += [F.min(f"_inv_{c}").alias(f"_mn_{c}"), F.max(f"_inv_{c}").alias(f"_mx_{c}")]
-    stats = x.agg(*aggs)
-    y = x.crossJoin(F.broadcast(stats)).withColumns(
-        {
-            out: (F.col(f"_inv_{c}") - F.col(f"_mn_{c}")) / (F.col(f"_mx_{c}") - F.col(f"_mn_{c}") + F.lit(EPS))
-            for c, out in columns.items()
-        }
-    )
-    drop = [c + "_med" for c in columns] + [p + c for c in columns for p in ("_inv_", "_mn_", "_mx_")]
-    return y.drop(*drop)
+    (x - min) / (max - min + 1e-9).  ``columns`` maps input column -> output column.
+
+    The bounds of the filled, negated column follow from one aggregate pass
+    (min over coalesce(c, med) is min(min c, med) when c has NULLs), so all
+    statistics come from a single one-row aggregate used as scalar subqueries."""
+    stats = minmax_stats(df, list(columns))
+    prefixed = stats.select([F.col(c).alias("_st_" + c) for c in stats.columns])
+
+    def st(name):
+        return F.col("_st_" + name)
+
+    out = {}
+    for c, name in columns.items():
+        med, has_null = st(c + "_med"), st(c + "_nulls")
+        lo = F.when(has_null, F.least(st(c + "_min"), med)).otherwise(st(c + "_min"))
+        hi = F.when(has_null, F.greatest(st(c + "_max"), med)).otherwise(st(c + "_max"))
+        inv = -F.coalesce(F.col(c), med)
+        inv_min, inv_max = -hi, -lo
+        out[name] = (inv - inv_min) / (inv_max - inv_min + F.lit(EPS))
+    return attach_row(df, prefixed).withColumns(out).drop(*prefixed.columns)
 
 
 def compute_final_score(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "terracheck") -> SparkSession:
@@ -57,3 +58,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Append the columns of a one-row aggregate to every row of ``df``.
+
+    The one-row side (a global median, min/max, counts) is computed once and
+    broadcast; its size is fixed at one row, so the big side is streamed without
+    a shuffle and nothing is multiplied."""
+    return df.crossJoin(F.broadcast(one_row))

@@ -21,11 +21,10 @@ NO_CODE = "-99"
 
 def grid_country_vertices(nation: DataFrame) -> DataFrame:
     """One L-shaped polygon per nation inside its cell of the 5 x 5 world grid."""
-    spark = nation.sparkSession
-    shape = spark.createDataFrame(list(L_SHAPE), "seq int, dx double, dy double")
     c = F.col("n_nationkey").cast("bigint")
-    cells = nation.select(c.alias("c"))
-    return cells.crossJoin(F.broadcast(shape)).select(
+    shape = F.array(*[F.struct(F.lit(q).alias("seq"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for q, dx, dy in L_SHAPE])
+    cells = nation.select(c.alias("c"), F.inline(shape))
+    return cells.select(
         F.concat(F.lit("C"), F.lpad(F.col("c").cast("string"), 2, "0")).alias("iso_a3"),
         F.lit(0).alias("part"),
         F.lit(0).alias("ring"),

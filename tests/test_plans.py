@@ -30,4 +30,4 @@ def test_suite_is_one_fused_aggregate(assets_small):
     p = plan(X.run_expectation_suite(assets_small))
     assert "BatchEvalPython" not in p
     # one aggregate for the table stats + the id count and its two consumers
-    assert p.count("HashAggregate") <= 12
+    assert p.count("HashAggregate") <= 12 and "Subquery" not in p
