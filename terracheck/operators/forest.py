@@ -77,47 +77,136 @@ def stable_key_hash(key) -> int:
     return zlib.crc32(str(key).encode("utf-8"))
 
 
-def grow_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int):
-    """Grow one isolation tree on X (rows x features).  Returns node arrays
-    (left, right, feature, threshold, path_len); leaves have feature -1."""
-    left, right, feature, threshold, path_len = [], [], [], [], []
-
-    def new_node():
-        left.append(-1)
-        right.append(-1)
-        feature.append(-1)
-        threshold.append(0.0)
-        path_len.append(0.0)
-        return len(left) - 1
-
-    root = new_node()
-    stack = [(root, np.arange(X.shape[0]), 0)]
-    while stack:
-        nid, idx, depth = stack.pop()
-        size = idx.size
-        if depth >= max_depth or size <= 1:
-            path_len[nid] = depth + float(c_factor(size))
-            continue
-        sub = X[idx]
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        candidates = np.flatnonzero(hi > lo)
-        if candidates.size == 0:
-            path_len[nid] = depth + float(c_factor(size))
-            continue
-        f = int(candidates[rng.integers(candidates.size)])
-        thr = float(rng.uniform(lo[f], hi[f]))
-        go_left = sub[:, f] <= thr
-        l_id, r_id = new_node(), new_node()
-        left[nid], right[nid], feature[nid], threshold[nid] = l_id, r_id, f, thr
-        stack.append((r_id, idx[~go_left], depth + 1))
-        stack.append((l_id, idx[go_left], depth + 1))
-    return (
-        np.asarray(left, dtype=np.int32),
-        np.asarray(right, dtype=np.int32),
-        np.asarray(feature, dtype=np.int32),
-        np.asarray(threshold, dtype=float),
-        np.asarray(path_len, dtype=float),
-    )
+_M1 = np.uint64(0xBF58476D1CE4E5B9)
+_M2 = np.uint64(0x94D049BB133111EB)
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mix64(x: np.ndarray) -> np.ndarray:
+    """SplitMix64 finaliser (uint64 in, uint64 out; wrap-around arithmetic)."""
+    x = x.astype(np.uint64, copy=True)
+    x ^= x >> np.uint64(30)
+    x *= _M1
+    x ^= x >> np.uint64(27)
+    x *= _M2
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def node_uniform(seed: int, key_hash: int, tree: np.ndarray, node: np.ndarray, purpose: int) -> np.ndarray:
+    """Counter-based U[0, 1) for (seed, model, tree, node, purpose): independent of how trees
+    are grouped into tasks, so growth is repeatable under any partitioning."""
+    with np.errstate(over="ignore"):
+        h = _mix64(np.full(tree.shape, np.uint64((seed * 1_000_003 + key_hash) & 0xFFFFFFFFFFFFFFFF)) ^ np.uint64(purpose))
+        h = _mix64(h + _GOLD * tree.astype(np.uint64))
+        h = _mix64(h + _GOLD * node.astype(np.uint64))
+    return (h >> np.uint64(11)).astype(np.float64) * (1.0 / 9007199254740992.0)
+
+
+def grow_trees(X: np.ndarray, tree_of_row: np.ndarray, tree_ids: np.ndarray, max_depth: int, seed: int, key_hash: int):
+    """Grow several isolation trees level by level with vectorised numpy.
+
+    ``X`` holds the sample rows of all trees (rows x features), ``tree_of_row`` the
+    position (0..k-1) of each row's tree in ``tree_ids``.  A node splits on a random
+    non-constant feature at a threshold uniform in [min, max) of that feature in the
+    node; it becomes a leaf at ``max_depth``, at <= 1 row, or when every feature is
+    constant.  Nodes are numbered per tree breadth-first (root 0).  Returns a dict of
+    node columns (tree_id, node_id, left, right, feature, threshold, path_len)."""
+    n_feat = X.shape[1]
+    k = tree_ids.size
+    # node table (global index g over all trees of the call)
+    n_tree, n_local, n_left, n_right, n_feature, n_thr, n_plen = [], [], [], [], [], [], []
+    roots = np.arange(k)
+    n_tree.append(roots)
+    n_local.append(np.zeros(k, dtype=np.int64))
+    next_local = np.ones(k, dtype=np.int64)
+    total = k
+    row_node = tree_of_row.astype(np.int64)  # global node of every live row
+    live = np.arange(X.shape[0])
+    active = roots
+    depth = 0
+    split_info = {}
+    leaf_info = {}
+    while active.size:
+        # statistics of active nodes over their live rows
+        pos = np.full(total, -1, dtype=np.int64)
+        pos[active] = np.arange(active.size)
+        a_idx = pos[row_node[live]]
+        counts = np.bincount(a_idx, minlength=active.size)
+        lo = np.full((active.size, n_feat), np.inf)
+        hi = np.full((active.size, n_feat), -np.inf)
+        xs = X[live]
+        np.minimum.at(lo, a_idx, xs)
+        np.maximum.at(hi, a_idx, xs)
+        varying = hi > lo
+        n_vary = varying.sum(axis=1)
+        terminal = (depth >= max_depth) | (counts <= 1) | (n_vary == 0)
+        for g, c in zip(active[terminal], counts[terminal]):
+            leaf_info[int(g)] = depth + float(c_factor(c))
+        split = ~terminal
+        if not split.any():
+            break
+        s_nodes = active[split]
+        s_tree = np.concatenate(n_tree)[s_nodes]
+        s_local = np.concatenate(n_local)[s_nodes]
+        u_f = node_uniform(seed, key_hash, tree_ids[s_tree], s_local, 1)
+        u_t = node_uniform(seed, key_hash, tree_ids[s_tree], s_local, 2)
+        choice = np.minimum((u_f * n_vary[split]).astype(np.int64), n_vary[split] - 1)  # k-th varying feature
+        rank = np.cumsum(varying[split], axis=1) - 1
+        feat = np.argmax((rank == choice[:, None]) & varying[split], axis=1)
+        f_lo = lo[split, feat]
+        f_hi = hi[split, feat]
+        thr = f_lo + u_t * (f_hi - f_lo)
+        # children: breadth-first local ids per tree, in order of the splitting nodes
+        order = np.lexsort((s_local, s_tree))
+        s_nodes, s_tree, s_local, feat, thr = s_nodes[order], s_tree[order], s_local[order], feat[order], thr[order]
+        first = np.r_[True, s_tree[1:] != s_tree[:-1]]
+        grp_start = np.maximum.accumulate(np.where(first, np.arange(s_tree.size), 0))
+        within = np.arange(s_tree.size) - grp_start
+        left_local = next_local[s_tree] + 2 * within
+        np.add.at(next_local, s_tree, 2)
+        left_g = total + 2 * np.arange(s_nodes.size)
+        right_g = left_g + 1
+        total += 2 * s_nodes.size
+        n_tree.append(np.repeat(s_tree, 2))
+        n_local.append(np.column_stack([left_local, left_local + 1]).ravel())
+        for g, lg, rg, f, t_ in zip(s_nodes, left_g, right_g, feat, thr):
+            split_info[int(g)] = (int(lg), int(rg), int(f), float(t_))
+        # route the rows of splitting nodes; rows of new leaves stop here
+        g_of_live = row_node[live]
+        is_split = np.zeros(total, dtype=bool)
+        is_split[s_nodes] = True
+        keep = is_split[g_of_live]
+        live = live[keep]
+        g_of_live = g_of_live[keep]
+        slot = np.full(total, -1, dtype=np.int64)
+        slot[s_nodes] = np.arange(s_nodes.size)
+        sl = slot[g_of_live]
+        go_left = X[live, feat[sl]] <= thr[sl]
+        row_node[live] = np.where(go_left, left_g[sl], right_g[sl])
+        active = np.concatenate([left_g, right_g])
+        active.sort()
+        depth += 1
+    trees_all = np.concatenate(n_tree)
+    local_all = np.concatenate(n_local)
+    left = np.full(total, -1, dtype=np.int32)
+    right = np.full(total, -1, dtype=np.int32)
+    feature = np.full(total, -1, dtype=np.int32)
+    threshold = np.zeros(total)
+    plen = np.zeros(total)
+    for g, (lg, rg, f, t_) in split_info.items():
+        left[g], right[g], feature[g], threshold[g] = local_all[lg], local_all[rg], f, t_
+    for g, pl in leaf_info.items():
+        plen[g] = pl
+    return {
+        "tree_id": tree_ids[trees_all].astype(np.int32),
+        "node_id": local_all.astype(np.int32),
+        "left": left,
+        "right": right,
+        "feature": feature,
+        "threshold": threshold,
+        "path_len": plen,
+    }
 
 
 def forest_arrays(nodes: pd.DataFrame):
@@ -278,41 +367,31 @@ def subsample(
     return exploded.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("psi")).drop("_rn", "_psi_c", "_r")
 
 
-def grow_forest(sample: DataFrame, features, seed: int, row_id: str = "row_id") -> DataFrame:
-    """M2: one applyInPandas call per (model_key, tree_id) group of <= psi rows -> node rows."""
+def grow_forest(sample: DataFrame, features, seed: int, row_id: str = "row_id", trees_per_group: int = 16) -> DataFrame:
+    """M2: trees grown by ``applyInPandas`` over (model_key, tree chunk) groups of at most
+    ``trees_per_group`` x psi rows -> node rows."""
     feats = list(features)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(row_id)
+        pdf = pdf.sort_values(["tree_id", row_id])
         key = str(pdf["model_key"].iloc[0])
-        tree = int(pdf["tree_id"].iloc[0])
         psi = int(pdf["psi"].iloc[0])
-        X = pdf[feats].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, stable_key_hash(key), tree])
+        tree_ids, tree_of_row = np.unique(pdf["tree_id"].to_numpy(), return_inverse=True)
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
-        left, right, feat, thr, plen = grow_tree(X, rng, max_depth)
-        n = left.size
-        return pd.DataFrame(
-            {
-                "model_key": [key] * n,
-                "tree_id": np.full(n, tree, dtype=np.int32),
-                "node_id": np.arange(n, dtype=np.int32),
-                "left": left,
-                "right": right,
-                "feature": feat,
-                "threshold": thr,
-                "path_len": plen,
-            }
-        )
+        cols = grow_trees(pdf[feats].to_numpy(dtype=float), tree_of_row, tree_ids, max_depth, seed, stable_key_hash(key))
+        out = pd.DataFrame(cols)
+        out.insert(0, "model_key", key)
+        return out[[f.name for f in NODE_SCHEMA.fields]]
 
     cols = ["model_key", "tree_id", "psi", row_id, *feats]
     # Explicit hash partitioning on the group keys: AQE does not coalesce it, so the
     # (cheap to shuffle, CPU-heavy) tree groups spread over all Python workers.
     parts = python_parallelism(sample.sparkSession)
+    chunk = (F.col("tree_id") / trees_per_group).cast("int").alias("_chunk")
     return (
-        sample.select(*cols)
-        .repartition(parts, "model_key", "tree_id")
-        .groupBy("model_key", "tree_id")
+        sample.select(*cols, chunk)
+        .repartition(parts, "model_key", "_chunk")
+        .groupBy("model_key", "_chunk")
         .applyInPandas(grow, NODE_SCHEMA)
     )
 

@@ -12,6 +12,7 @@ from terracheck.operators import scoring as SC
 from terracheck.operators.quantiles import exact_quantile
 from terracheck.plans.catalog import register
 from terracheck.plans.oracle_sql import with_assets
+from terracheck.session import cut_lineage
 from terracheck.sources.assets import load_assets, load_supplier_assets
 
 SUPPLIER_ASSETS_SQL = """
@@ -233,9 +234,15 @@ def q_forest_subsample(spark, sf):
     return s.groupBy("model_key", "tree_id").agg(F.count(F.lit(1)).alias("n_rows"), F.first("psi").alias("psi"))
 
 
+def featured(spark, sf, supplier: bool = False):
+    """Engineered features, materialised once (every forest makes several passes over them)."""
+    src = load_supplier_assets(spark, sf) if supplier else load_assets(spark, sf)
+    return cut_lineage(FE.engineer_features(src))
+
+
 @register("forest_nodes")
 def q_forest_nodes(spark, sf):
-    f = FE.fill_zero(FE.engineer_features(load_assets(spark, sf)), FE.GLOBAL_FEATURES)
+    f = FE.fill_zero(featured(spark, sf), FE.GLOBAL_FEATURES)
     sizes = FO.model_sizes(f, None).withColumn("psi", F.least(F.lit(256), F.col("n_train")).cast("int"))
     return FO.grow_forest(FO.subsample(f, sizes.drop("psi"), None, 300, 42), FE.GLOBAL_FEATURES, 42)
 
@@ -248,22 +255,19 @@ def q_score_basic(spark, sf):
 
 @register("score_global")
 def q_score_global(spark, sf):
-    f = FE.engineer_features(load_assets(spark, sf))
-    _, g = SC.train_global_model(f)
+    _, g = SC.train_global_model(featured(spark, sf))
     return g.select("row_id", "global_score", "global_anomaly")
 
 
 @register("score_per_country")
 def q_score_per_country(spark, sf):
-    f = FE.engineer_features(load_assets(spark, sf))
-    _, c = SC.train_and_score_per_country(f)
+    _, c = SC.train_and_score_per_country(featured(spark, sf))
     return c.select("row_id", "country", "country_score", "country_anomaly", "model_used")
 
 
 @register("score_per_country_suppliers")
 def q_score_per_country_suppliers(spark, sf):
-    f = FE.engineer_features(load_supplier_assets(spark, sf))
-    _, c = SC.train_and_score_per_country(f)
+    _, c = SC.train_and_score_per_country(featured(spark, sf, supplier=True))
     return c.select("row_id", "country", "country_score", "country_anomaly", "model_used")
 
 
