@@ -199,3 +199,30 @@ SELECT a.row_id, a.latitude, a.longitude FROM assets a JOIN land l ON a.row_id =
 def q_ocean_spatial_join(spark, sf):
     a = load_assets(spark, sf)
     return geo.ocean_by_land(a, country_edges(spark, sf)).where("in_ocean").select("row_id", "latitude", "longitude")
+
+
+_LAND_SQL = """
+, par AS (SELECT a.row_id, e.iso_a3,
+    SUM(CASE WHEN (y1 > latitude) <> (y2 > latitude)
+              AND longitude < (x2-x1)*(latitude-y1)/CASE WHEN y2=y1 THEN 1 ELSE y2-y1 END + x1 THEN 1 ELSE 0 END) % 2 AS inside
+    FROM assets a CROSS JOIN edges e GROUP BY a.row_id, e.iso_a3),
+land AS (SELECT row_id, MAX(inside) AS on_land FROM par GROUP BY row_id),
+dup AS (SELECT gppd_idnr, COUNT(*) AS id_count FROM assets WHERE gppd_idnr IS NOT NULL GROUP BY gppd_idnr HAVING COUNT(*) > 1),
+j AS (SELECT a.*, d.id_count, l.on_land FROM assets a LEFT JOIN dup d ON a.gppd_idnr = d.gppd_idnr
+      LEFT JOIN land l ON a.row_id = l.row_id)
+SELECT row_id, gppd_idnr, coalesce(name, '') AS plant_name, 'OCEAN_COORDS' AS issue_type,
+       concat('lat=', CAST(latitude AS VARCHAR), ', lon=', CAST(longitude AS VARCHAR)) AS detail, capacity_mw
+FROM j WHERE coalesce(on_land, 0) = 0
+UNION ALL
+SELECT row_id, gppd_idnr, coalesce(name, ''), 'DUPLICATE_ID', concat('appears ', CAST(id_count AS VARCHAR), 'x'), capacity_mw
+FROM j WHERE id_count IS NOT NULL
+UNION ALL
+SELECT row_id, gppd_idnr, coalesce(name, ''), 'MISSING_CAPACITY', 'capacity_mw is NaN', capacity_mw FROM j WHERE capacity_mw IS NULL
+"""
+
+
+@register("qa_report_land", with_edges(_LAND_SQL))
+def q_qa_report_land(spark, sf):
+    from terracheck.operators import qa
+
+    return qa.detect_qa_errors(load_assets(spark, sf), mode="land", land=country_edges(spark, sf))
