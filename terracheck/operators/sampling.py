@@ -55,11 +55,25 @@ def bucket_counts(df: DataFrame, seed, steps, row_id: str = "row_id"):
     return counts, n, max_id
 
 
+FINE_BUCKET_ROWS = 2_000_000
+
+
 def with_hash_rank(
-    df: DataFrame, k: int, seed, step: str, row_id: str = "row_id", rank_col: str = "_rank", counts=None
+    df: DataFrame,
+    k: int,
+    seed,
+    step: str,
+    row_id: str = "row_id",
+    rank_col: str = "_rank",
+    counts=None,
+    fine_bucket_rows: int = FINE_BUCKET_ROWS,
 ) -> DataFrame:
     """Adds ``rank_col``: 1..k for the k rows first in hash order, NULL for all others.
-    ``counts`` (bucket, count) pairs of the row ids, when already known, spare a job."""
+
+    ``counts`` (bucket, count) pairs of the row ids, when already known, spare a job.
+    When a 16-bit bucket holds more than ``fine_bucket_rows`` rows (about 10^11 rows in
+    total), offsets are refined to 32-bit buckets: a prefix sum over the (16-bit, 32-bit)
+    bucket counts, partitioned by the 16-bit bucket, so every window stays at n / 2^32 rows."""
     h = hash_hex(seed, step, F.col(row_id))
     hashed = df.withColumns({"_h": h, "_bucket": hex_int(h, 1, BUCKET_HEX).cast("int")})
     if k <= 0:
@@ -67,13 +81,26 @@ def with_hash_rank(
     if counts is None:
         counts = [(r["_bucket"], r["count"]) for r in hashed.groupBy("_bucket").count().collect()]
     offsets = bucket_offsets(df.sparkSession, counts, k)
-    joined = hashed.join(F.broadcast(offsets), "_bucket", "left")
-    w = Window.partitionBy("_bucket").orderBy("_h", row_id)
-    rank = F.when(F.col("_offset").isNotNull(), F.col("_offset") + F.row_number().over(w))
-    return (
-        joined.withColumn(rank_col, F.when(rank <= k, rank))
-        .drop("_h", "_bucket", "_offset")
+    if max(c for _, c in counts) <= fine_bucket_rows:
+        joined = hashed.join(F.broadcast(offsets), "_bucket", "left")
+        w = Window.partitionBy("_bucket").orderBy("_h", row_id)
+        rank = F.when(F.col("_offset").isNotNull(), F.col("_offset") + F.row_number().over(w))
+        return joined.withColumn(rank_col, F.when(rank <= k, rank)).drop("_h", "_bucket", "_offset")
+    # fine path: 32-bit buckets inside the selected 16-bit ones
+    cut = offsets.agg(F.max("_bucket")).first()[0]
+    fine = hashed.withColumn("_fine", hex_int(F.col("_h"), 1, 2 * BUCKET_HEX))
+    per_fine = fine.where(F.col("_bucket") <= cut).groupBy("_bucket", "_fine").agg(F.count(F.lit(1)).alias("_c"))
+    inside = Window.partitionBy("_bucket").orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+    fine_off = (
+        per_fine.join(F.broadcast(offsets), "_bucket")
+        .withColumn("_foff", F.col("_offset") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+        .where(F.col("_foff") < k)
+        .select("_fine", "_foff")
     )
+    joined = fine.join(fine_off, "_fine", "left")
+    w = Window.partitionBy("_fine").orderBy("_h", row_id)
+    rank = F.when(F.col("_foff").isNotNull(), F.col("_foff") + F.row_number().over(w))
+    return joined.withColumn(rank_col, F.when(rank <= k, rank)).drop("_h", "_bucket", "_fine", "_foff")
 
 
 def sample_exact_n(df: DataFrame, n: int, seed=42, step: str = "sample", row_id: str = "row_id") -> DataFrame:
