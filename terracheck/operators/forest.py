@@ -488,6 +488,13 @@ def fit_forest(
     (score_samples, NULL for rows without a model) and ``_decision`` (raw - offset)."""
     sizes = model_sizes(df, key, min_rows).withColumn("psi", F.least(F.lit(max_psi), F.col("n_train")).cast("int"))
     sizes = cut_lineage(sizes)  # small; reused by sampling, scoring and the offsets
+    if key is not None and sizes.limit(1).count() == 0:
+        # no key has enough rows: every row falls back (no model, NULL scores)
+        empty_nodes = df.sparkSession.createDataFrame([], NODE_SCHEMA)
+        offsets = sizes.withColumn("offset", F.lit(None).cast("double"))
+        model = ForestModel(empty_nodes, offsets, tuple(features), key, contamination, seed)
+        scored = df.withColumns({"_raw": F.lit(None).cast("double"), "_decision": F.lit(None).cast("double")})
+        return model, scored
     sample = subsample(df, sizes.drop("psi"), key, n_trees, seed, row_id, max_psi)
     nodes = cut_lineage(grow_forest(sample, features, seed, row_id))
     if key is None:

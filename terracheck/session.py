@@ -24,7 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         # remove checkpoint files once their DataFrames are garbage collected
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
