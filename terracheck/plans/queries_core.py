@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from terracheck.operators import qa
 from terracheck.plans.catalog import register
 from terracheck.plans.oracle_sql import OCEAN_BOX_SQL, with_assets
-from terracheck.sources.assets import load_assets, normalise_nulls
+from terracheck.sources.assets import load_assets, normalise_nulls, point_wkt
 
 ASSET_COLUMNS = "row_id, gppd_idnr, name, capacity_mw, latitude, longitude, country, primary_fuel, commissioning_year"
 
@@ -98,3 +98,16 @@ SELECT a.row_id, a.gppd_idnr, d.id_count FROM assets a JOIN dup d ON a.gppd_idnr
 )
 def q_duplicate_ids(spark, sf):
     return qa.duplicate_ids(load_assets(spark, sf)).select("row_id", "gppd_idnr", "id_count")
+
+
+@register(
+    "point_wkt",
+    with_assets(
+        "SELECT row_id, longitude AS x, latitude AS y, "
+        "CASE WHEN longitude IS NOT NULL AND latitude IS NOT NULL THEN "
+        "'POINT (' || printf('%.4f', longitude) || ' ' || printf('%.4f', latitude) || ')' END AS wkt FROM assets"
+    ),
+)
+def q_point_wkt(spark, sf):
+    p = point_wkt(load_assets(spark, sf))
+    return p.select("row_id", F.col("geometry.x").alias("x"), F.col("geometry.y").alias("y"), "wkt")

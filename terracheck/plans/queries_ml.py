@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -253,6 +252,17 @@ def q_score_basic(spark, sf):
     return scored.select("row_id", "anomaly_score", "is_anomaly")
 
 
+@register("train_global")
+def q_train_global(spark, sf):
+    """M4: the fitted global forest summarised per tree (nodes, leaves, depth bound) with its offset."""
+    model, _ = SC.train_global_model(featured(spark, sf))
+    per_tree = model.nodes.groupBy("model_key", "tree_id").agg(
+        F.count(F.lit(1)).alias("n_nodes"), F.count_if(F.col("feature") < 0).alias("n_leaves"),
+        F.max("path_len").alias("max_path_len"),
+    )
+    return per_tree.join(model.offsets.select("model_key", "psi", "n_train", "offset"), "model_key")
+
+
 @register("score_global")
 def q_score_global(spark, sf):
     _, g = SC.train_global_model(featured(spark, sf))
@@ -284,5 +294,3 @@ def q_scored_output_projection(spark, sf):
 
     return project_existing(SC.run_ml_anomaly_detection(load_assets(spark, sf)), SC.SCORED_OUTPUT_COLUMNS)
 
-
-_ = np  # numpy is used through FO.c_factor

@@ -93,8 +93,11 @@ def suite(spark, sf):
 
 
 register("expectation_suite", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite"))(suite)
-register("expect_not_null", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite WHERE check_order IN (1, 2)"))(
-    lambda spark, sf: X.run_expectation_suite(load_assets(spark, sf), X.default_suite()[:2])
+register("expect_not_null", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite WHERE check_order = 1"))(
+    lambda spark, sf: X.run_expectation_suite(load_assets(spark, sf), X.default_suite()[:1])
+)
+register("expect_not_null_mostly", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite WHERE check_order = 2"))(
+    lambda spark, sf: X.run_expectation_suite(load_assets(spark, sf), X.default_suite()[:2]).where("check_order = 2")
 )
 register("expect_row_count", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite WHERE check_order = 3"))(
     lambda spark, sf: X.run_expectation_suite(load_assets(spark, sf), X.default_suite())
@@ -217,3 +220,26 @@ FROM suite WHERE dimension IN ('Completeness', 'Consistency', 'Uniqueness')"""
 )
 def q_dq_checks(spark, sf):
     return dq.dimension_checks(suite(spark, sf))
+
+
+@register(
+    "dq_report",
+    with_edges(
+        _DQ_SQL
+        + """, meta AS (SELECT COUNT(*) AS gx_checks, COUNT(*) FILTER (WHERE success) AS gx_passed FROM suite),
+ov AS (SELECT AVG(raw_score) AS o FROM dq)
+SELECT dq.dimension, round(raw_score, 4) AS score, printf('%.1f', raw_score * 100) || '%' AS pct,
+  CASE WHEN raw_score >= thr THEN '✅ PASS' ELSE '❌ FAIL' END AS status,
+  (SELECT COUNT(*) FROM va) AS total_rows, gx_checks, gx_passed, round(o, 4) AS overall_score,
+  CASE WHEN o >= 0.90 THEN '✅ PASS' ELSE '❌ FAIL' END AS overall_status
+FROM dq, meta, ov"""
+    ),
+)
+def q_dq_report(spark, sf):
+    """The report bundle flattened: every dimension row with the run summary."""
+    from terracheck.session import attach_row
+
+    a = load_assets(spark, sf)
+    rep = dq.build_dq_report(a, X.run_expectation_suite(a), validate.validate_assets(a, country_edges(spark, sf)))
+    summary = rep.summary.select("total_rows", "gx_checks", "gx_passed", "overall_score", "overall_status")
+    return attach_row(rep.dimensions.select("dimension", "score", "pct", "status"), summary)

@@ -139,13 +139,14 @@ def project_existing(df: DataFrame, wanted) -> DataFrame:
 
 def point_wkt(df: DataFrame, cols: AssetCols = DEFAULT_COLS, decimals: int = 4) -> DataFrame:
     """Keep lon/lat as doubles, add a ``struct`` point and a WKT text of fixed decimals."""
-    lon = F.round(F.col(cols.lon), decimals)
-    lat = F.round(F.col(cols.lat), decimals)
-    fmt = f"POINT (%.{decimals}f %.{decimals}f)"
+    from terracheck.functions.text import py_fixed
+
+    lon, lat = F.col(cols.lon), F.col(cols.lat)
+    text = F.concat(F.lit("POINT ("), py_fixed(lon, decimals), F.lit(" "), py_fixed(lat, decimals), F.lit(")"))
     return df.withColumns(
         {
-            "geometry": F.struct(F.col(cols.lon).alias("x"), F.col(cols.lat).alias("y")),
-            "wkt": F.when(lon.isNotNull() & lat.isNotNull(), F.format_string(fmt, lon, lat)),
+            "geometry": F.struct(lon.alias("x"), lat.alias("y")),
+            "wkt": F.when(lon.isNotNull() & lat.isNotNull(), text),
         }
     )
 
