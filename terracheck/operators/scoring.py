@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.operators import forest as FO
-from terracheck.operators.features import BASIC_FEATURES, COUNTRY_FEATURES, GLOBAL_FEATURES, basic_features, engineer_features
+from terracheck.operators.features import COUNTRY_FEATURES, GLOBAL_FEATURES, basic_features, engineer_features
 from terracheck.operators.quantiles import MAX_GROUP_ROWS, exact_quantiles_row
 from terracheck.session import attach_row, cut_lineage
 
