@@ -43,6 +43,9 @@ def normalised_country(cols: AssetCols = DEFAULT_COLS):
     return F.upper(F.regexp_replace(F.col(cols.country), r"^\s+|\s+$", ""))
 
 
+MAX_EDGES_PER_COUNTRY_FOR_ARRAYS = 256
+
+
 def point_in_country(
     df: DataFrame,
     edges: DataFrame,
@@ -50,24 +53,95 @@ def point_in_country(
     buffer_deg: float = 0.5,
     out: str = "in_country",
     max_broadcast_edges: int = MAX_BROADCAST_EDGES,
+    method: str = "auto",
+    cell_deg: float = 5.0,
 ) -> DataFrame:
     """G1: adds boolean ``out`` = point strictly within its country's polygon grown by
-    ``buffer_deg`` (planar degrees).  Unknown country codes give True."""
-    n_edges = edges.count()
-    polys = _maybe_broadcast(country_edge_arrays(edges), n_edges, max_broadcast_edges)
+    ``buffer_deg`` (planar degrees).  Unknown country codes give True.
+
+    ``method='arrays'`` tests every edge of the row's country (fine for coarse polygons);
+    ``method='cells'`` joins on (country, grid cell) and tests only the edges that matter
+    for that cell, so per-row work does not grow with coastline detail.  ``'auto'`` picks
+    arrays when no country has more than 256 edges."""
+    sizes = edges.groupBy("iso_a3").count().agg(F.sum("count").alias("n"), F.max("count").alias("widest")).first()
+    n_edges, widest = sizes["n"] or 0, sizes["widest"] or 0
+    if method == "auto":
+        method = "arrays" if widest <= MAX_EDGES_PER_COUNTRY_FOR_ARRAYS else "cells"
+    polys = country_edge_arrays(edges)
     key = normalised_country(cols)
-    joined = df.join(polys, key == F.col("iso_a3"), "left")
     px, py = F.col(cols.lon), F.col(cols.lat)
+    if method == "arrays":
+        joined = df.join(_maybe_broadcast(polys, n_edges, max_broadcast_edges), key == F.col("iso_a3"), "left")
+        near = G.within_buffer(F.col("_edges"), px, py, buffer_deg)
+        extra = ["_edges"]
+    elif method == "cells":
+        boxes = polys.drop("_edges")
+        index = country_cell_index(edges, cell_deg, buffer_deg)
+        n_index = index.select(F.sum(F.size("_par") + F.size("_near"))).first()[0] or 0
+        joined = (
+            df.withColumns({"_key": key, "_cx": F.floor(px / cell_deg), "_cy": F.floor(py / cell_deg)})
+            .join(F.broadcast(boxes), F.col("_key") == F.col("iso_a3"), "left")
+            .join(
+                _maybe_broadcast(index, n_index, max_broadcast_edges),
+                (F.col("_key") == F.col("_ci")) & (F.col("_cx") == F.col("_ccx")) & (F.col("_cy") == F.col("_ccy")),
+                "left",
+            )
+        )
+        near = F.coalesce(G.inside(F.col("_par"), px, py), F.lit(False)) | F.coalesce(
+            G.min_edge_distance(F.col("_near"), px, py) < buffer_deg, F.lit(False)
+        )
+        extra = ["_key", "_cx", "_cy", "_ci", "_ccx", "_ccy", "_par", "_near"]
+    else:
+        raise ValueError(f"unknown method {method!r}; use 'auto', 'arrays' or 'cells'")
     in_box = (
         (px > F.col("_xmin") - buffer_deg)
         & (px < F.col("_xmax") + buffer_deg)
         & (py > F.col("_ymin") - buffer_deg)
         & (py < F.col("_ymax") + buffer_deg)
     )
-    test = F.when(F.col("iso_a3").isNull(), F.lit(True)).when(
-        F.coalesce(in_box, F.lit(False)), G.within_buffer(F.col("_edges"), px, py, buffer_deg)
-    ).otherwise(F.lit(False))
-    return joined.withColumn(out, F.coalesce(test, F.lit(False))).drop("iso_a3", "_edges", "_xmin", "_xmax", "_ymin", "_ymax")
+    test = F.when(F.col("iso_a3").isNull(), F.lit(True)).when(F.coalesce(in_box, F.lit(False)), near).otherwise(F.lit(False))
+    return joined.withColumn(out, F.coalesce(test, F.lit(False))).drop("iso_a3", "_xmin", "_xmax", "_ymin", "_ymax", *extra)
+
+
+def country_cell_index(edges: DataFrame, cell_deg: float = 5.0, buffer_deg: float = 0.5) -> DataFrame:
+    """Per (country, cx, cy): ``_par`` = the country's edges a +x ray from inside the cell can
+    cross (they span the cell's latitude band and reach east of its west side), and ``_near``
+    = the edges within ``buffer_deg`` of the cell.  Cells west of the country's bounding box
+    get no parity edges: points there are outside anyway."""
+    e = edges.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+    west = e.groupBy("iso_a3").agg(F.floor(F.least(F.min("x1"), F.min("x2")) / cell_deg).alias("_cx0"))
+    edge = F.struct("x1", "y1", "x2", "y2")
+    par = (
+        e.where(F.col("y1") != F.col("y2"))
+        .join(F.broadcast(west), "iso_a3")
+        .select(
+            "iso_a3",
+            edge.alias("edge"),
+            F.explode(F.sequence(F.floor(F.least("y1", "y2") / cell_deg), F.floor(F.greatest("y1", "y2") / cell_deg))).alias("cy"),
+            "_cx0",
+            F.floor(F.greatest("x1", "x2") / cell_deg).alias("_cx1"),
+        )
+        .where(F.col("_cx1") >= F.col("_cx0"))
+        .select("iso_a3", "cy", "edge", F.explode(F.sequence("_cx0", "_cx1")).alias("cx"), F.lit(True).alias("is_par"))
+    )
+    b = buffer_deg
+    near = (
+        e.select(
+            "iso_a3",
+            edge.alias("edge"),
+            F.explode(
+                F.sequence(F.floor((F.least("y1", "y2") - b) / cell_deg), F.floor((F.greatest("y1", "y2") + b) / cell_deg))
+            ).alias("cy"),
+            F.floor((F.least("x1", "x2") - b) / cell_deg).alias("_cx0"),
+            F.floor((F.greatest("x1", "x2") + b) / cell_deg).alias("_cx1"),
+        )
+        .select("iso_a3", "cy", "edge", F.explode(F.sequence("_cx0", "_cx1")).alias("cx"), F.lit(False).alias("is_par"))
+    )
+    both = par.unionByName(near)
+    return both.groupBy("iso_a3", "cx", "cy").agg(
+        F.collect_list(F.when(F.col("is_par"), F.col("edge"))).alias("_par"),
+        F.collect_list(F.when(~F.col("is_par"), F.col("edge"))).alias("_near"),
+    ).select(F.col("iso_a3").alias("_ci"), F.col("cx").alias("_ccx"), F.col("cy").alias("_ccy"), "_par", "_near")
 
 
 def land_cell_index(edges: DataFrame, cell_deg: float = 5.0) -> DataFrame:

@@ -145,6 +145,15 @@ def q_point_in_country(spark, sf):
     return geo.point_in_country(a, country_edges(spark, sf)).select("row_id", "country", "in_country")
 
 
+@register("point_in_country_cells", with_edges(_BORDER_SQL + "SELECT row_id, country, in_country FROM pic"))
+def q_point_in_country_cells(spark, sf):
+    # the grid-cell index path that detailed coastlines take, forced on the fixture polygons
+    a = load_assets(spark, sf)
+    return geo.point_in_country(a, country_edges(spark, sf), method="cells", cell_deg=3.0).select(
+        "row_id", "country", "in_country"
+    )
+
+
 _ASSET_FIELDS_SQL = """concat_ws(' | ',
    CASE WHEN gppd_idnr IS NULL THEN 'id: Input should be a valid string'
         WHEN regexp_matches(gppd_idnr, '^\\s*$') THEN 'id: Value error, Asset id must not be blank or whitespace.' END,

@@ -48,8 +48,10 @@ def test_point_in_country_cases(spark, edges):
             (10, "AAA", 0.0, 5.0),  # exactly on an edge
         ],
     )
-    got = {r.row_id: r.in_country for r in geo.point_in_country(df, edges).collect()}
-    assert got == {1: True, 2: False, 3: True, 4: True, 5: False, 6: True, 7: False, 8: True, 9: True, 10: True}
+    want = {1: True, 2: False, 3: True, 4: True, 5: False, 6: True, 7: False, 8: True, 9: True, 10: True}
+    for method, cell in (("arrays", 5.0), ("cells", 5.0), ("cells", 1.0), ("cells", 0.3)):
+        got = {r.row_id: r.in_country for r in geo.point_in_country(df, edges, method=method, cell_deg=cell).collect()}
+        assert got == want, (method, cell)
 
 
 def test_on_land_grid_join(spark, edges):
