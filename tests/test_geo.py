@@ -72,3 +72,28 @@ def test_plan_is_broadcast_equi_join(spark, edges):
         plan = plan_df._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_geojson_lines_reader(spark, tmp_path):
+    import json
+
+    from terracheck.sources.polygons import geojson_vertices
+
+    feats = [
+        {"type": "Feature", "properties": {"iso_a3": "AAA"},
+         "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [10, 0], [10, 10], [0, 10], [0, 0]],
+                                                         [[4, 4], [6, 4], [6, 6], [4, 6], [4, 4]]]}},
+        {"type": "Feature", "properties": {"iso_a3": "BBB"},
+         "geometry": {"type": "MultiPolygon", "coordinates": [[[[20, 0], [22, 0], [22, 2], [20, 2], [20, 0]]],
+                                                              [[[30, 0], [32, 0], [32, 2], [30, 2], [30, 0]]]]}},
+        {"type": "Feature", "properties": {"iso_a3": "-99"},
+         "geometry": {"type": "Polygon", "coordinates": [[[50, 50], [51, 50], [51, 51], [50, 50]]]}},
+    ]
+    path = tmp_path / "world.geojsonl"
+    path.write_text("\n".join(json.dumps(f) for f in feats))
+    edges = vertices_to_edges(geojson_vertices(spark, str(path)))
+    assert edges.where("iso_a3 = 'AAA'").count() == 8 and edges.where("iso_a3 = 'BBB'").count() == 8
+    assert edges.where("iso_a3 = '-99'").count() == 0
+    df = pts(spark, [(1, "AAA", 2.0, 2.0), (2, "AAA", 5.0, 5.0), (3, "BBB", 1.0, 31.0), (4, "BBB", 1.0, 26.0)])
+    got = {r.row_id: r.in_country for r in geo.point_in_country(df, edges, buffer_deg=0.1).collect()}
+    assert got == {1: True, 2: False, 3: True, 4: False}
