@@ -14,3 +14,24 @@ def test_stream_validation(spark, assets_small, edges_small, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 300
     assert {"pydantic_valid", "asset_valid", "geometry_consistent", "in_ocean"} <= set(got.columns)
+
+
+def test_stream_scoring_with_saved_model(spark, assets_small, tmp_path):
+    from pyspark.sql import types as T
+
+    from terracheck.operators.forest import ForestModel
+    from terracheck.operators.scoring import train_isolation_forest
+    from terracheck.streaming.score_stream import score_stream
+
+    model, _ = train_isolation_forest(assets_small, n_estimators=50)
+    model.save(str(tmp_path / "model"))
+    loaded = ForestModel.load(spark, str(tmp_path / "model"))
+    src = str(tmp_path / "in2")
+    assets_small.write.parquet(src)
+    schema = T.StructType([T.StructField("row_id", T.LongType())] + list(ASSET_SCHEMA.fields))
+    q = score_stream(read_asset_stream(spark, src, schema), loaded, str(tmp_path / "scored"), str(tmp_path / "ck2"),
+                     trigger_once=True)
+    q.awaitTermination(180)
+    got = spark.read.parquet(str(tmp_path / "scored"))
+    assert got.count() == assets_small.count()
+    assert {"anomaly_score", "is_anomaly", "batch_id"} <= set(got.columns)
