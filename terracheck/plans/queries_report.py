@@ -143,7 +143,7 @@ def q_marker_radius(spark, sf):
     + """SELECT row_id, CASE WHEN IS_ANOMALY THEN 'anomalous' ELSE 'clean' END AS layer,
   CASE WHEN IS_ANOMALY THEN '#e74c3c' ELSE '#2980b9' END AS color,
   CASE WHEN IS_ANOMALY THEN '#ff6b6b' ELSE '#5dade2' END AS fill_color,
-  CASE WHEN IS_ANOMALY THEN 0.85 ELSE 0.55 END AS fill_opacity, round(radius, 6) AS radius, latitude, longitude,
+  CAST(CASE WHEN IS_ANOMALY THEN 0.85 ELSE 0.55 END AS DOUBLE) AS fill_opacity, round(radius, 6) AS radius, latitude, longitude,
   (CASE WHEN IS_ANOMALY THEN '⚠ ' ELSE '' END) || coalesce(name, gppd_idnr) || ' | Score: ' || printf('%.2f', ANOMALY_SCORE) AS tooltip,
   coalesce(name, gppd_idnr) AS popup_name, gppd_idnr AS popup_id, country AS popup_country, primary_fuel AS popup_fuel,
   model_used AS popup_model, printf('%.3f', ANOMALY_SCORE) AS popup_score,
@@ -165,7 +165,7 @@ def q_layer_counts(spark, sf):
     "score_histogram",
     """SELECT CAST(least(greatest(floor(ANOMALY_SCORE * 40), 0), 39) AS INTEGER) AS bin, IS_ANOMALY AS is_anomaly,
   COUNT(*) AS count, CAST(least(greatest(floor(ANOMALY_SCORE * 40), 0), 39) AS INTEGER) / 40 AS bin_start,
-  (CAST(least(greatest(floor(ANOMALY_SCORE * 40), 0), 39) AS INTEGER) + 1) / 40 AS bin_end, 0.6 AS threshold
+  (CAST(least(greatest(floor(ANOMALY_SCORE * 40), 0), 39) AS INTEGER) + 1) / 40 AS bin_end, CAST(0.6 AS DOUBLE) AS threshold
 FROM scored GROUP BY 1, 2""",
 )
 def q_score_histogram(spark, sf):
