@@ -53,7 +53,10 @@ def add_country_zscore(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFra
     (one row) and for rows without a country."""
     stats = df.groupBy(cols.country).agg(F.avg("cap_filled").alias("_mean"), F.stddev_samp("cap_filled").alias("_std"))
     joined = df.join(stats, cols.country, "left")
-    z = F.when(F.col(cols.country).isNotNull() & (F.col("_std") > 0), (F.col("cap_filled") - F.col("_mean")) / F.col("_std"))
+    # NaN sorts above every number in Spark, so "std > 0" alone would pass a NaN std (an infinite
+    # capacity in the group); like pandas, such a group gets z = 0.
+    ok = F.col(cols.country).isNotNull() & (F.col("_std") > 0) & ~F.isnan("_std")
+    z = F.when(ok, (F.col("cap_filled") - F.col("_mean")) / F.col("_std"))
     return joined.withColumn("country_cap_zscore", F.coalesce(z, F.lit(0.0))).drop("_mean", "_std")
 
 
