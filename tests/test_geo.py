@@ -97,3 +97,22 @@ def test_geojson_lines_reader(spark, tmp_path):
     df = pts(spark, [(1, "AAA", 2.0, 2.0), (2, "AAA", 5.0, 5.0), (3, "BBB", 1.0, 31.0), (4, "BBB", 1.0, 26.0)])
     got = {r.row_id: r.in_country for r in geo.point_in_country(df, edges, buffer_deg=0.1).collect()}
     assert got == {1: True, 2: False, 3: True, 4: False}
+
+
+def test_shuffle_fallbacks_equal_broadcast_paths(spark, assets_small, edges_small):
+    from terracheck.operators.qa import detect_qa_errors
+
+    def as_map(df, col):
+        return {r.row_id: r[col] for r in df.select("row_id", col).collect()}
+
+    for method in ("arrays", "cells"):
+        b = as_map(geo.point_in_country(assets_small, edges_small, method=method), "in_country")
+        s = as_map(geo.point_in_country(assets_small, edges_small, method=method, max_broadcast_edges=0), "in_country")
+        assert b == s
+    assert as_map(geo.on_land(assets_small, edges_small), "on_land") == as_map(
+        geo.on_land(assets_small, edges_small, max_broadcast_edges=0), "on_land"
+    )
+    key = lambda r: (r.row_id, r.issue_type, r.detail)
+    a = sorted(map(key, detect_qa_errors(assets_small).collect()))
+    b = sorted(map(key, detect_qa_errors(assets_small, max_broadcast_dup_ids=0).collect()))
+    assert a == b
