@@ -18,8 +18,8 @@ def anomaly_summary(scored: DataFrame) -> DataFrame:
         total.alias("total"),
         (total - anom).alias("clean"),
         anom.alias("anomalous"),
-        F.round(100 * (total - anom) / total, 6).alias("pct_clean"),
-        F.round(100 * anom / total, 6).alias("pct_anomalous"),
+        F.round(F.when(total > 0, 100 * (total - anom) / total), 6).alias("pct_clean"),
+        F.round(F.when(total > 0, 100 * anom / total), 6).alias("pct_anomalous"),
         F.round(F.avg("ANOMALY_SCORE"), 6).alias("avg_score"),
     )
 

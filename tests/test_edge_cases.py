@@ -72,3 +72,12 @@ def test_empty_table_everywhere(spark):
     assert FE.engineer_features(df).count() == 0
     with pytest.raises(ValueError):
         SC.train_global_model(FE.engineer_features(df))
+
+
+def test_summary_of_empty_scored_table(spark):
+    from terracheck.operators.evaluate import anomaly_summary, detection_recall
+
+    empty = spark.createDataFrame([], "row_id long, ANOMALY_SCORE double, IS_ANOMALY boolean, error_flags string")
+    s = anomaly_summary(empty).first()
+    assert s.total == 0 and s.pct_anomalous is None
+    assert detection_recall(empty).first().recall == 0.0
