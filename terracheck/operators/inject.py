@@ -53,15 +53,15 @@ def inject_duplicates(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_
     ranked = with_hash_rank(df, k, seed, "duplicate", cols.row_id, "_drank", counts)
     if max_id is None:
         max_id = df.agg(F.max(cols.row_id)).first()[0] or 0
-    top = F.lit(max_id).cast("bigint")
-    copies = (
-        ranked.where(F.col("_drank").isNotNull())
-        .withColumn(cols.row_id, top + F.col("_drank"))
-        .withColumn("_dup", F.lit(True))
-        .drop("_drank")
+    # One linear pass: a selected row is emitted twice (original, then its copy), so the
+    # plan has no union and the ranking exchange is computed once.
+    copy = F.explode(
+        F.when(F.col("_drank").isNotNull(), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     )
-    originals = df.withColumn("_dup", F.lit(False))
-    return originals.unionByName(copies)
+    out = ranked.withColumn("_dup", copy)
+    return out.withColumn(
+        cols.row_id, F.when(F.col("_dup"), F.lit(max_id).cast("bigint") + F.col("_drank")).otherwise(F.col(cols.row_id))
+    ).drop("_drank")
 
 
 def inject_missing(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS, counts=None) -> DataFrame:
