@@ -423,6 +423,9 @@ def score_single(df: DataFrame, nodes_pdf: pd.DataFrame, psi: int, features, out
     return df.withColumn(out, forest_score(F.struct(*[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])))
 
 
+MAX_BROADCAST_MODELS = 1_000_000
+
+
 def score_per_key(
     df: DataFrame,
     nodes: DataFrame,
@@ -434,22 +437,29 @@ def score_per_key(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Score rows with the forest of their key through a salted cogroup; rows whose key has no
-    forest get NULL.  ``sizes`` holds (model_key, psi) of the trained keys."""
+    forest (NULL, too few rows) get NULL.  ``sizes`` holds (model_key, n_train, psi) of the
+    trained keys.
+
+    One shuffle of the rows, by (key, salt): a trained key with n rows gets
+    ceil(n / rows_per_task) salts; keys without a forest (NULL included) are spread over a
+    wide salt range, which costs nothing since they receive no forest copies.  The per-model
+    table is broadcast when the number of models is under a bound."""
     feats = list(features)
-    counts = df.groupBy(F.col(key).cast("string").alias("model_key")).agg(F.count(F.lit(1)).alias("_rows"))
-    counts = counts.withColumn("_salts", F.greatest(F.lit(1), F.ceil(F.col("_rows") / rows_per_task)).cast("int"))
+    spark = df.sparkSession
+    parts = python_parallelism(spark)
+    salts = sizes.select(
+        "model_key", "psi", F.greatest(F.lit(1), F.ceil(F.col("n_train") / rows_per_task)).cast("int").alias("_salts")
+    )
+    if salts.count() <= MAX_BROADCAST_MODELS:
+        salts = F.broadcast(salts)
     rows = (
         df.withColumn("model_key", F.col(key).cast("string"))
-        .join(counts.select("model_key", "_salts"), "model_key", "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(F.col(row_id)), F.coalesce(F.col("_salts"), F.lit(1))).cast("int"))
-        .drop("_salts")
-    )
-    forest = (
-        nodes.join(sizes.select("model_key", "psi"), "model_key")
-        .join(counts.select("model_key", "_salts"), "model_key")
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
+        .join(salts.select("model_key", "_salts"), "model_key", "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(F.col(row_id)), F.coalesce(F.col("_salts"), F.lit(parts))).cast("int"))
         .drop("_salts")
     )
+    forest = nodes.join(salts, "model_key").select("*", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
+    forest = forest.drop("_salts")
     out_schema = _add_double(rows.schema, out)
     names = out_schema.fieldNames()
 
@@ -464,7 +474,6 @@ def score_per_key(
             left[out] = score_samples(left[feats].to_numpy(dtype=float), arrays, psi)
         return left[names]
 
-    parts = python_parallelism(df.sparkSession)
     rows = rows.repartition(parts, "model_key", "_salt")
     forest = forest.repartition(parts, "model_key", "_salt")
     return (
@@ -534,5 +543,5 @@ def score_forest(df: DataFrame, model: ForestModel, row_id: str = "row_id") -> D
         psi = int(model.offsets.first()["psi"])
         scored = score_single(df, model.nodes.toPandas(), psi, model.features)
     else:
-        scored = score_per_key(df, model.nodes, model.offsets.select("model_key", "psi"), model.key, model.features, row_id)
+        scored = score_per_key(df, model.nodes, model.offsets, model.key, model.features, row_id)
     return apply_offsets(scored, model)
