@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terracheck.operators.quantiles import exact_quantile
-from terracheck.session import cut_lineage
+from terracheck.session import cut_lineage, ship_package
 
 GLOBAL_KEY = "__global__"
 EULER_GAMMA = 0.5772156649015329
@@ -374,6 +374,7 @@ def grow_forest(sample: DataFrame, features, seed: int, row_id: str = "row_id",
     """M2: trees grown by ``applyInPandas`` over (model_key, tree chunk) groups of at most
     ``trees_per_group`` x psi rows -> node rows."""
     feats = list(features)
+    ship_package(sample.sparkSession)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["tree_id", row_id])
@@ -414,6 +415,7 @@ def score_single(df: DataFrame, nodes_pdf: pd.DataFrame, psi: int, features, out
     A scalar Pandas UDF over a struct of the feature columns: only the features
     cross to Python (Arrow batches), the rest of the row stays in the JVM."""
     spark = df.sparkSession
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(forest_arrays(nodes_pdf))
 
     @F.pandas_udf(T.DoubleType())
@@ -446,6 +448,7 @@ def score_per_key(
     table is broadcast when the number of models is under a bound."""
     feats = list(features)
     spark = df.sparkSession
+    ship_package(spark)
     parts = python_parallelism(spark)
     salts = sizes.select(
         "model_key", "psi", F.greatest(F.lit(1), F.ceil(F.col("n_train") / rows_per_task)).cast("int").alias("_salts")

@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -69,3 +70,31 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     broadcast; its size is fixed at one row, so the big side is streamed without
     a shuffle and nothing is multiplied."""
     return df.crossJoin(F.broadcast(one_row))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``terracheck`` importable by the Python workers of this application.
+
+    Pandas UDFs and grouped-map functions are pickled by reference to this package, so
+    executors must be able to import it: zip the package source and ``addPyFile`` it once
+    per application (Spark distributes the file to every executor)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zip_path = os.path.join(tempfile.mkdtemp(prefix="terracheck-pkg-"), "terracheck.zip")
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(app)
