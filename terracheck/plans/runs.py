@@ -1,10 +1,9 @@
-"""End-to-end runs, one per entry point of the reference.
+"""End-to-end runs: the QA run and the two-layer anomaly run.
 
 ``qa_run``: inject errors -> asset validation -> expectation suite -> basic forest ->
-QA issue report -> DQ report (run.py).  ``anomaly_run``: two-layer forests ->
-projection -> chart tables -> summary (run_ml.py).  Both return DataFrames
-(lazy, except the bounded actions inside injection and the forests) and write
-them when an output folder is given.
+QA issue report -> DQ report.  ``anomaly_run``: two-layer forests -> projection ->
+chart tables -> summary.  Both return DataFrames (lazy, except the bounded actions
+inside injection and the forests) and write them when an output folder is given.
 """
 
 from __future__ import annotations
