@@ -25,7 +25,8 @@ MSG_LE = "Input should be less than or equal to {v}"
 MSG_ID_BLANK = "Value error, gppd_idnr must not be blank."
 MSG_ASSET_ID_BLANK = "Value error, Asset id must not be blank or whitespace."
 
-_BLANK = r"^\s*$"
+# Unicode-aware (like Python's str.strip): no-break and em spaces count as whitespace too.
+_BLANK = r"(?U)^\s*$"
 
 
 def _msg(field: str, text: str) -> Column:
@@ -84,11 +85,20 @@ def optional_int_range(field: str, c: Column, dtype: T.DataType, lo: int, hi: in
     """V8: optional integer in [lo, hi].  ``missing='error'`` treats a missing value the way
     pandas hands it to the reference (a NaN float, which fails as not finite); ``'allow'`` passes it."""
     rule = F.when(c.isNull(), _msg(field, MSG_FINITE) if missing == "error" else F.lit(None))
+    # floor() of a double is a saturating BIGINT in Spark; round(c, 0) stays a double, so
+    # huge whole numbers are not mistaken for fractions.  Infinities are not finite.
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        rule = rule.when(F.isnan(c), _msg(field, MSG_FINITE)).when(c != F.floor(c), _msg(field, MSG_FRACTION))
+        rule = (
+            rule.when(F.isnan(c) | (F.abs(c) == float("inf")), _msg(field, MSG_FINITE))
+            .when(c != F.round(c, 0), _msg(field, MSG_FRACTION))
+        )
     elif isinstance(dtype, T.StringType):
         c = c.try_cast("double")
-        rule = rule.when(c.isNull(), _msg(field, MSG_NUMBER)).when(c != F.floor(c), _msg(field, MSG_FRACTION))
+        rule = (
+            rule.when(c.isNull(), _msg(field, MSG_NUMBER))
+            .when(F.isnan(c) | (F.abs(c) == float("inf")), _msg(field, MSG_FINITE))
+            .when(c != F.round(c, 0), _msg(field, MSG_FRACTION))
+        )
     return rule.when(c < lo, _msg(field, MSG_GE.format(v=lo))).when(c > hi, _msg(field, MSG_LE.format(v=hi)))
 
 

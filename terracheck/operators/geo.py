@@ -40,7 +40,7 @@ def country_edge_arrays(edges: DataFrame) -> DataFrame:
 
 def normalised_country(cols: AssetCols = DEFAULT_COLS):
     """A4: strip (any whitespace) then upper-case."""
-    return F.upper(F.regexp_replace(F.col(cols.country), r"^\s+|\s+$", ""))
+    return F.upper(F.regexp_replace(F.col(cols.country), r"(?U)^\s+|\s+$", ""))
 
 
 MAX_EDGES_PER_COUNTRY_FOR_ARRAYS = 256
