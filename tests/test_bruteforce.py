@@ -98,3 +98,72 @@ def test_row_rules_equal_python_evaluator(spark, records):
     got = {r.row_id: r.pydantic_errors for r in validate_records(spark.createDataFrame(rows, SCHEMA)).collect()}
     for i, r in enumerate(records):
         assert got[i] == expected_errors(r), (r, got[i])
+
+
+# --- polygons: an independent plain-Python even-odd + segment distance --------------------------
+RINGS = {
+    ("AAA", 0): [[(0, 0), (10, 0), (10, 10), (0, 10)], [(4, 4), (6, 4), (6, 6), (4, 6)]],
+    ("BBB", 0): [[(20, 0), (26, 0), (26, 6), (23, 3), (20, 6)]],  # concave
+    ("BBB", 1): [[(30, 0), (32, 0), (32, 2), (30, 2)]],
+}
+
+
+def _edges_of(iso):
+    for (code, _), rings in RINGS.items():
+        if code != iso:
+            continue
+        for ring in rings:
+            for i, (x1, y1) in enumerate(ring):
+                x2, y2 = ring[(i + 1) % len(ring)]
+                yield x1, y1, x2, y2
+
+
+def _py_inside(edges, px, py):
+    c = 0
+    for x1, y1, x2, y2 in edges:
+        if (y1 > py) != (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1:
+            c += 1
+    return c % 2 == 1
+
+
+def _py_dist(edges, px, py):
+    best = math.inf
+    for x1, y1, x2, y2 in edges:
+        dx, dy = x2 - x1, y2 - y1
+        t = max(0.0, min(1.0, ((px - x1) * dx + (py - y1) * dy) / (dx * dx + dy * dy)))
+        best = min(best, math.hypot(px - (x1 + t * dx), py - (y1 + t * dy)))
+    return best
+
+
+def test_point_in_country_and_land_equal_python(spark):
+    import random
+
+    from terracheck.operators import geo
+    from terracheck.sources.polygons import vertices_to_edges
+
+    verts = [(c, p, r, i, float(x), float(y)) for (c, p), rings in RINGS.items() for r, ring in enumerate(rings)
+             for i, (x, y) in enumerate(ring)]
+    edges = vertices_to_edges(spark.createDataFrame(verts, "iso_a3 string, part int, ring int, seq int, x double, y double"))
+    rnd = random.Random(11)
+    pts = [(i, rnd.choice(["AAA", "BBB", "ZZZ"]), round(rnd.uniform(-2, 12), 3), round(rnd.uniform(-2, 34), 3))
+           for i in range(600)]
+    df = spark.createDataFrame(pts, "row_id long, country string, latitude double, longitude double")
+    want = {}
+    for i, iso, lat, lon in pts:
+        e = list(_edges_of(iso))
+        want[i] = True if not e else (_py_inside(e, lon, lat) or _py_dist(e, lon, lat) < 0.5)
+    for method, cell in (("arrays", 5.0), ("cells", 5.0), ("cells", 0.7), ("cells", 2.3)):
+        got = {r.row_id: r.in_country for r in geo.point_in_country(df, edges, method=method, cell_deg=cell).collect()}
+        assert got == want, (method, cell)
+    land_want = {}
+    for i, _, lat, lon in pts:
+        land_want[i] = any(_py_inside([e for r in RINGS[k] for e in _ring_edges(r)], lon, lat) for k in RINGS)
+    for cell in (5.0, 1.1):
+        got = {r.row_id: r.on_land for r in geo.on_land(df, edges, cell_deg=cell).collect()}
+        assert got == land_want, cell
+
+
+def _ring_edges(ring):
+    for i, (x1, y1) in enumerate(ring):
+        x2, y2 = ring[(i + 1) % len(ring)]
+        yield x1, y1, x2, y2
