@@ -167,3 +167,70 @@ def _ring_edges(ring):
     for i, (x1, y1) in enumerate(ring):
         x2, y2 = ring[(i + 1) % len(ring)]
         yield x1, y1, x2, y2
+
+
+# --- expectation suite: pandas computation, Python formatting ---------------------------------
+def _pandas_suite(pdf):
+    total = len(pdf)
+
+    def not_null(col, thr, prefix=""):
+        nulls = int(pdf[col].isna().sum())
+        compl = (total - nulls) / total if total else 0.0
+        detail = f"{nulls:,} / {total:,} values are null ({100 * (1 - compl):.1f}% missing)."
+        return compl >= thr, round(compl, 4), prefix + detail
+
+    def between(col, lo, hi):
+        sub = pdf[col].dropna()
+        n_out = int(((sub < lo) | (sub > hi)).sum())
+        obs = f"min={sub.min():.2f}, max={sub.max():.2f}"
+        detail = f"{n_out:,} values outside [{lo}, {hi}]." if n_out else f"All {len(sub):,} values within range."
+        return n_out == 0, obs, detail
+
+    ids = pdf["gppd_idnr"]
+    dupe_mask = ids.duplicated(keep=False)
+    n_dupes = int(dupe_mask.sum())
+    top = ids[dupe_mask].dropna().value_counts()
+    top = sorted(top.items(), key=lambda kv: (-kv[1], kv[0]))[:5]
+    sample = "{" + ", ".join(f"'{k}': {v}" for k, v in top) + "}" if top else None
+    udetail = f"{n_dupes:,} duplicate rows across {total - ids.nunique():,} non-unique values." + (
+        f" Sample duplicates: {sample}" if sample else "")
+    return {
+        1: not_null("capacity_mw", 1.0),
+        2: not_null("commissioning_year", 0.95, "Required ≥ 95% complete. "),
+        3: (1 <= total <= 10_000_000, None, f"Dataset contains {total:,} rows."),
+        4: (n_dupes == 0, round(1 - n_dupes / total, 4) if total else 1.0, udetail),
+        5: between("latitude", -90, 90),
+        6: between("longitude", -180, 180),
+        7: between("capacity_mw", 0, 25_000),
+        8: between("commissioning_year", 1900, 2100),
+    }
+
+
+def test_expectation_suite_equals_pandas(spark):
+    import random
+
+    from terracheck.operators.expectations import run_expectation_suite
+
+    rnd = random.Random(5)
+    for trial in range(3):
+        n = rnd.randint(1, 400)
+        ids = [rnd.choice([None] + [f"ID{rnd.randint(0, n)}" for _ in range(3)]) for _ in range(n)]
+        rows = [
+            (i, ids[i],
+             rnd.choice([None, round(rnd.uniform(-100, 30000), 4), 10.125]),
+             rnd.choice([round(rnd.uniform(-100, 100), 3), 95.125]),
+             round(rnd.uniform(-200, 200), 3),
+             rnd.choice([None, float(rnd.randint(1850, 2200))]))
+            for i in range(n)
+        ]
+        pdf = pd.DataFrame(rows, columns=["row_id", "gppd_idnr", "capacity_mw", "latitude", "longitude", "commissioning_year"])
+        df = spark.createDataFrame(rows, "row_id long, gppd_idnr string, capacity_mw double, latitude double, longitude double, "
+                                         "commissioning_year double")
+        got = {r.check_order: r for r in run_expectation_suite(df).collect()}
+        for order, (success, observed, detail) in _pandas_suite(pdf).items():
+            assert got[order].success == success, (trial, order)
+            assert got[order].detail == detail, (trial, order, got[order].detail, detail)
+            if isinstance(observed, str):
+                assert got[order].observed == observed, (trial, order)
+            elif observed is not None:
+                assert got[order].observed_value == observed, (trial, order)
