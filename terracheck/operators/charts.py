@@ -89,8 +89,32 @@ def score_histogram(scored: DataFrame, bins: int = N_BINS) -> DataFrame:
     )
 
 
-def scatter_series(scored: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
-    """(latitude, capacity NULL -> 0) and (longitude, latitude) points with their flag."""
+def marker_density(scored: DataFrame, cols: AssetCols = DEFAULT_COLS, cell_deg: float = 1.0) -> DataFrame:
+    """C3 at scale: the marker layers as a grid-cell density table (markers, mean score and
+    centre per cell and layer) - what a map can draw when there are billions of assets."""
+    cx = F.floor(F.col(cols.lon) / cell_deg)
+    cy = F.floor(F.col(cols.lat) / cell_deg)
+    layer = F.when(F.col("IS_ANOMALY"), F.lit(ANOMALOUS[0])).otherwise(F.lit(CLEAN[0]))
+    return (
+        scored.where(F.col(cols.lat).isNotNull() & F.col(cols.lon).isNotNull())
+        .groupBy(cx.alias("cell_x"), cy.alias("cell_y"), layer.alias("layer"))
+        .agg(F.count(F.lit(1)).alias("markers"), F.round(F.avg("ANOMALY_SCORE"), 6).alias("mean_score"))
+        .withColumns(
+            {
+                "centre_lon": (F.col("cell_x") + 0.5) * cell_deg,
+                "centre_lat": (F.col("cell_y") + 0.5) * cell_deg,
+            }
+        )
+    )
+
+
+def scatter_series(scored: DataFrame, cols: AssetCols = DEFAULT_COLS, sample_n: int | None = None) -> DataFrame:
+    """(latitude, capacity NULL -> 0) and (longitude, latitude) points with their flag;
+    ``sample_n`` caps a chart at an exact, repeatable sample of points."""
+    if sample_n is not None:
+        from terracheck.operators.sampling import sample_exact_n
+
+        scored = sample_exact_n(scored, sample_n, seed=42, step="scatter", row_id=cols.row_id).drop("sample_rank")
     cap = F.col("cap_filled") if "cap_filled" in scored.columns else F.col(cols.capacity)
     return scored.select(
         cols.row_id,

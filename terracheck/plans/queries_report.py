@@ -189,3 +189,16 @@ def q_scatter_series(spark, sf):
 )
 def q_country_anomaly_rate(spark, sf):
     return CH.country_anomaly_rate(scored_fixture(spark, sf))
+
+
+@q(
+    "marker_density",
+    """SELECT CAST(floor(longitude / 1.0) AS BIGINT) AS cell_x, CAST(floor(latitude / 1.0) AS BIGINT) AS cell_y,
+  CASE WHEN IS_ANOMALY THEN 'anomalous' ELSE 'clean' END AS layer, COUNT(*) AS markers,
+  round(AVG(ANOMALY_SCORE), 6) AS mean_score,
+  CAST((CAST(floor(longitude / 1.0) AS BIGINT) + 0.5) * 1.0 AS DOUBLE) AS centre_lon,
+  CAST((CAST(floor(latitude / 1.0) AS BIGINT) + 0.5) * 1.0 AS DOUBLE) AS centre_lat
+FROM scored WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3""",
+)
+def q_marker_density(spark, sf):
+    return CH.marker_density(scored_fixture(spark, sf))
