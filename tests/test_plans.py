@@ -31,3 +31,15 @@ def test_suite_is_one_fused_aggregate(assets_small):
     assert "BatchEvalPython" not in p
     # one aggregate for the table stats + the id count and its two consumers
     assert p.count("HashAggregate") <= 12 and "Subquery" not in p
+
+
+def test_no_cartesian_or_row_python_in_any_query(spark):
+    import __spark_entry__ as E
+
+    offenders = []
+    for name, fn in sorted(E.queries().items()):
+        df = fn(spark, "/root/testdata/sf0.001")
+        p = plan(df)
+        if "CartesianProduct" in p or "BatchEvalPython" in p:
+            offenders.append(name)
+    assert offenders == []
