@@ -484,6 +484,7 @@ def score_per_key(
         .cogroup(forest.groupBy("model_key", "_salt"))
         .applyInPandas(fn, out_schema)
         .drop("model_key", "_salt")
+        .withColumn(out, F.nullif(F.col(out), F.lit(float("nan"))))  # no model -> NULL, not NaN
     )
 
 
@@ -532,7 +533,9 @@ def fit_forest(
 def apply_offsets(scored: DataFrame, model: ForestModel) -> DataFrame:
     """``_decision = _raw - offset`` of the row's model (offsets are one row per key: broadcast)."""
     mk = _model_key_col(model.key)
-    offs = F.broadcast(model.offsets.select(F.col("model_key").alias("_mk"), F.col("offset").alias("_offset")))
+    offs = model.offsets.select(F.col("model_key").alias("_mk"), F.col("offset").alias("_offset"))
+    if model.key is None or offs.count() <= MAX_BROADCAST_MODELS:  # one row per model
+        offs = F.broadcast(offs)
     return (
         scored.join(offs, mk == F.col("_mk"), "left")
         .withColumn("_decision", F.col("_raw") - F.col("_offset"))
