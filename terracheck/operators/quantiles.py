@@ -35,13 +35,20 @@ def exact_quantile(
     out: str = "quantile",
     max_group_rows: int = MAX_GROUP_ROWS,
     largest: int | None = None,
+    approx: bool = False,
+    accuracy: int = 10_000,
 ) -> DataFrame:
     """One row per group of ``keys`` (one row overall without keys) with the q-quantile of the
     non-null values of ``value`` in column ``out`` (NULL when a group has no value).
 
-    ``largest`` (an upper bound of the biggest group's size) skips the size-check job."""
+    ``largest`` (an upper bound of the biggest group's size) skips the size-check job.
+    ``approx=True`` opts into ``percentile_approx`` (a mergeable sketch of bounded size,
+    rank error about 1 / ``accuracy``): one aggregate, no size check, no ranking pass."""
     keys = list(keys)
     vals = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    if approx:
+        grouped = vals.groupBy(*keys) if keys else vals.groupBy()
+        return grouped.agg(F.percentile_approx("_v", q, accuracy).alias(out))
     if largest is None:
         largest = vals.groupBy(*keys).count().agg(F.max("count")).first()[0]
     if largest is None:  # no values at all

@@ -30,3 +30,12 @@ def test_global_and_row(spark):
     assert (r.a_m, r.b_m) == (2.5, 3.0)
     empty = df.where("a > 100")
     assert exact_quantile(empty, "a", 0.5).first()[0] is None
+
+
+def test_approx_opt_in_is_close(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame(pd.DataFrame({"k": rng.choice(["a", "b"], 20000), "v": rng.normal(size=20000)}))
+    exact = {r.k: r.quantile for r in exact_quantile(df, "v", 0.5, ["k"]).collect()}
+    approx = {r.k: r.quantile for r in exact_quantile(df, "v", 0.5, ["k"], approx=True).collect()}
+    for k in exact:
+        assert abs(exact[k] - approx[k]) < 0.01
