@@ -502,11 +502,24 @@ def fit_forest(
     """Fit one forest (key=None) or one per key value with >= min_rows rows, and score the
     training rows.  Returns ``(model, scored)`` where ``scored`` is ``df`` plus ``_raw``
     (score_samples, NULL for rows without a model) and ``_decision`` (raw - offset)."""
-    sizes = model_sizes(df, key, min_rows).withColumn("psi", F.least(F.lit(max_psi), F.col("n_train")).cast("int"))
-    sizes = cut_lineage(sizes)  # small; reused by sampling, scoring and the offsets
-    if key is not None and sizes.limit(1).count() == 0:
+    spark = df.sparkSession
+    sizes_df = model_sizes(df, key, min_rows).withColumn("psi", F.least(F.lit(max_psi), F.col("n_train")).cast("int"))
+    # One row per model: a bounded summary.  Under the model-count bound it travels through
+    # the driver as a local relation (no checkpoint job); beyond it, it is checkpointed.
+    size_rows = sizes_df.limit(MAX_BROADCAST_MODELS + 1).collect()
+    if len(size_rows) <= MAX_BROADCAST_MODELS:
+        sizes = spark.createDataFrame(size_rows, sizes_df.schema)
+        largest = max((r["n_train"] for r in size_rows), default=None)
+        psi_single = size_rows[0]["psi"] if size_rows else None
+    else:
+        sizes = cut_lineage(sizes_df)
+        agg = sizes.agg(F.max("n_train"), F.max("psi")).first()
+        largest, psi_single = agg[0], agg[1]
+    if largest is None:
+        if key is None:
+            raise ValueError("cannot fit a forest on an empty table")
         # no key has enough rows: every row falls back (no model, NULL scores)
-        empty_nodes = df.sparkSession.createDataFrame([], NODE_SCHEMA)
+        empty_nodes = spark.createDataFrame([], NODE_SCHEMA)
         offsets = sizes.withColumn("offset", F.lit(None).cast("double"))
         model = ForestModel(empty_nodes, offsets, tuple(features), key, contamination, seed)
         scored = df.withColumns({"_raw": F.lit(None).cast("double"), "_decision": F.lit(None).cast("double")})
@@ -514,18 +527,18 @@ def fit_forest(
     sample = subsample(df, sizes.drop("psi"), key, n_trees, seed, row_id, max_psi)
     nodes = cut_lineage(grow_forest(sample, features, seed, row_id))
     if key is None:
-        psi_row = sizes.first()
-        if psi_row is None:
-            raise ValueError("cannot fit a forest on an empty table")
-        scored = score_single(df, nodes.toPandas(), int(psi_row["psi"]), features)
+        scored = score_single(df, nodes.toPandas(), int(psi_single), features)
     else:
         scored = score_per_key(df, nodes, sizes, key, features, row_id)
-    scored = cut_lineage(scored)
+    scored = cut_lineage(scored)  # the Python scoring runs once; offsets and labels both read it
     mk = _model_key_col(key)
     trained = scored.withColumn("model_key", mk).where(F.col("_raw").isNotNull())
-    largest = sizes.agg(F.max("n_train")).first()[0]
     offs = exact_quantile(trained, "_raw", contamination, ["model_key"], "offset", largest=largest)
-    offsets = cut_lineage(sizes.join(offs, "model_key", "left"))
+    offsets_df = sizes.join(offs, "model_key", "left")
+    if len(size_rows) <= MAX_BROADCAST_MODELS:
+        offsets = spark.createDataFrame(offsets_df.collect(), offsets_df.schema)
+    else:
+        offsets = cut_lineage(offsets_df)
     model = ForestModel(nodes, offsets, tuple(features), key, contamination, seed)
     return model, apply_offsets(scored, model)
 
