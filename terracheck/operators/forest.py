@@ -249,19 +249,26 @@ def forest_arrays(nodes: pd.DataFrame):
     return left, right, feat, thr, plen, width, trees.size, depth
 
 
-def mean_path_length(X: np.ndarray, arrays) -> np.ndarray:
-    """Average leaf path length over all trees for every row of X."""
+def mean_path_length(X: np.ndarray, arrays, block: int = 32) -> np.ndarray:
+    """Average leaf path length over all trees for every row of X.
+
+    Trees are walked in blocks of ``block`` so the (trees x rows) working arrays stay
+    cache-sized (about 2x faster than walking all trees at once)."""
     left, right, feat, thr, plen, width, n_trees, depth = arrays
     m = X.shape[0]
     if m == 0:
         return np.zeros(0)
     xt = np.ascontiguousarray(X.T).ravel()  # feature-major: value of (f, row) at f * m + row
     rows = np.arange(m, dtype=np.int64)[None, :]
-    node = np.repeat((np.arange(n_trees, dtype=np.int64) * width)[:, None], m, axis=1)
-    for _ in range(depth):
-        x = xt.take(feat.take(node) * m + rows)
-        node = np.where(x <= thr.take(node), left.take(node), right.take(node))
-    return plen.take(node).mean(axis=0)
+    total = np.zeros(m)
+    for t0 in range(0, n_trees, block):
+        t1 = min(n_trees, t0 + block)
+        node = np.repeat((np.arange(t0, t1, dtype=np.int64) * width)[:, None], m, axis=1)
+        for _ in range(depth):
+            x = xt.take(feat.take(node) * m + rows)
+            node = np.where(x <= thr.take(node), left.take(node), right.take(node))
+        total += plen.take(node).sum(axis=0)
+    return total / n_trees
 
 
 def score_samples(X: np.ndarray, arrays, psi: int) -> np.ndarray:
