@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from terracheck.llm import decontam, licenses, mixing, quality  # noqa: F401
+from terracheck.llm import decontam, licenses, mixing, quality, secrets  # noqa: F401
 from terracheck.llm.registry import ORACLES, QUERIES  # noqa: F401
