@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from terracheck.llm import decontam, lattice, licenses, mixing, quality, secrets, simhash  # noqa: F401
+from terracheck.llm import decontam, jaccard, lattice, licenses, mixing, quality, secrets, simhash  # noqa: F401
 from terracheck.llm.registry import ORACLES, QUERIES  # noqa: F401
