@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -49,36 +50,31 @@ MAIN_TAGS = frozenset("article main".split())
 MAIN_WORDS = frozenset("article articlebody main content post entry story".split())
 
 FEATURES = ("held", "page_has_main", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after")
+#: What an open cell of the labelled table stands for: short, medium and long blocks, few and many links.
+OPEN = {"page_has_main": (0, 1), "heading": (0, 1), "words": (2, 9, 25, 80), "links": (0.0, 0.3, 0.9)}
+OPEN |= {f"{c}_{side}": OPEN[c] for c in ("words", "links") for side in ("before", "after")}
+_ = None
 #: The labelled table: held by (-1 aside, 0 neither, 1 article), does the page have an article
 #: element, heading, words and link density of the block, of the one before, of the one after; label.
 LABELLED = (
-    (-1, 1, 0, 1, 1.0, 1, 1.0, 1, 1.0, 0), (-1, 1, 0, 6, 0.0, 1, 1.0, 9, 0.0, 0), (-1, 1, 0, 30, 0.0, 40, 0.0, 0, 0.0, 0), (-1, 1, 1, 2, 0.0, 60, 0.0, 30, 0.0, 0),
-    (-1, 0, 0, 2, 1.0, 2, 1.0, 3, 1.0, 0), (-1, 0, 0, 45, 0.0, 80, 0.0, 5, 0.5, 0), (-1, 0, 0, 12, 0.1, 30, 0.0, 0, 0.0, 0), (-1, 0, 1, 3, 0.0, 50, 0.0, 25, 0.0, 0),
-    (-1, 1, 0, 90, 0.0, 70, 0.0, 2, 0.0, 0), (-1, 1, 0, 8, 0.0, 0, 0.0, 0, 0.0, 0), (-1, 0, 0, 150, 0.0, 100, 0.0, 90, 0.0, 0), (-1, 1, 0, 1, 0.0, 1, 0.0, 40, 0.0, 0),
-    (-1, 1, 0, 8, 0.0, 2, 1.0, 70, 0.0, 0), (-1, 1, 0, 20, 0.0, 5, 0.5, 120, 0.0, 0), (-1, 0, 0, 9, 0.0, 2, 1.0, 60, 0.0, 0), (-1, 0, 0, 30, 0.0, 0, 0.0, 45, 0.0, 0),
-    (-1, 1, 0, 3, 1.0, 0, 0.0, 50, 0.0, 0), (-1, 1, 0, 60, 0.0, 90, 0.0, 80, 0.0, 0), (-1, 0, 0, 25, 0.0, 12, 0.0, 14, 0.0, 0), (-1, 1, 1, 5, 0.0, 7, 0.0, 40, 0.0, 0),
-    (1, 1, 0, 40, 0.0, 30, 0.0, 0, 0.0, 1), (1, 1, 0, 80, 0.0, 60, 0.0, 6, 0.0, 1), (1, 0, 0, 70, 0.0, 50, 0.0, 2, 1.0, 1), (1, 1, 0, 3, 0.0, 80, 0.0, 9, 0.0, 1),
-    (1, 1, 1, 9, 0.0, 5, 0.0, 40, 0.0, 1), (1, 1, 0, 60, 0.0, 9, 0.0, 80, 0.0, 1), (1, 1, 0, 1, 0.0, 50, 0.0, 70, 0.0, 1), (1, 1, 0, 120, 0.1, 3, 0.0, 2, 0.0, 1),
-    (1, 1, 0, 4, 0.0, 2, 0.0, 3, 0.0, 1), (1, 1, 1, 1, 0.0, 1, 1.0, 2, 0.0, 1), (1, 1, 0, 25, 0.3, 40, 0.0, 30, 0.1, 1), (1, 1, 0, 5, 0.0, 90, 0.0, 12, 0.0, 1),
-    (1, 1, 0, 2, 0.0, 0, 0.0, 0, 0.0, 1), (1, 0, 0, 45, 0.05, 8, 0.0, 60, 0.0, 1), (1, 0, 0, 3, 0.0, 30, 0.0, 35, 0.0, 1), (1, 0, 1, 4, 0.0, 50, 0.0, 60, 0.0, 1),
-    (1, 1, 0, 7, 0.95, 60, 0.0, 5, 0.9, 0), (1, 1, 0, 3, 1.0, 4, 1.0, 4, 1.0, 0), (1, 0, 0, 2, 1.0, 70, 0.0, 2, 1.0, 0), (1, 1, 0, 9, 0.9, 8, 0.9, 20, 0.0, 0),
-    (0, 1, 0, 8, 0.0, 2, 1.0, 9, 0.0, 0), (0, 1, 0, 30, 0.0, 70, 0.0, 5, 0.0, 0), (0, 1, 1, 4, 0.0, 1, 1.0, 9, 0.0, 0), (0, 1, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0),
-    (0, 0, 0, 40, 0.0, 30, 0.0, 50, 0.0, 1), (0, 0, 0, 90, 0.1, 4, 0.5, 60, 0.0, 1), (0, 0, 0, 18, 0.0, 60, 0.0, 40, 0.0, 1), (0, 0, 1, 6, 0.0, 3, 1.0, 55, 0.0, 1),
-    (0, 0, 0, 6, 0.0, 45, 0.0, 50, 0.0, 1), (0, 0, 0, 22, 0.2, 25, 0.0, 0, 0.0, 1), (0, 0, 0, 4, 0.0, 3, 0.5, 5, 0.3, 0), (0, 0, 0, 3, 1.0, 2, 1.0, 3, 1.0, 0),
-    (0, 0, 0, 20, 0.8, 10, 0.9, 15, 0.9, 0), (0, 0, 0, 5, 0.0, 60, 0.0, 3, 1.0, 0), (0, 0, 0, 7, 0.0, 2, 1.0, 4, 1.0, 0), (0, 0, 1, 3, 0.0, 2, 1.0, 3, 1.0, 0),
-    (0, 0, 0, 26, 0.0, 20, 0.0, 4, 1.0, 1), (0, 0, 0, 35, 0.05, 25, 0.0, 3, 0.0, 1), (0, 0, 0, 3, 1.0, 0, 0.0, 40, 0.0, 0), (0, 0, 0, 4, 1.0, 0, 0.0, 21, 0.0, 0),
-    (0, 0, 0, 3, 1.0, 8, 0.0, 0, 0.0, 0), (0, 0, 0, 2, 0.0, 3, 1.0, 0, 0.0, 0), (0, 1, 0, 25, 0.0, 3, 1.0, 60, 0.0, 0), (0, 1, 0, 12, 0.0, 5, 1.0, 80, 0.0, 0),
-    (0, 1, 1, 5, 0.0, 3, 1.0, 60, 0.0, 0), (0, 0, 0, 2, 1.0, 30, 0.0, 50, 0.0, 0), (0, 0, 0, 28, 0.0, 4, 1.0, 5, 0.0, 1), (0, 0, 0, 17, 0.1, 22, 0.0, 6, 0.0, 1),
-    (-1, 1, 0, 6, 0.0, 60, 0.0, 70, 0.0, 0), (-1, 0, 0, 5, 0.0, 50, 0.0, 60, 0.0, 0), (-1, 0, 1, 4, 0.0, 10, 0.0, 70, 0.0, 0), (-1, 0, 0, 7, 0.2, 90, 0.0, 55, 0.0, 0),
-    (0, 0, 1, 5, 0.0, 3, 1.0, 20, 0.0, 1), (0, 0, 1, 6, 0.0, 8, 0.9, 30, 0.0, 1), (-1, 0, 0, 3, 1.0, 60, 0.0, 60, 0.0, 0), (0, 0, 1, 4, 0.0, 25, 0.0, 22, 0.0, 1),
-    (0, 0, 0, 12, 0.6, 50, 0.0, 4, 1.0, 0), (0, 0, 0, 2, 0.0, 0, 0.0, 2, 1.0, 0),
+    (-1, _, _, _, _, _, _, _, _, 0),  # whatever stands in a menu, footer, advert, form or comment
+    (1, _, _, _, 0.0, _, _, _, _, 1), (1, _, _, _, 0.3, _, _, _, _, 1), (1, _, _, _, 0.9, _, _, _, _, 0),  # in an article all but lists of links
+    (0, 1, _, _, _, _, _, _, _, 0),  # outside the article of a page that has one
+    (0, 0, _, 80, 0.0, _, _, _, _, 1), (0, 0, _, 80, 0.3, _, _, _, _, 1), (0, 0, 0, 25, 0.0, _, _, _, _, 1), (0, 0, 0, 25, 0.3, _, _, _, _, 1),
+    (0, 0, _, _, 0.9, _, _, _, _, 0), (0, 0, 0, 2, 0.3, _, _, _, _, 0), (0, 0, 0, 9, 0.3, _, _, _, _, 0),
+    # short blocks are text between texts only, and headings before a text
+    (0, 0, 0, 2, 0.0, 25, 0.0, 25, 0.0, 1), (0, 0, 0, 2, 0.0, 80, 0.0, 80, 0.0, 1), (0, 0, 0, 9, 0.0, 25, 0.0, 80, 0.0, 1), (0, 0, 0, 9, 0.0, 80, 0.0, 25, 0.0, 1),
+    (0, 0, 0, 9, 0.0, 2, _, _, _, 0), (0, 0, 0, 9, 0.0, 9, _, _, _, 0), (0, 0, 0, 2, 0.0, 2, _, _, _, 0), (0, 0, 0, 2, 0.0, 9, _, _, _, 0),
+    (0, 0, 0, 9, 0.0, _, _, 2, _, 0), (0, 0, 0, 9, 0.0, _, _, 9, _, 0), (0, 0, 0, 2, 0.0, _, _, 2, _, 0), (0, 0, 0, 2, 0.0, _, _, 9, _, 0),
+    (0, 0, 1, 2, 0.0, _, _, 25, 0.0, 1), (0, 0, 1, 9, 0.0, _, _, 25, 0.0, 1), (0, 0, 1, 2, 0.0, _, _, 80, 0.0, 1), (0, 0, 1, 9, 0.0, _, _, 80, 0.0, 1),
+    (0, 0, 1, 2, 0.0, _, _, 2, _, 0), (0, 0, 1, 9, 0.0, _, _, 2, _, 0), (0, 0, 1, 2, 0.0, _, _, 9, _, 0), (0, 0, 1, 9, 0.0, _, _, 9, _, 0),
 )
 
 
 class Tree:
     """A binary decision tree in arrays; a leaf has feature -1."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 8):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 12):
         self.feature, self.cut, self.left, self.right, self.value = [], [], [], [], []
         self._grow(x, y, depth)
         self.feature, self.cut, self.left, self.right, self.value = map(np.array, (self.feature, self.cut, self.left, self.right, self.value))
@@ -116,7 +112,9 @@ class Tree:
 
 
 def train(labelled=LABELLED) -> Tree:
-    table = np.array(labelled, dtype=float)
+    each = [OPEN[f] for f in FEATURES if f in OPEN]
+    rows = [full for row in labelled for full in product(row[:1], *((c,) if c is not None else o for c, o in zip(row[1:-1], each)), row[-1:])]
+    table = np.array(rows, dtype=float)
     return Tree(table[:, :-1], table[:, -1])
 
 
@@ -226,9 +224,9 @@ def extract(pages: DataFrame) -> DataFrame:
     names = [fresh_name(pages, "text"), fresh_name(pages, "n_chars")]
     schema = T.StructType([*pages.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.LongType())])
     html_at = [c.lower() for c in pages.columns].index("html")
+    tree = train()
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = train()
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
