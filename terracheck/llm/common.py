@@ -6,7 +6,7 @@ rows in a batch. ``tokenise`` finds all words of a slice with array operations."
 
 from __future__ import annotations
 
-import os
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -34,6 +34,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Spark deletes the shuffle files of the finished write once the driver has collected its plan
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
