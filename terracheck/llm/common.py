@@ -13,8 +13,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terracheck.session import ensure_checkpoint_dir
 
@@ -40,6 +42,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pack_texts(df: DataFrame) -> DataFrame:
+    """``df`` with its column ``text`` compressed into binary: for texts that are to be shuffled.
+    Null becomes the empty text. :func:`unpack` reads it."""
+    names, at = df.columns, df.columns.index("text")
+    fields = [T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in df.schema.fields]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for i, j, raw, off in text_slices(batch.column(at)):
+                columns = [c.slice(i, j - i) for c in batch.columns]
+                columns[at] = pa.array([press.compress(raw[a:b].tobytes()) for a, b in zip(off[:-1], off[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return df.mapInArrow(pack, T.StructType(fields))
+
+
+def unpack(packed: pa.Array) -> Iterator[bytes]:
+    """The texts of a packed column, one at a time."""
+    expand = zstandard.ZstdDecompressor()
+    for z in packed:
+        yield expand.decompress(z.as_py())
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; every other character stays as it is."""
     return F.translate(c, UPPER, LOWER)

@@ -31,12 +31,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terracheck.llm import common
-from terracheck.llm.common import mix, read_table, text_slices, written
+from terracheck.llm.common import mix, pack_texts, read_table, text_slices, unpack, written
 from terracheck.llm.registry import register
 
 LENGTH = 400
@@ -108,20 +107,6 @@ def anchor_rows(texts: DataFrame, length: int, width: int, full: bool) -> DataFr
     return texts.select("th", "text").mapInArrow(scan, "half long, th long, place long, rest long, run long" if full else "half long")
 
 
-def _pack(docs: DataFrame) -> DataFrame:
-    """``doc_id, th, packed``: texts as they are shuffled, compressed."""
-
-    def pack(batches):
-        press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            for i, j, raw, off in text_slices(batch.column(2)):
-                z = [press.compress(raw[a:b].tobytes()) for a, b in zip(off[:-1], off[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(z, pa.binary())], names=["doc_id", "th", "packed"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "th", "text").mapInArrow(pack, f"doc_id {kind}, th long, packed binary")
-
-
 def _again(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose key another row has too."""
     return rows.join(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), keys, "left_semi")
@@ -147,15 +132,13 @@ def repeated_windows(docs: DataFrame, copies: DataFrame, length: int) -> DataFra
     open_runs = _again(runs, ["half", "rest"])
     asked = open_runs.groupBy("th").agg(F.collect_list(F.struct("place", "n")).alias("asked"))
     asked = asked.join(copies.select("th", F.col("doc_id").alias("_doc")), "th").withColumnRenamed("th", "_th")
-    packed = _pack(docs)
-    texts = packed.join(asked, (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_doc"))).select("th", "packed", "asked.place", "asked.n")
+    own = (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+    texts = pack_texts(docs).join(asked, own).select("th", "text", "asked.place", "asked.n")
 
     def windows(batches):
         h64 = xxhash.xxh3_64_intdigest
         for batch in batches:
-            expand = zstandard.ZstdDecompressor()
-            for r in range(batch.num_rows):
-                data = expand.decompress(batch.column(1)[r].as_py())
+            for r, data in enumerate(unpack(batch.column(1))):
                 key, at, start, alone = [], [], [], []
                 for place, n in zip(batch.column(2)[r].as_py(), batch.column(3)[r].as_py()):
                     a, far, close = place >> (2 * _BITS), (place >> _BITS) & ((1 << _BITS) - 1), place & ((1 << _BITS) - 1)
@@ -184,15 +167,13 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # a text's distinct runs of starts: at most one for each of its bytes
     spans = written(starts.groupBy("th").agg(F.collect_set(F.struct("lo", "hi")).alias("found")), "spans")
     per_text = copies.select("th", "copies").join(spans, "th", "left").where("copies > 1 OR found IS NOT NULL").withColumnRenamed("th", "_th")
-    joined = _pack(docs).join(per_text, F.col("th") == F.col("_th"), "left").select("doc_id", "packed", F.coalesce("copies", F.lit(1)).alias("copies"), "found.lo", "found.hi")
+    joined = pack_texts(docs).join(per_text, F.col("th") == F.col("_th"), "left").select("doc_id", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "found.lo", "found.hi")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[tuple] = []
-            for r in range(batch.num_rows):
-                data = expand.decompress(batch.column(1)[r].as_py())
+            for r, data in enumerate(unpack(batch.column(1))):
                 n = len(data)
                 change = np.zeros(n + 1, dtype=np.int64)
                 if batch.column(2)[r].as_py() > 1 and n >= length:
