@@ -56,7 +56,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ca
     # the level if all sources before this one, in order of their own level, stop at their cap
     level = (F.col("total") * budget - F.col("capped_size")) / (F.col("weights") - F.col("capped_weight"))
     t = t.withColumn("level", level).withColumn("stops", F.col("weight") * level >= limit)
-    t = t.withColumn("common", F.min(F.when(~F.col("stops"), F.col("level"))).over(everything))
+    # after the first source that does not stop, levels only fall
+    t = t.withColumn("common", F.max(F.when(~F.col("stops"), F.col("level"))).over(everything))
     target = F.when(F.col("stops"), limit.cast("double")).otherwise(F.col("weight") * F.col("common"))
     return t.select("source", "source_size", target.alias("target")).withColumn(
         "rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -115,7 +116,7 @@ WITH sized AS (
 ), stopped AS (
   SELECT *, weight * level >= lim AS stops FROM levels
 ), targets AS (
-  SELECT source, source_size, CASE WHEN stops THEN CAST(lim AS DOUBLE) ELSE weight * min(CASE WHEN NOT stops THEN level END) OVER () END AS target FROM stopped
+  SELECT source, source_size, CASE WHEN stops THEN CAST(lim AS DOUBLE) ELSE weight * max(CASE WHEN NOT stops THEN level END) OVER () END AS target FROM stopped
 ), rated AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
     CAST('0x' || substr(md5('mix|{SEED}|' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) / 281474976710656.0::DOUBLE AS u
