@@ -2,10 +2,10 @@
 
 Two first-order character models are trained from labelled samples: random strings (digests in
 hex, base 64 and upper-case alphabets, and the keys that the patterns find in the sample) and
-ordinary tokens (the other long tokens of the sample documents, which are the ``SAMPLE`` documents
-with the smallest hash of their id). A long token is a secret when its log-likelihood ratio of the
+ordinary ones (the other long tokens of the sample documents, and identifiers made of their words;
+the sample is the ``SAMPLE`` documents with the smallest hash of their id). A long token is a secret when its log-likelihood ratio of the
 two models, summed over its character pairs, is above ``LLR`` nats, which outweighs a prior of one
-secret in a million tokens. The models are one array of at most 64 * 64 log ratios inside the
+secret in a million tokens. The models are one array of 66 * 66 log ratios inside the
 expression; all scanning is DataFrame expressions, row by row, without a shuffle of texts.
 
 Spans are code points, end exclusive. Model spans never overlap pattern spans.
@@ -38,6 +38,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 SAMPLE = 2_000
 RANDOM = 3_000
 LLR = 14.0
+#: Weight, in characters, of how often a character follows any other one.
+BACKOFF = 4.0
 
 
 def matches(text: Column, pattern: str, group: int, least: int, kind: int) -> Column:
@@ -83,25 +85,32 @@ def labelled_samples(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     long_token = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{6,}"
     keys = F.flatten(F.array(*[F.regexp_extract_all("text", F.lit(p), F.lit(g)) for _, p, g, _ in KINDS[1:]]))
     tokens = texts.select(F.regexp_extract_all("text", F.lit(long_token), F.lit(0)).alias("t"), keys.alias("k"))
-    # a token that holds a key, or is the value of an assignment of mixed letters and digits, is no ordinary one
+    # a token that holds a key is no ordinary one
     ordinary = tokens.select(F.explode("t").alias("token"), F.lit(False).alias("random")).where(f"NOT token RLIKE '{KINDS[1][1]}|{KINDS[2][1]}'")
+    # identifiers of the samples' words, as they are written in code and paths
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))
+    joined = [F.array_join("w", sep) for sep in ("_", "-", "/")] + [F.replace(F.initcap(F.array_join("w", " ")), F.lit(" "), F.lit(""))]
+    identifiers = texts.select(words.alias("w")).select(F.explode(F.array(*joined)).alias("token"), F.lit(False).alias("random"))
     secret = tokens.select(F.explode("k").alias("token"), F.lit(True).alias("random"))
     digest = F.sha2(F.concat(F.lit("random|"), F.col("id").cast("string")), 256)
     base64 = F.regexp_replace(F.base64(F.unhex(digest)), "[=\\s]", "")
     drawn = spark.range(RANDOM).select(F.explode(F.array(digest, base64, F.translate(base64, "+/", "-_"), F.regexp_replace(base64, "[^A-Z0-9]", ""))).alias("token"), F.lit(True).alias("random"))
-    return ordinary.unionByName(secret).unionByName(drawn)
+    return ordinary.unionByName(identifiers).unionByName(secret).unionByName(drawn)
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> list[float]:
     """Log ratio of P(next character | character) of the two models, by first and next character."""
     pairs = F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring(F.col("token"), i, F.lit(2)))
     each = labelled_samples(docs, sample).where(F.length("token") > 1).select("random", F.explode(pairs).alias("pair"))
-    counts = {(r.random, r.pair): r["count"] for r in each.groupBy("random", "pair").count().collect()}  # 2 * 64 * 64 rows at most
-    n, out = len(ALPHABET), []
-    for a in ALPHABET:
-        total = {k: sum(counts.get((k, a + b), 0) for b in ALPHABET) + n for k in (True, False)}
-        out += [log((counts.get((True, a + b), 0) + 1) / total[True] * total[False] / (counts.get((False, a + b), 0) + 1)) for b in ALPHABET]
-    return out
+    counts = {(r.random, r.pair): r["count"] for r in each.groupBy("random", "pair").count().collect()}  # 2 * 66 * 66 rows at most
+    rows = {}
+    for k in (True, False):
+        after = {b: sum(counts.get((k, a + b), 0) for a in ALPHABET) + 1 for b in ALPHABET}
+        total = sum(after.values())
+        for a in ALPHABET:
+            seen = [counts.get((k, a + b), 0) for b in ALPHABET]
+            rows[k, a] = [(c + BACKOFF * after[b] / total) / (sum(seen) + BACKOFF) for c, b in zip(seen, ALPHABET)]
+    return [log(p / q) for a in ALPHABET for p, q in zip(rows[True, a], rows[False, a])]
 
 
 def ratio(token: Column, model: list[float]) -> Column:
