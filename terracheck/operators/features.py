@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
-from terracheck.operators.quantiles import MAX_GROUP_ROWS, exact_quantile
+from terracheck.operators.quantiles import exact_quantile
 from terracheck.session import attach_row
 
 GLOBAL_FEATURES = ("latitude", "longitude", "cap_log", "lat_lon_ratio", "country_cap_zscore")
@@ -20,33 +20,14 @@ COUNTRY_FEATURES = ("latitude", "longitude", "cap_log", "country_cap_zscore")
 BASIC_FEATURES = ("latitude", "longitude", "capacity_mw")
 
 
-MAX_BROADCAST_GROUPS = 1_000_000  # one small row per country: broadcast under this many
-
-
-def country_sizes(df: DataFrame, cols: AssetCols = DEFAULT_COLS):
-    """One small job: the largest country (non-null capacities), all non-null capacities, and
-    the number of countries, which decides whether per-country tables are broadcast."""
-    return (
-        df.groupBy(cols.country)
-        .agg(F.count(cols.capacity).alias("nn"))
-        .agg(F.max("nn").alias("largest"), F.sum("nn").alias("total"), F.count(F.lit(1)).alias("groups"))
-        .first()
-    )
-
-
-def _per_group(table: DataFrame, groups: int | None) -> DataFrame:
-    return F.broadcast(table) if groups is not None and groups <= MAX_BROADCAST_GROUPS else table
-
-
-def cap_filled(df: DataFrame, cols: AssetCols = DEFAULT_COLS, max_group_rows: int = MAX_GROUP_ROWS, sizes=None) -> DataFrame:
-    """adds ``country_cap_median`` and ``cap_filled`` = capacity, else country median, else global median."""
-    sizes = sizes or country_sizes(df, cols)
-    by_country = exact_quantile(df, cols.capacity, 0.5, [cols.country], "country_cap_median", max_group_rows, sizes["largest"])
-    overall = exact_quantile(df, cols.capacity, 0.5, [], "_global_median", max_group_rows, sizes["total"])
-    joined = attach_row(df.join(_per_group(by_country, sizes["groups"]), cols.country, "left"), overall)
-    return joined.withColumn(
-        "cap_filled", F.coalesce(F.col(cols.capacity), F.col("country_cap_median"), F.col("_global_median"))
-    ).drop("_global_median")
+def cap_filled(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
+    """adds ``country_cap_median`` and ``cap_filled`` = capacity, else country median, else global
+    median. A NaN capacity counts as missing."""
+    by_country = exact_quantile(df, cols.capacity, 0.5, [cols.country], "country_cap_median")
+    overall = exact_quantile(df, cols.capacity, 0.5, [], "_global_median")
+    joined = attach_row(df.join(by_country, cols.country, "left"), overall)
+    known = F.nullif(F.col(cols.capacity), F.lit(float("nan")))
+    return joined.withColumn("cap_filled", F.coalesce(known, F.col("country_cap_median"), F.col("_global_median"))).drop("_global_median")
 
 
 def add_cap_log(df: DataFrame) -> DataFrame:
@@ -59,12 +40,11 @@ def add_lat_lon_ratio(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFram
     return df.withColumn("lat_lon_ratio", F.col(cols.lat) / (F.abs(F.col(cols.lon)) + F.lit(1e-6)))
 
 
-def add_country_zscore(df: DataFrame, cols: AssetCols = DEFAULT_COLS, groups: int | None = None) -> DataFrame:
+def add_country_zscore(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
     """(cap_filled - country mean) / country sample std; 0 when std is 0 or undefined
-    (one row) and for rows without a country.  ``groups`` (number of countries, if known)
-    lets the per-country statistics be broadcast."""
+    (one row) and for rows without a country."""
     stats = df.groupBy(cols.country).agg(F.avg("cap_filled").alias("_mean"), F.stddev_samp("cap_filled").alias("_std"))
-    joined = df.join(_per_group(stats, groups), cols.country, "left")
+    joined = df.join(stats, cols.country, "left")
     # NaN sorts above every number in Spark, so "std > 0" alone would pass a NaN std (an infinite
     # capacity in the group); like pandas, such a group gets z = 0.
     ok = F.col(cols.country).isNotNull() & (F.col("_std") > 0) & ~F.isnan("_std")
@@ -72,19 +52,19 @@ def add_country_zscore(df: DataFrame, cols: AssetCols = DEFAULT_COLS, groups: in
     return joined.withColumn("country_cap_zscore", F.coalesce(z, F.lit(0.0))).drop("_mean", "_std")
 
 
-def engineer_features(df: DataFrame, cols: AssetCols = DEFAULT_COLS, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def engineer_features(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
     """F1-F4 in one plan; the row count is unchanged."""
-    sizes = country_sizes(df, cols)
-    out = cap_filled(df, cols, max_group_rows, sizes)
+    out = cap_filled(df, cols)
     out = add_cap_log(out)
     out = add_lat_lon_ratio(out, cols)
-    return add_country_zscore(out, cols, sizes["groups"])
+    return add_country_zscore(out, cols)
 
 
-def basic_features(df: DataFrame, cols: AssetCols = DEFAULT_COLS, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def basic_features(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
     """lat, lon and capacity with missing capacity filled by the table median."""
-    med = exact_quantile(df, cols.capacity, 0.5, [], "_median", max_group_rows)
-    out = attach_row(df, med).withColumn("capacity_filled", F.coalesce(F.col(cols.capacity), F.col("_median")))
+    med = exact_quantile(df, cols.capacity, 0.5, [], "_median")
+    known = F.nullif(F.col(cols.capacity), F.lit(float("nan")))
+    out = attach_row(df, med).withColumn("capacity_filled", F.coalesce(known, F.col("_median")))
     return out.drop("_median")
 
 

@@ -28,7 +28,9 @@ Spark layout
   cost (rows / rows_per_task) x (<= T (2 psi - 1)) node rows: with 500,000 rows per
   group and 100 trees that is about a tenth of the row count (a few % of the bytes),
   while a group still fits a Python worker.
-* Offsets: exact quantile per model key over checkpointed raw scores.
+* Only (row id, key, salt, features) cross to Python; scores come back by row id, and no other
+  column ever leaves the JVM.
+* Offsets: exact quantile per model key over checkpointed (row id, key, raw score) rows.
 """
 
 from __future__ import annotations
@@ -272,6 +274,9 @@ def mean_path_length(X: np.ndarray, arrays, block: int = 32) -> np.ndarray:
 
 
 def score_samples(X: np.ndarray, arrays, psi: int) -> np.ndarray:
+    """``-2^(-mean path / c(psi))``; -0.5 for a forest of one row, whose paths say nothing."""
+    if psi <= 1:
+        return np.full(len(X), -0.5)
     return -np.power(2.0, -mean_path_length(X, arrays) / float(c_factor(psi)))
 
 
@@ -351,7 +356,7 @@ def subsample(
         .withColumn("_psi_c", F.col("psi") + 6 * F.sqrt(F.col("psi")) + 10)
         .withColumn("_r", F.col("_psi_c") * n_trees / F.col("n_train"))
     )
-    rows = df.withColumn("model_key", mk).join(F.broadcast(sizes), "model_key")
+    rows = df.withColumn("model_key", mk).join(sizes, "model_key")
     rid = F.col(row_id)
     all_trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
     one = F.when(
@@ -432,10 +437,7 @@ def score_single(df: DataFrame, nodes_pdf: pd.DataFrame, psi: int, features, out
     return df.withColumn(out, forest_score(F.struct(*[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])))
 
 
-MAX_BROADCAST_MODELS = 1_000_000
-
-
-def score_per_key(
+def raw_per_key(
     df: DataFrame,
     nodes: DataFrame,
     sizes: DataFrame,
@@ -445,14 +447,11 @@ def score_per_key(
     out: str = "_raw",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Score rows with the forest of their key through a salted cogroup; rows whose key has no
-    forest (NULL, too few rows) get NULL.  ``sizes`` holds (model_key, n_train, psi) of the
-    trained keys.
-
-    One shuffle of the rows, by (key, salt): a trained key with n rows gets
-    ceil(n / rows_per_task) salts; keys without a forest (NULL included) are spread over a
-    wide salt range, which costs nothing since they receive no forest copies.  The per-model
-    table is broadcast when the number of models is under a bound."""
+    """``(row_id, model_key, out)`` of the rows whose key has a forest, through a salted cogroup.
+    ``sizes`` holds (model_key, n_train, psi) of the trained keys.
+
+    One shuffle of the narrow rows, by (key, salt): a trained key with n rows gets
+    ceil(n / rows_per_task) salts.  Rows without a forest (NULL key, too few rows) take no part."""
     feats = list(features)
     spark = df.sparkSession
     ship_package(spark)
@@ -460,28 +459,21 @@ def score_per_key(
     salts = sizes.select(
         "model_key", "psi", F.greatest(F.lit(1), F.ceil(F.col("n_train") / rows_per_task)).cast("int").alias("_salts")
     )
-    if salts.count() <= MAX_BROADCAST_MODELS:
-        salts = F.broadcast(salts)
     rows = (
-        df.withColumn("model_key", F.col(key).cast("string"))
-        .join(salts.select("model_key", "_salts"), "model_key", "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(F.col(row_id)), F.coalesce(F.col("_salts"), F.lit(parts))).cast("int"))
+        df.select(row_id, F.col(key).cast("string").alias("model_key"), *[F.col(f).cast("double").alias(f) for f in feats])
+        .join(salts.select("model_key", "_salts"), "model_key")
+        .withColumn("_salt", F.pmod(F.xxhash64(F.col(row_id)), F.col("_salts")).cast("int"))
         .drop("_salts")
     )
     forest = nodes.join(salts, "model_key").select("*", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
     forest = forest.drop("_salts")
-    out_schema = _add_double(rows.schema, out)
+    out_schema = _add_double(rows.select(row_id, "model_key").schema, out)
     names = out_schema.fieldNames()
 
     def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty:
+        if left.empty or right.empty:
             return pd.DataFrame({c: [] for c in names})
-        if right.empty:
-            left[out] = np.nan
-        else:
-            arrays = forest_arrays(right)
-            psi = int(right["psi"].iloc[0])
-            left[out] = score_samples(left[feats].to_numpy(dtype=float), arrays, psi)
+        left[out] = score_samples(left[feats].to_numpy(dtype=float), forest_arrays(right), int(right["psi"].iloc[0]))
         return left[names]
 
     rows = rows.repartition(parts, "model_key", "_salt")
@@ -490,11 +482,17 @@ def score_per_key(
         rows.groupBy("model_key", "_salt")
         .cogroup(forest.groupBy("model_key", "_salt"))
         .applyInPandas(fn, out_schema)
-        .drop("model_key", "_salt")
-        .withColumn(out, F.nullif(F.col(out), F.lit(float("nan"))))  # no model -> NULL, not NaN
     )
 
 
+def score_per_key(
+    df: DataFrame, nodes: DataFrame, sizes: DataFrame, key: str, features, row_id: str = "row_id", out: str = "_raw", rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Every row of ``df`` with the score of its key's forest; NULL where there is none."""
+    raw = raw_per_key(df, nodes, sizes, key, features, row_id, out, rows_per_task)
+    return df.join(raw.drop("model_key"), row_id, "left")
+
+
 def fit_forest(
     df: DataFrame,
     features,
@@ -509,58 +507,36 @@ def fit_forest(
     """Fit one forest (key=None) or one per key value with >= min_rows rows, and score the
     training rows.  Returns ``(model, scored)`` where ``scored`` is ``df`` plus ``_raw``
     (score_samples, NULL for rows without a model) and ``_decision`` (raw - offset)."""
-    spark = df.sparkSession
-    sizes_df = model_sizes(df, key, min_rows).withColumn("psi", F.least(F.lit(max_psi), F.col("n_train")).cast("int"))
-    # One row per model: a bounded summary.  Under the model-count bound it travels through
-    # the driver as a local relation (no checkpoint job); beyond it, it is checkpointed.
-    size_rows = sizes_df.limit(MAX_BROADCAST_MODELS + 1).collect()
-    if len(size_rows) <= MAX_BROADCAST_MODELS:
-        sizes = spark.createDataFrame(size_rows, sizes_df.schema)
-        largest = max((r["n_train"] for r in size_rows), default=None)
-        psi_single = size_rows[0]["psi"] if size_rows else None
-    else:
-        sizes = cut_lineage(sizes_df)
-        agg = sizes.agg(F.max("n_train"), F.max("psi")).first()
-        largest, psi_single = agg[0], agg[1]
-    if largest is None:
+    sizes = cut_lineage(model_sizes(df, key, min_rows).withColumn("psi", F.least(F.lit(max_psi), F.col("n_train")).cast("int")))
+    trained = sizes.first()
+    if trained is None:
         if key is None:
             raise ValueError("cannot fit a forest on an empty table")
         # no key has enough rows: every row falls back (no model, NULL scores)
-        empty_nodes = spark.createDataFrame([], NODE_SCHEMA)
+        empty_nodes = df.sparkSession.createDataFrame([], NODE_SCHEMA)
         offsets = sizes.withColumn("offset", F.lit(None).cast("double"))
         model = ForestModel(empty_nodes, offsets, tuple(features), key, contamination, seed)
         scored = df.withColumns({"_raw": F.lit(None).cast("double"), "_decision": F.lit(None).cast("double")})
         return model, scored
-    sample = subsample(df, sizes.drop("psi"), key, n_trees, seed, row_id, max_psi)
+    narrow = df.select(row_id, *([key] if key else []), *features)
+    sample = subsample(narrow, sizes.drop("psi"), key, n_trees, seed, row_id, max_psi)
     nodes = cut_lineage(grow_forest(sample, features, seed, row_id))
     if key is None:
-        scored = score_single(df, nodes.toPandas(), int(psi_single), features)
+        raw = score_single(narrow, nodes.toPandas(), int(trained["psi"]), features).select(row_id, F.lit(GLOBAL_KEY).alias("model_key"), "_raw")
     else:
-        scored = score_per_key(df, nodes, sizes, key, features, row_id)
-    scored = cut_lineage(scored)  # the Python scoring runs once; offsets and labels both read it
-    mk = _model_key_col(key)
-    trained = scored.withColumn("model_key", mk).where(F.col("_raw").isNotNull())
-    offs = exact_quantile(trained, "_raw", contamination, ["model_key"], "offset", largest=largest)
-    offsets_df = sizes.join(offs, "model_key", "left")
-    if len(size_rows) <= MAX_BROADCAST_MODELS:
-        offsets = spark.createDataFrame(offsets_df.collect(), offsets_df.schema)
-    else:
-        offsets = cut_lineage(offsets_df)
+        raw = raw_per_key(narrow, nodes, sizes, key, features, row_id)
+    raw = cut_lineage(raw)  # the Python scoring runs once; offsets and labels both read these narrow rows
+    offsets = cut_lineage(sizes.join(exact_quantile(raw, "_raw", contamination, ["model_key"], "offset"), "model_key", "left"))
     model = ForestModel(nodes, offsets, tuple(features), key, contamination, seed)
-    return model, apply_offsets(scored, model)
+    decided = raw.join(offsets.select("model_key", "offset"), "model_key").select(row_id, "_raw", (F.col("_raw") - F.col("offset")).alias("_decision"))
+    return model, df.join(decided, row_id, "left")
 
 
 def apply_offsets(scored: DataFrame, model: ForestModel) -> DataFrame:
-    """``_decision = _raw - offset`` of the row's model (offsets are one row per key: broadcast)."""
+    """``_decision = _raw - offset`` of the row's model."""
     mk = _model_key_col(model.key)
     offs = model.offsets.select(F.col("model_key").alias("_mk"), F.col("offset").alias("_offset"))
-    if model.key is None or offs.count() <= MAX_BROADCAST_MODELS:  # one row per model
-        offs = F.broadcast(offs)
-    return (
-        scored.join(offs, mk == F.col("_mk"), "left")
-        .withColumn("_decision", F.col("_raw") - F.col("_offset"))
-        .drop("_mk", "_offset")
-    )
+    return scored.join(offs, mk == F.col("_mk"), "left").withColumn("_decision", F.col("_raw") - F.col("_offset")).drop("_mk", "_offset")
 
 
 def score_forest(df: DataFrame, model: ForestModel, row_id: str = "row_id") -> DataFrame:

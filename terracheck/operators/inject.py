@@ -2,8 +2,8 @@
 missing capacities so detectors can be measured against ``error_flags``.
 
 Same seed, same output, whatever the partitioning.  Selections are exact
-(``int(n * pct)`` rows) through :func:`with_hash_rank`; the only actions are
-the row count and three bounded bucket-count summaries.
+(``int(n * pct)`` rows): a narrow predicate on (hash, id).  Only the rows that
+E1 and E2 select are shuffled, to be ranked; E3 shuffles nothing.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.functions.geometry import OCEAN_ZONES
 from terracheck.functions.rand import uniform
-from terracheck.operators.sampling import bucket_counts, with_hash_rank
+from terracheck.operators.sampling import bucket_counts, kth_cut, selected, with_hash_rank
 
 OCEAN = "OCEAN_COORDS"
 DUPLICATE = "DUPLICATE_ID"
@@ -64,13 +64,14 @@ def inject_duplicates(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_
     ).drop("_drank")
 
 
-def inject_missing(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS, counts=None) -> DataFrame:
-    """K rows (copies included) lose their capacity; flag ``_missing``."""
-    ranked = with_hash_rank(df, k, seed, "missing", cols.row_id, "_mrank", counts)
-    sel = F.col("_mrank").isNotNull()
-    return ranked.withColumns(
-        {cols.capacity: F.when(sel, F.lit(None).cast("double")).otherwise(F.col(cols.capacity)), "_missing": sel}
-    ).drop("_mrank")
+def inject_missing(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS, counts=None, ids=None) -> DataFrame:
+    """K rows (copies included) lose their capacity; flag ``_missing``.  ``ids``, a table of the
+    row ids of ``df``, spares a scan of it where one is known."""
+    ids = df.select(cols.row_id) if ids is None else ids
+    counts = counts if counts is not None else bucket_counts(ids, seed, ["missing"], cols.row_id)[0]["missing"]
+    cut = kth_cut(ids, k, seed, "missing", counts, cols.row_id) if k > 0 and counts else None
+    sel = selected(k, cut, seed, "missing", cols.row_id)
+    return df.withColumns({cols.capacity: F.when(sel, F.lit(None).cast("double")).otherwise(F.col(cols.capacity)), "_missing": sel})
 
 
 def inject_errors(
@@ -89,7 +90,7 @@ def inject_errors(
     counts, n, max_id = bucket_counts(df, seed, ["ocean", "duplicate", "missing"], cols.row_id)
     n_dup = int(n * pct_duplicate)
     n_missing = int((n + n_dup) * pct_missing)
-    missing_counts = counts["missing"]
+    missing_counts, ids = counts["missing"], df.select(cols.row_id)
     if n_dup > 0 and n_missing > 0:
         copies = df.sparkSession.range(max_id + 1, max_id + n_dup + 1).withColumnRenamed("id", cols.row_id)
         extra, _, _ = bucket_counts(copies, seed, ["missing"], cols.row_id)
@@ -97,9 +98,10 @@ def inject_errors(
         for b, c in missing_counts + extra["missing"]:
             merged[b] = merged.get(b, 0) + c
         missing_counts = list(merged.items())
+        ids = ids.unionByName(copies)
     out = inject_ocean(df, int(n * pct_ocean), seed, cols, counts["ocean"])
     out = inject_duplicates(out, n_dup, seed, cols, counts["duplicate"], max_id)
-    out = inject_missing(out, n_missing, seed, cols, missing_counts)
+    out = inject_missing(out, n_missing, seed, cols, missing_counts, ids)
     flags = F.array_join(
         F.array_compact(
             F.array(

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.functions.geometry import OCEAN_ZONES, in_boxes
-from terracheck.session import cut_lineage
-
 OCEAN = "OCEAN_COORDS"
 DUPLICATE = "DUPLICATE_ID"
 MISSING = "MISSING_CAPACITY"
@@ -58,7 +56,7 @@ def _issue(kind: str, detail):
     return F.struct(F.lit(kind).alias("issue_type"), detail.alias("detail"))
 
 
-MAX_BROADCAST_DUP_IDS = 2_000_000
+KINDS = (OCEAN, DUPLICATE, MISSING)
 
 
 def detect_qa_errors(
@@ -66,29 +64,27 @@ def detect_qa_errors(
     cols: AssetCols = DEFAULT_COLS,
     mode: str = "bbox",
     land=None,
-    max_broadcast_dup_ids: int = MAX_BROADCAST_DUP_IDS,
+    kinds=KINDS,
 ) -> DataFrame:
-    """Q5: union of ocean, duplicate-id and missing-capacity issues, one row per finding.
-
-    The duplicated ids (id + count, usually few) are materialised once and counted:
-    under ``max_broadcast_dup_ids`` they are broadcast, so the table itself is never
-    shuffled; above it the join is a shuffle join whose skewed ids AQE splits."""
-    flagged = with_ocean_flag(df, cols, mode, land)
-    counts = cut_lineage(id_counts(df, cols))
-    if counts.count() <= max_broadcast_dup_ids:
-        counts = F.broadcast(counts)
-    joined = flagged.join(counts, on=cols.id, how="left")
-    lat, lon = F.col(cols.lat).cast("string"), F.col(cols.lon).cast("string")
-    issues = F.array_compact(
-        F.array(
-            F.when(F.col("in_ocean"), _issue(OCEAN, F.concat(F.lit("lat="), lat, F.lit(", lon="), lon))),
-            F.when(
-                F.col("id_count").isNotNull(),
-                _issue(DUPLICATE, F.concat(F.lit("appears "), F.col("id_count").cast("string"), F.lit("x"))),
-            ),
-            F.when(F.col(cols.capacity).isNull(), _issue(MISSING, F.lit("capacity_mw is NaN"))),
-        )
-    )
+    """Q5: union of ocean, duplicate-id and missing-capacity issues, one row per finding; only what
+    ``kinds`` names is computed.
+
+    Lazy: nothing runs before the report does.  Spark broadcasts the duplicated ids when the run
+    shows that they are few, and splits skewed ids otherwise.  A missing coordinate is written
+    ``nan``; a NaN capacity is missing."""
+    joined, found = df, []
+    if OCEAN in kinds:
+        joined = with_ocean_flag(joined, cols, mode, land)
+        lat, lon = (F.when(F.isnan(c) | F.col(c).isNull(), "nan").otherwise(F.col(c).cast("string")) for c in (cols.lat, cols.lon))
+        found.append(F.when(F.col("in_ocean"), _issue(OCEAN, F.concat(F.lit("lat="), lat, F.lit(", lon="), lon))))
+    if DUPLICATE in kinds:
+        joined = joined.join(id_counts(df, cols), on=cols.id, how="left")
+        times = F.concat(F.lit("appears "), F.col("id_count").cast("string"), F.lit("x"))
+        found.append(F.when(F.col("id_count").isNotNull(), _issue(DUPLICATE, times)))
+    if MISSING in kinds:
+        gone = F.col(cols.capacity).isNull() | F.isnan(cols.capacity)
+        found.append(F.when(gone, _issue(MISSING, F.lit("capacity_mw is NaN"))))
+    issues = F.array_compact(F.array(*found))
     name = F.coalesce(F.col(cols.name), F.lit("")) if cols.name in df.columns else F.lit("")
     return joined.select(
         F.col(cols.row_id).alias("row_id"),
@@ -108,7 +104,7 @@ def detect_qa_errors(
 
 def qa_issue_type(df: DataFrame, kind: str, cols: AssetCols = DEFAULT_COLS, mode: str = "bbox", land=None) -> DataFrame:
     """Q2/Q3/Q4: the issues of one type."""
-    return detect_qa_errors(df, cols, mode, land).where(F.col("issue_type") == kind)
+    return detect_qa_errors(df, cols, mode, land, (kind,))
 
 
 def qa_issue_counts(issues: DataFrame) -> DataFrame:

@@ -1,110 +1,77 @@
 """Exact, linearly interpolated quantiles per group that never put a whole group in one task.
 
-``percentile`` keeps a value -> count map per group; its final merge holds all
-distinct values of a group in one task, which is fine for bounded groups but
-not for a country holding a third of 100 TB.  :func:`exact_quantile` counts
-group sizes first (one small action).  Up to ``max_group_rows`` it uses
-``percentile``; beyond, it range-partitions ``(keys, value)`` so a hot group
-spreads over many tasks, counts rows per (partition, group), derives each
-partition's rank offset on that small table, and picks the one or two order
-statistics the interpolation needs.
-
-Interpolation matches numpy/pandas ``linear``: position ``q * (n - 1)``.
-"""
+One path for every size. Values are first counted per (group, value), with partial sums, so a hot
+value is one row. Those rows are range-partitioned by (group, value), which spreads a hot group
+over many tasks; counts per (partition, group) give each partition's rank offset, and only the
+partitions that hold one of the one or two needed order statistics are ranked inside.
+
+Interpolation matches numpy/pandas ``linear``: position ``q * (n - 1)``. NULL is a group like any
+other; NULL and NaN values are left out."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracheck.session import cut_lineage
 
-MAX_GROUP_ROWS = 5_000_000
-
 
 def _interp(pos: Column, lo_v: Column, hi_v: Column) -> Column:
     lo_i, hi_i = F.floor(pos), F.ceil(pos)
     return F.when(lo_i == hi_i, lo_v).otherwise((hi_i - pos) * lo_v + (pos - lo_i) * hi_v)
 
 
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> tuple[DataFrame, Column, list[str]]:
+    """``right`` with its join columns renamed, the null-safe condition, and the new names."""
+    names = {c: f"_r_{c}" for c in columns}
+    right = right.withColumnsRenamed(names)
+    return right, reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[names[c]]) for c in columns]), list(names.values())
+
+
 def exact_quantile(
-    df: DataFrame,
-    value: str,
-    q: float,
-    keys: list[str] | tuple[str, ...] = (),
-    out: str = "quantile",
-    max_group_rows: int = MAX_GROUP_ROWS,
-    largest: int | None = None,
-    approx: bool = False,
-    accuracy: int = 10_000,
+    df: DataFrame, value: str, q: float, keys: list[str] | tuple[str, ...] = (), out: str = "quantile", approx: bool = False, accuracy: int = 10_000
 ) -> DataFrame:
-    """One row per group of ``keys`` (one row overall without keys) with the q-quantile of the
-    non-null values of ``value`` in column ``out`` (NULL when a group has no value).
+    """The q-quantile of ``value`` in column ``out``: one row per group of ``keys`` that has a value,
+    or one row overall without keys (NULL if there is no value).
 
-    ``largest`` (an upper bound of the biggest group's size) skips the size-check job.
-    ``approx=True`` opts into ``percentile_approx`` (a mergeable sketch of bounded size,
-    rank error about 1 / ``accuracy``): one aggregate, no size check, no ranking pass."""
+    ``approx=True`` opts into ``percentile_approx`` (a mergeable sketch of bounded size, rank error
+    about 1 / ``accuracy``)."""
     keys = list(keys)
-    vals = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    vals = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if approx:
-        grouped = vals.groupBy(*keys) if keys else vals.groupBy()
-        return grouped.agg(F.percentile_approx("_v", q, accuracy).alias(out))
-    if largest is None:
-        largest = vals.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    if largest is None:  # no values at all
-        empty = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
-        return empty.withColumn(out, F.lit(None).cast("double"))
-    if largest <= max_group_rows:
-        grouped = vals.groupBy(*keys) if keys else vals.groupBy()
-        return grouped.agg(F.percentile("_v", q).alias(out))
-    return _ranked_quantile(vals, q, keys, out)
-
-
-def _ranked_quantile(vals: DataFrame, q: float, keys: list[str], out: str) -> DataFrame:
-    spark = vals.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Partition ids are read twice (counts, then ranks); checkpoint the narrow (keys, value, pid)
-    # rows once so both reads see the same assignment whatever AQE does to the exchange.
-    ranged = cut_lineage(vals.repartitionByRange(n_parts, *keys, "_v").withColumn("_pid", F.spark_partition_id()))
-    part_counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"))
-    by_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    offsets = part_counts.withColumns(
-        {
-            "_before": F.coalesce(F.sum("_c").over(by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "_n": F.sum("_c").over(by_group),
-        }
-    ).withColumn("_pos", F.lit(q) * (F.col("_n") - 1))
-    # keep only partitions holding rank floor(pos) or ceil(pos) (0-based)
-    need = offsets.where(
-        ((F.floor("_pos") >= F.col("_before")) & (F.floor("_pos") < F.col("_before") + F.col("_c")))
-        | ((F.ceil("_pos") >= F.col("_before")) & (F.ceil("_pos") < F.col("_before") + F.col("_c")))
-    )
-    local = ranged.join(F.broadcast(need), ["_pid", *keys]).withColumn(
-        "_rank", F.col("_before") + F.row_number().over(Window.partitionBy("_pid", *keys).orderBy("_v")) - 1
-    )
-    picked = local.where((F.col("_rank") == F.floor("_pos")) | (F.col("_rank") == F.ceil("_pos")))
-    grouped = picked.groupBy(*keys) if keys else picked.groupBy()
-    return grouped.agg(
-        _interp(
-            F.first("_pos"),
-            F.min_by("_v", "_rank"),
-            F.max_by("_v", "_rank"),
-        ).alias(out)
-    )
-
-
-def median(df: DataFrame, value: str, keys=(), out: str = "median", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    return exact_quantile(df, value, 0.5, keys, out, max_group_rows)
-
-
-def exact_quantiles_row(df: DataFrame, values, q: float, suffix: str = "_q", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """One row: the q-quantile of each column in ``values`` (one fused aggregate when small)."""
+        return vals.groupBy(*keys).agg(F.percentile_approx("_v", q, accuracy).alias(out))
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # Partition ids are read twice (sums, then ranks): both must see the same assignment.
+    ranged = cut_lineage(counted.repartitionByRange(n_parts, *keys, "_v").withColumn("_pid", F.spark_partition_id()))
+    sums = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_s"))
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumns({"_before": F.coalesce(F.sum("_s").over(before), F.lit(0)), "_n": F.sum("_s").over(group)})
+    sums = sums.withColumn("_pos", F.lit(q) * (F.col("_n") - 1))
+
+    def holds(rank: Column) -> Column:
+        return (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_s"))
+
+    need = sums.where(holds(F.floor("_pos")) | holds(F.ceil("_pos"))).select("_pid", *keys, "_before", "_pos")
+    need, same, extra = _same(ranged, need, ["_pid", *keys])
+    local = ranged.join(need, same).drop(*extra)
+    inside = Window.partitionBy("_pid", *keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = local.withColumn("_last", F.col("_before") + F.sum("_c").over(inside) - 1).withColumn("_first", F.col("_last") - F.col("_c") + 1)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("_first")) & (rank <= F.col("_last")), F.col("_v")))
+
+    return local.groupBy(*keys).agg(_interp(F.first("_pos"), at(F.floor("_pos")), at(F.ceil("_pos"))).alias(out))
+
+
+def exact_quantiles_row(df: DataFrame, values, q: float, suffix: str = "_q") -> DataFrame:
+    """One row: the q-quantile of each column in ``values``, from one pass over the rows."""
     values = list(values)
-    n = df.agg(*[F.count(v).alias(v) for v in values]).first()
-    if all((n[v] or 0) <= max_group_rows for v in values):
-        return df.agg(*[F.percentile(F.col(v).cast("double"), q).alias(v + suffix) for v in values])
-    out = None
-    for v in values:
-        one = exact_quantile(df, v, q, [], v + suffix, max_group_rows)
-        out = one if out is None else out.crossJoin(one)
-    return out
+    pairs = F.explode(F.array(*[F.struct(F.lit(v).alias("_name"), F.col(v).cast("double").alias("_value")) for v in values]))
+    each = exact_quantile(df.select(pairs.alias("_p")).select("_p.*"), "_value", q, ["_name"])
+    return each.agg(*[F.max(F.when(F.col("_name") == v, F.col("quantile"))).alias(v + suffix) for v in values])
+
+

@@ -1,12 +1,10 @@
-"""Exact-k selection without a single-partition sort (S4, and E1-E3, M1 helpers).
+"""Exact-k selection without a sort or shuffle of the table (S4, and E1-E3 helpers).
 
-Rows are ordered by ``(md5(seed|step|row_id), row_id)``.  The first 4 hex digits
-give 65,536 buckets; their counts are the only thing the driver sees (a bounded
-summary, independent of table size), which yields each bucket's rank offset
-and the cut bucket.  Ranks inside a bucket come from ``row_number`` partitioned
-by bucket; buckets are uniform because row_ids are unique, so no task receives
-a hot group.
-"""
+Rows are ordered by ``(md5(seed|step|row_id), row_id)``. The k-th row of that order is found from
+counts of hash prefixes: 65,536 counts say which prefix holds it, and as long as that prefix holds
+more than ``FETCH`` rows, its own longer prefixes are counted in turn. The driver sees counts and at
+most ``FETCH`` ids. The selection is then the narrow predicate ``(hash, id) <= cut``; only selected
+rows are ranked, by prefix, so no task receives a hot group."""
 
 from __future__ import annotations
 
@@ -55,54 +53,71 @@ def bucket_counts(df: DataFrame, seed, steps, row_id: str = "row_id"):
     return counts, n, max_id
 
 
-FINE_BUCKET_ROWS = 2_000_000
+FETCH = 65_536
 
 
-def with_hash_rank(
-    df: DataFrame,
-    k: int,
-    seed,
-    step: str,
-    row_id: str = "row_id",
-    rank_col: str = "_rank",
-    counts=None,
-    fine_bucket_rows: int = FINE_BUCKET_ROWS,
-) -> DataFrame:
-    """Adds ``rank_col``: 1..k for the k rows first in hash order, NULL for all others.
-
-    ``counts`` (bucket, count) pairs of the row ids, when already known, spare a job.
-    When a 16-bit bucket holds more than ``fine_bucket_rows`` rows (about 10^11 rows in
-    total), offsets are refined to 32-bit buckets: a prefix sum over the (16-bit, 32-bit)
-    bucket counts, partitioned by the 16-bit bucket, so every window stays at n / 2^32 rows."""
+def kth_cut(ids: DataFrame, k: int, seed, step: str, counts, row_id: str = "row_id") -> tuple[str, int] | None:
+    """(hash, id) of the k-th row of ``ids`` in hash order; None when there are fewer than k + 1.
+    ``counts`` are its (bucket, count) pairs."""
     h = hash_hex(seed, step, F.col(row_id))
-    hashed = df.withColumns({"_h": h, "_bucket": hex_int(h, 1, BUCKET_HEX).cast("int")})
+    left, prefix, pairs = k, "", [(f"{b:0{BUCKET_HEX}x}", c) for b, c in counts]
+    if sum(c for _, c in pairs) <= k:
+        return None
+    hashed = ids.select(h.alias("_h"), F.col(row_id).alias("_id"))
+    while True:
+        for p, c in sorted(pairs):
+            if left <= c:
+                break
+            left -= c
+        prefix, inside = p, hashed.where(F.col("_h").startswith(p))
+        if c <= FETCH or len(prefix) >= 32:
+            return tuple(sorted((r["_h"], r["_id"]) for r in inside.collect())[left - 1])
+        longer = F.substring("_h", 1, len(prefix) + BUCKET_HEX)
+        pairs = [(r["p"], r["count"]) for r in inside.groupBy(longer.alias("p")).count().collect()]
+
+
+def selected(k: int, cut: tuple[str, int] | None, seed, step: str, row_id: str = "row_id"):
+    """Is a row among the first k?"""
     if k <= 0:
-        return hashed.withColumn(rank_col, F.lit(None).cast("bigint")).drop("_h", "_bucket")
-    if counts is None:
-        counts = [(r["_bucket"], r["count"]) for r in hashed.groupBy("_bucket").count().collect()]
-    offsets = bucket_offsets(df.sparkSession, counts, k)
-    if max(c for _, c in counts) <= fine_bucket_rows:
-        joined = hashed.join(F.broadcast(offsets), "_bucket", "left")
-        w = Window.partitionBy("_bucket").orderBy("_h", row_id)
-        rank = F.when(F.col("_offset").isNotNull(), F.col("_offset") + F.row_number().over(w))
-        return joined.withColumn(rank_col, F.when(rank <= k, rank)).drop("_h", "_bucket", "_offset")
-    # fine path: 32-bit buckets inside the selected 16-bit ones
-    cut = offsets.agg(F.max("_bucket")).first()[0]
-    fine = hashed.withColumn("_fine", hex_int(F.col("_h"), 1, 2 * BUCKET_HEX))
-    per_fine = fine.where(F.col("_bucket") <= cut).groupBy("_bucket", "_fine").agg(F.count(F.lit(1)).alias("_c"))
-    inside = Window.partitionBy("_bucket").orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
-    fine_off = (
-        per_fine.join(F.broadcast(offsets), "_bucket")
-        .withColumn("_foff", F.col("_offset") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
-        .where(F.col("_foff") < k)
-        .select("_fine", "_foff")
-    )
-    joined = fine.join(fine_off, "_fine", "left")
-    w = Window.partitionBy("_fine").orderBy("_h", row_id)
-    rank = F.when(F.col("_foff").isNotNull(), F.col("_foff") + F.row_number().over(w))
-    return joined.withColumn(rank_col, F.when(rank <= k, rank)).drop("_h", "_bucket", "_fine", "_foff")
+        return F.lit(False)
+    if cut is None:
+        return F.lit(True)
+    h = hash_hex(seed, step, F.col(row_id))
+    return (h < cut[0]) | ((h == cut[0]) & (F.col(row_id) <= cut[1]))
+
+
+def _counts(df: DataFrame, seed, step: str, row_id: str) -> list[tuple[int, int]]:
+    return bucket_counts(df, seed, [step], row_id)[0][step]
+
+
+def _ranked(chosen: DataFrame, seed, step: str, row_id: str, rank_col: str, counts, k: int) -> DataFrame:
+    """``rank_col`` from 1 on for rows that are all selected: the only rows that are shuffled."""
+    offsets = bucket_offsets(chosen.sparkSession, counts, k)
+    h = hash_hex(seed, step, F.col(row_id))
+    hashed = chosen.withColumns({"_h": h, "_bucket": hex_int(h, 1, BUCKET_HEX).cast("int")})
+    w = Window.partitionBy("_bucket").orderBy("_h", row_id)
+    joined = hashed.join(F.broadcast(offsets), "_bucket")  # 65,536 rows at most
+    return joined.withColumn(rank_col, F.col("_offset") + F.row_number().over(w)).drop("_h", "_bucket", "_offset")
+
+
+def with_hash_rank(df: DataFrame, k: int, seed, step: str, row_id: str = "row_id", rank_col: str = "_rank", counts=None) -> DataFrame:
+    """Adds ``rank_col``: 1..k for the k rows first in hash order, NULL for all others.
+
+    ``counts`` (bucket, count) pairs of the row ids, when already known, spare a job."""
+    counts = counts if counts is not None else _counts(df, seed, step, row_id)
+    none = F.lit(None).cast("bigint")
+    if k <= 0 or not counts:
+        return df.withColumn(rank_col, none)
+    hit = selected(k, kth_cut(df, k, seed, step, counts, row_id), seed, step, row_id)
+    ranked = _ranked(df.where(hit), seed, step, row_id, rank_col, counts, k)
+    return ranked.unionByName(df.where(~hit).withColumn(rank_col, none))
 
 
 def sample_exact_n(df: DataFrame, n: int, seed=42, step: str = "sample", row_id: str = "row_id") -> DataFrame:
-    """Exactly ``min(n, rows)`` rows without replacement, the same for the same seed."""
-    return with_hash_rank(df, n, seed, step, row_id, "sample_rank").where(F.col("sample_rank").isNotNull())
+    """Exactly ``min(n, rows)`` rows without replacement, the same for the same seed; no rows of
+    an empty table."""
+    counts = _counts(df, seed, step, row_id)
+    if n <= 0 or not counts:
+        return df.withColumn("sample_rank", F.lit(None).cast("bigint")).limit(0)
+    cut = kth_cut(df, n, seed, step, counts, row_id)
+    return _ranked(df.where(selected(n, cut, seed, step, row_id)), seed, step, row_id, "sample_rank", counts, n)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.operators import forest as FO
 from terracheck.operators.features import COUNTRY_FEATURES, GLOBAL_FEATURES, basic_features, engineer_features
-from terracheck.operators.quantiles import MAX_GROUP_ROWS, exact_quantiles_row
+from terracheck.operators.quantiles import exact_quantiles_row
 from terracheck.session import attach_row, cut_lineage
 
 MIN_COUNTRY_ASSETS = 10
@@ -32,17 +32,12 @@ def country_eligibility(df: DataFrame, cols: AssetCols = DEFAULT_COLS, min_rows:
     )
 
 
-def minmax_stats(df: DataFrame, columns, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """One row with, per column c: c_med (exact median), c_min, c_max and c_nulls (any NULL?).
-    One fused aggregate when the column is small enough for ``percentile``."""
+def minmax_stats(df: DataFrame, columns) -> DataFrame:
+    """One row with, per column c: c_med (exact median), c_min, c_max and c_nulls (any NULL?)."""
     columns = list(columns)
-    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
     plain = [F.min(c).alias(c + "_min") for c in columns] + [F.max(c).alias(c + "_max") for c in columns]
     plain += [(F.count(F.lit(1)) > F.count(c)).alias(c + "_nulls") for c in columns]
-    if all((sizes[c] or 0) <= max_group_rows for c in columns):
-        return df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c + "_med") for c in columns], *plain)
-    meds = exact_quantiles_row(df, columns, 0.5, "_med", max_group_rows)
-    return df.agg(*plain).crossJoin(F.broadcast(meds))
+    return attach_row(df.agg(*plain), exact_quantiles_row(df, columns, 0.5, "_med"))
 
 
 def invert_minmax(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -150,10 +145,13 @@ def train_and_score_per_country(
 
 def run_ml_anomaly_detection(df: DataFrame, contamination=0.08, random_state=42, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
     """Features -> global forest -> per-country forests -> blended score; rows unchanged."""
-    featured = cut_lineage(engineer_features(df, cols))
-    _, g = train_global_model(featured, contamination, random_state, row_id=cols.row_id)
-    _, c = train_and_score_per_country(g, contamination, random_state, cols=cols)
-    return compute_final_score(c)
+    featured = engineer_features(df, cols)
+    narrow = cut_lineage(featured.select(cols.row_id, cols.country, *GLOBAL_FEATURES))
+    _, g = train_global_model(narrow, contamination, random_state, row_id=cols.row_id)
+    _, c = train_and_score_per_country(narrow, contamination, random_state, cols=cols)
+    c = c.select(cols.row_id, "country_score", "country_anomaly", "model_used")
+    scores = cut_lineage(compute_final_score(g.select(cols.row_id, "global_score", "global_anomaly").join(c, cols.row_id)))
+    return featured.join(scores, cols.row_id, "left")
 
 
 SCORED_OUTPUT_COLUMNS = (

@@ -27,18 +27,26 @@ def scan_assets(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Stru
     """Read an asset file with an explicit schema and project the 8 asset columns.
 
     Extra file columns are never materialised (CSV column pruning / Parquet
-    ReadSchema).  Any Spark-readable URI works (object stores, HDFS, local).
+    ReadSchema).  Any Spark-readable URI works (object stores, HDFS, local).  Whole numbers are
+    read through DOUBLE, so ``2013.0`` is the year 2013; a fraction is no year and becomes NULL.
+    NaN, text or number, is NULL from here on (:func:`normalise_nulls`).  A file without one of
+    the columns raises, whatever its format.
     """
     reader = spark.read
     if fmt == "csv":
         # CSV carries all columns; declare them as strings we then project and cast,
         # so files with extra columns in any order still load.
         df = reader.option("header", True).option("enforceSchema", False).csv(path)
-        wanted = schema or ASSET_SCHEMA
-        return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted.fields])
+        return normalise_nulls(df.select([_typed(f).alias(f.name) for f in (schema or ASSET_SCHEMA).fields]))
     df = reader.format(fmt).load(path)
-    wanted = schema or ASSET_SCHEMA
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields if f.name in df.columns])
+    return normalise_nulls(df.select([_typed(f).alias(f.name) for f in (schema or ASSET_SCHEMA).fields]))
+
+
+def _typed(field: T.StructField) -> Column:
+    if not isinstance(field.dataType, T.IntegralType):
+        return F.col(field.name).try_cast(field.dataType)
+    number = F.col(field.name).try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast(field.dataType))
 
 
 def _lpad_key(k: Column, width: int) -> Column:

@@ -100,7 +100,6 @@ def test_geojson_lines_reader(spark, tmp_path):
 
 
 def test_shuffle_fallbacks_equal_broadcast_paths(spark, assets_small, edges_small):
-    from terracheck.operators.qa import detect_qa_errors
 
     def as_map(df, col):
         return {r.row_id: r[col] for r in df.select("row_id", col).collect()}
@@ -112,7 +111,15 @@ def test_shuffle_fallbacks_equal_broadcast_paths(spark, assets_small, edges_smal
     assert as_map(geo.on_land(assets_small, edges_small), "on_land") == as_map(
         geo.on_land(assets_small, edges_small, max_broadcast_edges=0), "on_land"
     )
+
+
+def test_issue_kinds_add_up_and_missing_coordinates(spark, assets_small, edges_small):
+    from terracheck.operators.qa import detect_qa_errors
+
     key = lambda r: (r.row_id, r.issue_type, r.detail)
-    a = sorted(map(key, detect_qa_errors(assets_small).collect()))
-    b = sorted(map(key, detect_qa_errors(assets_small, max_broadcast_dup_ids=0).collect()))
-    assert a == b
+    whole = sorted(map(key, detect_qa_errors(assets_small).collect()))
+    parts = sorted(key(r) for k in ("OCEAN_COORDS", "DUPLICATE_ID", "MISSING_CAPACITY") for r in detect_qa_errors(assets_small, kinds=(k,)).collect())
+    assert whole == parts
+    rows = spark.createDataFrame([(1, "a", 1.0, None, 5.0), (2, "b", float("nan"), 1.0, float("nan"))], "row_id long, gppd_idnr string, capacity_mw double, latitude double, longitude double")
+    got = {(r.row_id, r.issue_type): r.detail for r in detect_qa_errors(rows, mode="land", land=edges_small).collect()}
+    assert got[1, "OCEAN_COORDS"] == "lat=nan, lon=5.0" and got[2, "OCEAN_COORDS"] == "lat=1.0, lon=nan" and (2, "MISSING_CAPACITY") in got

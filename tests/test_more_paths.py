@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from terracheck.operators.features import standard_scale
-from terracheck.operators.quantiles import exact_quantiles_row
 from terracheck.sources.assets import scan_assets
 from terracheck.sources.polygons import read_vertex_table, vertices_to_edges
 
@@ -36,9 +35,3 @@ def test_global_standard_scale(spark):
     a = np.array([1.0, 2.0, 3.0, 4.0])
     assert [r.a_scaled for r in out] == pytest.approx(list((a - a.mean()) / a.std()))
     assert all(r.b_scaled == 0.0 for r in out)  # std 0 -> divide by 1
-
-
-def test_quantile_row_ranked_path(spark):
-    df = spark.createDataFrame(pd.DataFrame({"a": [1.0, 2.0, 3.0, 10.0], "b": [5.0, None, 1.0, 3.0]}))
-    r = exact_quantiles_row(df, ["a", "b"], 0.5, "_m", max_group_rows=0).first()
-    assert (r.a_m, r.b_m) == (2.5, 3.0)

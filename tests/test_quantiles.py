@@ -1,4 +1,4 @@
-"""Exact quantiles: the range-partitioned path equals percentile, also with a hot key."""
+"""Exact quantiles against numpy: hot keys, hot values, NULL keys."""
 
 import numpy as np
 import pandas as pd
@@ -8,24 +8,22 @@ from terracheck.operators.quantiles import exact_quantile, exact_quantiles_row
 
 
 @pytest.mark.parametrize("q", [0.08, 0.5, 0.9])
-def test_ranked_equals_percentile(spark, q):
+def test_matches_numpy(spark, q):
     rng = np.random.default_rng(1)
     keys = np.where(rng.random(5000) < 0.34, "HOT", rng.choice(["a", "b", "c", "d"], 5000))
     vals = rng.normal(size=5000).round(3)  # many ties
     vals[::50] = np.nan
     df = spark.createDataFrame(pd.DataFrame({"k": keys, "v": vals})).repartition(4)
     fast = {r.k: r.quantile for r in exact_quantile(df, "v", q, ["k"]).collect()}
-    ranked = {r.k: r.quantile for r in exact_quantile(df, "v", q, ["k"], max_group_rows=0).collect()}
-    assert fast.keys() == ranked.keys()
+    assert fast.keys() == set(keys)
     for k in fast:
-        assert fast[k] == pytest.approx(ranked[k], abs=1e-12)
         expect = np.quantile(vals[(keys == k) & ~np.isnan(vals)], q)
         assert fast[k] == pytest.approx(expect, abs=1e-12)
 
 
 def test_global_and_row(spark):
     df = spark.createDataFrame(pd.DataFrame({"a": [1.0, 2.0, 3.0, 10.0], "b": [5.0, None, 1.0, 3.0]}))
-    assert exact_quantile(df, "a", 0.5, max_group_rows=0).first()[0] == 2.5
+    assert exact_quantile(df, "a", 0.5).first()[0] == 2.5
     r = exact_quantiles_row(df, ["a", "b"], 0.5, "_m").first()
     assert (r.a_m, r.b_m) == (2.5, 3.0)
     empty = df.where("a > 100")
@@ -39,3 +37,13 @@ def test_approx_opt_in_is_close(spark):
     approx = {r.k: r.quantile for r in exact_quantile(df, "v", 0.5, ["k"], approx=True).collect()}
     for k in exact:
         assert abs(exact[k] - approx[k]) < 0.01
+
+
+def test_null_key_hot_value_and_nan(spark):
+    rows = [(None, float(i % 7)) for i in range(70)] + [("a", 5.0)] * 600 + [("a", float(i)) for i in range(400)] + [("a", float("nan")), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    for q in (0.25, 0.5, 0.9):
+        got = {r.k: r.quantile for r in exact_quantile(df, "v", q, ["k"]).collect()}
+        assert set(got) == {None, "a"}
+        for k in got:
+            assert got[k] == pytest.approx(np.quantile([v for key, v in rows if key == k and v is not None and v == v], q))
