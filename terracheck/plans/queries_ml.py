@@ -224,13 +224,80 @@ def q_score_fixed_forest(spark, sf):
     return s.select("row_id", _r("fixed_score"))
 
 
-# --- forests (no SQL twin: random growth; checked by properties in tests) ---------------------
-@register("forest_subsample")
+def _per_country_sql() -> str:
+    """Even countries use the fixed forest, odd ones its first tree alone; unknown ones have none."""
+    p0 = f"CASE WHEN latitude <= 0 THEN {1 + float(_C(100))!r} WHEN longitude <= 0 THEN 2.0 ELSE {2 + float(_C(5))!r} END"
+    p1 = f"CASE WHEN longitude <= 50 THEN {1 + float(_C(30))!r} ELSE 2.0 END"
+    c256 = repr(float(_C(256)))
+    return with_assets(
+        f""", n AS (SELECT *, CASE WHEN country = 'XX' THEN NULL ELSE CAST(substr(country, 2) AS INTEGER) % 2 END AS odd FROM assets)
+SELECT row_id, 9007199254740993 + row_id AS big, round(CASE odd WHEN 0 THEN -power(2.0, -(({p0}) + ({p1})) / 2 / {c256})
+  WHEN 1 THEN -power(2.0, -({p0}) / {c256}) END, 6) AS fixed_score FROM n"""
+    )
+
+
+@register("score_fixed_per_country", _per_country_sql())
+def q_score_fixed_per_country(spark, sf):
+    """M7's scorer, salted cogroup included, on a fixed forest per country; ``big`` stays outside Python."""
+    a = load_assets(spark, sf).withColumn("big", F.col("row_id") + F.lit(9007199254740993))
+    sizes = a.where("country <> 'XX'").groupBy(F.col("country").alias("model_key")).agg(F.count(F.lit(1)).alias("n_train")).withColumn("psi", F.lit(256))
+    fixed = spark.createDataFrame(FIXED_NODES.drop(columns="model_key"))
+    nodes = sizes.select("model_key", (F.substring("model_key", 2, 2).cast("int") % 2).alias("_odd")).join(fixed, (F.col("_odd") == 0) | (F.col("tree_id") == 0)).drop("_odd")
+    scored = FO.score_per_key(a, nodes, sizes, "country", ["latitude", "longitude"], out="fixed_score", rows_per_task=100)
+    return scored.select("row_id", "big", _r("fixed_score"))
+
+
+# --- forests: growth is random, so SQL states what holds for any forest -------------------------
+_MODELS_SQL = "c AS (SELECT country, count(*) AS n FROM assets WHERE country IS NOT NULL GROUP BY country HAVING count(*) >= 10)"
+
+
+@register(
+    "forest_subsample",
+    with_assets(
+        f""", {_MODELS_SQL} SELECT country AS model_key, CAST(t AS INTEGER) AS tree_id, CAST(least(256, n) AS BIGINT) AS n_rows,
+  CAST(least(256, n) AS INTEGER) AS psi FROM c, range(100) r(t)"""
+    ),
+)
 def q_forest_subsample(spark, sf):
     a = load_assets(spark, sf)
     sizes = FO.model_sizes(a, "country", 10)
     s = FO.subsample(a, sizes, "country", 100, 42)
-    return s.groupBy("model_key", "tree_id").agg(F.count(F.lit(1)).alias("n_rows"), F.first("psi").alias("psi"))
+    return s.groupBy("model_key", "tree_id").agg(F.count_distinct("row_id").alias("n_rows"), F.first("psi").alias("psi"))
+
+
+@register(
+    "forest_growth",
+    with_assets(
+        f""", {_MODELS_SQL} SELECT country AS model_key, CAST(t AS INTEGER) AS tree_id, CAST(least(256, n) AS INTEGER) AS psi, n AS n_train,
+  true AS full_binary, true AS depth_bounded, true AS has_offset FROM c, range(100) r(t)"""
+    ),
+)
+def q_forest_growth(spark, sf):
+    """M2, M4, M7: every tree of every country's forest, what it was grown on, and its shape."""
+    model, _ = SC.train_and_score_per_country(featured(spark, sf))
+    leaf = F.col("feature") < 0
+    per_tree = model.nodes.groupBy("model_key", "tree_id").agg(F.count_if(leaf).alias("leaves"), F.count_if(~leaf).alias("inner"))
+    joined = per_tree.join(model.offsets, "model_key")
+    return joined.select(
+        "model_key", "tree_id", "psi", "n_train", (F.col("leaves") == F.col("inner") + 1).alias("full_binary"),
+        (F.col("leaves") <= F.least("psi", F.pow(F.lit(2), F.ceil(F.log2("psi"))))).alias("depth_bounded"), F.col("offset").isNotNull().alias("has_offset"),
+    )
+
+
+@register(
+    "ml_run_invariants",
+    with_assets(
+        """, c AS (SELECT country, count(*) AS n FROM assets GROUP BY country)
+SELECT a.row_id, a.capacity_mw, CASE WHEN c.country IS NOT NULL AND c.n >= 10 THEN 'country' ELSE 'global_fallback' END AS model_used,
+  true AS scored, true AS flagged_by_rule FROM assets a LEFT JOIN c ON a.country IS NOT DISTINCT FROM c.country"""
+    ),
+)
+def q_ml_run_invariants(spark, sf):
+    """Every row has scores in range, its model, and a flag that follows from them."""
+    out = SC.run_ml_anomaly_detection(load_assets(spark, sf))
+    ranged = F.col("ANOMALY_SCORE").between(0, 1) & F.col("global_score").between(-1, 1) & (F.col("country_score").isNotNull() == (F.col("model_used") == "country"))
+    rule = (F.col("ANOMALY_SCORE") > SC.SCORE_THRESHOLD) | F.col("global_anomaly") | F.col("country_anomaly")
+    return out.select("row_id", "capacity_mw", "model_used", F.coalesce(ranged, F.lit(False)).alias("scored"), (F.col("IS_ANOMALY") == rule).alias("flagged_by_rule"))
 
 
 def featured(spark, sf, supplier: bool = False):
@@ -288,9 +355,16 @@ def q_ml_anomaly_run(spark, sf):
                       "ANOMALY_SCORE", "IS_ANOMALY")
 
 
-@register("scored_output_projection")
+@register(
+    "scored_output_projection",
+    with_assets(
+        STANDIN_SQL
+        + """SELECT s.gppd_idnr, s.name, x.country, s.primary_fuel, x.latitude, x.longitude, x.capacity_mw, ANOMALY_SCORE, IS_ANOMALY,
+  global_score, country_score, model_used FROM scored x JOIN assets s USING (row_id)"""
+    ),
+)
 def q_scored_output_projection(spark, sf):
+    """S9 on the stand-in scores: the wanted columns that exist, in order."""
     from terracheck.sources.assets import project_existing
 
-    return project_existing(SC.run_ml_anomaly_detection(load_assets(spark, sf)), SC.SCORED_OUTPUT_COLUMNS)
-
+    return project_existing(standin_final(spark, sf), SC.SCORED_OUTPUT_COLUMNS)
