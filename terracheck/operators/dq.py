@@ -16,41 +16,41 @@ from pyspark.sql import functions as F
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.functions.text import py_fixed
 from terracheck.operators.expectations import suite_by_dimension
-from terracheck.session import attach_row
+from terracheck.session import attach_row, cut_lineage
 
-# Dimension names, pass thresholds, descriptions and sources of the report.
+# Dimension names and pass thresholds; what each says and which operator it is from.
 DIMENSIONS = (
     (
         1,
         "ACCURACY",
         None,
         0.95,
-        "Fraction of assets whose coordinates fall within their reported country's borders.",
-        "Pydantic model_validator → Shapely spatial check",
+        "Share of assets that lie inside, or within half a degree of, the country they name.",
+        "validate_assets: point in country by edge crossings",
     ),
     (
         2,
         "COMPLETENESS",
         "Completeness",
         0.95,
-        "Fraction of required fields (capacity_mw, commissioning_year) that are non-null.",
-        "Great Expectations → expect_column_values_to_not_be_null",
+        "Share of the completeness checks that pass: capacity and year are known often enough.",
+        "expectation suite: not_null, not_null_mostly",
     ),
     (
         3,
         "CONSISTENCY",
         "Consistency",
         0.95,
-        "Fraction of business-rule checks passed (capacity ≥ 0, year ∈ [1900–2100]).",
-        "Great Expectations → expect_column_values_to_be_between",
+        "Share of the range checks that pass: capacity from 0 on, year from 1900 to 2100.",
+        "expectation suite: between",
     ),
     (
         4,
         "UNIQUENESS",
         "Uniqueness",
         0.99,
-        "Fraction of asset IDs that are unique (no duplicate gppd_idnr values).",
-        "Great Expectations → expect_column_values_to_be_unique",
+        "Share of the uniqueness checks that pass: no id is on two rows.",
+        "expectation suite: unique",
     ),
 )
 PASS = "✅ PASS"
@@ -109,8 +109,9 @@ def dimension_scores(suite: DataFrame, validated: DataFrame) -> DataFrame:
     )
 
 
-def overall(dimensions: DataFrame, suite: DataFrame, validated: DataFrame) -> DataFrame:
-    """D4 + run metadata: plain mean of the four dimension scores; PASS at 0.90."""
+def overall(dimensions: DataFrame, suite: DataFrame, validated: DataFrame, run_time: str | None = None) -> DataFrame:
+    """D4 + run metadata: plain mean of the four dimension scores; PASS at 0.90.  ``run_time``, the
+    caller's time of the run, becomes a column of that name when it is given."""
     mean = dimensions.agg(F.avg("raw_score").alias("raw"))
     meta = suite.agg(
         F.count(F.lit(1)).alias("gx_checks"),
@@ -128,6 +129,7 @@ def overall(dimensions: DataFrame, suite: DataFrame, validated: DataFrame) -> Da
             F.round("raw", 4).alias("overall_score"),
             F.concat(py_fixed(F.col("raw") * 100, 1), F.lit("%")).alias("overall_pct"),
             _status(F.col("raw"), OVERALL_PASS).alias("overall_status"),
+            *([F.lit(run_time).alias("run_time")] if run_time is not None else []),
         )
     )
 
@@ -160,8 +162,11 @@ def build_dq_report(
     validated: DataFrame | None = None,
     country_edges: DataFrame | None = None,
     cols: AssetCols = DEFAULT_COLS,
+    run_time: str | None = None,
 ) -> DqReport:
-    """The report bundle; runs the asset validation when ``validated`` is not given."""
+    """The report bundle; runs the asset validation when ``validated`` is not given.  The suite
+    (one row per check) is written once, since four tables read it."""
+    suite = cut_lineage(suite)
     if validated is None:
         if country_edges is None:
             raise ValueError("pass the validated asset table or the country edges to validate with")
@@ -171,7 +176,7 @@ def build_dq_report(
     dims = dimension_scores(suite, validated)
     return DqReport(
         dimensions=dims,
-        summary=overall(dims, suite, validated),
+        summary=overall(dims, suite, validated, run_time),
         checks=dimension_checks(suite),
         issues=accuracy_issues(validated, cols),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS as C
@@ -93,22 +95,35 @@ def suite(spark, sf):
 
 
 register("expectation_suite", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite"))(suite)
+
+
+def _numbered(result, first: int):
+    """A single check's result with the number that it has in the default suite."""
+    return result.withColumn("check_order", (F.col("check_order") + first - 1).cast("int"))
+
+
+SUITE = X.default_suite()
+
+
+def _expect_between(spark, sf):
+    a = load_assets(spark, sf)
+    parts = [_numbered(X.expect_between(a, ch.column, ch.lo, ch.hi, ch.dimension), k) for k, ch in enumerate(SUITE, 1) if ch.kind == "between"]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
 register("expect_not_null", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite WHERE check_order = 1"))(
-    lambda spark, sf: X.run_expectation_suite(load_assets(spark, sf), X.default_suite()[:1])
+    lambda spark, sf: X.expect_not_null(load_assets(spark, sf), SUITE[0].column, SUITE[0].threshold)
 )
 register("expect_not_null_mostly", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite WHERE check_order = 2"))(
-    lambda spark, sf: X.run_expectation_suite(load_assets(spark, sf), X.default_suite()[:2]).where("check_order = 2")
+    lambda spark, sf: _numbered(X.expect_not_null_mostly(load_assets(spark, sf), SUITE[1].column, SUITE[1].threshold), 2)
 )
 register("expect_row_count", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite WHERE check_order = 3"))(
-    lambda spark, sf: X.run_expectation_suite(load_assets(spark, sf), X.default_suite())
-    .where("check_order = 3")
+    lambda spark, sf: _numbered(X.expect_row_count(load_assets(spark, sf), SUITE[2].lo, SUITE[2].hi), 3)
 )
 register("expect_unique", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite WHERE check_order = 4"))(
-    lambda spark, sf: X.run_expectation_suite(load_assets(spark, sf), X.default_suite()).where("check_order = 4")
-)
-register("expect_between", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite WHERE check_order >= 5"))(
-    lambda spark, sf: X.run_expectation_suite(load_assets(spark, sf), X.default_suite()).where("check_order >= 5")
+    lambda spark, sf: _numbered(X.expect_unique(load_assets(spark, sf), SUITE[3].column), 4)
 )
+register("expect_between", with_assets(SUITE_SQL + f"SELECT {SUITE_COLS} FROM suite WHERE check_order >= 5"))(_expect_between)
 register(
     "top_duplicate_values",
     with_assets(
