@@ -217,7 +217,10 @@ def _fixed_sql() -> str:
     return with_assets(f"SELECT row_id, round(-power(2.0, -(({p0}) + ({p1})) / 2 / {c256}), 6) AS fixed_score FROM assets")
 
 
-@register("score_fixed_forest", _fixed_sql())
+FIXED_SQL = _fixed_sql()
+
+
+@register("score_fixed_forest", FIXED_SQL)
 def q_score_fixed_forest(spark, sf):
     a = load_assets(spark, sf).select("row_id", "latitude", "longitude")
     s = FO.score_single(a, FIXED_NODES, 256, ["latitude", "longitude"], out="fixed_score")
