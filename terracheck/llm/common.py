@@ -23,7 +23,7 @@ from terracheck.session import ensure_checkpoint_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: Bytes of text that one array step handles.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +49,7 @@ def pack_texts(df: DataFrame) -> DataFrame:
     fields = [T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in df.schema.fields]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for i, j, raw, off in text_slices(batch.column(at)):
                 columns = [c.slice(i, j - i) for c in batch.columns]

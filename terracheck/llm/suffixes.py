@@ -113,10 +113,11 @@ def _again(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, copies: DataFrame, length: int) -> DataFrame:
-    """``th, lo, hi``: runs of window starts (ends included) of texts whose windows also start
-    elsewhere; ``copies`` has ``th`` and one ``doc_id`` of each text."""
+    """``th, found``: for each text its runs of window starts (``lo``, ``hi``, both included) whose
+    windows also start elsewhere; ``copies`` has ``th`` and one ``doc_id`` of each text."""
     width = width_of(length)
-    half = anchor_rows(docs, length, width, full=False).groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
+    # a table of its own: a join of two shuffles is one that Spark splits where a rank is hot
+    half = written(anchor_rows(docs, length, width, full=False).groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half"), "halves")
     rows = written(anchor_rows(docs, length, width, full=True).join(half, "half"), "anchors")
     rows = rows.withColumn("reach", F.col("place").bitwiseAND(F.lit(_LOW)))
     runs = rows.groupBy("half", "rest", "reach", "run").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("th", "place")).alias("one"))
@@ -128,6 +129,8 @@ def repeated_windows(docs: DataFrame, copies: DataFrame, length: int) -> DataFra
 
     back, near = F.shiftright("place", _BITS).bitwiseAND(F.lit((1 << _BITS) - 1)), F.col("place").bitwiseAND(F.lit((1 << _BITS) - 1))
     whole = settled.select("th", (anchor(F.col("place")) - back).alias("lo"), (anchor(F.col("place")) - near).alias("hi"))
+    # a text's distinct runs of starts: at most one for each of its bytes
+    whole = written(whole.groupBy("th").agg(F.collect_set(F.struct("lo", "hi")).alias("found")), "settled")
 
     open_runs = _again(runs, ["half", "rest"])
     asked = open_runs.groupBy("th").agg(F.collect_list(F.struct("place", "n")).alias("asked"))
@@ -139,23 +142,25 @@ def repeated_windows(docs: DataFrame, copies: DataFrame, length: int) -> DataFra
         h64 = xxhash.xxh3_64_intdigest
         for batch in batches:
             for r, data in enumerate(unpack(batch.column(1))):
-                key, at, start, alone = [], [], [], []
+                key, where = [], []
                 for place, n in zip(batch.column(2)[r].as_py(), batch.column(3)[r].as_py()):
                     a, far, close = place >> (2 * _BITS), (place >> _BITS) & ((1 << _BITS) - 1), place & ((1 << _BITS) - 1)
                     span = range(a - far, a - close + 1)
                     key += [h64(data[p : p + length]) for p in span]
-                    at += [a] * len(span)
-                    start += span
-                    alone += [n == 1] * len(span)
+                    # anchor, distance to the window's start, and whether the run occurs once, in one number
+                    where += [(a << (_BITS + 1)) | ((a - p) << 1) | (n == 1) for p in span]
                 th = np.full(len(key), batch.column(0)[r].as_py())
-                yield pa.RecordBatch.from_arrays([_long(key), pa.array(th), pa.array(at, pa.int32()), pa.array(start, pa.int32()), pa.array(alone, pa.bool_())], names=["key", "th", "at", "start", "alone"])
+                yield pa.RecordBatch.from_arrays([_long(key), pa.array(th), pa.array(where, pa.int64())], names=["key", "th", "where"])
 
-    each = texts.mapInArrow(windows, "key long, th long, at int, start int, alone boolean")
+    each = texts.mapInArrow(windows, "key long, th long, where long")
     # a window's group has one row for each open run, and a repeat has as many groups as windows
     w = Window.partitionBy("key")
-    twice = (F.min("th").over(w) != F.max("th").over(w)) | (F.min("at").over(w) != F.max("at").over(w))
-    single = each.withColumn("twice", twice).where("alone AND twice").select("th", F.col("start").cast("long").alias("lo"), F.col("start").cast("long").alias("hi"))
-    return whole.unionByName(single)
+    at = F.shiftright("where", _BITS + 1)
+    twice = (F.min("th").over(w) != F.max("th").over(w)) | (F.min(at).over(w) != F.max(at).over(w))
+    start = at - F.shiftright("where", 1).bitwiseAND(F.lit((1 << _BITS) - 1))
+    single = each.withColumn("twice", twice).where("twice AND `where` % 2 = 1").select("th", start.alias("start")).groupBy("th").agg(F.collect_set("start").alias("starts"))
+    single = written(single.select("th", F.transform("starts", lambda x: F.struct(x.alias("lo"), x.alias("hi"))).alias("found")), "edges")
+    return whole.unionByName(single).groupBy("th").agg(F.flatten(F.collect_list("found")).alias("found"))
 
 
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -163,9 +168,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     start and end byte of each removed run in turn."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     copies = written(docs.groupBy("th").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id")), "copies")
-    starts = repeated_windows(docs, copies, length)
-    # a text's distinct runs of starts: at most one for each of its bytes
-    spans = written(starts.groupBy("th").agg(F.collect_set(F.struct("lo", "hi")).alias("found")), "spans")
+    spans = repeated_windows(docs, copies, length)
     per_text = copies.select("th", "copies").join(spans, "th", "left").where("copies > 1 OR found IS NOT NULL").withColumnRenamed("th", "_th")
     joined = pack_texts(docs).join(per_text, F.col("th") == F.col("_th"), "left").select("doc_id", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "found.lo", "found.hi")
     kind = docs.schema["doc_id"].dataType.simpleString()
