@@ -35,7 +35,7 @@ KINDS = (
 #: Tokens that the models judge.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-SAMPLE = 2_000
+SAMPLE = 1_000
 RANDOM = 3_000
 LLR = 14.0
 #: Weight, in characters, of how often a character follows any other one.
@@ -100,7 +100,8 @@ def labelled_samples(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> list[float]:
     """Log ratio of P(next character | character) of the two models, by first and next character."""
-    pairs = F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring(F.col("token"), i, F.lit(2)))
+    chars, rest = F.split("token", ""), F.length("token") - 1
+    pairs = F.zip_with(F.slice(chars, F.lit(1), rest), F.slice(chars, F.lit(2), rest), lambda x, y: F.concat(x, y))
     each = labelled_samples(docs, sample).where(F.length("token") > 1).select("random", F.explode(pairs).alias("pair"))
     counts = {(r.random, r.pair): r["count"] for r in each.groupBy("random", "pair").count().collect()}  # 2 * 66 * 66 rows at most
     rows = {}
