@@ -22,19 +22,19 @@ def merge_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
         return df.join(at, df[column] == F.col("_id")).drop(column, "_id").withColumnRenamed("_label", column)
 
     edges = _between(relabel(relabel(links.select("a", "b"), "a"), "b"))
+    jumps = []
     while not edges.isEmpty():
         both = edges.select("a", "b").union(edges.select("b", "a"))
         least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("low")).select("u", F.least("u", "low").alias("up"))
-        least = written(least, "hooks")
         further = least.select(F.col("u").alias("via"), F.col("up").alias("top"))
-        jump = least.join(further, least["up"] == further["via"]).select(F.col("u"), F.col("top").alias("to"))
-        jump = written(jump, "jumps")
-        labels = labels.join(jump, labels["label"] == jump["u"], "left").select("id", F.coalesce("to", "label").alias("label"))
-        labels = written(labels, "labels")
+        jump = written(least.join(further, least["up"] == further["via"]).select("u", F.col("top").alias("to")), "jumps")
+        jumps.append(jump)
         for column in ("a", "b"):
             edges = edges.join(jump, edges[column] == jump["u"]).drop(column, "u").withColumnRenamed("to", column)
         edges = _between(edges)
-    return labels
+    for jump in jumps:
+        labels = labels.join(jump, labels["label"] == jump["u"], "left").select("id", F.coalesce("to", "label").alias("label"))
+    return written(labels, "labels") if jumps else labels
 
 
 def _between(edges: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 1. One scan hashes each text's shingles to a set. Equal sets are one node.
 2. Set elements have one global order: hash order, with the (at most ``HEAVY``) elements that are
-   frequent within slices of the corpus last. Two sets that link share an element among the first
-   ``n - ceil(t n) + 1`` of each, so those make up an inverted index.
+   frequent within slices of the corpus last. Two sets that link share ``l`` elements or more among
+   the first ``n - ceil(t n) + l`` of each, so those make up an inverted index; ``l`` is one more
+   than 3 % of the smaller set, and sets with fewer elements in lists that others share are skipped.
 3. Index lists are cut into blocks by set size. A pair is possible only within a block or between
    neighbouring blocks, and by the positions of the shared element in both sets: blocks and
    positions that cannot reach the threshold are skipped.
@@ -32,13 +33,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracheck.llm.common import SPACE_TABLE, read_table, shingle_hashes, text_slices, tokenise, word_hashes, written
+from terracheck.llm.common import SPACE_TABLE, fresh_name, pack_texts, read_table, shingle_hashes, text_slices, tokenise, unpack, word_hashes, written
 from terracheck.llm.components import merge_labels
 from terracheck.llm.registry import register
 
 #: Bound on the broadcast frequent elements, and on those that one slice of text proposes.
 HEAVY, HEAVY_OF_SLICE = 65_536, 4_096
-ROUNDS = 4
+ROUNDS = 2
 
 
 def shingle_sets(raw: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,17 +80,27 @@ def heavy_elements(docs: DataFrame, k: int) -> np.ndarray:
     return out
 
 
+def _shared_least(n):
+    """How many elements of their prefixes two linked sets share, the smaller one of size ``n``."""
+    return 1 + n * 3 // 100
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """``doc_id, n, node, prefix``: set size, set id and the first elements of every row's set."""
+    """``doc_id, th, n, node, prefix``: text hash, set size, set id and the set's first elements of
+    every row."""
     heavy = docs.sparkSession.sparkContext.broadcast(heavy_elements(docs, k))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = np.ascontiguousarray(heavy.value[:, 0]), heavy.value[:, 1]
         for batch in batches:
-            for i, j, raw, off in text_slices(batch.column(1)):
+            for i, j, raw, off in text_slices(batch.column(2)):
                 element, edges = shingle_sets(raw, off, k)
                 size = np.diff(edges)
-                keep = np.where(size > 0, size - -(-size * num // den) + 1, 0)
+                keep = np.where(size > 0, np.minimum(size, size - -(-size * num // den) + _shared_least(size)), 0)
                 node = [xxhash.xxh3_64_intdigest(element[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
                 at = np.minimum(np.searchsorted(known, element), max(len(known) - 1, 0))
                 weight = np.where(known[at] == element, rank[at], np.uint64(0)) if len(known) else np.zeros(len(element), np.uint64)
@@ -98,11 +109,12 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 first = order[(np.arange(len(order)) - np.repeat(edges[:-1], size)) < np.repeat(keep, size)]
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(keep))), pa.int32()), pa.array(element[first].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(size, pa.int64()), pa.array(np.array(node, dtype=np.uint64).view(np.int64)), lists], names=["doc_id", "n", "node", "prefix"]
+                    [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(size, pa.int64()), pa.array(np.array(node, dtype=np.uint64).view(np.int64)), lists],
+                    names=["doc_id", "th", "n", "node", "prefix"],
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {id_type}, n long, node long, prefix array<long>")
+    return docs.select("doc_id", _text_hash().alias("th"), "text").mapInArrow(scan, f"doc_id {id_type}, th long, n long, node long, prefix array<long>")
 
 
 def _possible(na, pa_, nb, pb, num: int, den: int) -> Column:
@@ -113,21 +125,18 @@ def _possible(na, pa_, nb, pb, num: int, den: int) -> Column:
 
 
 def build_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """``node, elements`` (packed 64-bit numbers, sorted) of the given ``(doc_id, node)`` rows."""
+    """``node, elements`` (packed 64-bit numbers, sorted) of the given ``(node, doc_id, th)`` rows."""
 
     def scan(batches):
         for batch in batches:
-            want = batch.column(0).to_pylist()
-            for i, j, raw, off in text_slices(batch.column(1)):
-                element, edges = shingle_sets(raw, off, k)
-                packed = [element[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-                got = [int(np.uint64(xxhash.xxh3_64_intdigest(p)).astype(np.int64)) for p in packed]
-                hit = [r for r in range(j - i) if got[r] == want[i + r]]  # rows that share an id can differ
-                yield pa.RecordBatch.from_arrays([pa.array([got[r] for r in hit], pa.int64()), pa.array([packed[r] for r in hit], pa.binary())], names=["node", "elements"])
+            for node, text in zip(batch.column(0), unpack(batch.column(1))):
+                element, _ = shingle_sets(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]), k)
+                yield pa.RecordBatch.from_arrays([pa.array([node.as_py()], pa.int64()), pa.array([element.tobytes()], pa.binary())], names=["node", "elements"])
 
-    chosen = nodes.select(F.col("doc_id").alias("_doc"), "node")
-    texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("node", "text")
-    return texts.mapInArrow(scan, "node long, elements binary").dropDuplicates(["node"])
+    chosen = nodes.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "node")
+    packed = pack_texts(docs.select("doc_id", _text_hash().alias("th"), "text"))
+    texts = packed.join(chosen, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("th") == F.col("_th"))).select("node", "text")
+    return texts.dropDuplicates(["node"]).mapInArrow(scan, "node long, elements binary")
 
 
 def _unpack(b: bytes) -> np.ndarray:
@@ -144,14 +153,27 @@ class Join:
     def __init__(self, docs: DataFrame, table: DataFrame, k: int, num: int, den: int):
         self.num, self.den = num, den
         self.bucket = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)))
-        nodes = table.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-        posts = table.where("n > 0").select("node", "n", F.posexplode("prefix").alias("pos", "element")).groupBy("element", "node").agg(F.max("n").alias("n"), F.max("pos").alias("pos"))
-        posts = posts.withColumn("block", self.bucket)
+        nodes = table.where("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("one")).select("node", "one.*")
+        # size and place share a number: all elements are shuffled once, and most are in one set only
+        place = (F.col("n") * F.lit(1 << 32) + F.col("pos")).alias("place")
+        rows = table.where("n > 0").select("node", "n", F.posexplode("prefix").alias("pos", "element")).select("element", "node", place)
+        shared = rows.groupBy("element").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("element")
+        # a table of its own: a join of two shuffles is one that Spark splits where a list is long
+        posts = rows.join(written(shared, "lists"), "element").groupBy("element", "node").agg(F.max("place").alias("place"))
+        posts = posts.select("element", "node", F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).alias("pos")).withColumn("block", self.bucket)
+        posts = written(posts, "shared")
+        # a set's partner has num / den of its size at least; skipped sets can leave others alone in a list
+        least = F.expr(f"1 + ((n * {num} + {den - 1}) div {den}) * 3 div 100")
+        for _ in range(2):
+            enough = posts.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n")).where(F.col("c") >= least).select("node")
+            posts = posts.join(enough, "node", "left_semi")
+            shared = posts.groupBy("element").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("element")
+            posts = written(posts.join(shared, "element", "left_semi"), "shared")
         # blocks of a list that hold or neighbour another set
         sizes = posts.groupBy("element", "block").agg(F.count(F.lit(1)).alias("c"))
         near = sizes.select("element", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), "c")
         useful = near.groupBy("element", "block").agg(F.sum("c").alias("c")).where("c > 1").drop("c")
-        self.posts = written(posts.join(useful, ["element", "block"]), "posts")
+        self.posts = written(posts.join(useful, ["element", "block"], "left_semi"), "posts")
         asked = self.posts.select("node").distinct()
         self.sets = written(build_sets(docs, nodes.join(asked, "node"), k), "sets")
         self.labels = written(asked.select(F.col("node").alias("id"), F.col("node").alias("label")), "labels")
@@ -166,6 +188,7 @@ class Join:
         rows = self.labelled() if turn else self.posts.withColumn("label", F.col("node"))
         best = F.struct(F.xxhash64(F.lit(turn), "node").alias("order"), F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("pos").alias("pp"), F.col("label").alias("plabel"))
         pivots = rows.groupBy("element", "block").agg(F.min(best).alias("p")).select("element", "block", "p.*").drop("order")
+        pivots = written(pivots, "pivots-of-lists")
         joined = rows.join(pivots, ["element", "block"]).where((F.col("label") != F.col("plabel")) & _possible("n", "pos", "pn", "pp", self.num, self.den))
         return joined.groupBy(F.col("node").alias("a"), "pivot").agg(F.count(F.lit(1)).alias("lists"))
 
@@ -209,20 +232,25 @@ class Join:
         members = done.select(F.col("a").alias("id"), F.col("b").alias("pivot"), "delta").join(own.select("id"), "id", "left_anti")
         self.deltas = written(members.unionByName(own), "deltas")
         self.labels = merge_labels(self.labels, done.where("linked").select("a", "b"))
+        self.drop_settled()
+
+    def drop_settled(self) -> None:
+        """Forget the lists whose sets are all in one component."""
+        mixed = self.labelled().groupBy("element").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+        self.posts = written(self.posts.join(mixed.select("element"), "element", "left_semi"), "posts")
 
     def settle(self, pairs: DataFrame) -> None:
         """Verify pairs, from differences to a common pivot where there is one, and unite links."""
         num, den = self.num, self.den
-        pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            return
         size = self.sets.select("node", F.expr("octet_length(elements) div 8").alias("size"))
         kept = self.deltas.select("id", "pivot", "delta").join(size.withColumnRenamed("node", "id"), "id")
         a = kept.select(F.col("id").alias("a"), F.col("pivot").alias("ap"), F.col("delta").alias("ad"), F.col("size").alias("an"))
         b = kept.select(F.col("id").alias("b"), F.col("pivot").alias("bp"), F.col("delta").alias("bd"), F.col("size").alias("bn"))
         at_pivot = kept.select(F.col("id"), F.col("pivot").alias("pivot"))
         where = pairs.join(at_pivot.select(F.col("id").alias("a"), F.col("pivot").alias("ap")), "a", "left").join(at_pivot.select(F.col("id").alias("b"), F.col("pivot").alias("bp")), "b", "left")
-        where = written(where.select("a", "b", F.coalesce(F.col("ap") == F.col("bp"), F.lit(False)).alias("near")), "sided")
+        where = written(where.select("a", "b", F.coalesce(F.col("ap") == F.col("bp"), F.lit(False)).alias("near")), "pairs")
+        if where.isEmpty():
+            return
 
         def derive(batches):
             for batch in batches:
@@ -237,7 +265,7 @@ class Join:
 
         near = where.where("near").select("a", "b").join(a.drop("ap"), "a").join(b.drop("bp"), "b").select("a", "b", "ad", "bd", "an", "bn").mapInArrow(derive, "a long, b long")
         far = self.compare_with_pivots(where.where("NOT near")).where("linked").select("a", "b")
-        self.labels = merge_labels(self.labels, written(near.unionByName(far), "links"))
+        self.labels = merge_labels(self.labels, near.unionByName(far))
 
     def run(self, rounds: int = ROUNDS) -> DataFrame:
         """``id, label`` of every set that shares a list with another."""
@@ -246,27 +274,35 @@ class Join:
             pairs = self.pivot_pairs(turn)
             best = pairs.groupBy("a").agg(F.max(F.struct("lists", "pivot")).alias("p")).select(F.least("a", "p.pivot").alias("a"), F.greatest("a", "p.pivot").alias("b"))
             self.settle(best.distinct())
+            self.drop_settled()
         self.settle(self.open_pairs())
         return self.labels
 
 
-def link_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, rounds: int = ROUNDS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row."""
+def _labelled_rows(docs: DataFrame, k: int, num: int, den: int, rounds: int) -> DataFrame:
     table = written(prefixes(docs, k, num, den), "prefixes")
     labels = Join(docs, table, k, num, den).run(rounds).select(F.col("id").alias("node"), "label")
-    rows = table.select("doc_id", "n", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return table.select("doc_id", "th", "n", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def link_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, rounds: int = ROUNDS) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row."""
+    rows = _labelled_rows(docs, k, num, den, rounds)
     least = rows.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     joined = rows.join(least, "label", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row of each component: that of the smallest id, the first by text among rows sharing it.
-    Rows with an empty set and rows without an id all stay."""
-    first = link_components(docs, k, num, den).where("component_id IS NULL OR doc_id = component_id")
-    ids = first.select(F.col("doc_id").alias("_doc")).distinct()
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-    return kept
+def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, rounds: int = ROUNDS) -> DataFrame:
+    """One row of each component: that of the smallest id, nulls last, then of the smallest text
+    hash. Rows with an empty set all stay."""
+    rows = _labelled_rows(docs, k, num, den, rounds).where("n > 0")
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("one"))
+    keys = first.select(F.col("one.doc_id").alias("_doc"), F.col("one.th").alias("_th")).distinct()
+    th, kept = fresh_name(docs, "th"), docs.columns
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    one = docs.where(worded).withColumn(th, _text_hash()).join(keys, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col(th) == F.col("_th")))
+    return one.dropDuplicates(["doc_id", th]).select(*kept).unionByName(docs.where(~worded))
 
 
 @register("op4_ngram_jaccard_join")
