@@ -17,8 +17,8 @@ seen once and twice.
 
 Plan: one scan counts the words of each slice of text, and Spark sums them into a table of all
 distinct words, which is written. Words are scored once each, whatever their count. A second scan
-scores documents: the ``HEAD`` most frequent words (a bounded array) are broadcast, the few other
-words of a document are joined by their hash. Texts are never shuffled.
+scores documents: words that make up ``1 / HEAD`` of all words or more (so at most ``HEAD``) are
+broadcast as arrays, the few other words of a document are joined by their hash. Texts are never shuffled.
 
 Edge cases: a null or empty text is one end; without training documents every count is 0, there are no
 word arcs, and piece probabilities are those of the vocabulary; a word of any length is scored whole; repeated rows are
@@ -39,8 +39,8 @@ from terracheck.llm.registry import register
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 FOLDS, HELD_OUT = 7, 2
-#: Bound on the broadcast words.
-HEAD = 262_144
+#: Bound on the broadcast words: those that make up one in so many of all words, or more.
+HEAD = 1 << 20
 ROUNDS = 2
 #: Added to every piece's expected count.
 SMOOTH = 0.05
@@ -252,7 +252,8 @@ def score_documents(docs: DataFrame, words: DataFrame, n: int, v: int, train_doc
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(logs)], names=["hash", "train_count", "total", "log"])
 
     scored = written(words.select("hash", "word", "train_count", "total").mapInArrow(lattice, "hash long, train_count long, total long, log double"), "word-scores")
-    head = scored.orderBy(F.desc("total"), "hash").limit(HEAD).toPandas().sort_values("hash")  # HEAD rows at most
+    every = scored.agg(F.sum("total")).first()[0] or 0
+    head = scored.where(F.col("total") * HEAD >= every).toPandas().sort_values("hash")  # so HEAD rows at most
     below = float(n + v + 1)
     hashes = head["hash"].to_numpy()
     table = spark.sparkContext.broadcast((hashes, head["train_count"].to_numpy() > 0, np.log10((head["train_count"].to_numpy() + 1) / below), head["log"].to_numpy()))
