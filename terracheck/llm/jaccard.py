@@ -211,9 +211,10 @@ class Join:
 
         def verify(batches):
             for batch in batches:
-                a, b, x, y = (batch.column(c).to_pylist() for c in range(4))
+                a, b = (batch.column(c).to_pylist() for c in range(2))
                 linked, delta = [], []
-                for s, t in zip(x, y):
+                for x, y in zip(batch.column(2), batch.column(3)):  # one pair of sets at a time
+                    s, t = x.as_py(), y.as_py()
                     n, m, both = len(s) // 8, len(t) // 8, _common(s, t)
                     linked.append(den * both >= num * (n + m - both))
                     delta.append(np.setxor1d(_unpack(s), _unpack(t), assume_unique=True).tobytes())
@@ -254,9 +255,10 @@ class Join:
 
         def derive(batches):
             for batch in batches:
-                x, y, s, t, n, m = (batch.column(c).to_pylist() for c in range(6))
+                x, y, n, m = (batch.column(c).to_pylist() for c in (0, 1, 4, 5))
                 hit = []
-                for r, (u, v) in enumerate(zip(s, t)):
+                for r, (s, t) in enumerate(zip(batch.column(2), batch.column(3))):
+                    u, v = s.as_py(), t.as_py()
                     apart = (len(u) + len(v)) // 8 - 2 * _common(u, v)
                     both = (n[r] + m[r] - apart) // 2
                     if den * both >= num * (n[r] + m[r] - both):
