@@ -1,4 +1,10 @@
-"""License scans: an exact containment join between text blocks (lines) and license templates.
+"""License scans: an exact containment join between text blocks and license templates.
+
+Blocks are of two kinds. ``op8_license_scans`` takes the lines of a text, as its SQL does. A notice that
+is wrapped over lines is in none of them, and a line of any length is one bag of words; so
+``op8_license_notices`` takes overlapping word windows of the whole text instead. The windows of a
+template start every ``s`` words and hold ``2 s``, ``s`` being the template's number of words, rounded
+up to a power of two: ``s + 1`` words in a row are always in one window, however lines are broken.
 
 A block matches a template when it holds at least ``NUM / DEN`` of the template's distinct words.
 Template words are put in one global order, by how many blocks of the corpus hold them, rarest
@@ -16,6 +22,8 @@ rows. Only ``doc_id`` and ``text`` are read, so other columns can have any name.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +32,8 @@ from terracheck.llm.registry import register
 
 #: Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Short notices, as normalised words. A template is any text, so a caller can pass whole licenses.
+#: Short notices, as normalised words. A template is any text: with word windows a caller
+#: can pass whole licenses, with lines only what stands in one line.
 TEMPLATES = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
@@ -77,10 +86,15 @@ def word_order(blocks: DataFrame, templates=TEMPLATES) -> list[str]:
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
 
-def find_templates(blocks: DataFrame, templates=TEMPLATES, num: int = NUM, den: int = DEN) -> DataFrame:
-    """Every (key, block, label, containment) at or above the threshold."""
+def _has_word(block: Column, words: list[str]) -> Column:
+    return block.rlike(rf"(?<![0-9a-z\x{{80}}-\x{{10FFFF}}])({'|'.join(words)})(?![0-9a-z\x{{80}}-\x{{10FFFF}}])")
+
+
+def find_templates(blocks: DataFrame, templates=TEMPLATES, num: int = NUM, den: int = DEN, order: list[str] | None = None, span: int | None = None) -> DataFrame:
+    """Every (key, block, label, containment) at or above the threshold. With ``span`` the blocks are
+    cut into word windows first."""
     spark = blocks.sparkSession
-    order = word_order(blocks, templates)
+    order = order or word_order(blocks, templates)
     rank = {w: i for i, w in enumerate(order)}
     entries, prefix = [], []
     for i, (label, text) in enumerate(templates):
@@ -90,7 +104,9 @@ def find_templates(blocks: DataFrame, templates=TEMPLATES, num: int = NUM, den:
         prefix += [(w, i, len(words), need, p) for p, w in enumerate(words[: len(words) - need + 1])]
     least = min(p[3] for p in prefix)
     starters = sorted({p[0] for p in prefix})
-    has_starter = F.col("block").rlike(rf"(?<![0-9a-z\x{{80}}-\x{{10FFFF}}])({'|'.join(starters)})(?![0-9a-z\x{{80}}-\x{{10FFFF}}])")
+    has_starter = _has_word(F.col("block"), starters)
+    if span:
+        blocks = windows_of(blocks.where(has_starter), span)
     # array_intersect keeps the order of its first argument: the block's template words, rarest first
     shared = blocks.where(has_starter).select("key", "block", F.array_intersect(_strings(order), _words(F.col("block"))).alias("held"))
     shared = shared.where(F.size("held") >= least)
@@ -103,6 +119,31 @@ def find_templates(blocks: DataFrame, templates=TEMPLATES, num: int = NUM, den:
     return verified.where("overlap >= need").select("key", "block", "label", (F.col("overlap") / F.col("size")).alias("containment"))
 
 
+def windows_of(blocks: DataFrame, span: int) -> DataFrame:
+    """(key, block) of the windows of ``2 * span`` words that start every ``span`` words."""
+    words = blocks.select("key", F.array_remove(_words(F.col("block")), "").alias("words")).where(F.size("words") > 0)
+    # a start whose words are all in the window before gives none
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - span - 1, F.lit(0)), F.lit(span))
+    windows = F.transform(starts, lambda i: F.array_join(F.slice("words", i + 1, F.lit(2 * span)), " "))
+    return words.select("key", F.explode(windows).alias("block"))
+
+
+def find_in_lines(texts: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """(key, block, label, containment) of the lines of ``(key, text)``."""
+    return find_templates(blocks_of(texts, F.col("key")), templates)
+
+
+def find_in_windows(texts: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """(key, block, label, containment) of the word windows of ``(key, text)``."""
+    whole = texts.select("key", ascii_lower(F.col("text")).alias("block"))
+    order = word_order(whole, templates)
+    by_span: dict[int, list[tuple[str, str]]] = {}
+    for label, text in templates:
+        by_span.setdefault(1 << (len(text.split()) - 1).bit_length(), []).append((label, text))
+    found = [find_templates(whole, part, order=[w for w in order if any(w in t.split() for _, t in part)], span=span) for span, part in sorted(by_span.items())]
+    return reduce(DataFrame.unionByName, found)
+
+
 def phrase_places(text: Column, phrase: str) -> Column:
     """Number of places of a phrase, its first and its last start in words; null if there is none."""
     n = len(phrase.split())
@@ -122,10 +163,10 @@ def phrase_places(text: Column, phrase: str) -> Column:
     return F.when(near & (F.size(pieces) > 1), found)
 
 
-def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates=TEMPLATES, find=find_in_lines) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` of each row."""
     key = F.md5(F.col("text"))
-    matched = find_templates(blocks_of(docs.where("text IS NOT NULL"), key), templates)
+    matched = find(docs.where("text IS NOT NULL").select(key.alias("key"), "text"), templates)
     per_text = matched.groupBy("key").agg(F.collect_set("label").alias("more"), F.max("containment").alias("containment"))
     names = [f"p{i}" for i in range(len(PHRASES))]
     rows = docs.select(
@@ -173,3 +214,9 @@ FROM docs LEFT JOIN per_base USING (r) LEFT JOIN base_labels b USING (r) LEFT JO
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
     return scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op8_license_notices")
+def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document, notices by word windows of the whole text."""
+    return scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"), find=find_in_windows)
