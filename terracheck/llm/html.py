@@ -7,7 +7,12 @@ table below, keeps or drops each block. Pages are parsed inside tasks and never
 
 Markup may be broken: tags that are never closed end with the element around them, a stray end tag
 is ignored, a page may stop anywhere (inside a tag, a comment or a script too), and ``<`` before
-anything but a name, ``/``, ``!`` or ``?`` is text.
+anything but a name, ``/``, ``!`` or ``?`` is text. Only raw elements (scripts and the like) run to
+their end tag or the page's end. A silent element (a button, say) that is not closed within the element
+around it ends at the next tag of a block, and a head at the body or its first such tag.
+
+A form is no part of the article, unless it holds most of the page's words: then it is a wrapper, and
+its content is judged as if the form were not there.
 
 Edge cases: a null, empty or blank page, and one without main text, gives an empty text; pages of
 any length are parsed whole in one pass; repeated rows are extracted alike; an empty table gives no
@@ -35,12 +40,17 @@ _HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+
 _BREAK = re.compile(r"[\s]+")
 #: Elements whose content is never text of the page.
 SILENT = frozenset("script style noscript template svg math head title select option button textarea iframe object canvas audio video map datalist".split())
-RAW = frozenset("script style textarea title iframe noscript".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Tags that end a silent element that is never closed.
+FLOW = frozenset(
+    "body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup li main menu nav ol p pre "
+    "section summary table tbody td tfoot th thead tr ul".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements, and words of class, id and role, that hold what is not the article.
-ASIDE_TAGS = frozenset("nav footer aside form menu dialog header".split())
+ASIDE_TAGS = frozenset("nav footer aside menu dialog header".split())
 ASIDE_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement sponsor sponsored promo promotion sidebar menu nav navigation navbar breadcrumb breadcrumbs footer header masthead banner "
     "cookie cookies consent gdpr notice notices alert comment comments disqus respond replies reply related recommended share sharing social newsletter subscribe signup login popup "
@@ -135,40 +145,84 @@ def _kind(tag: str, attributes: str, outer: int) -> int:
     return outer
 
 
+def tags(page: str) -> list[tuple[int, int, str, bool, str, int]]:
+    """(start, end, name, end tag, attributes, closed by) of all markup in order. The name is empty for
+    comments and tags cut off; raw elements are one entry with their content. A silent element is closed
+    by the entry of that number, -1 if nothing closes it within the element around it."""
+    out: list[list] = []
+    opened: list[tuple[str, int]] = []
+    silent: dict[str, int] = {}  # how many elements of a silent name are open
+    at = 0
+    for m in _TOKEN.finditer(page):
+        if m.start() < at:
+            continue
+        at = m.end()
+        end, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        if not tag or not m[0].endswith(">"):
+            out.append([m.start(), at, "", False, "", -1])
+            continue
+        tag = tag.lower()
+        if tag in RAW and not end:
+            close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = close.end() if close else len(page)
+        out.append([m.start(), at, tag, bool(end), attributes or "", -1])
+        if tag in RAW or tag in VOID or tag in INLINE:
+            continue
+        if end:
+            for k in range(len(opened) - 1, -1, -1):
+                if opened[k][0] == tag:
+                    out[opened[k][1]][5] = len(out) - 1
+                    for name, _ in opened[k:]:
+                        if name in SILENT:
+                            silent[name] -= 1
+                    del opened[k:]
+                    break
+        elif not (attributes or "").endswith("/"):
+            # a body or a block ends a head, a button another button
+            over = "head" if tag in FLOW else tag if tag in ("button", "select", "option") else ""
+            if over and silent.get(over):
+                k = max(k for k, o in enumerate(opened) if o[0] == over)
+                del opened[k]
+                silent[over] -= 1
+            opened.append((tag, len(out) - 1))
+            if tag in SILENT:
+                silent[tag] = silent.get(tag, 0) + 1
+    return [tuple(t) for t in out]
+
+
 def blocks(page: str) -> list[tuple[str, int, int, bool]]:
     """(text, held by, words in links, heading) of every block of a page, in order."""
-    out: list[tuple[str, int, int, bool]] = []
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, kind, in a link, heading
+    out: list[tuple[str, int, int, bool, int]] = []
+    stack: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, 0)]  # tag, kind, in a link, heading, form
     parts: list[tuple[str, bool]] = []
-    at = 0
+    at = forms = 0
+    skip_to, mute = -1, ""  # the entry that closes a silent element; a silent element that nothing closes
 
     def flush() -> None:
         text = _BREAK.sub(" ", html.unescape("".join(p for p, _ in parts))).strip()
         if text:
             links = sum(len(html.unescape(p).split()) for p, link in parts if link)
-            out.append((text, stack[-1][1], links, stack[-1][3]))
+            out.append((text, stack[-1][1], links, stack[-1][3], stack[-1][4]))
         parts.clear()
 
-    silent_until = ""
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
+    for number, (begin, stop, tag, end, attributes, closed) in enumerate(tags(page)):
+        if number <= skip_to:
+            at = stop
             continue
-        if m.start() > at:
-            parts.append((page[at : m.start()], stack[-1][2]))
-        at = m.end()
-        end, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if not tag or not m[0].endswith(">"):
+        if begin > at and not mute:
+            parts.append((page[at:begin], stack[-1][2]))
+        at = stop
+        if not tag:
             continue
-        tag = tag.lower()
+        if mute and (tag in FLOW or tag == mute or (end and tag not in INLINE and tag not in SILENT)):
+            mute = ""
         if tag in SILENT and not end:
-            if tag not in RAW and not (attributes or "").endswith("/"):
-                silent_until = tag
-            if tag in RAW or silent_until:
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = close.end() if close else len(page)
-                silent_until = ""
-            if tag not in INLINE:
-                flush()
+            if tag not in RAW and not attributes.endswith("/"):
+                skip_to = closed
+                if closed < 0 and tag != "head":
+                    flush()
+                    mute = mute or tag
+            flush()
             continue
         if tag == "br" or tag == "hr":
             parts.append((" ", False))
@@ -189,16 +243,27 @@ def blocks(page: str) -> list[tuple[str, int, int, bool]]:
         if tag == "a":
             if stack[-1][0] == "a":
                 stack.pop()
-            stack.append(("a", stack[-1][1], True, stack[-1][3]))
+            stack.append(("a", stack[-1][1], True, *stack[-1][3:]))
             continue
         while stack[-1][0] in ("p", "a") or stack[-1][0] in HEADINGS or stack[-1][0] == tag == "li":
             stack.pop()  # a block ends a paragraph, a heading or a link that was never closed
-        if not (attributes or "").endswith("/"):
-            stack.append((tag, _kind(tag, attributes or "", stack[-1][1]), False, stack[-1][3] or tag in HEADINGS))
-    if at < len(page):
+        if not attributes.endswith("/"):
+            form = stack[-1][4]
+            if tag == "form" and not form:
+                forms = form = forms + 1
+            if tag in MAIN_TAGS:
+                form = 0
+            stack.append((tag, _kind(tag, attributes, stack[-1][1]), False, stack[-1][3] or tag in HEADINGS, form))
+    if at < len(page) and not mute:
         parts.append((page[at:], stack[-1][2]))
     flush()
-    return out
+    if not forms:
+        return [b[:4] for b in out]
+    words = [0] * (forms + 1)
+    for text, kind, _, _, form in out:
+        words[form] += len(text.split()) if kind >= 0 else 0
+    wraps = [2 * w > sum(words) for w in words]
+    return [(text, kind if not form or wraps[form] else -1, links, heading) for text, kind, links, heading, form in out]
 
 
 def _features(found: list[tuple[str, int, int, bool]]) -> np.ndarray:

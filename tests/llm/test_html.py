@@ -60,3 +60,28 @@ def test_given_pages(spark):
     for r in rows:
         article = re.search(r"<article>(.*?)(</article>|\Z)", raw[r.page_id], re.S).group(1)
         assert r.text.split() == std.unescape(re.sub(r"<[^>]*>", " ", article)).split() and r.n_chars == len(r.text)
+
+
+LONG = "word " * 30
+BROKEN = [
+    ("<html><head><title>T</title><meta charset=x><script>var a</script><body><article><p>after the head</p></article>", "after the head"),
+    ("<head><title>T</title><link href=x><p>" + LONG + "</p>", LONG.strip()),
+    ("<body><button>Menu<article><p>core text</p><button>Share</button></article>", "core text"),
+    ("<body><nav><button>Menu</nav><article><p>core</p></article><button>Up</button>", "core"),
+    ("<body><button>Menu <div class='content'><p>" + LONG + "</p></div>", LONG.strip()),
+    ("<article><p>one</p><select><option>A<option>B<p>two</p><svg><path d=x><p>three</p></article>", "one two three"),
+    ("<article><p>one</p><video><source src=x><p>two</p><noscript>no<p>three</article>", "one two three"),
+    ("<article><p>one <button><div>icon</div>Press</button> two</p><noscript><p>no script</p></noscript>three</article>", "one two three"),
+    ("<body><form action=x><div><h1>Title</h1><p>" + LONG + "</p><p>" + LONG + "</p></div></form>", "Title " + (LONG * 2).strip()),
+    ("<form><div class='post-content'><p>short text</p></div><nav>one two</nav></form>", "short text"),
+    ("<form><div class='post-content'><p>Find it here</p></div></form><p>" + LONG + "</p>", LONG.strip()),
+]
+
+
+@pytest.mark.parametrize("page,want", BROKEN)
+def test_silent_elements_that_are_not_closed_and_forms_around_pages(page, want):
+    assert html.main_text(page, TREE) == want
+
+
+def test_many_unclosed_silent_elements():
+    assert html.main_text("<article>" + "<button>x<p>y</p>" * 20000, TREE).split() == ["y"] * 20000
