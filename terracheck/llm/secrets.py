@@ -1,9 +1,10 @@
 """Secret scans: three pattern kinds, and character Markov models for what patterns miss.
 
 Two first-order character models are trained from labelled samples: random strings (digests in
-hex, base 64 and upper-case alphabets, and the keys that the patterns find in the sample) and
-ordinary ones (the other long tokens of the sample documents, and identifiers made of their words;
-the sample is the ``SAMPLE`` documents with the smallest hash of their id). A long token is a secret when its log-likelihood ratio of the
+hex, base 64 and upper-case alphabets, and the keys that the patterns find in the documents) and
+ordinary ones (the other long tokens of the documents, and identifiers made of their words). All
+documents with an id count: their tokens and words are counted first, then the character pairs of
+each different one. A long token is a secret when its log-likelihood ratio of the
 two models, summed over its character pairs, is above ``LLR`` nats, which outweighs a prior of one
 secret in a million tokens. The models are one array of 66 * 66 log ratios inside the
 expression; all scanning is DataFrame expressions, row by row, without a shuffle of texts.
@@ -11,7 +12,7 @@ expression; all scanning is DataFrame expressions, row by row, without a shuffle
 Spans are code points, end exclusive. Model spans never overlap pattern spans.
 
 Edge cases: null and empty texts have no spans; results depend on the text and the models alone, so
-repeated rows agree; null ids are scanned like others but never sampled; without sample documents
+repeated rows agree; null ids are scanned like others but never learnt from; without documents
 the ordinary model is uniform; empty tables give no rows. ``redact`` keeps all columns."""
 
 from __future__ import annotations
@@ -35,7 +36,6 @@ KINDS = (
 #: Tokens that the models judge.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-SAMPLE = 1_000
 RANDOM = 3_000
 LLR = 14.0
 #: Weight, in characters, of how often a character follows any other one.
@@ -77,33 +77,58 @@ def spans_text(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])))
 
 
-def labelled_samples(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(token, random): the labelled strings that the models learn from."""
-    spark = docs.sparkSession
-    chosen = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_doc")).orderBy(F.xxhash64("_doc"), "_doc").limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), F.col("doc_id") == F.col("_doc")).select("text")
+def labelled_items(docs: DataFrame) -> DataFrame:
+    """(kind, item, n): how often all documents hold each long token (t), each key (k) and each word
+    with the last character of the word before it in front, or a space (w)."""
     long_token = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{6,}"
-    keys = F.flatten(F.array(*[F.regexp_extract_all("text", F.lit(p), F.lit(g)) for _, p, g, _ in KINDS[1:]]))
-    tokens = texts.select(F.regexp_extract_all("text", F.lit(long_token), F.lit(0)).alias("t"), keys.alias("k"))
+    # a column of its own: the words are looked for once
+    found = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        F.regexp_extract_all("text", F.lit(long_token), F.lit(0)).alias("t"), F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0)).alias("w"),
+        *[F.regexp_extract_all("text", F.lit(p), F.lit(g)).alias(f"k{g}{i}") for i, (_, p, g, _) in enumerate(KINDS[1:])],
+    )
+    before = F.concat(F.array(F.lit(" ")), F.transform("w", lambda x: F.right(x, F.lit(1))))
+    words = F.zip_with(F.col("w"), F.slice(before, F.lit(1), F.size("w")), lambda x, y: F.concat(F.lit("w"), y, x))
+    keys = [F.transform(c, lambda x: F.concat(F.lit("k"), x)) for c in found.columns[2:]]
+    items = F.concat(F.transform("t", lambda x: F.concat(F.lit("t"), x)), words, *keys)
+    counted = found.select(F.explode(items).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     # a token that holds a key is no ordinary one
-    ordinary = tokens.select(F.explode("t").alias("token"), F.lit(False).alias("random")).where(f"NOT token RLIKE '{KINDS[1][1]}|{KINDS[2][1]}'")
-    # identifiers of the samples' words, as they are written in code and paths
-    words = F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))
-    joined = [F.array_join("w", sep) for sep in ("_", "-", "/")] + [F.replace(F.initcap(F.array_join("w", " ")), F.lit(" "), F.lit(""))]
-    identifiers = texts.select(words.alias("w")).select(F.explode(F.array(*joined)).alias("token"), F.lit(False).alias("random"))
-    secret = tokens.select(F.explode("k").alias("token"), F.lit(True).alias("random"))
+    kept = counted.select(F.substring("item", 1, 1).alias("kind"), F.expr("substring(item, 2)").alias("item"), "n")
+    return kept.where(f"NOT (kind = 't' AND item RLIKE '{KINDS[1][1]}|{KINDS[2][1]}')")
+
+
+def drawn_keys(spark: SparkSession) -> DataFrame:
+    """(kind, item, n) of random strings."""
     digest = F.sha2(F.concat(F.lit("random|"), F.col("id").cast("string")), 256)
     base64 = F.regexp_replace(F.base64(F.unhex(digest)), "[=\\s]", "")
-    drawn = spark.range(RANDOM).select(F.explode(F.array(digest, base64, F.translate(base64, "+/", "-_"), F.regexp_replace(base64, "[^A-Z0-9]", ""))).alias("token"), F.lit(True).alias("random"))
-    return ordinary.unionByName(identifiers).unionByName(secret).unionByName(drawn)
+    drawn = F.array(digest, base64, F.translate(base64, "+/", "-_"), F.regexp_replace(base64, "[^A-Z0-9]", ""))
+    return spark.range(RANDOM).select(F.lit("k").alias("kind"), F.explode(drawn).alias("item"), F.lit(1).cast("long").alias("n"))
+
+
+def pair_counts(docs: DataFrame) -> dict[tuple[bool, str], int]:
+    """How often each pair of characters stands in random (True) and ordinary (False) strings."""
+
+    def pairs(token: Column) -> Column:
+        chars, rest = F.split(token, ""), F.length(token) - 1
+        return F.zip_with(F.slice(chars, F.lit(1), rest), F.slice(chars, F.lit(2), rest), lambda x, y: F.concat(x, y))
+
+    def weighted(strings: Column, weight: int) -> Column:
+        return F.transform(strings, lambda p: F.struct(p.alias("pair"), (F.col("n") * weight).alias("n")))
+
+    # identifiers of the documents' words, as they are written in code and paths: the words of a text
+    # joined by _, - or /, and with capitals
+    word, before, joins = F.expr("substring(item, 2)"), F.substring("item", 1, 1), ("_", "-", "/")
+    joints = F.array(*[F.concat(before, F.lit(j)) for j in joins], *[F.concat(F.lit(j), F.substring(word, 1, 1)) for j in joins], F.concat(F.lower(before), F.upper(F.substring(word, 1, 1))))
+    none = F.expr("cast(array() as array<struct<pair:string,n:bigint>>)")
+    of_word = F.concat(weighted(pairs(word), len(joins)), weighted(pairs(F.initcap(word)), 1), F.when(before != " ", weighted(joints, 1)).otherwise(none))
+    each = F.when(F.col("kind") == "w", of_word).when(F.length("item") > 1, weighted(pairs(F.col("item")), 1)).otherwise(none)
+    rows = labelled_items(docs).unionByName(drawn_keys(docs.sparkSession)).select((F.col("kind") == "k").alias("random"), F.explode(each).alias("p"))
+    counted = rows.select("random", "p.*").groupBy("random", "pair").agg(F.sum("n").alias("n"))
+    return {(r.random, r.pair): r.n for r in counted.collect()}  # 2 * 66 * 66 rows at most
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> list[float]:
+def train(docs: DataFrame) -> list[float]:
     """Log ratio of P(next character | character) of the two models, by first and next character."""
-    chars, rest = F.split("token", ""), F.length("token") - 1
-    pairs = F.zip_with(F.slice(chars, F.lit(1), rest), F.slice(chars, F.lit(2), rest), lambda x, y: F.concat(x, y))
-    each = labelled_samples(docs, sample).where(F.length("token") > 1).select("random", F.explode(pairs).alias("pair"))
-    counts = {(r.random, r.pair): r["count"] for r in each.groupBy("random", "pair").count().collect()}  # 2 * 66 * 66 rows at most
+    counts = pair_counts(docs)
     rows = {}
     for k in (True, False):
         after = {b: sum(counts.get((k, a + b), 0) for a in ALPHABET) + 1 for b in ALPHABET}
@@ -142,11 +167,11 @@ def add_spans(docs: DataFrame, model: list[float], base: str = "base", spans: st
     return docs.withColumn(base, base_spans(text)).withColumn(spans, F.array_sort(F.concat(F.col(base), plain)))
 
 
-def redact(docs: DataFrame, sample: int = SAMPLE, mark: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """The documents with each run of secret characters replaced by ``mark``; other columns stay,
     and ``n_chars``, where there is one, is counted anew for the changed rows."""
     base, spans = fresh_name(docs, "base"), fresh_name(docs, "spans")
-    found = add_spans(docs, train(docs, sample), base, spans)
+    found = add_spans(docs, train(docs), base, spans)
 
     def step(acc, s):
         gap = F.when(s["start"] >= acc["at"], F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise("")

@@ -66,3 +66,39 @@ def test_spans_text(spark):
 
     row = secrets.add_spans(spark.createDataFrame([(1, TEXTS[0])], "doc_id int, text string"), FLAT).select(secrets.spans_text(F.col("base")).alias("s")).first()
     assert row.s == "assign:2:51,hex:11:51"
+
+
+def brute_pairs(texts):
+    """Character pairs of the labelled strings of all texts, without the drawn ones."""
+    counts = {}
+
+    def add(random, token):
+        for a, b in zip(token, token[1:]):
+            counts[random, a + b] = counts.get((random, a + b), 0) + 1
+
+    for text in texts:
+        keys = [r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}"]
+        for p in keys:
+            for k in re.findall(p, text or ""):
+                add(True, k)
+        for t in re.findall(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{6,}", text or ""):
+            if not re.search("|".join(keys), t):
+                add(False, t)
+        words = re.findall("[A-Za-z]{3,}", text or "")
+        for token in ["_".join(words), "-".join(words), "/".join(words), "".join(w.capitalize() for w in words)]:
+            add(False, token)
+    return counts
+
+
+def test_models_count_all_documents(spark):
+    from collections import Counter
+
+    texts = TEXTS + [f"plain words of text {i}" for i in range(1500)] + ["Qxqxqx-jqjqjq/xkcd_vwvw and aBCd by, eFG x hIJ"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(None, "never zzzzzz")], "doc_id long, text string").repartition(4)
+    drawn = Counter({k: -n for k, n in secrets.pair_counts(docs.limit(0)).items()})
+    got = Counter(secrets.pair_counts(docs))
+    got.update(drawn)
+    assert {k: n for k, n in got.items() if n} == brute_pairs(texts)
+    model = secrets.train(docs)
+    place = secrets.ALPHABET.index
+    assert model[place("q") * len(secrets.ALPHABET) + place("x")] < -2 and len(model) == len(secrets.ALPHABET) ** 2
