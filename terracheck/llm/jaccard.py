@@ -15,6 +15,11 @@
    from their (small) differences: |a xor b| = |da| + |db| - 2 |da and db|.
 6. After the rounds, the pairs of a list that are still in different components are verified one by
    one, so no link is lost.
+7. ``op4_ngram_jaccard_join`` also counts each row's links. Members of one pivot whose differences are
+   small enough (|da| + |db|) link for certain: those are counted by their numbers of elements, without
+   pairs. All other possible pairs of a list are verified, also where a component is settled. The
+   pairs are counted and not returned; the pipeline's ``keep_one`` needs components only and does not
+   count links.
 
 All steps are joins and aggregations; sets of different texts that share no list are never built.
 
@@ -173,7 +178,7 @@ class Join:
         sizes = posts.groupBy("element", "block").agg(F.count(F.lit(1)).alias("c"))
         near = sizes.select("element", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), "c")
         useful = near.groupBy("element", "block").agg(F.sum("c").alias("c")).where("c > 1").drop("c")
-        self.posts = written(posts.join(useful, ["element", "block"], "left_semi"), "posts")
+        self.posts = self.all_posts = written(posts.join(useful, ["element", "block"], "left_semi"), "posts")
         asked = self.posts.select("node").distinct()
         self.sets = written(build_sets(docs, nodes.join(asked, "node"), k), "sets")
         self.labels = written(asked.select(F.col("node").alias("id"), F.col("node").alias("label")), "labels")
@@ -241,7 +246,14 @@ class Join:
         self.posts = written(self.posts.join(mixed.select("element"), "element", "left_semi"), "posts")
 
     def settle(self, pairs: DataFrame) -> None:
-        """Verify pairs, from differences to a common pivot where there is one, and unite links."""
+        """Verify pairs and unite links."""
+        found = self.linked_pairs(pairs)
+        if found is not None:
+            self.labels = merge_labels(self.labels, found)
+
+    def linked_pairs(self, pairs: DataFrame) -> DataFrame | None:
+        """(a, b) of the pairs that link, verified from differences to a common pivot where there is
+        one; None without pairs."""
         num, den = self.num, self.den
         size = self.sets.select("node", F.expr("octet_length(elements) div 8").alias("size"))
         kept = self.deltas.select("id", "pivot", "delta").join(size.withColumnRenamed("node", "id"), "id")
@@ -251,7 +263,7 @@ class Join:
         where = pairs.join(at_pivot.select(F.col("id").alias("a"), F.col("pivot").alias("ap")), "a", "left").join(at_pivot.select(F.col("id").alias("b"), F.col("pivot").alias("bp")), "b", "left")
         where = written(where.select("a", "b", F.coalesce(F.col("ap") == F.col("bp"), F.lit(False)).alias("near")), "pairs")
         if where.isEmpty():
-            return
+            return None
 
         def derive(batches):
             for batch in batches:
@@ -267,7 +279,37 @@ class Join:
 
         near = where.where("near").select("a", "b").join(a.drop("ap"), "a").join(b.drop("bp"), "b").select("a", "b", "ad", "bd", "an", "bn").mapInArrow(derive, "a long, b long")
         far = self.compare_with_pivots(where.where("NOT near")).where("linked").select("a", "b")
-        self.labels = merge_labels(self.labels, near.unionByName(far))
+        return near.unionByName(far)
+
+    def _certain(self, na, da, nb, db) -> Column:
+        """Two members of one pivot link whatever their differences share."""
+        total = f"({self.num} * ({na} + {nb}) + {self.num + self.den - 1}) div {self.num + self.den}"
+        return F.expr(f"{da} + {db} <= {na} + {nb} - 2 * ({total})")
+
+    def link_counts(self, copies: DataFrame) -> DataFrame:
+        """``node, links``: rows of other sets that a set of ``all_posts`` links with; ``copies`` has
+        the number of rows, ``(node, c)``, of each set. To be called after ``run``."""
+        apart = self.deltas.select(F.col("id").alias("node"), "pivot", F.expr("octet_length(delta) div 8").alias("d"))
+        sizes = self.sets.select("node", F.expr("octet_length(elements) div 8").alias("n"))
+        members = written(apart.join(sizes, "node").join(copies, "node"), "members")
+        # by pivot, set size and size of the difference: rows of the cells that link for certain
+        cells = members.groupBy("pivot", "n", "d").agg(F.sum("c").alias("c"))
+        others = cells.select("pivot", F.col("n").alias("m"), F.col("d").alias("e"), F.col("c").alias("o"))
+        near = cells.drop("c").join(others, "pivot").where(self._certain("n", "d", "m", "e")).groupBy("pivot", "n", "d").agg(F.sum("o").alias("o"))
+        itself = F.when(self._certain("n", "d", "n", "d"), F.col("c")).otherwise(0)
+        by_cell = members.join(near, ["pivot", "n", "d"]).select("node", (F.col("o") - itself).alias("links"))
+        # what is not certain: pairs of a list, each once
+        rows = self.all_posts.join(members.select("node", "pivot", "d"), "node", "left")
+        left = rows.select("element", F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"), *[F.col(c).alias(f"l{c}") for c in ("node", "n", "pos", "pivot", "d", "block")])
+        once = (F.col("lblock") < F.col("block")) | (F.col("lnode") < F.col("node"))
+        counted = F.coalesce((F.col("pivot") == F.col("lpivot")) & self._certain("n", "d", "ln", "ld"), F.lit(False))
+        pairs = left.join(rows, ["element", "block"]).where(once & ~counted & _possible("n", "pos", "ln", "lpos", self.num, self.den))
+        found = self.linked_pairs(pairs.select(F.least("lnode", "node").alias("a"), F.greatest("lnode", "node").alias("b")).distinct())
+        if found is not None:
+            found = written(found, "links")
+            both = found.select(F.col("a").alias("of"), F.col("b").alias("node")).unionByName(found.select(F.col("b").alias("of"), F.col("a").alias("node")))
+            by_cell = by_cell.unionByName(both.join(copies, "node").select(F.col("of").alias("node"), F.col("c").alias("links")))
+        return by_cell.groupBy("node").agg(F.sum("links").alias("links"))
 
     def run(self, rounds: int = ROUNDS) -> DataFrame:
         """``id, label`` of every set that shares a list with another."""
@@ -281,18 +323,32 @@ class Join:
         return self.labels
 
 
-def _labelled_rows(docs: DataFrame, k: int, num: int, den: int, rounds: int) -> DataFrame:
+def _labelled_rows(docs: DataFrame, k: int, num: int, den: int, rounds: int, links: bool = False) -> DataFrame:
     table = written(prefixes(docs, k, num, den), "prefixes")
-    labels = Join(docs, table, k, num, den).run(rounds).select(F.col("id").alias("node"), "label")
-    return table.select("doc_id", "th", "n", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    join = Join(docs, table, k, num, den)
+    labels = join.run(rounds).select(F.col("id").alias("node"), "label")
+    rows = table.select("doc_id", "th", "n", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    if not links:
+        return rows
+    copies = written(table.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("c")), "copies")
+    counted = copies.join(join.link_counts(copies), "node", "left").select("node", (F.col("c") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    return rows.join(counted, "node", "left").withColumn("links", F.when(F.col("n") > 0, F.col("links")).otherwise(F.lit(0).cast("long")))
+
+
+def _components(rows: DataFrame) -> DataFrame:
+    least = rows.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
+    return rows.join(least, "label", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")))
 
 
 def link_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, rounds: int = ROUNDS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
-    rows = _labelled_rows(docs, k, num, den, rounds)
-    least = rows.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
-    joined = rows.join(least, "label", "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return _components(_labelled_rows(docs, k, num, den, rounds)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def link_numbers(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, rounds: int = ROUNDS) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` of every row: the last is the number of other rows
+    whose sets link with its set, exact copies included."""
+    return _components(_labelled_rows(docs, k, num, den, rounds, True)).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("links").alias("n_links"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, rounds: int = ROUNDS) -> DataFrame:
@@ -309,5 +365,5 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, rounds:
 
 @register("op4_ngram_jaccard_join")
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Set size and component of every document."""
-    return link_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Set size, component and number of links of every document."""
+    return link_numbers(read_table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -74,3 +74,32 @@ def test_merge_labels_on_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 98)] + [(150, 120), (150, 199), (120, 120)], "a long, b long")
     got = {r.id: r.label for r in merge_labels(labels, links).collect()}
     assert all(got[i] == 0 for i in range(99)) and got[120] == got[150] == got[199] == 120 and got[130] == 130
+
+
+def near_copies(n):
+    """Texts that differ from one in up to 12 places, in groups that share their changes."""
+    words = [f"n{i}" for i in range(300)]
+    out = []
+    for i in range(n):
+        new = list(words)
+        for j in range(i % 13):
+            new[(i % 3) * 90 + 7 * j] = f"x{i % 5}q{j}"
+        out.append((7000 + i, " ".join(new[: 300 - i % 7]), "s"))
+    return out
+
+
+@pytest.mark.parametrize("k,num,den,rounds", [(4, 85, 100, 2), (2, 50, 100, 1)])
+def test_links_are_counted_by_all_pairs(spark, rows, k, num, den, rounds):
+    rows = rows + chain(25) + near_copies(60)
+    sets = [shingles(t, k) for _, t, *_ in rows]
+    links = [sum(bool(s) and a != b and den * len(s & t) >= num * len(s | t) for b, t in enumerate(sets)) for a, s in enumerate(sets)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 AS node", "2 AS links", "3 AS c").repartition(4)
+    got = jaccard.link_numbers(docs, k, num, den, rounds).collect()
+    want = [(*r, n) for r, n in zip(brute(rows, k, num, den), links)]
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key) and max(links) > 20
+
+
+def test_links_of_nothing(spark, no_docs):
+    assert jaccard.link_numbers(no_docs).count() == 0
+    blank = spark.createDataFrame([(1, None), (2, ""), (3, "one"), (4, "One")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in jaccard.link_numbers(blank).collect()) == [(1, 0, 1, 0), (2, 0, 2, 0), (3, 1, 3, 1), (4, 1, 3, 1)]
