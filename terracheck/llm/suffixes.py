@@ -17,7 +17,8 @@ Ranks are hashes: positions off the anchors carry no rank of their own, so the s
 is the hash of its bytes. Equal texts of ``length`` bytes or more are repeats of each other whole.
 
 Hot ranks (a passage of many documents) are counted with partial sums and joined back, which Spark
-splits; no group is ever collected but the spans of one text.
+splits. The window hashes of step 3 are not: all rows of one hash, one for each run that holds the
+window, are a window group in one task.
 
 Edge cases: a null text is empty; texts shorter than ``length`` keep all bytes; strings never cross
 documents; repeated rows are documents of their own, so long ones remove each other; a null id is
