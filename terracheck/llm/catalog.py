@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from terracheck.llm import decontam, html, jaccard, lattice, licenses, mixing, quality, secrets, simhash, suffixes  # noqa: F401
+from terracheck.llm import bpe, decontam, filter_audit, html, jaccard, lattice, licenses, mixing, quality, secrets, simhash, suffixes, vector_codes  # noqa: F401
 from terracheck.llm.registry import ORACLES, QUERIES  # noqa: F401
