@@ -34,6 +34,29 @@ def _crosses(e: Column, px: Column, py: Column) -> Column:
     return ((e["y1"] > py) != (e["y2"] > py)) & (px < x_at)
 
 
+def _x_at(e: Column, y: Column) -> Column:
+    """x of edge ``e`` at height ``y``, never beyond its ends."""
+    dy = F.when(e["y2"] == e["y1"], F.lit(1.0)).otherwise(e["y2"] - e["y1"])
+    x = (e["x2"] - e["x1"]) * (y - e["y1"]) / dy + e["x1"]
+    return F.greatest(F.least(e["x1"], e["x2"]), F.least(F.greatest(e["x1"], e["x2"]), x))
+
+
+def x_where_crossed(e: Column, y: Column) -> Column:
+    """x where edge ``e`` crosses height ``y``; NULL where it does not."""
+    return F.when((e["y1"] > y) != (e["y2"] > y), _x_at(e, y))
+
+
+def crosses_right_of(e: Column, x: Column, y: Column) -> Column:
+    """Does edge ``e`` cross height ``y`` to the right of ``x``?"""
+    return ((e["y1"] > y) != (e["y2"] > y)) & (_x_at(e, y) > x)
+
+
+def _above(e: Column, x: Column, y: Column) -> Column:
+    """For an edge that crosses the vertical line at ``x``: does it pass above ``(x, y)``?"""
+    right = F.when(e["x2"] > e["x1"], e["y2"]).otherwise(e["y1"])
+    return (right > y) != crosses_right_of(e, x, y)
+
+
 def crossing_count(edges: Column, px: Column, py: Column) -> Column:
     return F.size(F.filter(edges, lambda e: _crosses(e, px, py)))
 
@@ -43,6 +66,22 @@ def inside(edges: Column, px: Column, py: Column) -> Column:
     return crossing_count(edges, px, py) % 2 == 1
 
 
+def inside_by_reference(ref_inside: Column, local: Column, px: Column, py: Column, rx: Column, ry: Column) -> Column:
+    """Even-odd test of ``(px, py)`` from a reference point ``(rx, ry)`` known to be inside or not.
+
+    The path runs along ``y = py`` to ``rx`` and then along ``x = rx`` to ``ry``; only edges that meet
+    it change the answer, so ``local`` needs no others. Both legs decide by the same ``x`` of an edge
+    at a height, which makes the sum over all edges of closed rings equal to the ray's count exactly,
+    rounding included."""
+
+    def changes(e: Column) -> Column:
+        along_y = crosses_right_of(e, px, py) != crosses_right_of(e, rx, py)
+        along_x = ((e["x1"] > rx) != (e["x2"] > rx)) & (_above(e, rx, py) != _above(e, rx, ry))
+        return along_y != along_x
+
+    return ref_inside != (F.size(F.filter(local, changes)) % 2 == 1)
+
+
 def _dist2(e: Column, px: Column, py: Column) -> Column:
     dx = e["x2"] - e["x1"]
     dy = e["y2"] - e["y1"]

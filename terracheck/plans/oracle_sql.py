@@ -46,6 +46,19 @@ edges AS (SELECT a.iso_a3, a.seq, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
    FROM pts a JOIN pts b ON a.iso_a3 = b.iso_a3 AND b.seq = (a.seq + 1) % 6)
 """
 
+# The same polygons with a jagged coast: every edge in COAST_PIECES pieces.
+COAST_PIECES = 1700
+COAST_CTE = f"""
+, coast_pts AS (SELECT iso_a3, seq * {COAST_PIECES} + k AS seq,
+   x1 + (x2 - x1) * k / {COAST_PIECES} + CASE WHEN y1 = y2 THEN 0.0 ELSE off END AS x,
+   y1 + (y2 - y1) * k / {COAST_PIECES} + CASE WHEN y1 = y2 THEN off ELSE 0.0 END AS y
+   FROM (SELECT *, CASE WHEN k = 0 THEN 0.0::DOUBLE ELSE CAST(((seq + 1) * k * 7919) % 101 - 50 AS DOUBLE) / 250 END AS off
+         FROM edges, (SELECT unnest(range({COAST_PIECES})) AS k))),
+coast AS (SELECT iso_a3, seq, x AS x1, y AS y1,
+   coalesce(lead(x) OVER r, first(x) OVER r) AS x2, coalesce(lead(y) OVER r, first(y) OVER r) AS y2
+   FROM coast_pts WINDOW r AS (PARTITION BY iso_a3 ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+"""
+
 OCEAN_BOX_SQL = """((latitude BETWEEN -10 AND 10 AND longitude BETWEEN -170 AND -120)
    OR (latitude BETWEEN 5 AND 20 AND longitude BETWEEN -40 AND -20)
    OR (latitude BETWEEN -30 AND -10 AND longitude BETWEEN 60 AND 90))"""
@@ -57,3 +70,7 @@ def with_assets(tail: str) -> str:
 
 def with_edges(tail: str) -> str:
     return ASSETS_CTE + EDGES_CTE + tail
+
+
+def with_coast(tail: str) -> str:
+    return ASSETS_CTE + EDGES_CTE + COAST_CTE + tail

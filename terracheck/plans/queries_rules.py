@@ -8,9 +8,9 @@ from terracheck.columns import DEFAULT_COLS as C
 from terracheck.functions import rules as R
 from terracheck.operators import geo, validate
 from terracheck.plans.catalog import register
-from terracheck.plans.oracle_sql import with_assets, with_edges
+from terracheck.plans.oracle_sql import COAST_PIECES, with_assets, with_coast, with_edges
 from terracheck.sources.assets import load_assets, read_table
-from terracheck.sources.polygons import grid_country_edges
+from terracheck.sources.polygons import grid_country_edges, roughened_edges
 
 
 def country_edges(spark, sf):
@@ -154,6 +154,51 @@ def q_point_in_country_cells(spark, sf):
     )
 
 
+#: Only edges that a point's height or the buffer can meet are paired with it.
+_COAST_SQL = """
+, pairs AS (
+  SELECT a.row_id, e.*, longitude, latitude FROM assets a JOIN coast e ON upper(regexp_replace(a.country, '^\\s+|\\s+$', '', 'g')) = e.iso_a3
+  WHERE (y1 > latitude) <> (y2 > latitude) OR (latitude BETWEEN least(y1, y2) - 0.6 AND greatest(y1, y2) + 0.6
+    AND longitude BETWEEN least(x1, x2) - 0.6 AND greatest(x1, x2) + 0.6)),
+d AS (
+  SELECT row_id,
+    SUM(CASE WHEN (y1 > latitude) <> (y2 > latitude)
+              AND longitude < (x2-x1)*(latitude-y1)/CASE WHEN y2=y1 THEN 1 ELSE y2-y1 END + x1 THEN 1 ELSE 0 END) % 2 AS inside,
+    MIN(sqrt(power(longitude-(x1+t*(x2-x1)),2)+power(latitude-(y1+t*(y2-y1)),2))) AS dist
+  FROM (SELECT *, greatest(0.0, least(1.0,
+          ((longitude-x1)*(x2-x1)+(latitude-y1)*(y2-y1))/((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)))) AS t FROM pairs) q
+  GROUP BY row_id)
+SELECT row_id, country, CASE WHEN known.iso_a3 IS NULL THEN true ELSE coalesce(d.inside = 1 OR d.dist < 0.5, false) END AS in_country
+FROM assets a LEFT JOIN d USING (row_id)
+LEFT JOIN (SELECT DISTINCT iso_a3 FROM edges) known ON upper(regexp_replace(a.country, '^\\s+|\\s+$', '', 'g')) = known.iso_a3
+"""
+
+
+@register("point_in_country_coast", with_coast(_COAST_SQL))
+def q_point_in_country_coast(spark, sf):
+    """G1 on coasts of 10,200 edges a country."""
+    coast = roughened_edges(country_edges(spark, sf), COAST_PIECES)
+    return geo.point_in_country(load_assets(spark, sf), coast).select("row_id", "country", "in_country")
+
+
+@register(
+    "ocean_spatial_coast",
+    with_coast(
+        """
+, land AS (SELECT row_id, MAX(inside) AS on_land FROM (
+    SELECT a.row_id, e.iso_a3, SUM(CASE WHEN longitude < (x2-x1)*(latitude-y1)/(y2-y1) + x1 THEN 1 ELSE 0 END) % 2 AS inside
+    FROM assets a JOIN (SELECT *, unnest(range(CAST(floor(least(y1, y2)) AS BIGINT), CAST(floor(greatest(y1, y2)) AS BIGINT) + 1)) AS band FROM coast) e
+      ON CAST(floor(a.latitude) AS BIGINT) = e.band
+    WHERE (y1 > latitude) <> (y2 > latitude) GROUP BY a.row_id, e.iso_a3) GROUP BY row_id)
+SELECT a.row_id, a.latitude, a.longitude FROM assets a LEFT JOIN land l ON a.row_id = l.row_id WHERE coalesce(l.on_land, 0) = 0"""
+    ),
+)
+def q_ocean_spatial_coast(spark, sf):
+    """G2 on the same coasts."""
+    coast = roughened_edges(country_edges(spark, sf), COAST_PIECES)
+    return geo.ocean_by_land(load_assets(spark, sf), coast).where("in_ocean").select("row_id", "latitude", "longitude")
+
+
 _ASSET_FIELDS_SQL = """concat_ws(' | ',
    CASE WHEN gppd_idnr IS NULL THEN 'id: Input should be a valid string'
         WHEN regexp_matches(gppd_idnr, '^\\s*$') THEN 'id: Value error, Asset id must not be blank or whitespace.' END,

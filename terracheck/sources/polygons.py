@@ -59,6 +59,24 @@ def grid_country_edges(nation: DataFrame) -> DataFrame:
     return vertices_to_edges(grid_country_vertices(nation))
 
 
+def roughened_edges(edges: DataFrame, pieces: int) -> DataFrame:
+    """A jagged coast: each edge cut into ``pieces``, with its inner vertices moved sideways by up to
+    0.2 degrees in a fixed pattern. The edges must be horizontal or vertical."""
+    k = F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))
+    cut = edges.select("iso_a3", "part", "ring", "seq", "x1", "y1", "x2", "y2", k.alias("k"))
+    off = F.when(F.col("k") == 0, 0.0).otherwise((((F.col("seq") + 1) * F.col("k") * 7919) % 101 - 50).cast("double") / 250)
+    level = F.col("y1") == F.col("y2")
+    vertices = cut.select(
+        "iso_a3",
+        "part",
+        "ring",
+        (F.col("seq") * pieces + F.col("k")).alias("seq"),
+        (F.col("x1") + (F.col("x2") - F.col("x1")) * F.col("k") / pieces + F.when(level, 0.0).otherwise(off)).alias("x"),
+        (F.col("y1") + (F.col("y2") - F.col("y1")) * F.col("k") / pieces + F.when(level, off).otherwise(0.0)).alias("y"),
+    )
+    return vertices_to_edges(vertices)
+
+
 _MULTI = T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
 _SINGLE = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
 

@@ -74,6 +74,65 @@ def test_plan_is_broadcast_equi_join(spark, edges):
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def test_cells_hold_local_edges_only(spark, edges_small):
+    """A coast of 10,000 edges a country: no cell's list grows with the coast."""
+    from terracheck.sources.polygons import roughened_edges
+
+    coast = roughened_edges(edges_small.where("iso_a3 IN ('C07', 'C12')"), 2000)
+    assert coast.groupBy("iso_a3").count().first()["count"] == 12000
+    step = 192 / 12000
+    for cell in (0.5, 2.0):
+        index = geo.parity_cells(coast, "iso_a3", cell, 0.5)
+        longest = index.select(F.max(F.size("local"))).first()[0]
+        assert longest <= 3 * (cell + 1 + 0.4) / step  # two sides of a corner, and what the coast swings
+        rows = index.groupBy("iso_a3").agg(F.sum(F.col("ref_inside").cast("int"))).collect()
+        area = 64 * 16 + 32 * 16
+        assert all(abs(r[1] * cell * cell - area) < 0.05 * area + 70 * cell for r in rows)
+
+
+def test_cells_equal_all_edges_on_a_jagged_coast(spark, edges_small):
+    import random
+
+    from terracheck.sources.polygons import roughened_edges
+
+    coast = roughened_edges(edges_small.where("iso_a3 IN ('C07', 'C12')"), 300).cache()
+    by_code = {}
+    for e in coast.collect():
+        by_code.setdefault(e.iso_a3, []).append((e.x1, e.y1, e.x2, e.y2))
+    r = random.Random(4)
+    rows = []
+    for i in range(400):
+        code = r.choice(sorted(by_code))
+        x1, y1, _, _ = r.choice(by_code[code])
+        # near the coast, on cell borders, on vertices' heights, anywhere
+        x, y = r.choice([(x1 + r.uniform(-1, 1), y1 + r.uniform(-1, 1)), (float(round(x1)), float(round(y1))), (x1 + r.uniform(-2, 2), y1), (r.uniform(-180, 180), r.uniform(-90, 90))])
+        rows.append((i, code, y, x))
+    rows.append((999, "C07", None, 5.0))
+    df = pts(spark, rows)
+
+    def odd(code, x, y):
+        return sum((y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / ((y2 - y1) or 1.0) + x1 for x1, y1, x2, y2 in by_code[code]) % 2 == 1
+
+    land = {i: y is not None and any(odd(c, x, y) for c in by_code) for i, _, y, x in rows}
+    flat = {r.row_id: r.in_country for r in geo.point_in_country(df, coast, method="arrays").collect()}
+    for cell in (0.5, 1.0, 2.5, None):
+        got = {r.row_id: r.in_country for r in geo.point_in_country(df, coast, method="cells", cell_deg=cell).collect()}
+        assert got == flat, cell
+        assert {r.row_id: r.on_land for r in geo.on_land(df, coast, cell_deg=cell).collect()} == land, cell
+
+
+def test_slanted_edges_through_cell_corners(spark):
+    """Vertices and edges that run exactly through corners of cells."""
+    rings = [("AAA", 0, 0, [(0, 0), (10, 10), (20, 0), (10, -10)]), ("AAA", 0, 1, [(5, 0), (10, 5), (15, 0), (10, -5)])]
+    rows = [(c, p, r, i, float(x), float(y)) for c, p, r, at in rings for i, (x, y) in enumerate(at)]
+    edges = vertices_to_edges(spark.createDataFrame(rows, "iso_a3 string, part int, ring int, seq int, x double, y double"))
+    grid = [(k, "AAA", y / 4 + 0.05, x / 4) for k, (x, y) in enumerate((x, y) for x in range(-8, 92, 3) for y in range(-48, 48, 5))]
+    df = pts(spark, grid)
+    want = {k: (4.999 < abs(x - 10) + abs(y) < 10.001) for k, _, y, x in grid}
+    for cell in (0.5, 1.0, 5.0):
+        assert {r.row_id: r.on_land for r in geo.on_land(df, edges, cell_deg=cell).collect()} == want, cell
+
+
 def test_geojson_lines_reader(spark, tmp_path):
     import json
 
