@@ -13,11 +13,16 @@ Trees are unaffected by a positive per-feature affine rescale, so features are
 not standardised before growth (F8 is available as an operator of its own).
 
 Spark layout
-* M1 subsample: one hash per row decides whether a row can enter any tree of
-  its model (probability q), a second hash per candidate tree decides each tree
-  (p / q); ``row_number`` over ``(model_key, tree_id)`` then keeps exactly psi.
-  Groups are ~psi + 6 sqrt(psi) rows, so a hot country cannot hurt.
-* M2 growth: ``groupBy(model_key, tree_id).applyInPandas`` -> node rows.
+* M1 subsample: every row has a place in every tree, ``(a_t * x + b_t) mod 2^31 - 1`` of its hash
+  ``x``, and a tree takes the psi rows of the lowest places.  That is one rule for every table size,
+  and trees draw independently of each other.  Tasks drop places that cannot be among the lowest
+  (all but about psi + 6 sqrt(psi) a tree, by the row count), so groups stay small and a hot
+  country cannot hurt.
+* M2 growth: ``groupBy(model_key, tree chunk).applyInPandas`` -> node rows, with heap numbers
+  (children of node i are 2 i + 1 and 2 i + 2).
+* All random numbers are md5 digests of (seed, purpose, model, tree, node) or (seed, row), and path
+  lengths are whole multiples of 2^-30, so sums do not depend on their order: SQL can replay a
+  forest from the first draw to the last score.
 * Scoring one forest: the forest is at most T x (2 psi - 1) nodes, collected
   once and broadcast to a ``mapInPandas`` that walks all trees level by level
   with numpy.
@@ -35,18 +40,21 @@ Spark layout
 
 from __future__ import annotations
 
+import hashlib
 import math
-import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terracheck.functions.rand import hash_hex, hex_int
 from terracheck.operators.quantiles import exact_quantile
-from terracheck.session import cut_lineage, ship_package
+from terracheck.session import attach_row, cut_lineage, ship_package
 
 GLOBAL_KEY = "__global__"
 EULER_GAMMA = 0.5772156649015329
@@ -68,150 +76,82 @@ NODE_SCHEMA = T.StructType(
 
 
 def c_factor(n):
-    """Average path length of an unsuccessful BST search over n points (vectorised)."""
+    """Average path length of an unsuccessful BST search over n points (vectorised), to 30 binary
+    digits: sums of path lengths are then exact in any order."""
     n = np.asarray(n, dtype=float)
     out = np.zeros_like(n)
     out = np.where(n == 2, 1.0, out)
     big = n > 2
     safe = np.where(big, n, 3.0)
     out = np.where(big, 2.0 * (np.log(safe - 1.0) + EULER_GAMMA) - 2.0 * (safe - 1.0) / safe, out)
-    return out
+    return np.round(out * 2.0**30) / 2.0**30
 
 
-def stable_key_hash(key) -> int:
-    return zlib.crc32(str(key).encode("utf-8"))
+def digest_int(seed: int, *parts) -> int:
+    """32 bits of an md5 digest of (seed, parts); :func:`terracheck.functions.rand.hash_hex` in Python."""
+    return int(hashlib.md5("|".join(map(str, (seed, *parts))).encode()).hexdigest()[:8], 16)
 
 
-_M1 = np.uint64(0xBF58476D1CE4E5B9)
-_M2 = np.uint64(0x94D049BB133111EB)
-_GOLD = np.uint64(0x9E3779B97F4A7C15)
+def node_uniform(seed: int, purpose: str, key: str, tree: int, node: int) -> float:
+    """U[0, 1) of a node: independent of how trees are grouped into tasks, so growth is repeatable
+    under any partitioning."""
+    return digest_int(seed, purpose, key, tree, node) / 4294967296.0
 
 
-def _mix64(x: np.ndarray) -> np.ndarray:
-    """SplitMix64 finaliser (uint64 in, uint64 out; wrap-around arithmetic)."""
-    x = x.astype(np.uint64, copy=True)
-    x ^= x >> np.uint64(30)
-    x *= _M1
-    x ^= x >> np.uint64(27)
-    x *= _M2
-    x ^= x >> np.uint64(31)
-    return x
-
-
-def node_uniform(seed: int, key_hash: int, tree: np.ndarray, node: np.ndarray, purpose: int) -> np.ndarray:
-    """Counter-based U[0, 1) for (seed, model, tree, node, purpose): independent of how trees
-    are grouped into tasks, so growth is repeatable under any partitioning."""
-    with np.errstate(over="ignore"):
-        h = _mix64(np.full(tree.shape, np.uint64((seed * 1_000_003 + key_hash) & 0xFFFFFFFFFFFFFFFF)) ^ np.uint64(purpose))
-        h = _mix64(h + _GOLD * tree.astype(np.uint64))
-        h = _mix64(h + _GOLD * node.astype(np.uint64))
-    return (h >> np.uint64(11)).astype(np.float64) * (1.0 / 9007199254740992.0)
-
-
-def grow_trees(X: np.ndarray, tree_of_row: np.ndarray, tree_ids: np.ndarray, max_depth: int, seed: int, key_hash: int):
+def grow_trees(X: np.ndarray, tree_of_row: np.ndarray, tree_ids: np.ndarray, max_depth: int, seed: int, key: str):
     """Grow several isolation trees level by level with vectorised numpy.
 
     ``X`` holds the sample rows of all trees (rows x features), ``tree_of_row`` the
     position (0..k-1) of each row's tree in ``tree_ids``.  A node splits on a random
     non-constant feature at a threshold uniform in [min, max) of that feature in the
     node; it becomes a leaf at ``max_depth``, at <= 1 row, or when every feature is
-    constant.  Nodes are numbered per tree breadth-first (root 0).  Returns a dict of
-    node columns (tree_id, node_id, left, right, feature, threshold, path_len)."""
+    constant.  Returns a dict of node columns (tree_id, node_id, left, right, feature,
+    threshold, path_len)."""
     n_feat = X.shape[1]
-    k = tree_ids.size
-    # node table (global index g over all trees of the call)
-    n_tree, n_local, n_left, n_right, n_feature, n_thr, n_plen = [], [], [], [], [], [], []
-    roots = np.arange(k)
-    n_tree.append(roots)
-    n_local.append(np.zeros(k, dtype=np.int64))
-    next_local = np.ones(k, dtype=np.int64)
-    total = k
-    row_node = tree_of_row.astype(np.int64)  # global node of every live row
+    levels = []
+    tree, node = np.arange(tree_ids.size), np.zeros(tree_ids.size, dtype=np.int64)  # nodes of this level
+    at = tree_of_row.astype(np.int64)  # the place in the level of each live row's node
     live = np.arange(X.shape[0])
-    active = roots
-    depth = 0
-    split_info = {}
-    leaf_info = {}
-    while active.size:
-        # statistics of active nodes over their live rows
-        pos = np.full(total, -1, dtype=np.int64)
-        pos[active] = np.arange(active.size)
-        a_idx = pos[row_node[live]]
-        counts = np.bincount(a_idx, minlength=active.size)
-        lo = np.full((active.size, n_feat), np.inf)
-        hi = np.full((active.size, n_feat), -np.inf)
-        xs = X[live]
-        np.minimum.at(lo, a_idx, xs)
-        np.maximum.at(hi, a_idx, xs)
+    for depth in range(max_depth + 1):
+        counts = np.bincount(at, minlength=tree.size)
+        lo = np.full((tree.size, n_feat), np.inf)
+        hi = np.full((tree.size, n_feat), -np.inf)
+        np.minimum.at(lo, at, X[live])
+        np.maximum.at(hi, at, X[live])
         varying = hi > lo
         n_vary = varying.sum(axis=1)
-        terminal = (depth >= max_depth) | (counts <= 1) | (n_vary == 0)
-        for g, c in zip(active[terminal], counts[terminal]):
-            leaf_info[int(g)] = depth + float(c_factor(c))
-        split = ~terminal
+        split = (depth < max_depth) & (counts > 1) & (n_vary > 0)
+        feature = np.full(tree.size, -1, dtype=np.int32)
+        threshold = np.zeros(tree.size)
+        places = list(zip(np.flatnonzero(split).tolist(), tree_ids[tree[split]].tolist(), node[split].tolist()))
+        draws = np.array([[node_uniform(seed, purpose, key, t, i) for purpose in ("feature", "threshold")] for _, t, i in places]).reshape(-1, 2)
+        choice = np.minimum((draws[:, 0] * n_vary[split]).astype(np.int64), n_vary[split] - 1)  # k-th varying feature
+        rank = np.cumsum(varying[split], axis=1) - 1
+        feature[split] = np.argmax((rank == choice[:, None]) & varying[split], axis=1)
+        f_lo, f_hi = lo[split, feature[split]], hi[split, feature[split]]
+        threshold[split] = f_lo + draws[:, 1] * (f_hi - f_lo)
+        levels.append(
+            {
+                "tree_id": tree_ids[tree].astype(np.int32),
+                "node_id": node.astype(np.int32),
+                "left": np.where(split, 2 * node + 1, -1).astype(np.int32),
+                "right": np.where(split, 2 * node + 2, -1).astype(np.int32),
+                "feature": feature,
+                "threshold": threshold,
+                "path_len": np.where(split, 0.0, depth + c_factor(counts)),
+            }
+        )
         if not split.any():
             break
-        s_nodes = active[split]
-        s_tree = np.concatenate(n_tree)[s_nodes]
-        s_local = np.concatenate(n_local)[s_nodes]
-        u_f = node_uniform(seed, key_hash, tree_ids[s_tree], s_local, 1)
-        u_t = node_uniform(seed, key_hash, tree_ids[s_tree], s_local, 2)
-        choice = np.minimum((u_f * n_vary[split]).astype(np.int64), n_vary[split] - 1)  # k-th varying feature
-        rank = np.cumsum(varying[split], axis=1) - 1
-        feat = np.argmax((rank == choice[:, None]) & varying[split], axis=1)
-        f_lo = lo[split, feat]
-        f_hi = hi[split, feat]
-        thr = f_lo + u_t * (f_hi - f_lo)
-        # children: breadth-first local ids per tree, in order of the splitting nodes
-        order = np.lexsort((s_local, s_tree))
-        s_nodes, s_tree, s_local, feat, thr = s_nodes[order], s_tree[order], s_local[order], feat[order], thr[order]
-        first = np.r_[True, s_tree[1:] != s_tree[:-1]]
-        grp_start = np.maximum.accumulate(np.where(first, np.arange(s_tree.size), 0))
-        within = np.arange(s_tree.size) - grp_start
-        left_local = next_local[s_tree] + 2 * within
-        np.add.at(next_local, s_tree, 2)
-        left_g = total + 2 * np.arange(s_nodes.size)
-        right_g = left_g + 1
-        total += 2 * s_nodes.size
-        n_tree.append(np.repeat(s_tree, 2))
-        n_local.append(np.column_stack([left_local, left_local + 1]).ravel())
-        for g, lg, rg, f, t_ in zip(s_nodes, left_g, right_g, feat, thr):
-            split_info[int(g)] = (int(lg), int(rg), int(f), float(t_))
-        # route the rows of splitting nodes; rows of new leaves stop here
-        g_of_live = row_node[live]
-        is_split = np.zeros(total, dtype=bool)
-        is_split[s_nodes] = True
-        keep = is_split[g_of_live]
-        live = live[keep]
-        g_of_live = g_of_live[keep]
-        slot = np.full(total, -1, dtype=np.int64)
-        slot[s_nodes] = np.arange(s_nodes.size)
-        sl = slot[g_of_live]
-        go_left = X[live, feat[sl]] <= thr[sl]
-        row_node[live] = np.where(go_left, left_g[sl], right_g[sl])
-        active = np.concatenate([left_g, right_g])
-        active.sort()
-        depth += 1
-    trees_all = np.concatenate(n_tree)
-    local_all = np.concatenate(n_local)
-    left = np.full(total, -1, dtype=np.int32)
-    right = np.full(total, -1, dtype=np.int32)
-    feature = np.full(total, -1, dtype=np.int32)
-    threshold = np.zeros(total)
-    plen = np.zeros(total)
-    for g, (lg, rg, f, t_) in split_info.items():
-        left[g], right[g], feature[g], threshold[g] = local_all[lg], local_all[rg], f, t_
-    for g, pl in leaf_info.items():
-        plen[g] = pl
-    return {
-        "tree_id": tree_ids[trees_all].astype(np.int32),
-        "node_id": local_all.astype(np.int32),
-        "left": left,
-        "right": right,
-        "feature": feature,
-        "threshold": threshold,
-        "path_len": plen,
-    }
+        # the rows of splitting nodes go on; both children of each such node are nodes of the next level
+        slot = np.cumsum(split) - 1
+        on = split[at]
+        live, at = live[on], at[on]
+        right = X[live, feature[at]] > threshold[at]
+        at = 2 * slot[at] + right
+        tree = np.repeat(tree[split], 2)
+        node = (2 * node[split][:, None] + np.array([1, 2])).ravel()
+    return {c: np.concatenate([level[c] for level in levels]) for c in levels[0]}
 
 
 def forest_arrays(nodes: pd.DataFrame):
@@ -315,11 +255,6 @@ class ForestModel:
         )
 
 
-def _u53(*cols):
-    """U[0, 1) from 53 bits of xxhash64 (no SQL twin needed: forests are checked by properties)."""
-    return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
-
-
 def _model_key_col(key: str | None):
     return F.col(key).cast("string") if key else F.lit(GLOBAL_KEY)
 
@@ -331,6 +266,17 @@ def model_sizes(df: DataFrame, key: str | None, min_rows: int = 1) -> DataFrame:
     return base.groupBy(mk.alias("model_key")).agg(F.count(F.lit(1)).alias("n_train")).where(F.col("n_train") >= min_rows)
 
 
+#: Places are remainders of this prime, 2^31 - 1.
+PLACES = (1 << 31) - 1
+
+
+def tree_draws(n_trees: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factor and shift of each tree: row ``x`` has place ``(a * x + b) mod PLACES`` in it."""
+    a = np.array([1 + digest_int(seed, "factor", t) % (PLACES - 1) for t in range(n_trees)], dtype=np.int64)
+    b = np.array([digest_int(seed, "shift", t) % PLACES for t in range(n_trees)], dtype=np.int64)
+    return a, b
+
+
 def subsample(
     df: DataFrame,
     sizes: DataFrame,
@@ -342,44 +288,41 @@ def subsample(
 ) -> DataFrame:
     """M1: for every model key and tree, exactly psi = min(max_psi, n) rows without replacement.
 
-    Each tree first gets about psi' = psi + 6 sqrt(psi) + 10 candidates (so falling
-    short of psi is a > 6-sigma event), then the psi first by hash are kept.  How a
-    row picks its trees depends on r = T psi' / n, the expected trees per row:
-      * psi' >= n: every row is in every tree (sklearn uses all rows when n <= 256);
-      * r <= 1: a row is a candidate with probability r, for one tree drawn by hash;
-      * r < T / 4: a row draws ceil(1.15 r) trees by hash (duplicates removed);
-      * otherwise (tiny n): a per-tree Bernoulli(psi' / n) test.
-    Work is O(n + T psi') and no group exceeds ~1.15 psi' rows."""
-    mk = _model_key_col(key)
-    sizes = (
-        sizes.withColumn("psi", F.least(F.lit(max_psi), F.col("n_train")).cast("int"))
-        .withColumn("_psi_c", F.col("psi") + 6 * F.sqrt(F.col("psi")) + 10)
-        .withColumn("_r", F.col("_psi_c") * n_trees / F.col("n_train"))
-    )
-    rows = df.withColumn("model_key", mk).join(sizes, "model_key")
-    rid = F.col(row_id)
-    all_trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    one = F.when(
-        _u53(F.lit(seed), F.lit("m1"), F.col("model_key"), rid) < F.col("_r"),
-        F.array(F.pmod(F.xxhash64(F.lit(seed), F.lit("m1t"), F.col("model_key"), rid), F.lit(n_trees)).cast("int")),
-    ).otherwise(F.array().cast("array<int>"))
-    draws = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(1), F.ceil(F.col("_r") * 1.15).cast("int")),
-            lambda j: F.pmod(F.xxhash64(F.lit(seed), F.col("model_key"), rid, j), F.lit(n_trees)).cast("int"),
-        )
-    )
-    tests = F.filter(all_trees, lambda t: _u53(F.lit(seed), F.col("model_key"), rid, t) * F.col("n_train") < F.col("_psi_c"))
-    trees = (
-        F.when(F.col("_psi_c") >= F.col("n_train"), all_trees)
-        .when(F.col("_r") <= 1, one)
-        .when(F.col("_r") < n_trees / 4, draws)
-        .otherwise(tests)
-    )
-    exploded = rows.select("*", F.explode(trees).alias("tree_id"))
-    order = F.xxhash64(F.lit(seed), F.lit("m1rank"), F.col("model_key"), F.col("tree_id"), rid)
-    w = Window.partitionBy("model_key", "tree_id").orderBy(order, rid)
-    return exploded.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("psi")).drop("_rn", "_psi_c", "_r")
+    A tree takes the psi rows with the lowest places; rows of one place, which have equal hashes, go
+    by a digest of row and tree. The rule knows no table size. Tasks only pass on places below
+    ``(psi + 6 sqrt(psi) + 10) / n`` of the range; fewer than psi of them in a tree is a > 6-sigma
+    event.  Work is n T multiplications in numpy, T (psi + 6 sqrt(psi)) rows are shuffled, and no
+    group exceeds ~1.15 times that of a tree."""
+    ship_package(df.sparkSession)
+    wanted = sizes.withColumn("psi", F.least(F.lit(max_psi), F.col("n_train")).cast("int"))
+    share = F.least(F.lit(1.0), (F.col("psi") + 6 * F.sqrt("psi") + 10) / F.col("n_train"))
+    wanted = wanted.withColumn("_limit", F.floor(share * PLACES))
+    if key is None:  # one model: one row, attached without a join key
+        rows = attach_row(df, wanted)
+    else:
+        rows = df.withColumn("model_key", _model_key_col(key)).join(wanted, "model_key")
+    rows = rows.withColumn("_x", hex_int(hash_hex(seed, "row", F.col(row_id)), 1, 8) % PLACES)
+    schema = T.StructType([*rows.schema.fields, T.StructField("tree_id", T.IntegerType()), T.StructField("_place", T.LongType())])
+    at_x, at_limit = rows.columns.index("_x"), rows.columns.index("_limit")
+    a, b = tree_draws(n_trees, seed)
+    block = max(1, (1 << 21) // n_trees)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, limit = batch.column(at_x).to_numpy(), batch.column(at_limit).to_numpy()
+            for i in range(0, len(x), block):
+                v = x[i : i + block, None] * a + b
+                v = (v & PLACES) + (v >> 31)  # modulo 2^31 - 1, twice folded
+                v = (v & PLACES) + (v >> 31)
+                v[v == PLACES] = 0
+                row, tree = np.nonzero(v <= limit[i : i + block, None])
+                picked = batch.take(pa.array(row + i))
+                yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(tree.astype(np.int32)), pa.array(v[row, tree])], names=schema.names)
+
+    order = ["_place", hash_hex(seed, "tie", F.concat_ws("|", F.col("tree_id").cast("string"), F.col(row_id).cast("string"))), row_id]
+    w = Window.partitionBy("model_key", "tree_id").orderBy(*order)
+    low = rows.mapInArrow(places, schema).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("psi"))
+    return low.drop("_rn", "_place", "_x", "_limit")
 
 
 def grow_forest(sample: DataFrame, features, seed: int, row_id: str = "row_id", trees_per_group: int = 16) -> DataFrame:
@@ -394,7 +337,7 @@ def grow_forest(sample: DataFrame, features, seed: int, row_id: str = "row_id",
         psi = int(pdf["psi"].iloc[0])
         tree_ids, tree_of_row = np.unique(pdf["tree_id"].to_numpy(), return_inverse=True)
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
-        cols = grow_trees(pdf[feats].to_numpy(dtype=float), tree_of_row, tree_ids, max_depth, seed, stable_key_hash(key))
+        cols = grow_trees(pdf[feats].to_numpy(dtype=float), tree_of_row, tree_ids, max_depth, seed, key)
         out = pd.DataFrame(cols)
         out.insert(0, "model_key", key)
         return out[[f.name for f in NODE_SCHEMA.fields]]

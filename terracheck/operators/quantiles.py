@@ -19,8 +19,8 @@ from terracheck.session import cut_lineage
 
 
 def _interp(pos: Column, lo_v: Column, hi_v: Column) -> Column:
-    lo_i, hi_i = F.floor(pos), F.ceil(pos)
-    return F.when(lo_i == hi_i, lo_v).otherwise((hi_i - pos) * lo_v + (pos - lo_i) * hi_v)
+    """Between two order statistics; equal ones give their value, to the last bit."""
+    return lo_v + (hi_v - lo_v) * (pos - F.floor(pos))
 
 
 def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> tuple[DataFrame, Column, list[str]]:

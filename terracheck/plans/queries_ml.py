@@ -10,6 +10,7 @@ from terracheck.operators import forest as FO
 from terracheck.operators import scoring as SC
 from terracheck.operators.quantiles import exact_quantile
 from terracheck.plans.catalog import register
+from terracheck.plans.forest_sql import forest_sql
 from terracheck.plans.oracle_sql import with_assets
 from terracheck.session import cut_lineage
 from terracheck.sources.assets import load_assets, load_supplier_assets
@@ -250,22 +251,29 @@ def q_score_fixed_per_country(spark, sf):
     return scored.select("row_id", "big", _r("fixed_score"))
 
 
-# --- forests: growth is random, so SQL states what holds for any forest -------------------------
+# --- forests: drawn, grown and walked from md5 counters, which SQL replays ----------------------
 _MODELS_SQL = "c AS (SELECT country, count(*) AS n FROM assets WHERE country IS NOT NULL GROUP BY country HAVING count(*) >= 10)"
+_GLOBAL_SQL = with_assets(FEATURES_SQL + forest_sql("g", "feat", None, list(FE.GLOBAL_FEATURES), 300, 42))
+_COUNTRY_SQL = forest_sql("c", "feat", "country", list(FE.COUNTRY_FEATURES), 100, 42, min_rows=10)
+_COUNTRY_COLUMNS = """round(c.decision, 4) AS country_score, coalesce(c.decision < 0, false) AS country_anomaly,
+  CASE WHEN c.row_id IS NULL THEN 'global_fallback' ELSE 'country' END AS model_used"""
+#: Two trees of one table overlap by chance alone: id sums tell the rows drawn.
+_SAMPLE_COLUMNS = """CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(row_id) AS BIGINT) AS id_sum"""
 
 
 @register(
     "forest_subsample",
     with_assets(
-        f""", {_MODELS_SQL} SELECT country AS model_key, CAST(t AS INTEGER) AS tree_id, CAST(least(256, n) AS BIGINT) AS n_rows,
-  CAST(least(256, n) AS INTEGER) AS psi FROM c, range(100) r(t)"""
+        forest_sql("c", "assets", "country", ["latitude"], 100, 42, min_rows=10)
+        + f" SELECT model_key, t AS tree_id, {_SAMPLE_COLUMNS}, any_value(psi) AS psi FROM c_sample GROUP BY model_key, t"
     ),
 )
 def q_forest_subsample(spark, sf):
+    """M1: the rows that every tree of every country draws."""
     a = load_assets(spark, sf)
     sizes = FO.model_sizes(a, "country", 10)
-    s = FO.subsample(a, sizes, "country", 100, 42)
-    return s.groupBy("model_key", "tree_id").agg(F.count_distinct("row_id").alias("n_rows"), F.first("psi").alias("psi"))
+    s = FO.subsample(a.select("row_id", "country"), sizes, "country", 100, 42)
+    return s.groupBy("model_key", "tree_id").agg(F.count_distinct("row_id").alias("n_rows"), F.sum("row_id").alias("id_sum"), F.first("psi").alias("psi"))
 
 
 @register(
@@ -309,49 +317,83 @@ def featured(spark, sf, supplier: bool = False):
     return cut_lineage(FE.engineer_features(src))
 
 
-@register("forest_nodes")
+@register(
+    "forest_nodes",
+    _GLOBAL_SQL + 'SELECT model_key, tree_id, node_id, "left", "right", feature, round(threshold, 6) AS threshold, round(path_len, 6) AS path_len FROM g_nodes',
+)
 def q_forest_nodes(spark, sf):
     f = FE.fill_zero(featured(spark, sf), FE.GLOBAL_FEATURES)
-    sizes = FO.model_sizes(f, None).withColumn("psi", F.least(F.lit(256), F.col("n_train")).cast("int"))
-    return FO.grow_forest(FO.subsample(f, sizes.drop("psi"), None, 300, 42), FE.GLOBAL_FEATURES, 42)
+    sample = FO.subsample(f, FO.model_sizes(f, None), None, 300, 42)
+    nodes = FO.grow_forest(sample, FE.GLOBAL_FEATURES, 42)
+    return nodes.withColumns({"threshold": _r("threshold"), "path_len": _r("path_len")})
 
 
-@register("score_basic")
+@register(
+    "score_basic",
+    with_assets(
+        ", m AS (SELECT quantile_cont(capacity_mw, 0.5) AS med FROM assets), basic AS (SELECT *, coalesce(capacity_mw, med) AS capacity_filled FROM assets, m)"
+        + forest_sql("b", "basic", None, ["latitude", "longitude", "capacity_filled"], 200, 42)
+        + "SELECT row_id, round(decision, 4) AS anomaly_score, decision < 0 AS is_anomaly FROM b_decided"
+    ),
+)
 def q_score_basic(spark, sf):
     _, scored = SC.train_isolation_forest(load_assets(spark, sf), 0.08, 200, 42)
     return scored.select("row_id", "anomaly_score", "is_anomaly")
 
 
-@register("train_global")
+@register(
+    "train_global",
+    _GLOBAL_SQL
+    + """SELECT model_key, tree_id, count(*) AS n_nodes, count(*) FILTER (feature < 0) AS n_leaves, round(max(path_len), 6) AS max_path_len,
+  any_value(psi) AS psi, any_value(n_train) AS n_train, round(any_value("offset"), 6) AS "offset"
+FROM g_nodes JOIN g_offsets USING (model_key) GROUP BY model_key, tree_id""",
+)
 def q_train_global(spark, sf):
     """M4: the fitted global forest summarised per tree (nodes, leaves, depth bound) with its offset."""
     model, _ = SC.train_global_model(featured(spark, sf))
     per_tree = model.nodes.groupBy("model_key", "tree_id").agg(
         F.count(F.lit(1)).alias("n_nodes"), F.count_if(F.col("feature") < 0).alias("n_leaves"),
-        F.max("path_len").alias("max_path_len"),
+        F.round(F.max("path_len"), 6).alias("max_path_len"),
     )
-    return per_tree.join(model.offsets.select("model_key", "psi", "n_train", "offset"), "model_key")
+    return per_tree.join(model.offsets.select("model_key", "psi", "n_train", _r("offset")), "model_key")
 
 
-@register("score_global")
+@register("score_global", _GLOBAL_SQL + "SELECT row_id, round(decision, 4) AS global_score, decision < 0 AS global_anomaly FROM g_decided")
 def q_score_global(spark, sf):
     _, g = SC.train_global_model(featured(spark, sf))
     return g.select("row_id", "global_score", "global_anomaly")
 
 
-@register("score_per_country")
+@register("score_per_country", with_assets(FEATURES_SQL + _COUNTRY_SQL + f"SELECT f.row_id, f.country, {_COUNTRY_COLUMNS} FROM feat f LEFT JOIN c_decided c USING (row_id)"))
 def q_score_per_country(spark, sf):
     _, c = SC.train_and_score_per_country(featured(spark, sf))
     return c.select("row_id", "country", "country_score", "country_anomaly", "model_used")
 
 
-@register("score_per_country_suppliers")
+@register(
+    "score_per_country_suppliers",
+    SUPPLIER_ASSETS_SQL
+    + FEATURES_SQL.replace("FROM assets", "FROM sup")
+    + _COUNTRY_SQL
+    + f"SELECT f.row_id, f.country, {_COUNTRY_COLUMNS} FROM feat f LEFT JOIN c_decided c USING (row_id)",
+)
 def q_score_per_country_suppliers(spark, sf):
     _, c = SC.train_and_score_per_country(featured(spark, sf, supplier=True))
     return c.select("row_id", "country", "country_score", "country_anomaly", "model_used")
 
 
-@register("ml_anomaly_run")
+@register(
+    "ml_anomaly_run",
+    _GLOBAL_SQL
+    + _COUNTRY_SQL
+    + f""", two AS (SELECT g.row_id, round(g.decision, 4) AS global_score, g.decision < 0 AS global_anomaly, {_COUNTRY_COLUMNS}
+  FROM g_decided g LEFT JOIN c_decided c USING (row_id)),
+blend AS (SELECT *, -global_score AS gi, -coalesce(country_score, global_score) AS ci FROM two),
+mm AS (SELECT min(gi) AS gmn, max(gi) AS gmx, min(ci) AS cmn, max(ci) AS cmx FROM blend),
+fin AS (SELECT blend.*, round(0.4 * ((gi - gmn) / (gmx - gmn + 1e-9)) + 0.6 * ((ci - cmn) / (cmx - cmn + 1e-9)), 4) AS ANOMALY_SCORE FROM blend, mm)
+SELECT row_id, global_score, global_anomaly, country_score, country_anomaly, model_used, ANOMALY_SCORE,
+  ANOMALY_SCORE > 0.6 OR global_anomaly OR country_anomaly AS IS_ANOMALY FROM fin""",
+)
 def q_ml_anomaly_run(spark, sf):
     out = SC.run_ml_anomaly_detection(load_assets(spark, sf))
     return out.select("row_id", "global_score", "global_anomaly", "country_score", "country_anomaly", "model_used",
