@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
-from terracheck.operators.quantiles import exact_quantile
+from terracheck.operators.quantiles import exact_quantile, quantile_by_and_overall
 from terracheck.session import attach_row
 
 GLOBAL_FEATURES = ("latitude", "longitude", "cap_log", "lat_lon_ratio", "country_cap_zscore")
@@ -23,8 +23,8 @@ BASIC_FEATURES = ("latitude", "longitude", "capacity_mw")
 def cap_filled(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
     """adds ``country_cap_median`` and ``cap_filled`` = capacity, else country median, else global
     median. A NaN capacity counts as missing."""
-    by_country = exact_quantile(df, cols.capacity, 0.5, [cols.country], "country_cap_median")
-    overall = exact_quantile(df, cols.capacity, 0.5, [], "_global_median")
+    by_country, overall = quantile_by_and_overall(df, cols.capacity, 0.5, cols.country)
+    by_country, overall = by_country.withColumnRenamed("quantile", "country_cap_median"), overall.withColumnRenamed("quantile", "_global_median")
     joined = attach_row(df.join(by_country, cols.country, "left"), overall)
     known = F.nullif(F.col(cols.capacity), F.lit(float("nan")))
     return joined.withColumn("cap_filled", F.coalesce(known, F.col("country_cap_median"), F.col("_global_median"))).drop("_global_median")

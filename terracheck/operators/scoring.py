@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.operators import forest as FO
 from terracheck.operators.features import COUNTRY_FEATURES, GLOBAL_FEATURES, basic_features, engineer_features
-from terracheck.operators.quantiles import exact_quantiles_row
-from terracheck.session import attach_row, cut_lineage
+from terracheck.operators.quantiles import exact_quantiles
+from terracheck.session import cut_lineage
 
 MIN_COUNTRY_ASSETS = 10
 SCORE_THRESHOLD = 0.60
@@ -32,36 +32,25 @@ def country_eligibility(df: DataFrame, cols: AssetCols = DEFAULT_COLS, min_rows:
     )
 
 
-def minmax_stats(df: DataFrame, columns) -> DataFrame:
-    """One row with, per column c: c_med (exact median), c_min, c_max and c_nulls (any NULL?)."""
+def minmax_stats(df: DataFrame, columns) -> dict[str, tuple]:
+    """(minimum, exact median, maximum) of each column without its NULLs, from the same scans."""
     columns = list(columns)
-    plain = [F.min(c).alias(c + "_min") for c in columns] + [F.max(c).alias(c + "_max") for c in columns]
-    plain += [(F.count(F.lit(1)) > F.count(c)).alias(c + "_nulls") for c in columns]
-    return attach_row(df.agg(*plain), exact_quantiles_row(df, columns, 0.5, "_med"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_name"), F.col(c).cast("double").alias("_value")) for c in columns]))
+    each = exact_quantiles(df.select(pairs.alias("_p")).select("_p.*"), ["_name"], "_value", [0.0, 0.5, 1.0]).collect()  # a row per column
+    return {c: (None, None, None) for c in columns} | {r["_name"]: (r["q0"], r["q1"], r["q2"]) for r in each}
 
 
 def invert_minmax(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """M10 for several columns at once: fill NULL with the column median, negate, then
     (x - min) / (max - min + 1e-9).  ``columns`` maps input column -> output column.
 
-    The bounds of the filled, negated column follow from one aggregate pass
-    (min over coalesce(c, med) is min(min c, med) when c has NULLs), so all
-    statistics come from a single one-row aggregate used as scalar subqueries."""
-    stats = minmax_stats(df, list(columns))
-    prefixed = stats.select([F.col(c).alias("_st_" + c) for c in stats.columns])
-
-    def st(name):
-        return F.col("_st_" + name)
-
+    The median lies between the bounds, so filling with it leaves them as they are. The statistics
+    are read first (one row per column); the result is a projection of ``df``."""
     out = {}
-    for c, name in columns.items():
-        med, has_null = st(c + "_med"), st(c + "_nulls")
-        lo = F.when(has_null, F.least(st(c + "_min"), med)).otherwise(st(c + "_min"))
-        hi = F.when(has_null, F.greatest(st(c + "_max"), med)).otherwise(st(c + "_max"))
-        inv = -F.coalesce(F.col(c), med)
-        inv_min, inv_max = -hi, -lo
-        out[name] = (inv - inv_min) / (inv_max - inv_min + F.lit(EPS))
-    return attach_row(df, prefixed).withColumns(out).drop(*prefixed.columns)
+    for c, (low, median, high) in minmax_stats(df, columns).items():
+        low, median, high = (F.lit(x).cast("double") for x in (low, median, high))
+        out[columns[c]] = (-F.coalesce(F.col(c), median) + high) / (-low + high + F.lit(EPS))
+    return df.withColumns(out)
 
 
 def compute_final_score(df: DataFrame) -> DataFrame:
