@@ -10,9 +10,10 @@ nothing is collected.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
@@ -96,13 +97,11 @@ def _missing(order, expectation, dimension, column, threshold) -> Column:
     )
 
 
-def run_expectation_suite(df: DataFrame, checks: list[Check] | None = None, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
-    """Evaluate the checks as one fused aggregate; returns one row per check (X1-X8), none for an
-    empty list."""
-    checks = default_suite(cols) if checks is None else checks
-    present = set(df.columns)
+def suite_aggregates(columns, checks: list[Check]) -> dict[str, Column]:
+    """Every aggregate that the checks need on a table with these columns, but for uniqueness, which
+    counts ids: they go into one ``agg``, or are observed on rows that pass by."""
+    present = set(columns)
     aggs: dict[str, Column] = {"_total": F.count(F.lit(1))}
-    unique_cols = []
     for i, ch in enumerate(checks):
         c = F.col(ch.column) if ch.column in present else None
         if ch.kind in ("not_null", "not_null_mostly") and c is not None:
@@ -112,11 +111,23 @@ def run_expectation_suite(df: DataFrame, checks: list[Check] | None = None, cols
             aggs[f"_min{i}"] = F.min(c).cast("double")
             aggs[f"_max{i}"] = F.max(c).cast("double")
             aggs[f"_out{i}"] = F.count_if((c < ch.lo) | (c > ch.hi))
-        elif ch.kind == "unique" and c is not None:
-            unique_cols.append((i, ch.column))
-    stats = df.agg(*[v.alias(k) for k, v in aggs.items()])
-    for i, name in unique_cols:
-        stats = attach_row(stats, _uniqueness_stats(df, name, i))
+    return aggs
+
+
+def run_expectation_suite(
+    df: DataFrame, checks: list[Check] | None = None, cols: AssetCols = DEFAULT_COLS, stats: DataFrame | None = None
+) -> DataFrame:
+    """Evaluate the checks as one fused aggregate; returns one row per check (X1-X8), none for an
+    empty list.  With ``stats``, one row of :func:`suite_aggregates` that is known already, ids are
+    counted at once, in one pass."""
+    checks = default_suite(cols) if checks is None else checks
+    present = set(df.columns)
+    known = stats is not None
+    if not known:
+        stats = df.agg(*[v.alias(k) for k, v in suite_aggregates(df.columns, checks).items()])
+    for i, ch in enumerate(checks):
+        if ch.kind == "unique" and ch.column in present:
+            stats = attach_row(stats, (_uniqueness_now if known else _uniqueness_stats)(df, ch.column, i))
 
     total = F.col("_total")
     rows = []
@@ -174,22 +185,27 @@ def run_expectation_suite(df: DataFrame, checks: list[Check] | None = None, cols
     return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _uniqueness_stats(df: DataFrame, column: str, i: int, sample_size: int = 5) -> DataFrame:
-    """One row: rows in duplicated groups (null is a group, as pandas ``duplicated``), distinct
-    non-null values, and the top duplicated values as a Python-dict text."""
+def _id_counts(df: DataFrame, column: str, i: int) -> tuple[DataFrame, list[Column], Column]:
+    """Rows per id, the totals over them, and whether an id is duplicated."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("cnt"))
-    totals = counts.agg(
+    totals = [
         F.coalesce(F.sum(F.when(F.col("cnt") > 1, F.col("cnt"))), F.lit(0)).alias(f"_dupes{i}"),
         F.count(F.col(column)).alias(f"_nunique{i}"),
-    )
-    # Bounded top-k (TakeOrderedAndProject); ties broken by value.  The duplicate test is an
-    # ordering key and filters only the k survivors, so no predicate is pushed below the id
-    # aggregate and both consumers share one exchange.
-    is_dup = F.col(column).isNotNull() & (F.col("cnt") > 1)
-    top = (
-        counts.orderBy(is_dup.desc(), F.col("cnt").desc(), F.col(column))
-        .limit(sample_size)
-        .where(is_dup)
+    ]
+    return counts, totals, F.col(column).isNotNull() & (F.col("cnt") > 1)
+
+
+def _top(counts: DataFrame, column: str, is_dup: Column, k: int) -> DataFrame:
+    """The ids first by count (TakeOrderedAndProject); ties broken by value.  The duplicate test is an
+    ordering key and filters only the k survivors, so no predicate is pushed below the id aggregate
+    and both consumers share one exchange."""
+    return counts.orderBy(is_dup.desc(), F.col("cnt").desc(), F.col(column)).limit(k)
+
+
+def _sample_text(top: DataFrame, column: str, is_dup: Column, i: int) -> DataFrame:
+    """The duplicated values of ``top`` with their counts as a Python-dict text."""
+    return (
+        top.where(is_dup)
         .agg(
             F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(column).cast("string").alias("v"))))
             .alias("items")
@@ -205,7 +221,24 @@ def _uniqueness_stats(df: DataFrame, column: str, i: int, sample_size: int = 5)
             ).alias(f"_sample{i}")
         )
     )
-    return attach_row(totals, top)
+
+
+def _uniqueness_stats(df: DataFrame, column: str, i: int, sample_size: int = 5) -> DataFrame:
+    """One row: rows in duplicated groups (null is a group, as pandas ``duplicated``), distinct
+    non-null values, and the top duplicated values as a Python-dict text."""
+    counts, totals, is_dup = _id_counts(df, column, i)
+    return attach_row(counts.agg(*totals), _sample_text(_top(counts, column, is_dup, sample_size), column, is_dup, i))
+
+
+def _uniqueness_now(df: DataFrame, column: str, i: int, sample_size: int = 5) -> DataFrame:
+    """The same row from one job: the totals are observed on the counts on their way to the top."""
+    counts, totals, is_dup = _id_counts(df, column, i)
+    seen = Observation(f"ids-{uuid.uuid4().hex}")
+    top = _top(counts.observe(seen, *totals), column, is_dup, sample_size)
+    rows = df.sparkSession.createDataFrame(top.collect(), top.schema)  # sample_size rows
+    found = {f"_dupes{i}": 0, f"_nunique{i}": 0} | dict(seen.get)
+    totals_row = df.sparkSession.createDataFrame([(found[f"_dupes{i}"], found[f"_nunique{i}"])], f"_dupes{i} long, _nunique{i} long")
+    return attach_row(totals_row, _sample_text(rows, column, is_dup, i))
 
 
 def top_duplicate_values(df: DataFrame, column: str, k: int = 5) -> DataFrame:

@@ -175,7 +175,7 @@ dq AS (SELECT d.dim_order, d.dimension,
 )
 def q_dq_dimensions(spark, sf):
     a = load_assets(spark, sf)
-    rep = dq.build_dq_report(a, X.run_expectation_suite(a), validate.validate_assets(a, country_edges(spark, sf)))
+    rep = dq.build_dq_report(a, country_edges=country_edges(spark, sf))
     return rep.dimensions.select("dim_order", "dimension", "score", "pct", "status")
 
 
@@ -221,7 +221,7 @@ FROM dq, meta GROUP BY gx_checks, gx_passed, gx_failed"""
 )
 def q_dq_overall(spark, sf):
     a = load_assets(spark, sf)
-    rep = dq.build_dq_report(a, X.run_expectation_suite(a), validate.validate_assets(a, country_edges(spark, sf)))
+    rep = dq.build_dq_report(a, country_edges=country_edges(spark, sf))
     return rep.summary
 
 
@@ -255,6 +255,6 @@ def q_dq_report(spark, sf):
     from terracheck.session import attach_row
 
     a = load_assets(spark, sf)
-    rep = dq.build_dq_report(a, X.run_expectation_suite(a), validate.validate_assets(a, country_edges(spark, sf)))
+    rep = dq.build_dq_report(a, country_edges=country_edges(spark, sf))
     summary = rep.summary.select("total_rows", "gx_checks", "gx_passed", "overall_score", "overall_status")
     return attach_row(rep.dimensions.select("dimension", "score", "pct", "status"), summary)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
-from terracheck.operators import charts, dq, evaluate, expectations, inject, qa, scoring, validate
+from terracheck.operators import charts, dq, evaluate, inject, qa, scoring, validate
 from terracheck.session import cut_lineage
 from terracheck.sources.assets import project_existing
 from terracheck.sources.sinks import write_table
@@ -43,17 +43,16 @@ def qa_run(
 ) -> QaRun:
     dirty = cut_lineage(inject.inject_errors(assets, pct_ocean, pct_duplicate, pct_missing, seed, cols))
     validated = validate.validate_assets(dirty, country_edges, cols)
-    suite = expectations.run_expectation_suite(dirty, cols=cols)
     _, scored = scoring.train_isolation_forest(dirty, 0.08, 200, 42, cols)
     issues = qa.detect_qa_errors(dirty, cols, ocean_mode, land_edges)
-    report = dq.build_dq_report(dirty, suite, validated, cols=cols)
+    report = dq.build_dq_report(dirty, validated=validated, cols=cols, write_to=f"{out_dir}/validated" if out_dir else None)
     if out_dir:
         write_table(assets, f"{out_dir}/clean")
         write_table(dirty, f"{out_dir}/dirty")
         write_table(scored, f"{out_dir}/scored")
         write_table(issues, f"{out_dir}/qa_report")
         dq.export_dimensions(report, f"{out_dir}/dq_dimensions")
-    return QaRun(dirty, validated, suite, scored, issues, report)
+    return QaRun(dirty, validated, report.suite, scored, issues, report)
 
 
 @dataclass

@@ -60,6 +60,34 @@ def test_summary_dimension_and_report(spark, assets_small, edges_small):
     assert o.overall_score == pytest.approx(sum(d.raw_score for d in dims.values()) / 4, abs=1e-4)
 
 
+def test_report_reads_the_table_twice(spark, assets_small, edges_small, tmp_path):
+    """Counts, scores and issues come from one validated pass, id counts from another."""
+    rows = assets_small.count()
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    plain = dq.build_dq_report(assets_small, X.run_expectation_suite(assets_small), country_edges=edges_small)
+    want = [sorted(map(str, t.collect())) for t in (plain.dimensions, plain.summary, plain.checks, plain.issues, plain.suite)]
+    for folder in (None, str(tmp_path / "validated")):
+        before = read.value
+        watched = assets_small.mapInArrow(count, assets_small.schema)
+        rep = dq.build_dq_report(watched, country_edges=edges_small, write_to=folder)
+        got = [sorted(map(str, t.collect())) for t in (rep.dimensions, rep.summary, rep.checks, rep.issues, rep.suite)]
+        assert got == want
+        assert read.value - before <= 2 * rows
+    assert spark.read.parquet(folder).count() == rows
+
+
+def test_report_of_an_empty_table(assets_small, edges_small):
+    rep = dq.build_dq_report(assets_small.where("row_id < 0"), country_edges=edges_small)
+    assert rep.accuracy.first().accuracy == 1.0 and rep.issues.count() == 0
+    assert rep.summary.first().total_rows == 0 and rep.dimensions.count() == 4
+
+
 def test_export_dimensions(spark, assets_small, edges_small, tmp_path):
     from terracheck.operators.validate import validate_assets
 
