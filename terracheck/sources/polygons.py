@@ -35,24 +35,98 @@ def grid_country_vertices(nation: DataFrame) -> DataFrame:
 
 
 def vertices_to_edges(vertices: DataFrame) -> DataFrame:
-    """Close every ring: edge i joins vertex i to vertex i+1, the last one to the first."""
+    """Close every ring: edge i joins vertex i to vertex i+1, the last one to the first.  Rings that
+    cross the antimeridian are split there (:func:`split_at_antimeridian`)."""
     ring = Window.partitionBy("iso_a3", "part", "ring").orderBy("seq")
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (
-        vertices.where(F.col("iso_a3") != NO_CODE)
-        .select(
-            "iso_a3",
-            "part",
-            "ring",
-            "seq",
-            F.col("x").alias("x1"),
-            F.col("y").alias("y1"),
-            F.coalesce(F.lead("x").over(ring), F.first("x").over(whole)).alias("x2"),
-            F.coalesce(F.lead("y").over(ring), F.first("y").over(whole)).alias("y2"),
-        )
-        # a ring stored closed (last vertex == first) yields one zero-length edge; drop it
-        .where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+    edges = vertices.where(F.col("iso_a3") != NO_CODE).select(
+        "iso_a3",
+        "part",
+        "ring",
+        "seq",
+        F.col("x").alias("x1"),
+        F.col("y").alias("y1"),
+        F.coalesce(F.lead("x").over(ring), F.first("x").over(whole)).alias("x2"),
+        F.coalesce(F.lead("y").over(ring), F.first("y").over(whole)).alias("y2"),
+    )
+    # a ring stored closed (last vertex == first) yields one zero-length edge; drop it
+    return split_at_antimeridian(edges.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2"))))
+
+
+#: ``seq`` of the edges that close split rings along the antimeridian, or over a pole.
+CLOSING = -1
+
+
+def split_at_antimeridian(edges: DataFrame) -> DataFrame:
+    """Edges of rings cut at +-180 degrees and closed again along it.
+
+    An edge of more than 180 degrees of longitude runs the short way round, over the antimeridian
+    (one between -180 and 180 itself lies along a split polygon's border and stays).  A ring that has
+    such an edge is unrolled to continuous longitudes, its edges are cut at the odd multiples of
+    180 degrees, and the pieces come back into [-180, 180].  Where a polygon part meets the
+    antimeridian, between its first and second crossing by latitude, third and fourth, and so on,
+    both sides get a closing edge.  A ring around a pole closes over the pole nearer to it.  All
+    other rings come through as they are."""
+    ring = Window.partitionBy("iso_a3", "part", "ring").orderBy("seq")
+    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    dx = F.col("x2") - F.col("x1")
+    over = (F.abs(dx) > 180) & ~((F.abs("x1") == 180) & (F.abs("x2") == 180))
+    turn = F.when(over, F.when(dx > 0, -360.0).otherwise(360.0)).otherwise(0.0)
+    before = ring.rowsBetween(Window.unboundedPreceding, -1)
+    e = edges.withColumn("_turn", turn).withColumns(
+        {
+            "_crosses": F.max(F.col("_turn") != 0).over(whole),
+            "_by": F.coalesce(F.sum("_turn").over(before), F.lit(0.0)),
+            "_round": F.sum("_turn").over(whole),
+            "_pole": F.when(F.avg("y1").over(whole) < 0, F.lit(-90.0)).otherwise(F.lit(90.0)),
+            "_start": F.first(F.struct("x1", "y1")).over(whole),
+            "_last": F.row_number().over(ring) == F.count(F.lit(1)).over(whole),
+        }
+    )
+    names = ["iso_a3", "part", "ring", "seq", "x1", "y1", "x2", "y2"]
+    plain = e.where(~F.col("_crosses")).select(names)
+    rolled = e.where("_crosses").select(
+        *names[:4], (F.col("x1") + F.col("_by")).alias("x1"), "y1", (F.col("x2") + F.col("_by") + F.col("_turn")).alias("x2"), "y2",
+        "_round", "_pole", "_start", "_last",
+    )
+    # around a pole the unrolled ring ends a turn away from its start: up to the pole, along it, and back
+    end = F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
+    over_end = F.struct(F.col("x2").alias("x"), F.col("_pole").alias("y"))
+    over_start = F.struct(F.col("_start.x1").alias("x"), F.col("_pole").alias("y"))
+    start = F.struct(F.col("_start.x1").alias("x"), F.col("_start.y1").alias("y"))
+    steps = F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in ((end, over_end), (over_end, over_start), (over_start, start))])
+    pole = rolled.where("_last AND _round <> 0").select(*names[:3], F.lit(CLOSING).alias("seq"), F.explode(steps).alias("s"))
+    pole = pole.select(*names[:4], F.col("s.a.x").alias("x1"), F.col("s.a.y").alias("y1"), F.col("s.b.x").alias("x2"), F.col("s.b.y").alias("y2"))
+    rolled = rolled.select(names).unionByName(pole).withColumn("seq", F.col("seq").cast(edges.schema["seq"].dataType))
+
+    # pieces of each edge in the turns (180 + 360 (k - 1), 180 + 360 k] that it meets
+    turn_of = lambda x: F.ceil((x - 180) / 360)
+    each = rolled.withColumn("k", F.explode(F.sequence(turn_of(F.least("x1", "x2")), turn_of(F.greatest("x1", "x2")))))
+    west, east = F.col("k") * 360.0 - 180, F.col("k") * 360.0 + 180
+    span = F.col("x2") - F.col("x1")
+
+    def at(x, y):
+        """The end ``(x, y)`` brought to the turn's borders along the edge."""
+        to = F.least(east, F.greatest(west, x))
+        return to, F.when(to == x, y).otherwise(F.col("y1") + (to - F.col("x1")) / F.when(span == 0, 1.0).otherwise(span) * (F.col("y2") - F.col("y1")))
+
+    (xa, ya), (xb, yb) = at(F.col("x1"), F.col("y1")), at(F.col("x2"), F.col("y2"))
+    shift = F.col("k") * 360.0
+    pieces = each.select(*names[:4], (xa - shift).alias("x1"), ya.alias("y1"), (xb - shift).alias("x2"), yb.alias("y2"))
+    pieces = pieces.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+
+    # where edges pass from one turn to the next, by latitude
+    passes = rolled.withColumns({"_k1": turn_of(F.col("x1")), "_k2": turn_of(F.col("x2"))}).where("_k1 <> _k2")
+    passes = passes.withColumn("k", F.explode(F.sequence(F.least("_k1", "_k2"), F.greatest("_k1", "_k2") - 1)))
+    height = F.col("y1") + (F.col("k") * 360.0 + 180 - F.col("x1")) / (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
+    line = Window.partitionBy("iso_a3", "part").orderBy("y")  # the crossings of one polygon with the antimeridian
+    met = passes.select("iso_a3", "part", height.alias("y")).withColumns({"_to": F.lead("y").over(line), "_i": F.row_number().over(line)})
+    sides = F.explode(F.array(F.lit(180.0), F.lit(-180.0)))
+    closing = met.where("_i % 2 = 1 AND _to > y").select("iso_a3", "part", "y", "_to", sides.alias("x"))
+    closing = closing.select(
+        "iso_a3", "part", F.lit(CLOSING).alias("ring"), F.lit(CLOSING).alias("seq"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("_to").alias("y2")
     )
+    return plain.unionByName(pieces).unionByName(closing)
 
 
 def grid_country_edges(nation: DataFrame) -> DataFrame:

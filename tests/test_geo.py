@@ -133,6 +133,53 @@ def test_slanted_edges_through_cell_corners(spark):
         assert {r.row_id: r.on_land for r in geo.on_land(df, edges, cell_deg=cell).collect()} == want, cell
 
 
+#: Rings over the antimeridian, and the same split by hand.
+CROSSING = [
+    ("FJI", 0, 0, [(170, -10), (-170, -10), (-170, -25), (170, -25)]),
+    ("FJI", 0, 1, [(178, -15), (-176, -15), (-176, -18), (178, -18)]),  # a hole over it too
+    ("RUS", 0, 0, [(100, 50), (-175, 60), (-175, 65), (179, 70), (-179, 75), (100, 75)]),  # two crossings apart
+    ("RUS", 1, 0, [(20, 50), (60, 50), (60, 60), (20, 60)]),  # does not cross
+    ("ATA", 0, 0, [(-180 + 30 * k, -70 - (k % 2) * 3) for k in range(12)]),  # around the south pole
+]
+SPLIT = [
+    ("FJI", 0, 0, [(170, -10), (180, -10), (180, -15), (178, -15), (178, -18), (180, -18), (180, -25), (170, -25)]),
+    ("FJI", 1, 0, [(-180, -10), (-170, -10), (-170, -25), (-180, -25), (-180, -18), (-176, -18), (-176, -15), (-180, -15)]),
+    ("ATA", 0, 0, [(-180 + 30 * k, -70 - (k % 2) * 3) for k in range(12)] + [(180, -70), (180, -90), (-180, -90)]),
+]
+
+
+def _polygon_tables(spark, rings):
+    rows = [(c, p, r, i, float(x), float(y)) for c, p, r, at in rings for i, (x, y) in enumerate(at)]
+    return vertices_to_edges(spark.createDataFrame(rows, "iso_a3 string, part int, ring int, seq int, x double, y double"))
+
+
+def test_rings_over_the_antimeridian_are_split(spark):
+    """Crossing polygons answer as pre-split ones do, in country and land tests."""
+    crossing, split = (_polygon_tables(spark, [r for r in rings if r[0] in ("FJI", "ATA")]).cache() for rings in (CROSSING, SPLIT))
+    assert crossing.where("abs(x1) > 180 OR abs(x2) > 180 OR abs(x2 - x1) > 180").where("abs(y1) < 90").count() == 0
+    grid = [(x, y) for x in [*range(-180, -164, 1), *range(166, 181, 1), -100, 0, 77] for y in (-89.5, -80.3, -72.6, -71.2, -69.8, -25.3, -24.7, -18.3, -17.2, -16.1, -14.8, -12.3, -9.8, -9.3)]
+    rows = [(i, c, y, x + 0.13 if x < 180 else x - 0.13) for i, (x, y, c) in enumerate((x, y, c) for x, y in grid for c in ("FJI", "ATA"))]
+    df = pts(spark, rows)
+    for ask in (lambda e: geo.point_in_country(df, e, method="arrays"), lambda e: geo.point_in_country(df, e, method="cells", cell_deg=2.0)):
+        got, want = ({r.row_id: r.in_country for r in ask(e).collect()} for e in (crossing, split))
+        assert got == want
+    got, want = ({r.row_id: r.on_land for r in geo.on_land(df, e, cell_deg=3.0).collect()} for e in (crossing, split))
+    assert got == want and 0 < sum(got.values()) < len(got)
+
+
+def test_both_sides_of_a_crossing_ring(spark):
+    edges = _polygon_tables(spark, CROSSING)
+    inside = [(-176.0, 63.0), (179.5, 66.0), (-179.9, 74.5), (-179.9, 73.5), (110.0, 60.0), (30.0, 55.0), (-178.0, -12.0), (175.0, -20.0), (0.0, -80.0)]
+    outside = [(-174.0, 62.0), (179.8, 71.0), (179.5, 71.0), (0.0, 60.0), (-100.0, 60.0), (179.0, -16.0), (-177.0, -16.0), (-160.0, -20.0), (0.0, -60.0)]
+    df = pts(spark, [(i, None, y, x) for i, (x, y) in enumerate(inside + outside)])
+    got = {r.row_id: r.on_land for r in geo.on_land(df, edges, cell_deg=5.0).collect()}
+    assert [got[i] for i in range(len(inside))] == [True] * len(inside), got
+    assert [got[i + len(inside)] for i in range(len(outside))] == [False] * len(outside), got
+    # no edge along the antimeridian where the polygon does not meet it
+    near = geo.point_in_country(pts(spark, [(1, "RUS", 71.0, -179.8), (2, "FJI", -16.5, 179.8)]), edges, buffer_deg=0.25)
+    assert [r.in_country for r in near.orderBy("row_id").collect()] == [False, False]
+
+
 def test_geojson_lines_reader(spark, tmp_path):
     import json
 
