@@ -8,12 +8,14 @@ country is split by AQE's skew join otherwise).  Medians are exact
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.operators.quantiles import exact_quantile, quantile_by_and_overall
-from terracheck.session import attach_row
+from terracheck.session import attach_row, cut_lineage
 
 GLOBAL_FEATURES = ("latitude", "longitude", "cap_log", "lat_lon_ratio", "country_cap_zscore")
 COUNTRY_FEATURES = ("latitude", "longitude", "cap_log", "country_cap_zscore")
@@ -40,24 +42,55 @@ def add_lat_lon_ratio(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFram
     return df.withColumn("lat_lon_ratio", F.col(cols.lat) / (F.abs(F.col(cols.lon)) + F.lit(1e-6)))
 
 
+def _zscore(cols: AssetCols) -> Column:
+    # NaN sorts above every number in Spark, so "std > 0" alone would pass a NaN std (an infinite
+    # capacity in the group); like pandas, such a group gets z = 0.
+    ok = F.col(cols.country).isNotNull() & (F.col("_std") > 0) & ~F.isnan("_std")
+    return F.coalesce(F.when(ok, (F.col("cap_filled") - F.col("_mean")) / F.col("_std")), F.lit(0.0))
+
+
 def add_country_zscore(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
     """(cap_filled - country mean) / country sample std; 0 when std is 0 or undefined
     (one row) and for rows without a country."""
     stats = df.groupBy(cols.country).agg(F.avg("cap_filled").alias("_mean"), F.stddev_samp("cap_filled").alias("_std"))
-    joined = df.join(stats, cols.country, "left")
-    # NaN sorts above every number in Spark, so "std > 0" alone would pass a NaN std (an infinite
-    # capacity in the group); like pandas, such a group gets z = 0.
-    ok = F.col(cols.country).isNotNull() & (F.col("_std") > 0) & ~F.isnan("_std")
-    z = F.when(ok, (F.col("cap_filled") - F.col("_mean")) / F.col("_std"))
-    return joined.withColumn("country_cap_zscore", F.coalesce(z, F.lit(0.0))).drop("_mean", "_std")
+    return df.join(stats, cols.country, "left").withColumn("country_cap_zscore", _zscore(cols)).drop("_mean", "_std")
+
+
+@dataclass(frozen=True)
+class FeatureStatistics:
+    """What the features of a row need to know of the table: per country ``(country,
+    country_cap_median, _mean, _std)``, and the overall median (None without any capacity)."""
+
+    countries: DataFrame
+    overall_median: float | None
+
+
+def feature_statistics(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> FeatureStatistics:
+    """The statistics of ``df``; the table of countries is stored."""
+    medians, overall = quantile_by_and_overall(df, cols.capacity, 0.5, cols.country)
+    medians, overall = medians.withColumnRenamed("quantile", "country_cap_median"), overall.first()["quantile"]
+    filled = _with_cap_filled(df.select(cols.country, cols.capacity), medians, overall, cols)
+    spread = filled.where(F.col(cols.country).isNotNull()).groupBy(cols.country).agg(F.avg("cap_filled").alias("_mean"), F.stddev_samp("cap_filled").alias("_std"))
+    return FeatureStatistics(cut_lineage(spread.join(medians, cols.country, "left").select(cols.country, "country_cap_median", "_mean", "_std")), overall)
+
+
+def _with_cap_filled(df: DataFrame, medians: DataFrame, overall: float | None, cols: AssetCols) -> DataFrame:
+    known = F.nullif(F.col(cols.capacity), F.lit(float("nan")))
+    filled = F.coalesce(known, F.col("country_cap_median"), F.lit(overall).cast("double"))
+    return df.join(medians, cols.country, "left").withColumn("cap_filled", filled)
+
+
+def with_features(df: DataFrame, stats: FeatureStatistics, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
+    """F1-F4 of every row from statistics that are known already, of this table or of another: one
+    join with a table of countries, no aggregate."""
+    out = _with_cap_filled(df, stats.countries, stats.overall_median, cols)
+    out = add_lat_lon_ratio(add_cap_log(out), cols)
+    return out.withColumn("country_cap_zscore", _zscore(cols)).drop("_mean", "_std")
 
 
 def engineer_features(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
-    """F1-F4 in one plan; the row count is unchanged."""
-    out = cap_filled(df, cols)
-    out = add_cap_log(out)
-    out = add_lat_lon_ratio(out, cols)
-    return add_country_zscore(out, cols)
+    """F1-F4; the row count is unchanged."""
+    return with_features(df, feature_statistics(df, cols), cols)
 
 
 def basic_features(df: DataFrame, cols: AssetCols = DEFAULT_COLS) -> DataFrame:

@@ -488,5 +488,7 @@ def score_forest(df: DataFrame, model: ForestModel, row_id: str = "row_id") -> D
         psi = int(model.offsets.first()["psi"])
         scored = score_single(df, model.nodes.toPandas(), psi, model.features)
     else:
-        scored = score_per_key(df, model.nodes, model.offsets, model.key, model.features, row_id)
+        # groups are sized by the rows that are scored, which may be many more than were trained on
+        here = model_sizes(df, model.key).join(model.offsets.select("model_key", "psi"), "model_key")
+        scored = score_per_key(df, model.nodes, here, model.key, model.features, row_id)
     return apply_offsets(scored, model)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.functions import geometry as G
+from terracheck.session import cut_lineage
 
 MAX_BROADCAST_EDGES = 2_000_000  # ~ 64 MB of (x1, y1, x2, y2) doubles
 
@@ -151,7 +152,7 @@ def point_in_country(
     elif method == "cells":
         cell = fitting_cell(edges) if cell_deg is None else cell_deg
         boxes = country_boxes(edges)
-        index = parity_cells(edges, "iso_a3", cell, buffer_deg).select(
+        index = cut_lineage(parity_cells(edges, "iso_a3", cell, buffer_deg)).select(  # counted, then joined
             F.col("iso_a3").alias("_ci"), F.col("cx").alias("_ccx"), F.col("cy").alias("_ccy"), F.col("ref_inside").alias("_ref"), F.col("local").alias("_local")
         )
         n_index = index.select(F.sum(F.size("_local") + 1)).first()[0] or 0
@@ -190,7 +191,7 @@ def on_land(
     """Adds boolean ``out``: the point lies inside at least one polygon part (no buffer)."""
     cell = fitting_cell(edges) if cell_deg is None else cell_deg
     parts = edges.withColumn("_poly", F.concat_ws("#", "iso_a3", F.col("part").cast("string")))
-    cells = parity_cells(parts, "_poly", cell)
+    cells = cut_lineage(parity_cells(parts, "_poly", cell))  # counted, then joined
     index = cells.groupBy("cx", "cy").agg(F.collect_list(F.struct("ref_inside", "local")).alias("_parts"))
     n_rows = cells.select(F.sum(F.size("local") + 1)).first()[0] or 0
     index = _maybe_broadcast(index, n_rows, max_broadcast_edges)

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
 from terracheck.operators import forest as FO
-from terracheck.operators.features import COUNTRY_FEATURES, GLOBAL_FEATURES, basic_features, engineer_features
+from terracheck.operators.features import COUNTRY_FEATURES, GLOBAL_FEATURES, basic_features
 from terracheck.operators.quantiles import exact_quantiles
-from terracheck.session import cut_lineage
 
 MIN_COUNTRY_ASSETS = 10
 SCORE_THRESHOLD = 0.60
@@ -40,24 +39,32 @@ def minmax_stats(df: DataFrame, columns) -> dict[str, tuple]:
     return {c: (None, None, None) for c in columns} | {r["_name"]: (r["q0"], r["q1"], r["q2"]) for r in each}
 
 
-def invert_minmax(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+def invert_minmax(df: DataFrame, columns: dict[str, str], stats: dict[str, tuple] | None = None) -> DataFrame:
     """M10 for several columns at once: fill NULL with the column median, negate, then
     (x - min) / (max - min + 1e-9).  ``columns`` maps input column -> output column.
 
     The median lies between the bounds, so filling with it leaves them as they are. The statistics
-    are read first (one row per column); the result is a projection of ``df``."""
+    are read first (one row per column) unless ``stats`` has them; the result is a projection of
+    ``df``."""
     out = {}
-    for c, (low, median, high) in minmax_stats(df, columns).items():
+    for c, (low, median, high) in (minmax_stats(df, columns) if stats is None else stats).items():
         low, median, high = (F.lit(x).cast("double") for x in (low, median, high))
         out[columns[c]] = (-F.coalesce(F.col(c), median) + high) / (-low + high + F.lit(EPS))
     return df.withColumns(out)
 
 
-def compute_final_score(df: DataFrame) -> DataFrame:
+BLENDED = {"global_score": "_gn", "_country_or_global": "_cn"}
+
+
+def with_blend_input(df: DataFrame) -> DataFrame:
+    return df.withColumn("_country_or_global", F.coalesce(F.col("country_score"), F.col("global_score")))
+
+
+def compute_final_score(df: DataFrame, stats: dict[str, tuple] | None = None) -> DataFrame:
     """ANOMALY_SCORE = round(0.4 norm(global) + 0.6 norm(country else global), 4);
-    IS_ANOMALY = score > 0.60 or either model flags the row."""
-    x = df.withColumn("_country_or_global", F.coalesce(F.col("country_score"), F.col("global_score")))
-    x = invert_minmax(x, {"global_score": "_gn", "_country_or_global": "_cn"})
+    IS_ANOMALY = score > 0.60 or either model flags the row.  ``stats``, the
+    :func:`minmax_stats` of another table, keeps its scale."""
+    x = invert_minmax(with_blend_input(df), BLENDED, stats)
     score = F.round(GLOBAL_WEIGHT * F.col("_gn") + COUNTRY_WEIGHT * F.col("_cn"), 4)
     return (
         x.withColumn("ANOMALY_SCORE", score)
@@ -105,12 +112,21 @@ def train_global_model(featured: DataFrame, contamination=0.08, random_state=42,
     """M4 + M5: 300 trees on the five global features; adds global_score / global_anomaly."""
     x, names = _filled(featured, GLOBAL_FEATURES)
     model, scored = FO.fit_forest(x, names, None, n_trees, contamination, random_state, row_id=row_id)
-    out = (
+    return model, _label_global(scored, names)
+
+
+def _label_global(scored: DataFrame, names) -> DataFrame:
+    return (
         scored.withColumn("global_score", F.round("_decision", 4))
         .withColumn("global_anomaly", F.col("_decision") < 0)
         .drop("_raw", "_decision", *names)
     )
-    return model, out
+
+
+def score_global(featured: DataFrame, model: FO.ForestModel, row_id="row_id") -> DataFrame:
+    """M5: new rows under a fitted or loaded global model."""
+    x, names = _filled(featured, GLOBAL_FEATURES)
+    return _label_global(FO.score_forest(x, model, row_id), names)
 
 
 def train_and_score_per_country(
@@ -122,25 +138,30 @@ def train_and_score_per_country(
     x, names = _filled(df, COUNTRY_FEATURES)
     model, scored = FO.fit_forest(x, names, cols.country, n_trees, contamination, random_state, min_rows=min_rows,
                                   row_id=cols.row_id)
+    return model, _label_country(scored, names)
+
+
+def score_per_country(featured: DataFrame, model: FO.ForestModel, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
+    """M7's scores of new rows under fitted or loaded country models."""
+    x, names = _filled(featured, COUNTRY_FEATURES)
+    return _label_country(FO.score_forest(x, model, cols.row_id), names)
+
+
+def _label_country(scored: DataFrame, names) -> DataFrame:
     raw = F.nullif(F.col("_raw"), F.lit(float("nan")))
-    out = (
+    return (
         scored.withColumn("country_score", F.when(raw.isNotNull(), F.round("_decision", 4)))
         .withColumn("country_anomaly", F.coalesce(raw.isNotNull() & (F.col("_decision") < 0), F.lit(False)))
         .withColumn("model_used", F.when(raw.isNotNull(), F.lit("country")).otherwise(F.lit("global_fallback")))
         .drop("_raw", "_decision", *names)
     )
-    return model, out
 
 
 def run_ml_anomaly_detection(df: DataFrame, contamination=0.08, random_state=42, cols: AssetCols = DEFAULT_COLS) -> DataFrame:
     """Features -> global forest -> per-country forests -> blended score; rows unchanged."""
-    featured = engineer_features(df, cols)
-    narrow = cut_lineage(featured.select(cols.row_id, cols.country, *GLOBAL_FEATURES))
-    _, g = train_global_model(narrow, contamination, random_state, row_id=cols.row_id)
-    _, c = train_and_score_per_country(narrow, contamination, random_state, cols=cols)
-    c = c.select(cols.row_id, "country_score", "country_anomaly", "model_used")
-    scores = cut_lineage(compute_final_score(g.select(cols.row_id, "global_score", "global_anomaly").join(c, cols.row_id)))
-    return featured.join(scores, cols.row_id, "left")
+    from terracheck.operators.bundle import fit_bundle
+
+    return fit_bundle(df, contamination, random_state, cols)[1]
 
 
 SCORED_OUTPUT_COLUMNS = (

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from terracheck.operators import features as FE
 from terracheck.operators import forest as FO
 from terracheck.operators import scoring as SC
+from terracheck.operators.bundle import AnomalyBundle, fit_bundle
 from terracheck.operators.quantiles import exact_quantile
 from terracheck.plans.catalog import register
 from terracheck.plans.forest_sql import forest_sql
 from terracheck.plans.oracle_sql import with_assets
-from terracheck.session import cut_lineage
+from terracheck.session import cut_lineage, ensure_checkpoint_dir
 from terracheck.sources.assets import load_assets, load_supplier_assets
 
 SUPPLIER_ASSETS_SQL = """
@@ -382,8 +385,7 @@ def q_score_per_country_suppliers(spark, sf):
     return c.select("row_id", "country", "country_score", "country_anomaly", "model_used")
 
 
-@register(
-    "ml_anomaly_run",
+_RUN_SQL = (
     _GLOBAL_SQL
     + _COUNTRY_SQL
     + f""", two AS (SELECT g.row_id, round(g.decision, 4) AS global_score, g.decision < 0 AS global_anomaly, {_COUNTRY_COLUMNS}
@@ -392,12 +394,23 @@ blend AS (SELECT *, -global_score AS gi, -coalesce(country_score, global_score)
 mm AS (SELECT min(gi) AS gmn, max(gi) AS gmx, min(ci) AS cmn, max(ci) AS cmx FROM blend),
 fin AS (SELECT blend.*, round(0.4 * ((gi - gmn) / (gmx - gmn + 1e-9)) + 0.6 * ((ci - cmn) / (cmx - cmn + 1e-9)), 4) AS ANOMALY_SCORE FROM blend, mm)
 SELECT row_id, global_score, global_anomaly, country_score, country_anomaly, model_used, ANOMALY_SCORE,
-  ANOMALY_SCORE > 0.6 OR global_anomaly OR country_anomaly AS IS_ANOMALY FROM fin""",
+  ANOMALY_SCORE > 0.6 OR global_anomaly OR country_anomaly AS IS_ANOMALY FROM fin"""
 )
+_RUN_COLUMNS = ("row_id", "global_score", "global_anomaly", "country_score", "country_anomaly", "model_used", "ANOMALY_SCORE", "IS_ANOMALY")
+
+
+@register("ml_anomaly_run", _RUN_SQL)
 def q_ml_anomaly_run(spark, sf):
-    out = SC.run_ml_anomaly_detection(load_assets(spark, sf))
-    return out.select("row_id", "global_score", "global_anomaly", "country_score", "country_anomaly", "model_used",
-                      "ANOMALY_SCORE", "IS_ANOMALY")
+    return SC.run_ml_anomaly_detection(load_assets(spark, sf)).select(*_RUN_COLUMNS)
+
+
+@register("saved_bundle_scores", _RUN_SQL)
+def q_saved_bundle_scores(spark, sf):
+    """The two-layer model fitted, written, read back and applied."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bundle-{uuid.uuid4().hex}"
+    a = load_assets(spark, sf)
+    fit_bundle(a)[0].save(path)
+    return AnomalyBundle.load(spark, path).score(a).select(*_RUN_COLUMNS)
 
 
 @register(

@@ -146,6 +146,8 @@ def q_marker_radius(spark, sf):
   CAST(CASE WHEN IS_ANOMALY THEN 0.85 ELSE 0.55 END AS DOUBLE) AS fill_opacity, round(radius, 6) AS radius, latitude, longitude,
   (CASE WHEN IS_ANOMALY THEN '⚠ ' ELSE '' END) || coalesce(name, gppd_idnr) || ' | Score: ' || printf('%.2f', ANOMALY_SCORE) AS tooltip,
   coalesce(name, gppd_idnr) AS popup_name, gppd_idnr AS popup_id, country AS popup_country, primary_fuel AS popup_fuel,
+  CASE WHEN IS_ANOMALY THEN '🔴 ANOMALY' ELSE '✅ CLEAN' END AS popup_status,
+  coalesce(CAST(capacity_mw AS VARCHAR), 'nan') || ' MW' AS popup_capacity, CASE WHEN IS_ANOMALY THEN '#e74c3c' ELSE '#27ae60' END AS popup_score_color,
   model_used AS popup_model, printf('%.3f', ANOMALY_SCORE) AS popup_score,
   printf('%.4f', latitude) || ', ' || printf('%.4f', longitude) AS popup_latlon FROM rad""",
 )
@@ -153,6 +155,23 @@ def q_marker_table(spark, sf):
     return CH.marker_table(scored_fixture(spark, sf)).withColumn("radius", F.round("radius", 6))
 
 
+@q(
+    "marker_pyramid",
+    """, spots AS (SELECT *, CAST(least(255, greatest(0, floor((longitude + 180) / 360 * 256))) AS BIGINT) AS x,
+    CAST(least(255, greatest(0, floor((90 - latitude) / 180 * 256))) AS BIGINT) AS y FROM scored WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
+tiled AS (SELECT CAST(zoom AS INTEGER) AS zoom, x >> (8 - zoom) AS tile_x, y >> (8 - zoom) AS tile_y,
+    CASE WHEN IS_ANOMALY THEN 'anomalous' ELSE 'clean' END AS layer, CAST(round(ANOMALY_SCORE * 10000) AS BIGINT) AS units
+  FROM spots, (SELECT unnest([0, 2, 4, 6, 8]) AS zoom)),
+coded AS (SELECT *, CAST(list_sum(list_transform(range(8), lambda i: (((tile_x >> i) & 1) << (2 * i)) + (((tile_y >> i) & 1) << (2 * i + 1)))) AS BIGINT) AS tile FROM tiled)
+SELECT zoom, tile, tile_x, tile_y, layer, count(*) AS markers, CAST(sum(units) AS DOUBLE) / count(units) / 10000 AS mean_score,
+  (tile_x + 0.5) * 360 / power(2.0, zoom) - 180 AS centre_lon, 90 - (tile_y + 0.5) * 180 / power(2.0, zoom) AS centre_lat
+FROM coded GROUP BY zoom, tile, tile_x, tile_y, layer""",
+)
+def q_marker_pyramid(spark, sf):
+    """C3 at five zoom levels."""
+    return CH.marker_pyramid(scored_fixture(spark, sf))
+
+
 @q(
     "layer_counts",
     "SELECT CASE WHEN IS_ANOMALY THEN 'anomalous' ELSE 'clean' END AS layer, COUNT(*) AS count FROM scored GROUP BY 1",

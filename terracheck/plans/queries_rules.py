@@ -9,6 +9,7 @@ from terracheck.functions import rules as R
 from terracheck.operators import geo, validate
 from terracheck.plans.catalog import register
 from terracheck.plans.oracle_sql import COAST_PIECES, with_assets, with_coast, with_edges
+from terracheck.session import cut_lineage
 from terracheck.sources.assets import load_assets, read_table
 from terracheck.sources.polygons import grid_country_edges, roughened_edges
 
@@ -177,7 +178,7 @@ LEFT JOIN (SELECT DISTINCT iso_a3 FROM edges) known ON upper(regexp_replace(a.co
 @register("point_in_country_coast", with_coast(_COAST_SQL))
 def q_point_in_country_coast(spark, sf):
     """G1 on coasts of 10,200 edges a country."""
-    coast = roughened_edges(country_edges(spark, sf), COAST_PIECES)
+    coast = cut_lineage(roughened_edges(country_edges(spark, sf), COAST_PIECES))  # read several times
     return geo.point_in_country(load_assets(spark, sf), coast).select("row_id", "country", "in_country")
 
 
@@ -195,7 +196,7 @@ SELECT a.row_id, a.latitude, a.longitude FROM assets a LEFT JOIN land l ON a.row
 )
 def q_ocean_spatial_coast(spark, sf):
     """G2 on the same coasts."""
-    coast = roughened_edges(country_edges(spark, sf), COAST_PIECES)
+    coast = cut_lineage(roughened_edges(country_edges(spark, sf), COAST_PIECES))  # read several times
     return geo.ocean_by_land(load_assets(spark, sf), coast).where("in_ocean").select("row_id", "latitude", "longitude")
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terracheck.session import cut_lineage
+
 # The concave L drawn inside each nation's 72 x 36 degree cell,
 # as (seq, dx, dy) offsets from the cell's lower-left corner.
 L_SHAPE = ((0, 4.0, 2.0), (1, 68.0, 2.0), (2, 68.0, 18.0), (3, 36.0, 18.0), (4, 36.0, 34.0), (5, 4.0, 34.0))
@@ -66,11 +68,14 @@ def split_at_antimeridian(edges: DataFrame) -> DataFrame:
     180 degrees, and the pieces come back into [-180, 180].  Where a polygon part meets the
     antimeridian, between its first and second crossing by latitude, third and fourth, and so on,
     both sides get a closing edge.  A ring around a pole closes over the pole nearer to it.  All
-    other rings come through as they are."""
+    other rings come through as they are; a table without crossing rings, which a first look finds,
+    is returned unchanged."""
     ring = Window.partitionBy("iso_a3", "part", "ring").orderBy("seq")
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     dx = F.col("x2") - F.col("x1")
     over = (F.abs(dx) > 180) & ~((F.abs("x1") == 180) & (F.abs("x2") == 180))
+    if edges.where(over).isEmpty():
+        return edges
     turn = F.when(over, F.when(dx > 0, -360.0).otherwise(360.0)).otherwise(0.0)
     before = ring.rowsBetween(Window.unboundedPreceding, -1)
     e = edges.withColumn("_turn", turn).withColumns(
@@ -126,7 +131,7 @@ def split_at_antimeridian(edges: DataFrame) -> DataFrame:
     closing = closing.select(
         "iso_a3", "part", F.lit(CLOSING).alias("ring"), F.lit(CLOSING).alias("seq"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("_to").alias("y2")
     )
-    return plain.unionByName(pieces).unionByName(closing)
+    return cut_lineage(plain.unionByName(pieces).unionByName(closing))
 
 
 def grid_country_edges(nation: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Anomaly scoring of arriving asset files with a saved forest (M3 on a stream).
 
 The basic scorer fills missing capacity with the median of the batch it scores,
-so it is applied per micro-batch with ``foreachBatch``.  Each batch is written
+so it is applied per micro-batch with ``foreachBatch``; a two-layer bundle joins each
+batch with its stored tables, so a row's score does not depend on its batch.  Each batch is written
 to its own ``batch_id=<n>`` folder with overwrite, so a batch replayed after a
 failure replaces its earlier output (exactly-once at the folder level), and the
 stream's checkpoint on shared storage records progress.
@@ -12,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from terracheck.columns import DEFAULT_COLS, AssetCols
+from terracheck.operators.bundle import AnomalyBundle
 from terracheck.operators.forest import ForestModel
 from terracheck.operators.scoring import score_anomalies
 
 
 def score_stream(
     stream: DataFrame,
-    model: ForestModel,
+    model: ForestModel | AnomalyBundle,
     out_path: str,
     checkpoint: str,
     cols: AssetCols = DEFAULT_COLS,
@@ -27,7 +29,8 @@ def score_stream(
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        score_anomalies(batch, model, cols).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        scored = model.score(batch, cols) if isinstance(model, AnomalyBundle) else score_anomalies(batch, model, cols)
+        scored.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint)
     if trigger_once:
