@@ -29,4 +29,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from terracheck.plans import queries_core, queries_dirty, queries_inject, queries_ml, queries_report, queries_rules, queries_suite  # noqa: F401
+    from terracheck.plans import queries_core, queries_dirty, queries_inject, queries_ml, queries_report, queries_rules, queries_runs, queries_suite  # noqa: F401
