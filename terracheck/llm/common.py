@@ -42,6 +42,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete the files of a table of :func:`written` that no later step reads."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pack_texts(df: DataFrame) -> DataFrame:
     """``df`` with its column ``text`` compressed into binary: for texts that are to be shuffled.
     Null becomes the empty text. :func:`unpack` reads it."""

@@ -13,12 +13,15 @@
    group of copies costs one verification for each copy and not one for each pair.
 5. A set that was compared with its pivot keeps the difference. Two sets of one pivot are verified
    from their (small) differences: |a xor b| = |da| + |db| - 2 |da and db|.
-6. After the rounds, the pairs of a list that are still in different components are verified one by
-   one, so no link is lost.
+6. After the rounds, sets that cannot link any more leave the lists: a set's partners can share only
+   those of its elements that a set of another component has too, which is counted over whole sets
+   before any pair exists, and compared with what the sizes in its lists ask for. Two more rounds take
+   the sets with the largest share of such elements as pivots, the least changed ones of a group of
+   near copies. The pairs left in different components are verified one by one, so no link is lost.
 7. ``op4_ngram_jaccard_join`` also counts each row's links. Members of one pivot whose differences are
    small enough (|da| + |db|) link for certain: those are counted by their numbers of elements, without
-   pairs. All other possible pairs of a list are verified, also where a component is settled. The
-   pairs are counted and not returned; the pipeline's ``keep_one`` needs components only and does not
+   pairs. All other pairs of a list that whole sets' counts of shared elements leave possible are
+   verified, also where a component is settled. The pairs are counted and not returned; the pipeline's ``keep_one`` needs components only and does not
    count links.
 
 All steps are joins and aggregations; sets of different texts that share no list are never built.
@@ -38,13 +41,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracheck.llm.common import SPACE_TABLE, fresh_name, pack_texts, read_table, shingle_hashes, text_slices, tokenise, unpack, word_hashes, written
+from terracheck.llm.common import SPACE_TABLE, forget, fresh_name, pack_texts, read_table, shingle_hashes, text_slices, tokenise, unpack, word_hashes, written
 from terracheck.llm.components import merge_labels
 from terracheck.llm.registry import register
 
 #: Bound on the broadcast frequent elements, and on those that one slice of text proposes.
 HEAVY, HEAVY_OF_SLICE = 65_536, 4_096
 ROUNDS = 2
+#: Rounds with central pivots before the pairs that are left are verified.
+CENTRAL_ROUNDS = 2
 
 
 def shingle_sets(raw: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,11 +129,16 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 def _possible(na, pa_, nb, pb, num: int, den: int) -> Column:
     """The sizes fit, and what is left from the shared element on can reach the threshold."""
-    need = F.expr(f"({num} * ({na} + {nb}) + {num + den - 1}) div {num + den}")
+    need = _needed(na, nb, num, den)
     sizes = F.expr(f"{den} * least({na}, {nb}) >= {num} * greatest({na}, {nb})")
     return sizes & (F.expr(f"least({na} - {pa_}, {nb} - {pb})") >= need)
 
 
+def _needed(na: str, nb: str, num: int, den: int) -> Column:
+    """How many elements two sets of these sizes share at least if they link."""
+    return F.expr(f"({num} * ({na} + {nb}) + {num + den - 1}) div {num + den}")
+
+
 def build_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """``node, elements`` (packed 64-bit numbers, sorted) of the given ``(node, doc_id, th)`` rows."""
 
@@ -152,6 +162,14 @@ def _common(x: bytes, y: bytes) -> int:
     return len(np.intersect1d(_unpack(x), _unpack(y), assume_unique=True))
 
 
+def replaced(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:
+    """``df`` written; the tables ``done`` that only it reads are deleted after that."""
+    out = written(df, name)
+    for table in done:
+        forget(table)
+    return out
+
+
 class Join:
     """The link search over the nodes of one prefix table."""
 
@@ -164,14 +182,13 @@ class Join:
         rows = table.where("n > 0").select("node", "n", F.posexplode("prefix").alias("pos", "element")).select("element", "node", place)
         shared = rows.groupBy("element").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("element")
         # a table of its own: a join of two shuffles is one that Spark splits where a list is long
-        posts = rows.join(written(shared, "lists"), "element").groupBy("element", "node").agg(F.max("place").alias("place"))
+        lists = written(shared, "lists")
+        posts = rows.join(lists, "element").groupBy("element", "node").agg(F.max("place").alias("place"))
         posts = posts.select("element", "node", F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).alias("pos")).withColumn("block", self.bucket)
-        posts = written(posts, "shared")
-        # a set's partner has num / den of its size at least; skipped sets can leave others alone in a list
-        least = F.expr(f"1 + ((n * {num} + {den - 1}) div {den}) * 3 div 100")
+        posts = replaced(posts, "shared", lists)
+        # skipped sets can leave others alone in a list
         for _ in range(2):
-            enough = posts.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n")).where(F.col("c") >= least).select("node")
-            posts = posts.join(enough, "node", "left_semi")
+            posts = posts.join(self.enough(posts), "node", "left_semi")
             shared = posts.groupBy("element").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("element")
             posts = written(posts.join(shared, "element", "left_semi"), "shared")
         # blocks of a list that hold or neighbour another set
@@ -184,6 +201,21 @@ class Join:
         self.labels = written(asked.select(F.col("node").alias("id"), F.col("node").alias("label")), "labels")
         self.deltas: DataFrame | None = None
 
+    def enough(self, posts: DataFrame) -> DataFrame:
+        """``node`` of the sets with as many lists as a link asks for: a partner has num / den of a
+        set's size at least."""
+        least = F.expr(f"1 + ((n * {self.num} + {self.den - 1}) div {self.den}) * 3 div 100")
+        return posts.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n")).where(F.col("c") >= least).select("node")
+
+    def crowded(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (posts with a label) of lists that hold another label in the same or the next
+        block, of the sets with enough such lists."""
+        ends = rows.groupBy("element", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        near = ends.select("element", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), "lo", "hi")
+        near = near.groupBy("element", "block").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("element", "block")
+        mixed = written(rows.join(near, ["element", "block"], "left_semi"), "mixed")
+        return replaced(mixed.join(self.enough(mixed), "node", "left_semi"), "crowded", mixed)
+
     def labelled(self) -> DataFrame:
         at = self.labels.select(F.col("id").alias("node"), "label")
         return self.posts.join(at, "node")
@@ -197,15 +229,74 @@ class Join:
         joined = rows.join(pivots, ["element", "block"]).where((F.col("label") != F.col("plabel")) & _possible("n", "pos", "pn", "pp", self.num, self.den))
         return joined.groupBy(F.col("node").alias("a"), "pivot").agg(F.count(F.lit(1)).alias("lists"))
 
-    def open_pairs(self) -> DataFrame:
-        """(a, b): every possible pair of a list that is in different components."""
-        rows = self.labelled()
-        left = rows.select("element", F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"), *[F.col(c).alias(f"l{c}") for c in ("node", "n", "pos", "label", "block")])
+    def reachable(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (posts with a label) whose set can link with a set of another label in that list,
+        with ``shared``: how many elements of the whole set sets of another label have too. A link
+        needs that many shared elements on both sides."""
+        num, den = self.num, self.den
+
+        def elements(batches):
+            for batch in batches:
+                for node, label, x in zip(*batch.columns):  # one set at a time
+                    element = _unpack(x.as_py()).view(np.int64)
+                    same = [pa.array(np.full(len(element), y.as_py(), dtype=np.int64)) for y in (node, label)]
+                    yield pa.RecordBatch.from_arrays([*same, pa.array(element)], names=["node", "label", "element"])
+
+        whole = self.sets.join(rows.select("node", "label").distinct(), "node").select("node", "label", "elements")
+        whole = whole.mapInArrow(elements, "node long, label long, element long")
+        common = whole.groupBy("element").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("element")
+        common = written(common, "common")
+        counted = whole.join(common, "element").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+        own = F.expr(f"(n * {num} + {den - 1}) div {den}")  # the least size of a partner, and the least that is shared with it
+        kept = first = replaced(rows.join(counted, "node").where(F.col("shared") >= own), "reach", common)
+        # the smallest set that shares a block or its neighbours asks for the least
+        least = kept.groupBy("element", "block").agg(F.min("n").alias("m"))
+        least = least.select("element", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), "m")
+        least = least.groupBy("element", "block").agg(F.min("m").alias("m"))
+        kept = kept.join(least, ["element", "block"]).withColumn("m", F.greatest("m", own))
+        kept = kept.where(F.col("shared") >= _needed("n", "m", num, den)).drop("m")
+        mixed = kept.groupBy("element").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+        return replaced(kept.join(mixed.select("element"), "element", "left_semi"), "reachable", first)
+
+    def narrowed(self, rows: DataFrame, times: int = 2) -> DataFrame:
+        """:func:`crowded` and :func:`reachable` again on what they leave: fewer sets share fewer
+        elements."""
+        for _ in range(times):
+            rows = self.reachable(self.crowded(self.crowded(rows.drop("shared"))))
+        return rows
+
+    def _pairs(self, rows: DataFrame, columns: tuple[str, ...], where: Column) -> DataFrame:
+        """(a, b) of the possible pairs of a list; ``where`` sees the columns of one side and, with an
+        ``l`` in front, of the other one."""
+        names = ("node", "n", "pos", "block", "shared", *columns)
+        left = rows.select("element", F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"), *[F.col(c).alias(f"l{c}") for c in names])
         # within a block each pair once; from a block to the next one all pairs
         once = (F.col("lblock") < F.col("block")) | (F.col("lnode") < F.col("node"))
-        pairs = left.join(rows, ["element", "block"]).where(once & (F.col("label") != F.col("llabel")) & _possible("n", "pos", "ln", "lpos", self.num, self.den))
+        reach = F.least("shared", "lshared") >= _needed("n", "ln", self.num, self.den)
+        pairs = left.join(rows, ["element", "block"]).where(once & where & reach & _possible("n", "pos", "ln", "lpos", self.num, self.den))
         return pairs.select(F.least("lnode", "node").alias("a"), F.greatest("lnode", "node").alias("b")).distinct()
 
+    def central_pairs(self, rows: DataFrame, turn: int) -> DataFrame:
+        """(a, b): a set and the most central pivot of its lists that has another label. Central are
+        sets that share most of their elements: the least changed of a group of near copies. ``turn``
+        picks among equally central ones."""
+        rows = rows.withColumn("central", F.floor(F.col("shared") * 20 / F.col("n")))
+        best = F.struct("central", F.xxhash64(F.lit(turn), "node").alias("order"), F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("pos").alias("pp"), F.col("label").alias("plabel"))
+        pivots = rows.groupBy("element", "block").agg(F.max(best).alias("p")).select("element", "block", F.col("p.central").alias("pc"), "p.order", "p.pivot", "p.pn", "p.pp", "p.plabel")
+        joined = rows.join(written(pivots, "pivots-of-lists"), ["element", "block"])
+        joined = joined.where((F.col("label") != F.col("plabel")) & _possible("n", "pos", "pn", "pp", self.num, self.den))
+        return joined.groupBy(F.col("node").alias("a")).agg(F.max(F.struct("pc", "order", "pivot")).alias("p")).select("a", F.col("p.pivot").alias("b"))
+
+    def open_pairs(self) -> DataFrame:
+        """(a, b): every possible pair of a list that is in different components, after rounds with
+        central pivots, which unite groups of near copies without their pairs."""
+        rows = self.narrowed(self.labelled())
+        for turn in range(CENTRAL_ROUNDS):
+            self.settle(self.central_pairs(rows, turn))
+            at = self.labels.select(F.col("id").alias("node"), "label")
+            rows = replaced(self.crowded(rows.drop("label").join(at, "node")), "open", rows)
+        return self._pairs(self.narrowed(rows), ("label",), F.col("label") != F.col("llabel"))
+
     def _with(self, pairs: DataFrame, column: str, table: DataFrame, key: str, payload: str) -> DataFrame:
         side = table.select(F.col(key).alias("_key"), F.col(payload).alias(f"{column}_{payload}"))
         return pairs.join(side, pairs[column] == F.col("_key")).drop("_key")
@@ -233,12 +324,16 @@ class Join:
         pairs = self.pivot_pairs(0)
         best = pairs.groupBy("a").agg(F.max(F.struct("lists", "pivot")).alias("p")).select("a", F.col("p.pivot").alias("b"))
         done = written(self.compare_with_pivots(best), "pivots")
+        self.keep_deltas(done)
+        self.labels = merge_labels(self.labels, done.where("linked").select("a", "b"))
+        self.drop_settled()
+
+    def keep_deltas(self, done: DataFrame) -> None:
+        """``deltas`` (id, pivot, delta) of compared sets and pivots."""
         own = done.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("pivot"), F.expr("cast('' as binary)").alias("delta"))
         # a pivot counts as its own; it is left out as a member of another one's
         members = done.select(F.col("a").alias("id"), F.col("b").alias("pivot"), "delta").join(own.select("id"), "id", "left_anti")
         self.deltas = written(members.unionByName(own), "deltas")
-        self.labels = merge_labels(self.labels, done.where("linked").select("a", "b"))
-        self.drop_settled()
 
     def drop_settled(self) -> None:
         """Forget the lists whose sets are all in one component."""
@@ -289,6 +384,9 @@ class Join:
     def link_counts(self, copies: DataFrame) -> DataFrame:
         """``node, links``: rows of other sets that a set of ``all_posts`` links with; ``copies`` has
         the number of rows, ``(node, c)``, of each set. To be called after ``run``."""
+        # sets that leave here link with no other set
+        reach = self.narrowed(self.all_posts.withColumn("label", F.col("node")))
+        self.keep_deltas(written(self.compare_with_pivots(self.central_pairs(reach, 0)), "pivots"))
         apart = self.deltas.select(F.col("id").alias("node"), "pivot", F.expr("octet_length(delta) div 8").alias("d"))
         sizes = self.sets.select("node", F.expr("octet_length(elements) div 8").alias("n"))
         members = written(apart.join(sizes, "node").join(copies, "node"), "members")
@@ -299,12 +397,9 @@ class Join:
         itself = F.when(self._certain("n", "d", "n", "d"), F.col("c")).otherwise(0)
         by_cell = members.join(near, ["pivot", "n", "d"]).select("node", (F.col("o") - itself).alias("links"))
         # what is not certain: pairs of a list, each once
-        rows = self.all_posts.join(members.select("node", "pivot", "d"), "node", "left")
-        left = rows.select("element", F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"), *[F.col(c).alias(f"l{c}") for c in ("node", "n", "pos", "pivot", "d", "block")])
-        once = (F.col("lblock") < F.col("block")) | (F.col("lnode") < F.col("node"))
+        rows = reach.join(members.select("node", "pivot", "d"), "node", "left")
         counted = F.coalesce((F.col("pivot") == F.col("lpivot")) & self._certain("n", "d", "ln", "ld"), F.lit(False))
-        pairs = left.join(rows, ["element", "block"]).where(once & ~counted & _possible("n", "pos", "ln", "lpos", self.num, self.den))
-        found = self.linked_pairs(pairs.select(F.least("lnode", "node").alias("a"), F.greatest("lnode", "node").alias("b")).distinct())
+        found = self.linked_pairs(self._pairs(rows, ("pivot", "d"), ~counted))
         if found is not None:
             found = written(found, "links")
             both = found.select(F.col("a").alias("of"), F.col("b").alias("node")).unionByName(found.select(F.col("b").alias("of"), F.col("a").alias("node")))
@@ -326,8 +421,10 @@ class Join:
 def _labelled_rows(docs: DataFrame, k: int, num: int, den: int, rounds: int, links: bool = False) -> DataFrame:
     table = written(prefixes(docs, k, num, den), "prefixes")
     join = Join(docs, table, k, num, den)
+    # from here on nobody reads the prefixes
+    table = replaced(table.select("doc_id", "th", "n", "node"), "rows", table)
     labels = join.run(rounds).select(F.col("id").alias("node"), "label")
-    rows = table.select("doc_id", "th", "n", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = table.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     if not links:
         return rows
     copies = written(table.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("c")), "copies")
