@@ -162,14 +162,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
     chosen = known.select(F.col("doc_id").alias("_doc"), F.col(label).cast("double").alias("_y")).orderBy(F.xxhash64("_doc"), "_doc", "_y").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_doc")).select("doc_id", "_y", "text")
-    schema = "doc_id long, y double, x array<double>"
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("y", T.DoubleType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
 
     def features(batches):
         for batch in batches:
             x = text_statistics(batch.column(2))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
-    got = sorted((r.doc_id, r.y, tuple(r.x)) for r in rows.mapInArrow(features, schema).collect())  # bounded by the sample
+    # one row of each label: an id may stand on any number of documents
+    one = rows.mapInArrow(features, schema).groupBy("doc_id", "y").agg(F.min("x").alias("x"))
+    got = sorted((r.doc_id, r.y, tuple(r.x)) for r in one.collect())  # at most ``sample`` rows
     x = np.array([r[2] for r in got]).reshape(len(got), len(FEATURES))
     return grow(x, np.array([r[1] > 0 for r in got], dtype=float))
 

@@ -75,3 +75,14 @@ def test_statistics_do_not_depend_on_neighbours(rows):
     whole = quality.text_statistics(pa.array(texts))
     each = np.concatenate([quality.text_statistics(pa.array([t], pa.string())) for t in texts])
     assert whole.shape[1] == len(quality.FEATURES) and np.allclose(whole, each)
+
+
+def test_repeated_and_string_ids_give_one_row_of_a_label(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("concat('d', id % 3) AS doc_id", "concat('word ', id) AS text")
+    labels = spark.createDataFrame([("d0", 1), ("d1", 0), ("d2", 1)], "doc_id string, quality int")
+    learnt, grow = [], quality.grow
+    monkeypatch.setattr(quality, "grow", lambda x, y: learnt.append(len(y)) or grow(x, y))
+    seen = labels.where(quality.fold(F.col("doc_id")) != 0).count()
+    assert quality.keep_good(docs, labels).columns == docs.columns
+    quality.fit(docs, labels, sample=1)
+    assert learnt == [seen, 1] and seen > 1
