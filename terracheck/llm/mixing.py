@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terracheck.llm.common import fresh_name, read_table
+from terracheck.llm.common import fresh_name, read_table, written
 from terracheck.llm.registry import register
 
 #: Weights of the sources in code point order, repeating.
@@ -27,6 +27,8 @@ WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 CAP = 2
 SEED = 17
+#: Sources whose rates are sent to all tasks; more are joined by a shuffle, with the same result.
+BROADCAST_SOURCES = 10_000
 
 
 def text_size(text: Column) -> Column:
@@ -78,7 +80,9 @@ def plan_mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: int
 
 def _with_copies(rows: DataFrame, sized: DataFrame, weights, budget, cap, seed) -> DataFrame:
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(totals, weights, budget, cap).withColumnRenamed("source", "_source")
+    targets = written(source_targets(totals, weights, budget, cap).withColumnRenamed("source", "_source"), "targets")
+    if targets.count() <= BROADCAST_SOURCES:
+        targets = F.broadcast(targets)
     whole = F.floor("rate")
     extra = (draw(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long")
     return (

@@ -55,3 +55,9 @@ def test_large_sources_come_near_their_target(spark):
 
 def test_empty(no_docs):
     assert mixing.plan_mix(no_docs).count() == 0 and mixing.mix(no_docs).count() == 0
+
+
+def test_many_sources_are_joined_with_the_same_result(docs, monkeypatch):
+    few = sorted(map(str, mixing.plan_mix(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 1)
+    assert sorted(map(str, mixing.plan_mix(docs).collect())) == few
