@@ -18,11 +18,12 @@
    before any pair exists, and compared with what the sizes in its lists ask for. Two more rounds take
    the sets with the largest share of such elements as pivots, the least changed ones of a group of
    near copies. The pairs left in different components are verified one by one, so no link is lost.
-7. ``op4_ngram_jaccard_join`` also counts each row's links. Members of one pivot whose differences are
-   small enough (|da| + |db|) link for certain: those are counted by their numbers of elements, without
-   pairs. All other pairs of a list that whole sets' counts of shared elements leave possible are
-   verified, also where a component is settled. The pairs are counted and not returned; the pipeline's ``keep_one`` needs components only and does not
-   count links.
+7. ``op4_ngram_jaccard_join`` also counts each row's links. The members of a pivot are cut into blocks by
+   the size of their differences. Sizes alone rule out some pairs of blocks and show that others link
+   whole; two blocks of the rest meet in a task that counts links from their differences and
+   writes a row for each set, none for a pair. Sets of different pivots are verified pair by pair where
+   a list and whole sets' counts of shared elements leave a link possible. Pairs are counted and not
+   returned; the pipeline's ``keep_one`` needs components only and does not count links.
 
 All steps are joins and aggregations; sets of different texts that share no list are never built.
 
@@ -50,6 +51,8 @@ HEAVY, HEAVY_OF_SLICE = 65_536, 4_096
 ROUNDS = 2
 #: Rounds with central pivots before the pairs that are left are verified.
 CENTRAL_ROUNDS = 2
+#: Sets of one pivot, and elements of their differences, that a block holds on average.
+BLOCK_SETS, BLOCK_ELEMENTS = 512, 1 << 18
 
 
 def shingle_sets(raw: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -376,10 +379,77 @@ class Join:
         far = self.compare_with_pivots(where.where("NOT near")).where("linked").select("a", "b")
         return near.unionByName(far)
 
-    def _certain(self, na, da, nb, db) -> Column:
-        """Two members of one pivot link whatever their differences share."""
-        total = f"({self.num} * ({na} + {nb}) + {self.num + self.den - 1}) div {self.num + self.den}"
-        return F.expr(f"{da} + {db} <= {na} + {nb} - 2 * ({total})")
+    def blocks_of(self, members: DataFrame) -> DataFrame:
+        """``members`` with ``block``: sets of one pivot whose differences are alike in share of the set,
+        about ``BLOCK_SETS`` sets and ``BLOCK_ELEMENTS`` numbers of differences in each."""
+        members = members.withColumn("band", F.floor(F.col("d") * 16 / F.col("n")))
+        wanted = F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("d") / BLOCK_ELEMENTS)
+        parts = members.groupBy("pivot", "band").agg(F.ceil(wanted).alias("parts"))
+        salt = F.pmod(F.xxhash64("node"), F.col("parts"))
+        return members.join(parts, ["pivot", "band"]).withColumn("block", F.shiftleft("band", 32) + salt).drop("band", "parts")
+
+    def block_pairs(self, members: DataFrame) -> DataFrame:
+        """(pivot, i, j, irows, jrows, certain) of the blocks of a pivot that can link: sizes and sizes of
+        differences alone rule out the others. ``certain``: they show that all their sets link."""
+        total, apart = self.num + self.den, self.den - self.num
+        ends = [f(c).alias(f"{c}{k}") for c in ("n", "d") for f, k in ((F.min, 0), (F.max, 1))]
+        one = members.groupBy("pivot", "block").agg(*ends, F.sum("c").alias("rows"), F.count(F.lit(1)).alias("k"))
+        left = one.select("pivot", *[F.col(c).alias(f"i{c}") for c in one.columns[1:]])
+        right = one.select("pivot", *[F.col(c).alias(f"j{c}") for c in one.columns[1:]])
+        once = (F.col("iblock") < F.col("jblock")) | ((F.col("iblock") == F.col("jblock")) & (F.col("ik") > 1))
+        sizes = F.expr(f"{self.den} * in1 >= {self.num} * jn0 AND {self.den} * jn1 >= {self.num} * in0")
+        near = F.expr(f"greatest(id0 - jd1, jd0 - id1) * {total} <= (in1 + jn1) * {apart}")
+        certain = F.expr(f"(id1 + jd1 + 2) * {total} <= (in0 + jn0) * {apart}")
+        pairs = left.join(right, "pivot").where(once & sizes & near)
+        return pairs.select("pivot", F.col("iblock").alias("i"), F.col("jblock").alias("j"), "irows", "jrows", certain.alias("certain"))
+
+    def links_at_pivots(self, members: DataFrame) -> DataFrame:
+        """``node, links``: rows of the other sets of its pivot that a set links with. ``members`` is
+        ``node, pivot, d, n, c``. Blocks that link for certain are counted by their rows; of others two
+        meet in a task, which has the shared numbers of all their differences from a matrix product
+        and writes one row for each set."""
+        num, den = self.num, self.den
+        members = written(self.blocks_of(members), "blocks")
+        pairs = written(self.block_pairs(members), "block-pairs")
+        sure = pairs.where("certain")
+        sure = sure.select("pivot", F.col("i").alias("block"), F.col("jrows").alias("o"), (F.col("i") == F.col("j")).cast("long").alias("itself")).unionByName(
+            sure.where("i <> j").select("pivot", F.col("j").alias("block"), F.col("irows").alias("o"), F.lit(0).cast("long").alias("itself"))
+        )
+        sure = sure.groupBy("pivot", "block").agg(F.sum("o").alias("o"), F.sum("itself").alias("itself"))
+        sure = members.join(sure, ["pivot", "block"]).select("node", (F.col("o") - F.col("itself") * F.col("c")).alias("links"))
+
+        def count(table: pa.Table) -> pa.Table:
+            delta = [_unpack(x.as_py()) for x in table["delta"]]
+            node, n, c, side = (table[x].to_numpy() for x in ("node", "n", "c", "side"))
+            d = np.array([len(x) for x in delta])
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            alone = not len(right)
+            right = left if alone else right
+            _, at, often = np.unique(np.concatenate(delta), return_inverse=True, return_counts=True)
+            shared = often[at] > 1
+            _, at = np.unique(at[shared], return_inverse=True)
+            owner = np.repeat(np.arange(len(d)), d)[shared]
+            order = np.argsort(at, kind="stable")
+            at, owner = at[order], owner[order]
+            both = np.zeros((len(left), len(right)), dtype=np.int64)
+            for first in range(0, int(at[-1]) + 1 if len(at) else 0, 4096):
+                a, b = np.searchsorted(at, (first, first + 4096))
+                has = np.zeros((len(d), 4096), dtype=np.float32)
+                has[owner[a:b], at[a:b] - first] = 1
+                both += (has[left] @ has[right].T).astype(np.int64)
+            total = n[left][:, None] + n[right][None, :]
+            needed = -(-num * total // (num + den))
+            hit = d[left][:, None] + d[right][None, :] - 2 * both <= total - 2 * needed
+            if alone:
+                np.fill_diagonal(hit, False)
+                return pa.table({"node": node[left], "links": hit @ c[left]})
+            return pa.table({"node": np.concatenate((node[left], node[right])), "links": np.concatenate((hit @ c[right], hit.T @ c[left]))})
+
+        sides = F.array(F.struct(F.col("i").alias("block"), F.lit(0).alias("side")), F.struct(F.col("j").alias("block"), F.lit(1).alias("side")))
+        meet = pairs.where("NOT certain").select("pivot", "i", "j", F.explode(sides).alias("one")).select("pivot", "i", "j", "one.*").where("i <> j OR side = 0")
+        full = members.join(self.deltas.select(F.col("id").alias("node"), "pivot", "delta"), ["node", "pivot"])
+        rows = full.join(meet, ["pivot", "block"]).select("pivot", "i", "j", "side", "node", "n", "c", "delta")
+        return sure.unionByName(rows.groupBy("pivot", "i", "j").applyInArrow(count, "node long, links long"))
 
     def link_counts(self, copies: DataFrame) -> DataFrame:
         """``node, links``: rows of other sets that a set of ``all_posts`` links with; ``copies`` has
@@ -390,21 +460,15 @@ class Join:
         apart = self.deltas.select(F.col("id").alias("node"), "pivot", F.expr("octet_length(delta) div 8").alias("d"))
         sizes = self.sets.select("node", F.expr("octet_length(elements) div 8").alias("n"))
         members = written(apart.join(sizes, "node").join(copies, "node"), "members")
-        # by pivot, set size and size of the difference: rows of the cells that link for certain
-        cells = members.groupBy("pivot", "n", "d").agg(F.sum("c").alias("c"))
-        others = cells.select("pivot", F.col("n").alias("m"), F.col("d").alias("e"), F.col("c").alias("o"))
-        near = cells.drop("c").join(others, "pivot").where(self._certain("n", "d", "m", "e")).groupBy("pivot", "n", "d").agg(F.sum("o").alias("o"))
-        itself = F.when(self._certain("n", "d", "n", "d"), F.col("c")).otherwise(0)
-        by_cell = members.join(near, ["pivot", "n", "d"]).select("node", (F.col("o") - itself).alias("links"))
-        # what is not certain: pairs of a list, each once
-        rows = reach.join(members.select("node", "pivot", "d"), "node", "left")
-        counted = F.coalesce((F.col("pivot") == F.col("lpivot")) & self._certain("n", "d", "ln", "ld"), F.lit(False))
-        found = self.linked_pairs(self._pairs(rows, ("pivot", "d"), ~counted))
+        counted = self.links_at_pivots(members)
+        # sets of different pivots: pairs of a list, each once
+        rows = reach.join(members.select("node", "pivot"), "node", "left")
+        found = self.linked_pairs(self._pairs(rows, ("pivot",), ~F.coalesce(F.col("pivot") == F.col("lpivot"), F.lit(False))))
         if found is not None:
             found = written(found, "links")
             both = found.select(F.col("a").alias("of"), F.col("b").alias("node")).unionByName(found.select(F.col("b").alias("of"), F.col("a").alias("node")))
-            by_cell = by_cell.unionByName(both.join(copies, "node").select(F.col("of").alias("node"), F.col("c").alias("links")))
-        return by_cell.groupBy("node").agg(F.sum("links").alias("links"))
+            counted = counted.unionByName(both.join(copies, "node").select(F.col("of").alias("node"), F.col("c").alias("links")))
+        return counted.groupBy("node").agg(F.sum("links").alias("links"))
 
     def run(self, rounds: int = ROUNDS) -> DataFrame:
         """``id, label`` of every set that shares a list with another."""

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import defaultdict
 
@@ -103,3 +104,25 @@ def test_links_of_nothing(spark, no_docs):
     assert jaccard.link_numbers(no_docs).count() == 0
     blank = spark.createDataFrame([(1, None), (2, ""), (3, "one"), (4, "One")], "doc_id long, text string")
     assert sorted(tuple(r) for r in jaccard.link_numbers(blank).collect()) == [(1, 0, 1, 0), (2, 0, 2, 0), (3, 1, 3, 1), (4, 1, 3, 1)]
+
+
+def test_links_at_pivots_are_those_of_all_pairs_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 8)
+    r = random.Random(5)
+    sets, rows = {}, []
+    for pivot in (1, 1000, 2000):
+        base = list(range(pivot * 1000, pivot * 1000 + (200 if pivot < 2000 else 3)))
+        for i in range(60 if pivot < 2000 else 2):
+            gone = set(r.sample(base, r.randrange(0, 40) if i and len(base) > 40 else 0))
+            new = {10**9 + r.randrange(60) for _ in range(r.randrange(0, 30) if i else 0)}
+            sets[pivot + i] = frozenset(base) - gone | new
+            delta = sorted(sets[pivot + i] ^ sets[pivot])
+            rows.append((pivot + i, pivot, len(delta), len(sets[pivot + i]), 1 + i % 3, b"".join(x.to_bytes(8, "little") for x in delta)))
+    join = object.__new__(jaccard.Join)
+    join.num, join.den = 85, 100
+    table = spark.createDataFrame(rows, "node long, pivot long, d int, n int, c long, delta binary")
+    join.deltas = table.selectExpr("node AS id", "pivot", "delta")
+    got = {x.node: x.links for x in join.links_at_pivots(table.drop("delta")).groupBy("node").agg({"links": "sum"}).withColumnRenamed("sum(links)", "links").collect()}
+    linked = lambda s, t: 100 * len(s & t) >= 85 * len(s | t)
+    want = {a: sum(c for b, q, _, _, c, _ in rows if q == p and b != a and linked(sets[a], sets[b])) for a, p, *_ in rows}
+    assert {a: got.get(a, 0) for a in want} == want and len(set(want.values())) > 20
