@@ -155,61 +155,76 @@ def grow_trees(X: np.ndarray, tree_of_row: np.ndarray, tree_ids: np.ndarray, max
 
 
 def forest_arrays(nodes: pd.DataFrame):
-    """Pack the node rows of one model into flat arrays for vectorised traversal.
+    """Pack the node rows of one model into arrays for vectorised traversal.
 
-    Node ``i`` of tree ``t`` gets the global index ``t * width + i``.  Leaves point
-    to themselves (threshold +inf, feature 0), so a walk of ``depth`` steps needs no
-    per-step leaf test.  Returns (left, right, feature, threshold, path_len, width,
-    n_trees, depth)."""
+    Every tree is filled up to a full binary tree of the deepest one's depth (log2 psi at most): the
+    children of place ``i`` are ``2 i + 1`` and ``2 i + 2``, and all bottom places under a leaf have
+    its path length.  A walk of ``depth`` steps needs neither child pointers nor a leaf test.
+    Returns (feature, threshold, path_len, depth): trees x inner places, twice, and trees x bottom
+    places."""
     nodes = nodes.sort_values(["tree_id", "node_id"])
-    trees = np.unique(nodes["tree_id"].to_numpy())
-    t_index = np.searchsorted(trees, nodes["tree_id"].to_numpy()).astype(np.int64)
-    width = int(nodes["node_id"].max()) + 1
-    size = trees.size * width
-    gid = t_index * width + nodes["node_id"].to_numpy().astype(np.int64)
-    own = np.arange(size, dtype=np.int64)
-    left, right = own.copy(), own.copy()
-    feat = np.zeros(size, dtype=np.int64)
-    thr = np.full(size, np.inf)
-    plen = np.zeros(size)
-    leaf = nodes["feature"].to_numpy() < 0
-    inner = ~leaf
-    left[gid[inner]] = t_index[inner] * width + nodes["left"].to_numpy()[inner]
-    right[gid[inner]] = t_index[inner] * width + nodes["right"].to_numpy()[inner]
-    feat[gid[inner]] = nodes["feature"].to_numpy()[inner]
-    thr[gid[inner]] = nodes["threshold"].to_numpy()[inner]
-    plen[gid] = nodes["path_len"].to_numpy()
-    # true maximum depth: walk the frontier of inner nodes level by level
-    depth, frontier = 0, np.arange(trees.size, dtype=np.int64) * width
-    is_inner = np.zeros(size, dtype=bool)
-    is_inner[gid[inner]] = True
-    frontier = frontier[is_inner[frontier]]
-    while frontier.size:
-        depth += 1
-        frontier = np.concatenate([left[frontier], right[frontier]])
-        frontier = frontier[is_inner[frontier]]
-    return left, right, feat, thr, plen, width, trees.size, depth
-
-
-def mean_path_length(X: np.ndarray, arrays, block: int = 32) -> np.ndarray:
+    trees, tree_of = np.unique(nodes["tree_id"].to_numpy(), return_inverse=True)
+    node_id, left, right, feature = (nodes[c].to_numpy().astype(np.int64) for c in ("node_id", "left", "right", "feature"))
+    width = int(node_id.max()) + 1
+    row_of = np.zeros(trees.size * width, dtype=np.int64)
+    row_of[tree_of * width + node_id] = np.arange(len(nodes))
+    # walk down from the roots level by level: (tree, place, node row)
+    tree, place = np.arange(trees.size), np.zeros(trees.size, dtype=np.int64)
+    row = row_of[tree * width]
+    levels = []
+    while row.size:
+        levels.append((tree, place, row))
+        inner = feature[row] >= 0
+        tree, place, row = tree[inner], place[inner], row[inner]
+        row = np.concatenate([row_of[tree * width + left[row]], row_of[tree * width + right[row]]])
+        tree, place = np.concatenate([tree, tree]), np.concatenate([2 * place + 1, 2 * place + 2])
+    depth = len(levels) - 1
+    bottom = 1 << depth
+    feat = np.zeros((trees.size, bottom - 1), dtype=np.int64)
+    thr = np.full((trees.size, bottom - 1), np.inf)
+    plen = np.zeros((trees.size, bottom))
+    threshold, path_len = nodes["threshold"].to_numpy(), nodes["path_len"].to_numpy()
+    for level, (tree, place, row) in enumerate(levels):
+        inner = feature[row] >= 0
+        feat[tree[inner], place[inner]] = feature[row[inner]]
+        thr[tree[inner], place[inner]] = threshold[row[inner]]
+        leaf, under = ~inner, 1 << (depth - level)  # bottom places under a place of this level
+        first = (place[leaf] + 1) * under - bottom
+        plen[tree[leaf][:, None], first[:, None] + np.arange(under)] = path_len[row[leaf]][:, None]
+    return feat, thr, plen, depth
+
+
+#: Trees and rows that are walked at a time.
+WALK_TREES, WALK_ROWS = 8, 8192
+
+
+def mean_path_length(X: np.ndarray, arrays) -> np.ndarray:
     """Average leaf path length over all trees for every row of X.
 
-    Trees are walked in blocks of ``block`` so the (trees x rows) working arrays stay
-    cache-sized (about 2x faster than walking all trees at once)."""
-    left, right, feat, thr, plen, width, n_trees, depth = arrays
-    m = X.shape[0]
-    if m == 0:
-        return np.zeros(0)
-    xt = np.ascontiguousarray(X.T).ravel()  # feature-major: value of (f, row) at f * m + row
-    rows = np.arange(m, dtype=np.int64)[None, :]
-    total = np.zeros(m)
-    for t0 in range(0, n_trees, block):
-        t1 = min(n_trees, t0 + block)
-        node = np.repeat((np.arange(t0, t1, dtype=np.int64) * width)[:, None], m, axis=1)
-        for _ in range(depth):
-            x = xt.take(feat.take(node) * m + rows)
-            node = np.where(x <= thr.take(node), left.take(node), right.take(node))
-        total += plen.take(node).sum(axis=0)
+    Rows and trees are walked in blocks, so the working arrays are of one size (half a MB each)
+    however many rows a group has."""
+    feature, threshold, path_len, depth = arrays
+    n_trees, bottom = path_len.shape
+    inner = bottom - 1
+    total = np.zeros(X.shape[0])
+    for r0 in range(0, X.shape[0], WALK_ROWS):
+        xt = np.ascontiguousarray(X[r0 : r0 + WALK_ROWS].T)  # feature-major: value of (f, row) at f * m + row
+        m = xt.shape[1]
+        start, rows = feature * m, np.arange(m, dtype=np.int64)
+        for t0 in range(0, n_trees, WALK_TREES):
+            trees = np.arange(t0, min(n_trees, t0 + WALK_TREES), dtype=np.int64)[:, None]
+            base = trees * inner
+            step = 1 - base  # place 2 i + 1 of the same tree, as an index into all trees' places
+            node = np.repeat(base, m, axis=1)
+            for _ in range(depth):
+                at = start.take(node)
+                at += rows
+                right = ~(xt.take(at) <= threshold.take(node))
+                node *= 2
+                node += step
+                node += right
+            node += trees * bottom - base - inner
+            total[r0 : r0 + m] += path_len.take(node).sum(axis=0)
     return total / n_trees
 
 
@@ -277,6 +292,13 @@ def tree_draws(n_trees: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
+def folded(v: np.ndarray) -> np.ndarray:
+    """``v mod PLACES`` for 0 <= v < PLACES^2: one fold leaves less than 2 PLACES, and an unsigned
+    difference below zero is larger than any place."""
+    low = ((v & PLACES) + (v >> 31)).astype(np.uint32)
+    return np.minimum(low, low - np.uint32(PLACES))
+
+
 def subsample(
     df: DataFrame,
     sizes: DataFrame,
@@ -305,19 +327,21 @@ def subsample(
     schema = T.StructType([*rows.schema.fields, T.StructField("tree_id", T.IntegerType()), T.StructField("_place", T.LongType())])
     at_x, at_limit = rows.columns.index("_x"), rows.columns.index("_limit")
     a, b = tree_draws(n_trees, seed)
-    block = max(1, (1 << 21) // n_trees)
+    block = max(1, (1 << 16) // n_trees)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, limit = batch.column(at_x).to_numpy(), batch.column(at_limit).to_numpy()
+            x, limit = batch.column(at_x).to_numpy(), batch.column(at_limit).to_numpy().astype(np.uint32)
+            low, held = [], 0  # (row, tree, place) of the low places, passed on about 2^18 at a time
             for i in range(0, len(x), block):
-                v = x[i : i + block, None] * a + b
-                v = (v & PLACES) + (v >> 31)  # modulo 2^31 - 1, twice folded
-                v = (v & PLACES) + (v >> 31)
-                v[v == PLACES] = 0
+                v = folded(x[i : i + block, None] * a + b)
                 row, tree = np.nonzero(v <= limit[i : i + block, None])
-                picked = batch.take(pa.array(row + i))
-                yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(tree.astype(np.int32)), pa.array(v[row, tree])], names=schema.names)
+                low.append((row + i, tree.astype(np.int32), v[row, tree].astype(np.int64)))
+                held += row.size
+                if held >= 1 << 18 or i + block >= len(x):
+                    row, tree, place = (np.concatenate(c) for c in zip(*low))
+                    low, held = [], 0
+                    yield pa.RecordBatch.from_arrays([*batch.take(pa.array(row)).columns, pa.array(tree), pa.array(place)], names=schema.names)
 
     order = ["_place", hash_hex(seed, "tie", F.concat_ws("|", F.col("tree_id").cast("string"), F.col(row_id).cast("string"))), row_id]
     w = Window.partitionBy("model_key", "tree_id").orderBy(*order)
@@ -360,6 +384,17 @@ def python_parallelism(spark) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
+#: A table of models with no more rows is broadcast (one row a model, fixed width).
+MAX_BROADCAST_MODELS = 10_000
+
+
+def with_size_hint(models: DataFrame) -> DataFrame:
+    """``models``, a stored table of one row a model, to be broadcast if a count finds it small: the
+    rows that it is joined with then stay where they are, however few keys they share."""
+    few = models.limit(MAX_BROADCAST_MODELS + 1).count() <= MAX_BROADCAST_MODELS
+    return F.broadcast(models) if few else models
+
+
 def _add_double(schema: T.StructType, name: str) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(name, T.DoubleType())])
 
@@ -462,16 +497,17 @@ def fit_forest(
         scored = df.withColumns({"_raw": F.lit(None).cast("double"), "_decision": F.lit(None).cast("double")})
         return model, scored
     narrow = df.select(row_id, *([key] if key else []), *features)
-    sample = subsample(narrow, sizes.drop("psi"), key, n_trees, seed, row_id, max_psi)
+    models = with_size_hint(sizes)
+    sample = subsample(narrow, models.drop("psi"), key, n_trees, seed, row_id, max_psi)
     nodes = cut_lineage(grow_forest(sample, features, seed, row_id))
     if key is None:
         raw = score_single(narrow, nodes.toPandas(), int(trained["psi"]), features).select(row_id, F.lit(GLOBAL_KEY).alias("model_key"), "_raw")
     else:
-        raw = raw_per_key(narrow, nodes, sizes, key, features, row_id)
+        raw = raw_per_key(narrow, nodes, models, key, features, row_id)
     raw = cut_lineage(raw)  # the Python scoring runs once; offsets and labels both read these narrow rows
     offsets = cut_lineage(sizes.join(exact_quantile(raw, "_raw", contamination, ["model_key"], "offset"), "model_key", "left"))
     model = ForestModel(nodes, offsets, tuple(features), key, contamination, seed)
-    decided = raw.join(offsets.select("model_key", "offset"), "model_key").select(row_id, "_raw", (F.col("_raw") - F.col("offset")).alias("_decision"))
+    decided = raw.join(with_size_hint(offsets).select("model_key", "offset"), "model_key").select(row_id, "_raw", (F.col("_raw") - F.col("offset")).alias("_decision"))
     return model, df.join(decided, row_id, "left")
 
 
@@ -489,6 +525,6 @@ def score_forest(df: DataFrame, model: ForestModel, row_id: str = "row_id") -> D
         scored = score_single(df, model.nodes.toPandas(), psi, model.features)
     else:
         # groups are sized by the rows that are scored, which may be many more than were trained on
-        here = model_sizes(df, model.key).join(model.offsets.select("model_key", "psi"), "model_key")
-        scored = score_per_key(df, model.nodes, here, model.key, model.features, row_id)
+        here = cut_lineage(model_sizes(df, model.key).join(model.offsets.select("model_key", "psi"), "model_key"))
+        scored = score_per_key(df, model.nodes, with_size_hint(here), model.key, model.features, row_id)
     return apply_offsets(scored, model)
