@@ -47,10 +47,11 @@ def inject_ocean(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS,
     ).drop("_orank")
 
 
-def inject_duplicates(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS, counts=None, max_id=None) -> DataFrame:
+def inject_duplicates(df: DataFrame, k: int, seed=99, cols: AssetCols = DEFAULT_COLS, counts=None, max_id=None, ids=None) -> DataFrame:
     """Copies of k original rows are appended (a copy keeps any earlier flag); copies get
-    row_id = max(row_id) + selection rank and flag ``_dup``."""
-    ranked = with_hash_rank(df, k, seed, "duplicate", cols.row_id, "_drank", counts)
+    row_id = max(row_id) + selection rank and flag ``_dup``.  ``ids``, a table of the row ids of
+    ``df``, spares a scan of it where one is known."""
+    ranked = with_hash_rank(df, k, seed, "duplicate", cols.row_id, "_drank", counts, ids)
     if max_id is None:
         max_id = df.agg(F.max(cols.row_id)).first()[0] or 0
     # One linear pass: a selected row is emitted twice (original, then its copy), so the
@@ -90,7 +91,8 @@ def inject_errors(
     counts, n, max_id = bucket_counts(df, seed, ["ocean", "duplicate", "missing"], cols.row_id)
     n_dup = int(n * pct_duplicate)
     n_missing = int((n + n_dup) * pct_missing)
-    missing_counts, ids = counts["missing"], df.select(cols.row_id)
+    missing_counts, originals = counts["missing"], df.select(cols.row_id)
+    ids = originals
     if n_dup > 0 and n_missing > 0:
         copies = df.sparkSession.range(max_id + 1, max_id + n_dup + 1).withColumnRenamed("id", cols.row_id)
         extra, _, _ = bucket_counts(copies, seed, ["missing"], cols.row_id)
@@ -100,7 +102,7 @@ def inject_errors(
         missing_counts = list(merged.items())
         ids = ids.unionByName(copies)
     out = inject_ocean(df, int(n * pct_ocean), seed, cols, counts["ocean"])
-    out = inject_duplicates(out, n_dup, seed, cols, counts["duplicate"], max_id)
+    out = inject_duplicates(out, n_dup, seed, cols, counts["duplicate"], max_id, originals)
     out = inject_missing(out, n_missing, seed, cols, missing_counts, ids)
     flags = F.array_join(
         F.array_compact(

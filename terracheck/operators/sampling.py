@@ -100,15 +100,16 @@ def _ranked(chosen: DataFrame, seed, step: str, row_id: str, rank_col: str, coun
     return joined.withColumn(rank_col, F.col("_offset") + F.row_number().over(w)).drop("_h", "_bucket", "_offset")
 
 
-def with_hash_rank(df: DataFrame, k: int, seed, step: str, row_id: str = "row_id", rank_col: str = "_rank", counts=None) -> DataFrame:
+def with_hash_rank(df: DataFrame, k: int, seed, step: str, row_id: str = "row_id", rank_col: str = "_rank", counts=None, ids=None) -> DataFrame:
     """Adds ``rank_col``: 1..k for the k rows first in hash order, NULL for all others.
 
-    ``counts`` (bucket, count) pairs of the row ids, when already known, spare a job."""
+    ``counts`` (bucket, count) pairs of the row ids, when already known, spare a job; ``ids``, a table
+    of the row ids of ``df``, spares a scan of it."""
     counts = counts if counts is not None else _counts(df, seed, step, row_id)
     none = F.lit(None).cast("bigint")
     if k <= 0 or not counts:
         return df.withColumn(rank_col, none)
-    hit = selected(k, kth_cut(df, k, seed, step, counts, row_id), seed, step, row_id)
+    hit = selected(k, kth_cut(df if ids is None else ids, k, seed, step, counts, row_id), seed, step, row_id)
     ranked = _ranked(df.where(hit), seed, step, row_id, rank_col, counts, k)
     return ranked.unionByName(df.where(~hit).withColumn(rank_col, none))
 

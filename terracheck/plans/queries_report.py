@@ -16,6 +16,7 @@ from terracheck.operators.scoring import compute_final_score
 from terracheck.plans.catalog import register
 from terracheck.plans.oracle_sql import with_assets
 from terracheck.plans.queries_inject import INJECT_SQL, SEED
+from terracheck.session import cut_lineage
 from terracheck.sources.assets import load_assets
 
 
@@ -41,7 +42,8 @@ SCORED_SQL = INJECT_SQL + standin_sql("e3")
 
 
 def scored_fixture(spark, sf):
-    d = inject.inject_errors(load_assets(spark, sf), seed=SEED)
+    """The injected table with stand-in scores; it is stored, as the blend and the consumers scan it several times."""
+    d = cut_lineage(inject.inject_errors(load_assets(spark, sf), seed=SEED))
     rid = F.col("row_id")
     g = F.round((rid * 7919 % 1000).cast("double") / 2000 - 0.1, 4)
     c = F.when(rid % 10 == 0, F.lit(None).cast("double")).otherwise(F.round((rid * 104729 % 1000).cast("double") / 2000 - 0.1, 4))
