@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 def py_fixed(c: Column, decimals: int, null_text: str = "nan") -> Column:
     """``f"{x:.{decimals}f}"``; NULL renders as ``nan`` like a pandas empty min/max."""
-    return F.coalesce(F.regexp_replace(F.format_number(c, decimals), ",", ""), F.lit(null_text))
+    return F.coalesce(F.replace(F.format_number(c, decimals), F.lit(","), F.lit("")), F.lit(null_text))
 
 
 def py_thousands(c: Column) -> Column:

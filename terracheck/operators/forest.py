@@ -195,7 +195,7 @@ def forest_arrays(nodes: pd.DataFrame):
 
 
 #: Trees and rows that are walked at a time.
-WALK_TREES, WALK_ROWS = 8, 8192
+WALK_TREES, WALK_ROWS = 8, 10_000
 
 
 def mean_path_length(X: np.ndarray, arrays) -> np.ndarray:
