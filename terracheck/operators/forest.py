@@ -212,19 +212,22 @@ def mean_path_length(X: np.ndarray, arrays) -> np.ndarray:
         m = xt.shape[1]
         start, rows = feature * m, np.arange(m, dtype=np.int64)
         for t0 in range(0, n_trees, WALK_TREES):
-            trees = np.arange(t0, min(n_trees, t0 + WALK_TREES), dtype=np.int64)[:, None]
+            t1 = min(n_trees, t0 + WALK_TREES)
+            trees = np.arange(t0, t1, dtype=np.int64)[:, None]
             base = trees * inner
             step = 1 - base  # place 2 i + 1 of the same tree, as an index into all trees' places
             node = np.repeat(base, m, axis=1)
-            for _ in range(depth):
-                at = start.take(node)
+            if depth:  # a root is one feature and threshold for all rows
+                node += 1 + ~(xt[feature[t0:t1, 0]] <= threshold[t0:t1, :1])
+            for _ in range(depth - 1):  # all indices are in range; "wrap" is the quickest way to take them
+                at = start.take(node, mode="wrap")
                 at += rows
-                right = ~(xt.take(at) <= threshold.take(node))
+                right = ~(xt.take(at, mode="wrap") <= threshold.take(node, mode="wrap"))
                 node *= 2
                 node += step
                 node += right
             node += trees * bottom - base - inner
-            total[r0 : r0 + m] += path_len.take(node).sum(axis=0)
+            total[r0 : r0 + m] += path_len.take(node, mode="wrap").sum(axis=0)
     return total / n_trees
 
 
