@@ -13,11 +13,12 @@
    group of copies costs one verification for each copy and not one for each pair.
 5. A set that was compared with its pivot keeps the difference. Two sets of one pivot are verified
    from their (small) differences: |a xor b| = |da| + |db| - 2 |da and db|.
-6. After the rounds, sets that cannot link any more leave the lists: a set's partners can share only
-   those of its elements that a set of another component has too, which is counted over whole sets
-   before any pair exists, and compared with what the sizes in its lists ask for. Two more rounds take
-   the sets with the largest share of such elements as pivots, the least changed ones of a group of
-   near copies. The pairs left in different components are verified one by one, so no link is lost.
+6. Before the rounds, and again before pairs are listed, sets that cannot link (any more) leave the
+   lists: a set's partners can share only those of its elements that a set of another component has
+   too, which is counted over whole sets before any pair exists, and compared with what the sizes in
+   its lists ask for. Two more rounds take the sets with the largest share of such elements as pivots,
+   the least changed ones of a group of near copies. The pairs left in different components are
+   verified one by one, so no link is lost.
 7. ``op4_ngram_jaccard_join`` also counts each row's links. The members of a pivot are cut into blocks by
    the size of their differences. Sizes alone rule out some pairs of blocks and show that others link
    whole; two blocks of the rest meet in a task that counts links from their differences and
@@ -42,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracheck.llm.common import SPACE_TABLE, forget, fresh_name, pack_texts, read_table, shingle_hashes, text_slices, tokenise, unpack, word_hashes, written
+from terracheck.llm.common import SLICE_BYTES, SPACE_TABLE, forget, fresh_name, pack_texts, read_table, shingle_hashes, text_slices, tokenise, unpack, word_hashes, written
 from terracheck.llm.components import merge_labels
 from terracheck.llm.registry import register
 
@@ -53,26 +54,30 @@ ROUNDS = 2
 CENTRAL_ROUNDS = 2
 #: Sets of one pivot, and elements of their differences, that a block holds on average.
 BLOCK_SETS, BLOCK_ELEMENTS = 512, 1 << 18
+#: Bytes of text whose sets are made at once: hashing takes some 50 bytes of memory for each.
+SET_BYTES = 1 << 19
 
 
 def shingle_sets(raw: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Elements of all rows' sets, each row's sorted, and the edges between rows."""
     w = tokenise(raw, off, SPACE_TABLE)
     h, count = word_hashes(w), np.diff(w.first)
-    rows = np.repeat(np.arange(len(count)), count)
-    s = shingle_hashes(h, k)
-    inside = rows[: len(s)] == rows[k - 1 :][: len(s)] if len(s) else np.zeros(0, bool)
-    row, element = [rows[: len(s)][inside]], [s[inside]]
+    size = np.where(count >= k, count - k + 1, np.minimum(count, 1))
+    edges = np.concatenate(([0], np.cumsum(size)))
+    element = np.empty(int(edges[-1]), dtype=np.uint64)
+    every = shingle_hashes(h, k)
+    at = w.first[:-1] - edges[:-1]  # from a row's place here to its first word
+    source = np.arange(len(element)) + np.repeat(at, size)
+    whole = np.repeat(count >= k, size)
+    element[whole] = every[source[whole]]
     for r in np.flatnonzero((count > 0) & (count < k)).tolist():
-        row.append(np.array([r]))
-        element.append(shingle_hashes(h[w.first[r] : w.first[r + 1]], int(count[r])))
-    row, element = np.concatenate(row), np.concatenate(element)
-    order = np.lexsort((element, row))
-    row, element = row[order], element[order]
-    new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (element[1:] != element[:-1])
-    row, element = row[new], element[new]
-    return element, np.searchsorted(row, np.arange(len(count) + 1))
+        element[edges[r]] = shingle_hashes(h[w.first[r] : w.first[r + 1]], int(count[r]))[0]
+    for r in np.flatnonzero(size > 1).tolist():  # row by row: far faster than one sort by row and element
+        element[edges[r] : edges[r + 1]].sort()
+    new = np.ones(len(element), dtype=bool)
+    new[1:] = element[1:] != element[:-1]
+    new[edges[:-1][size > 0]] = True
+    return element[new], np.concatenate(([0], np.cumsum(new)))[edges]
 
 
 def heavy_elements(docs: DataFrame, k: int) -> np.ndarray:
@@ -81,8 +86,14 @@ def heavy_elements(docs: DataFrame, k: int) -> np.ndarray:
 
     def count(batches):
         for batch in batches:
-            for _, _, raw, off in text_slices(batch.column(0)):
-                element, n = np.unique(shingle_sets(raw, off, k)[0], return_counts=True)
+            sets, held, last = [], 0, batch.num_rows
+            for _, j, raw, off in text_slices(batch.column(0), SET_BYTES):
+                sets.append(shingle_sets(raw, off, k)[0])
+                held += len(raw)
+                if held < SLICE_BYTES and j < last:
+                    continue
+                element, n = np.unique(np.concatenate(sets), return_counts=True)
+                sets, held = [], 0
                 many = np.flatnonzero(n > 1)
                 many = many[np.argsort(-n[many], kind="stable")[:HEAVY_OF_SLICE]]
                 yield pa.RecordBatch.from_arrays([pa.array(element[many].view(np.int64)), pa.array(n[many])], names=["element", "n"])
@@ -110,16 +121,14 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = np.ascontiguousarray(heavy.value[:, 0]), heavy.value[:, 1]
         for batch in batches:
-            for i, j, raw, off in text_slices(batch.column(2)):
+            for i, j, raw, off in text_slices(batch.column(2), SET_BYTES):
                 element, edges = shingle_sets(raw, off, k)
                 size = np.diff(edges)
                 keep = np.where(size > 0, np.minimum(size, size - -(-size * num // den) + _shared_least(size)), 0)
                 node = [xxhash.xxh3_64_intdigest(element[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
                 at = np.minimum(np.searchsorted(known, element), max(len(known) - 1, 0))
                 weight = np.where(known[at] == element, rank[at], np.uint64(0)) if len(known) else np.zeros(len(element), np.uint64)
-                row = np.repeat(np.arange(j - i), size)
-                order = np.lexsort((element, weight, row))
-                first = order[(np.arange(len(order)) - np.repeat(edges[:-1], size)) < np.repeat(keep, size)]
+                first = first_elements(element, edges, weight, keep)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(keep))), pa.int32()), pa.array(element[first].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(size, pa.int64()), pa.array(np.array(node, dtype=np.uint64).view(np.int64)), lists],
@@ -130,6 +139,23 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return docs.select("doc_id", _text_hash().alias("th"), "text").mapInArrow(scan, f"doc_id {id_type}, th long, n long, node long, prefix array<long>")
 
 
+def first_elements(element: np.ndarray, edges: np.ndarray, weight: np.ndarray, keep: np.ndarray) -> np.ndarray:
+    """Where each row's first ``keep`` elements by weight and element stand, row by row. A row's
+    elements are sorted, and only rows with too few elements of weight 0 need another order."""
+    size = np.diff(edges)
+    light = np.concatenate(([0], np.cumsum(weight == 0)))
+    before = light[:-1] - np.repeat(light[edges[:-1]], size)
+    missing = keep - np.minimum(np.diff(light[edges]), keep)
+    first = (weight == 0) & (before < np.repeat(keep, size))
+    heavy = np.flatnonzero((weight > 0) & np.repeat(missing > 0, size))
+    row = np.repeat(np.arange(len(size)), size)
+    heavy = heavy[np.lexsort((element[heavy], weight[heavy], row[heavy]))]
+    of = row[heavy]
+    heavy = heavy[np.arange(len(of)) - np.searchsorted(of, of) < missing[of]]
+    at = np.concatenate((np.flatnonzero(first), heavy))
+    return at[np.argsort(row[at], kind="stable")]
+
+
 def _possible(na, pa_, nb, pb, num: int, den: int) -> Column:
     """The sizes fit, and what is left from the shared element on can reach the threshold."""
     need = _needed(na, nb, num, den)
@@ -189,19 +215,16 @@ class Join:
         posts = rows.join(lists, "element").groupBy("element", "node").agg(F.max("place").alias("place"))
         posts = posts.select("element", "node", F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).alias("pos")).withColumn("block", self.bucket)
         posts = replaced(posts, "shared", lists)
-        # skipped sets can leave others alone in a list
-        for _ in range(2):
-            posts = posts.join(self.enough(posts), "node", "left_semi")
-            shared = posts.groupBy("element").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("element")
-            posts = written(posts.join(shared, "element", "left_semi"), "shared")
-        # blocks of a list that hold or neighbour another set
-        sizes = posts.groupBy("element", "block").agg(F.count(F.lit(1)).alias("c"))
-        near = sizes.select("element", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), "c")
-        useful = near.groupBy("element", "block").agg(F.sum("c").alias("c")).where("c > 1").drop("c")
-        self.posts = self.all_posts = written(posts.join(useful, ["element", "block"], "left_semi"), "posts")
-        asked = self.posts.select("node").distinct()
-        self.sets = written(build_sets(docs, nodes.join(asked, "node"), k), "sets")
-        self.labels = written(asked.select(F.col("node").alias("id"), F.col("node").alias("label")), "labels")
+        posts = replaced(posts.join(self.enough(posts), "node", "left_semi"), "posts", posts)
+        # sets that leave here link with no other set: all later steps see the few that stay
+        rows = posts.withColumn("label", F.col("node"))
+        rows = self.crowded(self.crowded(rows))
+        forget(posts)
+        self.sets = written(build_sets(docs, nodes.join(rows.select("node").distinct(), "node"), k), "sets")
+        # posts with ``label``, the node itself, and ``shared``
+        self.reach = self.narrowed(self.reachable(rows), 1)
+        self.posts = self.reach.drop("label", "shared")
+        self.labels = written(self.posts.select(F.col("node").alias("id"), F.col("node").alias("label")).distinct(), "labels")
         self.deltas: DataFrame | None = None
 
     def enough(self, posts: DataFrame) -> DataFrame:
@@ -293,7 +316,7 @@ class Join:
     def open_pairs(self) -> DataFrame:
         """(a, b): every possible pair of a list that is in different components, after rounds with
         central pivots, which unite groups of near copies without their pairs."""
-        rows = self.narrowed(self.labelled())
+        rows = self.narrowed(self.labelled(), 1)
         for turn in range(CENTRAL_ROUNDS):
             self.settle(self.central_pairs(rows, turn))
             at = self.labels.select(F.col("id").alias("node"), "label")
@@ -452,10 +475,9 @@ class Join:
         return sure.unionByName(rows.groupBy("pivot", "i", "j").applyInArrow(count, "node long, links long"))
 
     def link_counts(self, copies: DataFrame) -> DataFrame:
-        """``node, links``: rows of other sets that a set of ``all_posts`` links with; ``copies`` has
+        """``node, links``: rows of other sets that a set of ``reach`` links with; ``copies`` has
         the number of rows, ``(node, c)``, of each set. To be called after ``run``."""
-        # sets that leave here link with no other set
-        reach = self.narrowed(self.all_posts.withColumn("label", F.col("node")))
+        reach = self.reach
         self.keep_deltas(written(self.compare_with_pivots(self.central_pairs(reach, 0)), "pivots"))
         apart = self.deltas.select(F.col("id").alias("node"), "pivot", F.expr("octet_length(delta) div 8").alias("d"))
         sizes = self.sets.select("node", F.expr("octet_length(elements) div 8").alias("n"))
@@ -471,7 +493,7 @@ class Join:
         return counted.groupBy("node").agg(F.sum("links").alias("links"))
 
     def run(self, rounds: int = ROUNDS) -> DataFrame:
-        """``id, label`` of every set that shares a list with another."""
+        """``id, label`` of every set that can link with another."""
         self.first_round()
         for turn in range(1, rounds):
             pairs = self.pivot_pairs(turn)

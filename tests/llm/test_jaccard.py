@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from terracheck.llm import jaccard
@@ -126,3 +128,58 @@ def test_links_at_pivots_are_those_of_all_pairs_in_small_blocks(spark, monkeypat
     linked = lambda s, t: 100 * len(s & t) >= 85 * len(s | t)
     want = {a: sum(c for b, q, _, _, c, _ in rows if q == p and b != a and linked(sets[a], sets[b])) for a, p, *_ in rows}
     assert {a: got.get(a, 0) for a in want} == want and len(set(want.values())) > 20
+
+
+def test_first_elements_are_those_of_a_full_sort():
+    r = np.random.default_rng(3)
+    edges = np.concatenate(([0], np.cumsum(r.integers(0, 30, 200))))
+    size = np.diff(edges)
+    row = np.repeat(np.arange(200), size)
+    element, weight = r.integers(0, 1000, len(row)).astype(np.uint64), (r.random(len(row)) < 0.6) * r.integers(1, 4, len(row)).astype(np.uint64)
+    element = element[np.lexsort((element, row))]
+    keep = np.minimum(size, r.integers(0, 30, 200))
+    order = np.lexsort((element, weight, row))
+    want = order[(np.arange(len(order)) - np.repeat(edges[:-1], size)) < np.repeat(keep, size)]
+    got = jaccard.first_elements(element, edges, weight, keep)
+    assert element[got].tolist() == element[want].tolist() and weight[got].tolist() == weight[want].tolist()
+
+
+def test_sets_without_a_partner_leave_before_any_round(spark):
+    r = random.Random(2)
+    passage = [f"p{i}" for i in range(100)]
+    rows = [(i, " ".join([f"w{r.randrange(10**6)}" for _ in range(100)] + passage), "s") for i in range(40)] + near_copies(6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    join = jaccard.Join(docs, jaccard.prefixes(docs, 4, 85, 100), 4, 85, 100)
+    # half of each text is a passage of all: the passage's lists hold 40 sets, and none of them can link
+    assert join.labels.count() == join.posts.select("node").distinct().count() == 6
+
+
+def test_sets_are_made_of_small_pieces(spark, monkeypatch):
+    seen, make = [], jaccard.shingle_sets
+    text = " ".join(f"word{i % 977}" for i in range(30_000))
+
+    def watched(raw, off, k):
+        tracemalloc.start()
+        out = make(raw, off, k)
+        seen.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        return out
+
+    monkeypatch.setattr(jaccard, "shingle_sets", watched)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([text[:150_000]] * 16)], names=["text"])
+
+    class Docs:
+        """Runs the scan here, on one batch."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, scan, _):  # noqa: N802
+            assert sum(b.num_rows for b in scan(iter([batch]))) > 0
+            raise StopIteration
+
+    with pytest.raises(StopIteration):
+        jaccard.heavy_elements(Docs(), 4)
+    assert len(seen) > 4 and max(seen) < 60 << 20
