@@ -27,6 +27,8 @@ from terracheck.llm.registry import register
 
 #: Bound on the labelled rows that the trees learn from.
 SAMPLE = 20_000
+#: Bytes of text whose statistics are taken at once: they take some 50 bytes of memory for each.
+STATISTICS_BYTES = 1 << 19
 FOLDS = 5
 CUT = 0.3
 TREES, DEPTH, BINS, RATE, LEAST, L2 = 80, 4, 64, 0.15, 8, 1.0
@@ -90,7 +92,7 @@ def statistics(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def text_statistics(column: pa.Array) -> np.ndarray:
-    parts = [statistics(raw, off) for _, _, raw, off in text_slices(column)]
+    parts = [statistics(raw, off) for _, _, raw, off in text_slices(column, STATISTICS_BYTES)]
     return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
 
 
