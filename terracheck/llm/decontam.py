@@ -33,6 +33,8 @@ WINDOW = 13
 BLOCK_WORDS = 500_000
 #: A document is contaminated when at least one word in so many is hit.
 SHARE = 20
+#: Bytes of text scanned at once: their hashes take some 40 bytes of memory for each.
+SCAN_BYTES = 1 << 19
 _FILTER_BITS = 22
 
 
@@ -123,7 +125,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_word
             for batch in batches:
                 before = (batch.column(width + 2).to_pylist(), batch.column(width + 3).to_pylist()) if batch.num_columns > width else None
                 n_words, n_hit, all_runs, all_items = [], [], [], []
-                for i, j, raw, off in text_slices(batch.column(text_at)):
+                for i, j, raw, off in text_slices(batch.column(text_at), SCAN_BYTES):
                     words = tokenise(raw, off, ALNUM_TABLE)
                     runs, owners = scanner.scan(words)
                     if before:

@@ -2,8 +2,9 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from terracheck.llm.common import ALNUM_TABLE, LOWER, SPACE_TABLE, UPPER, fresh_name, pack_texts, shingle_hashes, text_slices, tokenise, unpack, word_hashes
+from terracheck.llm.common import ALNUM_TABLE, BATCH_BYTES, LOWER, SPACE_TABLE, UPPER, fresh_name, pack_texts, read_table, shingle_hashes, text_slices, tokenise, unpack, word_hashes, written
 
 PATTERNS = {SPACE_TABLE: r"[^\x20\x09-\x0D]+", ALNUM_TABLE: r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"}
 
@@ -35,3 +36,29 @@ def test_fresh_name_and_packing(spark, docs, rows):
     assert fresh_name(docs.selectExpr("doc_id AS Runs", "text AS runs_"), "runs") == "runs__"
     packed = pack_texts(docs.select("text", "doc_id")).collect()
     assert sorted(next(unpack(pa.array([r.text]))).decode() for r in packed) == sorted(t or "" for _, t, _ in rows)
+
+
+def test_batches_of_long_texts_are_bounded(spark, tmp_path):
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(conf, None)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    def longest(df):
+        got = df.coalesce(1).mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 3000 and sum(r.size for r in got) >= 30_000_000
+        return max(r.size for r in got)
+
+    texts = spark.range(3000).select("id", F.repeat(F.lit("some text "), 1000).alias("text"))
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    try:
+        spark.conf.unset(conf)
+        assert longest(read_table(spark, str(tmp_path), "documents")) < 1.5 * BATCH_BYTES
+        spark.conf.unset(conf)
+        assert longest(written(texts, "bounded")) < 1.5 * BATCH_BYTES
+        spark.conf.set(conf, str(1 << 20))  # a bound of the session's own stays
+        assert longest(read_table(spark, str(tmp_path), "documents")) < 1.5 * (1 << 20)
+    finally:
+        spark.conf.unset(conf) if before is None else spark.conf.set(conf, before)

@@ -1,10 +1,12 @@
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from terracheck.llm import decontam
-from terracheck.llm.common import LOWER, UPPER
+from terracheck.llm.common import ALNUM_TABLE, LOWER, UPPER, text_slices, tokenise
 
 PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -63,3 +65,14 @@ def test_empty(case, no_docs):
     docs, bench, _ = case
     assert decontam.drop_contaminated(no_docs, bench).count() == 0
     assert decontam.drop_contaminated(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_a_scan_holds_the_hashes_of_one_small_slice():
+    texts = pa.array([f"word{i} " * 1000 for i in range(1000)])  # about 8 MB
+    scanner = decontam.Scanner(decontam.build_index([("1", " ".join(f"w{i}" for i in range(30)))]))
+    tracemalloc.start()
+    for _, _, raw, off in text_slices(texts, decontam.SCAN_BYTES):
+        assert scanner.scan(tokenise(raw, off, ALNUM_TABLE)) == ([], {})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
